@@ -47,6 +47,16 @@ CATALOG = {
     "freightlens.plans.staging": """
         stg_orders stg_gps stg_weather stg_traffic
     """,
+    "freightlens.plans.star": """
+        dim_customer dim_driver dim_vehicle dim_warehouse dim_location dim_date load_fact_orders
+        load_fact_delivery load_fact_gps load_fact_traffic dim_scd2 fo_total fo_month
+        fo_customer_type fo_warehouse fo_driver fo_region fd_overall fd_driver fd_warehouse fd_daily
+        fd_distance_band fd_severe fg_overall fg_vehicle fg_region fg_hourly fg_daily fg_low_signal
+        ft_overall ft_location ft_congestion ft_hourly ft_daily ft_severe ft_delivery_window
+        dd_month dd_dow dd_weekend dd_quarter dv_region dv_rating dv_experience_band dveh_type
+        dveh_fuel dveh_maintenance dveh_age dveh_capacity dc_region dc_type dw_region dw_capacity
+        dw_largest dw_geo dl_region dl_list dl_with_coords
+    """,
     "freightlens.plans.warehouses": """
         wh_overall wh_performance wh_top20_volume wh_top20_value wh_delivery_risk wh_segmentation
         wh_region wh_value_share wh_above_avg wh_above_avg_poor wh_below_avg wh_deciles

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freightlens.plans import cleaning, marts, staging
+from freightlens.plans import cleaning, marts, staging, star
 from freightlens.sources.bindings import StarTables
 
 RAW_TABLES = (
@@ -63,3 +63,22 @@ class Lake:
         lambda s: marts.executive_mart(s.delivery_mart, s.logistics_mart, s.warehouse_mart, s.as_of)
     )
 
+    # star schema
+    @cached_property
+    def dims(self) -> dict[str, DataFrame]:
+        days = self.orders.selectExpr("cast(order_date AS date) AS d").unionByName(
+            self.gps_tracking.selectExpr("cast(timestamp AS date) AS d")
+        )
+        return {
+            "customer": star.dim_customer(self.customers),
+            "driver": star.dim_driver(self.drivers),
+            "vehicle": star.dim_vehicle(self.vehicles),
+            "warehouse": star.dim_warehouse(self.warehouses),
+            "location": star.dim_location(self.orders, self.warehouses, self.weather, self.traffic, self.gps_tracking),
+            "date": star.dim_date(days),
+        }
+
+    fact_orders = cached_property(lambda s: star.fact_orders(s.orders_clean, s.dims))
+    fact_delivery = cached_property(lambda s: star.fact_delivery(s.orders_clean, s.dims))
+    fact_gps = cached_property(lambda s: star.fact_gps(s.gps_clean, s.dims))
+    fact_traffic = cached_property(lambda s: star.fact_traffic(s.traffic, s.dims))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PARTS = ["oracle.reports", "oracle.jobs"]
+PARTS = ["oracle.reports", "oracle.jobs", "oracle.star"]
 
 
 def all_sql() -> dict[str, str]:
