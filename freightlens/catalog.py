@@ -1,6 +1,10 @@
 """Which module registers which query."""
 
 CATALOG = {
+    "freightlens.plans.bi": """
+        bi_executive bi_delivery bi_fleet bi_fleet_risk_matrix bi_warehouse bi_warehouse_risk
+        bi_financial bi_financial_kpis bi_reconcile
+    """,
     "freightlens.plans.cleaning": """
         clean_orders clean_gps clean_weather weather_daily delivery_features gate_orders gate_gps
         gate_weather gate_features
@@ -27,6 +31,13 @@ CATALOG = {
         drv_weather_risk drv_daily drv_monthly drv_workload_deciles drv_overloaded drv_exceptions
         drv_exec_snapshot
     """,
+    "freightlens.plans.eda": """
+        eda_dataset_summary eda_missing_values eda_numeric_summary eda_orders_region
+        eda_status_share eda_order_value_histogram eda_rain_histogram eda_distance_vs_delay
+        eda_customer_activity eda_customers_region eda_driver_performance eda_warehouse_workload
+        eda_weather_condition eda_traffic_location eda_traffic_level eda_gps_vehicle
+        eda_delivery_events eda_update_status
+    """,
     "freightlens.plans.kpi_jobs": """
         job_prepare_deliveries delivery_overall delivery_by_region delivery_by_day
         delivery_by_status delivery_metrics_union driver_metrics driver_region_metrics
@@ -44,6 +55,23 @@ CATALOG = {
         int_driver_performance delivery_mart logistics_mart warehouse_mart executive_mart
         test_unique_orders test_valid_status
     """,
+    "freightlens.plans.ml_features": """
+        feat_summary feat_calendar feat_delivery feat_delivery_weather feat_gps feat_customer
+        feat_driver feat_warehouse
+    """,
+    "freightlens.plans.profiles": """
+        prof_customers prof_drivers prof_gps prof_orders prof_traffic prof_vehicles prof_warehouses
+        prof_weather
+    """,
+    "freightlens.plans.quality": """
+        dq_not_blank dq_unique_keys dq_ranges dq_referential dq_population dq_binary_flags
+        dq_non_negative dq_empty_columns dq_consistency dq_calendar dq_dimensions dq_row_anomaly
+        dq_report
+    """,
+    "freightlens.plans.route_study": """
+        ra_gps_vehicle ra_gps_region ra_speed_histogram ra_traffic_histogram ra_traffic_location
+        ra_road_condition ra_road_type ra_road_overview ra_distance_bands ra_region_risk ra_summary
+    """,
     "freightlens.plans.staging": """
         stg_orders stg_gps stg_weather stg_traffic
     """,
