@@ -38,6 +38,12 @@ CATALOG = {
         eda_weather_condition eda_traffic_location eda_traffic_level eda_gps_vehicle
         eda_delivery_events eda_update_status
     """,
+    "freightlens.plans.ingest": """
+        ingest_orders ingest_customers ingest_warehouses ingest_report src_csv_contract
+        src_processed_or_raw src_all_datasets sink_single_csv sink_partitioned_lake
+        tbl_hive_register mat_view_table norm_weather_payload norm_traffic_payload
+        norm_route_payload
+    """,
     "freightlens.plans.kpi_jobs": """
         job_prepare_deliveries delivery_overall delivery_by_region delivery_by_day
         delivery_by_status delivery_metrics_union driver_metrics driver_region_metrics

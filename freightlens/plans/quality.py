@@ -217,18 +217,24 @@ def dimensions(dims, as_of: str) -> DataFrame:
 
 
 def row_anomalies(tables: dict[str, tuple[DataFrame, str]], window_days: int = 7, sigmas: float = 3.0) -> DataFrame:
-    """Daily row counts that leave the trailing mean of the last days by more than some standard deviations."""
+    """Daily row counts that leave the trailing mean of the last days by more than some standard deviations.
+
+    The test compares integers (squares of sums), so equality at the limit is exact.
+    """
     parts = [
         df.groupBy(F.col(c).cast("date").alias("day")).agg(rows("row_count")).select(F.lit(t).alias("dataset"), "day", "row_count")
         for t, (df, c) in tables.items()
     ]
     daily = union(parts).filter(F.col("day").isNotNull())
     w = Window.partitionBy("dataset").orderBy("day").rowsBetween(-window_days, -1)
-    usual, spread = F.avg("row_count").over(w), F.stddev_samp("row_count").over(w)
-    d = daily.withColumns({"_usual": usual, "_spread": spread, "_n": F.count("row_count").over(w)})
-    odd = (F.col("_n") >= window_days) & (F.abs(F.col("row_count") - F.col("_usual")) > F.col("_spread") * sigmas)
+    n, x = F.count("row_count").over(w), F.sum("row_count").over(w)
+    xx = F.sum(F.col("row_count") * F.col("row_count")).over(w)
+    d = daily.withColumns({"_n": n, "_x": x, "_var": n * xx - x * x})
+    gap = F.col("row_count") * F.col("_n") - F.col("_x")
+    odd = (F.col("_n") >= window_days) & (gap * gap * (F.col("_n") - 1) > F.lit(sigmas * sigmas) * F.col("_n") * F.col("_var"))
+    spread = F.sqrt(ratio("_var", F.col("_n") * (F.col("_n") - 1)))
     return d.select(
-        "dataset", "day", "row_count", half_up("_usual", 4).alias("trailing_mean"), half_up("_spread", 4).alias("trailing_stddev"),
+        "dataset", "day", "row_count", ratio("_x", "_n", 4).alias("trailing_mean"), half_up(spread, 4).alias("trailing_stddev"),
         flag(odd).alias("is_anomaly"),
     )
 

@@ -96,6 +96,7 @@ O["dq_dimensions"] = rules([
     ("dim_warehouse", "x_warehouse", "warehouse_id present", "coalesce(trim(warehouse_id), '') = ''"), ("dim_warehouse", "x_warehouse", "capacity positive", "capacity_units <= 0"), ("dim_warehouse", "x_warehouse", "coordinates valid", PT),
     ("dim_warehouse", "x_warehouse", "region present", "coalesce(trim(region), '') = ''"), ("dim_location", "x_location", "location_name present", "coalesce(trim(location_name), '') = ''"), ("dim_location", "x_location", "coordinates valid", PT)])
 DAILY = " UNION ALL ".join(f"SELECT '{d}' AS dataset, cast({c} AS date) AS day, count(*) AS row_count FROM {T[d]} WHERE {c} IS NOT NULL GROUP BY 2" for d, c in (("orders", "order_date"), ("gps_tracking", "timestamp"), ("traffic", "timestamp"), ("delivery_updates", "event_timestamp")))
-O["dq_row_anomaly"] = f"""SELECT dataset, day, row_count, {r("m", 4)} AS trailing_mean, {r("s", 4)} AS trailing_stddev, CASE WHEN n >= 7 AND abs(row_count - m) > 3 * s THEN 1 ELSE 0 END AS is_anomaly FROM (
-SELECT *, avg(row_count) OVER w AS m, stddev_samp(row_count) OVER w AS s, count(*) OVER w AS n FROM ({DAILY}) WINDOW w AS (PARTITION BY dataset ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
+O["dq_row_anomaly"] = f"""SELECT dataset, day, row_count, {r("x * 1.0 / n", 4)} AS trailing_mean, {r("sqrt((n * xx - x * x) / nullif(cast(n * (n - 1) AS double), 0))", 4)} AS trailing_stddev,
+ CASE WHEN n >= 7 AND (row_count * n - x) * (row_count * n - x) * (n - 1) > 9 * n * (n * xx - x * x) THEN 1 ELSE 0 END AS is_anomaly FROM (
+SELECT *, sum(row_count) OVER w AS x, sum(row_count * row_count) OVER w AS xx, count(*) OVER w AS n FROM ({DAILY}) WINDOW w AS (PARTITION BY dataset ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
 O["dq_report"] = " UNION ALL ".join(O[k] for k in ("dq_not_blank", "dq_unique_keys", "dq_ranges", "dq_referential", "dq_binary_flags", "dq_non_negative", "dq_consistency"))
