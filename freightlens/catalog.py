@@ -38,6 +38,10 @@ CATALOG = {
         eda_weather_condition eda_traffic_location eda_traffic_level eda_gps_vehicle
         eda_delivery_events eda_update_status
     """,
+    "freightlens.plans.forecast": """
+        fc_daily_demand fc_time_features fc_chrono_split fc_linear_model fc_evaluate
+        fc_test_predictions fc_forecast fc_summary
+    """,
     "freightlens.plans.ingest": """
         ingest_orders ingest_customers ingest_warehouses ingest_report src_csv_contract
         src_processed_or_raw src_all_datasets sink_single_csv sink_partitioned_lake
@@ -65,6 +69,10 @@ CATALOG = {
         feat_summary feat_calendar feat_delivery feat_delivery_weather feat_gps feat_customer
         feat_driver feat_warehouse
     """,
+    "freightlens.plans.predict": """
+        dp_target dp_features dp_split dp_pipeline dp_evaluate dp_class_report dp_confusion dp_roc
+        dp_coefficients dp_predictions_summary
+    """,
     "freightlens.plans.profiles": """
         prof_customers prof_drivers prof_gps prof_orders prof_traffic prof_vehicles prof_warehouses
         prof_weather
@@ -97,4 +105,10 @@ CATALOG = {
         wh_value_segment wh_aov wh_delay_impact wh_dense_rank wh_exceptions wh_network_balance
         wh_workload_delay_matrix wh_exec_snapshot
     """,
+    "freightlens.streaming.queries": """
+        st_gps st_orders st_parse_orders_active st_parse_gps st_weather_updates st_gps_windows
+        st_gps_windows_sliding st_gps_sessions st_dedup st_unified_events st_orders_gps_join
+        st_delivery_status st_traffic_trend st_triggers src_kafka_json sink_stream_json
+        pub_events_json sub_validate_append sub_validate_append_gps
+    """,
 }

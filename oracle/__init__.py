@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PARTS = ["oracle.reports", "oracle.jobs", "oracle.star", "oracle.study", "oracle.checks", "oracle.intake"]
+PARTS = ["oracle.reports", "oracle.jobs", "oracle.star", "oracle.study", "oracle.checks", "oracle.intake", "oracle.streams", "oracle.models"]
 
 
 def all_sql() -> dict[str, str]:
