@@ -22,6 +22,7 @@ def entity_rollup(
     maxes: dict | None = None,
     max_raw: dict | None = None,
     digits: int | None = 2,
+    sets: list[list[str]] | None = None,
 ) -> DataFrame:
     """COUNT(DISTINCT entity [IF cond]) for many conditions plus sums, means, shares and maxima.
 
@@ -31,7 +32,8 @@ def entity_rollup(
     tasks; the second carries one partial row per key and task.
 
     count_if: alias -> cond; rows: alias -> cond or None (row counts); shares: alias -> (num, den)
-    conditions, a fraction of rows; means: alias -> column. digits rounds sums of doubles, means.
+    conditions, a fraction of rows; means: alias -> column, rounded to digits.
+    sets: groupings over subsets of keys, all from one pass; _gid tells them apart as grouping_id(keys, entity) does.
     """
     count_if, rows, sums = count_if or {}, rows or {}, sums or {}
     means, shares, maxes, max_raw = means or {}, shares or {}, maxes or {}, max_raw or {}
@@ -67,9 +69,12 @@ def entity_rollup(
         first.append(F.max(as_col(c)).alias(f"q_{a}"))
         second.append(F.max(f"q_{a}").alias(a))
 
-    named = [c.alias(n) for c, n in zip(key_cols, key_names)]
     if not first:
         first = [F.lit(1).alias("_one")]
+    if sets is not None:
+        per_entity = df.groupingSets([[*s, entity] for s in sets], *key_names, entity).agg(F.grouping_id().alias("_gid"), *first)
+        return per_entity.groupBy("_gid", *key_names).agg(*second)
+    named = [c.alias(n) for c, n in zip(key_cols, key_names)]
     per_entity = df.groupBy(*named, F.col(entity)).agg(*first)
     return per_entity.groupBy(*key_names).agg(*second) if key_names else per_entity.agg(*second)
 

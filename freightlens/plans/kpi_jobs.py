@@ -100,21 +100,36 @@ LONG_METRICS = [
 
 
 def metrics_union(df: DataFrame) -> DataFrame:
-    """Overall, regional and daily KPIs in one long table; KPIs a level lacks are NULL."""
-    def level(part, name, key):
-        return part.withColumns({"metric_level": F.lit(name), "metric_key": key})
-
-    region = by_region(df).withColumnRenamed("revenue_per_order", "avg_order_value").drop("avg_delay_min", "delay_rate_pct")
-    day = by_day(df).drop("avg_delay_min", "delay_rate_pct")
-    parts = [
-        level(overall(df), "overall", F.lit("ALL")),
-        level(region, "region", F.col("region")).drop("region"),
-        level(day, "daily", F.date_format("order_date", "yyyy-MM-dd")).drop("order_date"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out.select(*LONG_METRICS)
+    """Overall, regional and daily KPIs in one long table, all levels from one pass; KPIs a level lacks are NULL.
+
+    The overall mean order value is per row, the regional one per distinct order, as published.
+    """
+    late_only = F.when(F.col("delivery_delay_min") > 0, F.col("delivery_delay_min"))
+    g = entity_rollup(
+        df, ["region", "order_date"], "order_id", sets=[[], ["region"], ["order_date"]], count="total_orders", count_if=COUNTS,
+        shares=ON_TIME_OF_DELIVERED,
+        means={
+            **TIME, "avg_promised_delivery_time_min": "promised_delivery_time_min", "avg_positive_delay_min": late_only,
+            "_aov": "order_value", "avg_delivery_distance_km": "delivery_distance_km",
+        },
+        maxes={"max_delay_min": "delivery_delay_min"},
+        sums={"total_order_value": "order_value", "total_delivery_distance_km": "delivery_distance_km"},
+    )
+    overall_row, region_row = F.col("_gid") == 6, F.col("_gid") == 2
+    only = lambda cond, *cols: {c: F.when(cond, F.col(c)) for c in cols}
+    return _finish(g).withColumns(
+        {
+            "metric_level": F.when(overall_row, "overall").when(region_row, "region").otherwise("daily"),
+            "metric_key": F.when(overall_row, "ALL").when(region_row, F.col("region")).otherwise(F.date_format("order_date", "yyyy-MM-dd")),
+            "avg_order_value": F.when(overall_row, F.col("_aov")).when(
+                region_row, F.coalesce(ratio("total_order_value", "total_orders", 2), ZERO)
+            ),
+            **only(overall_row | region_row, "delivered_orders", "on_time_delivery_rate_pct", "avg_delivery_distance_km"),
+            **only(
+                overall_row, "avg_promised_delivery_time_min", "avg_positive_delay_min", "max_delay_min", "total_delivery_distance_km"
+            ),
+        }
+    ).select(*LONG_METRICS)
 
 
 def _fill(df: DataFrame, counts: tuple, measures: tuple) -> DataFrame:

@@ -14,6 +14,9 @@ RAW_TABLES = (
 )
 
 
+_LAKES: dict[tuple, Lake] = {}
+
+
 class Lake:
     """Tables by name. raw is any object with one method per raw table."""
 
@@ -22,7 +25,12 @@ class Lake:
 
     @classmethod
     def over_star(cls, spark: SparkSession, folder: str) -> Lake:
-        return cls(spark, StarTables(spark, folder))
+        """The lake over one folder, shared by all queries of a session: only plans are kept, no rows."""
+        key = (spark.sparkContext.applicationId, id(spark), folder)
+        if key not in _LAKES:
+            _LAKES.clear()
+            _LAKES[key] = cls(spark, StarTables(spark, folder))
+        return _LAKES[key]
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in RAW_TABLES}

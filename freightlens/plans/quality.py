@@ -58,8 +58,16 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def blank_rules(t: str) -> dict[str, Column]:
+    return {f"{c} not blank": is_blank(c) for c in FILLED.get(t, [])}
+
+
+def range_rules(t: str) -> dict[str, Column]:
+    return dict(out_of_range(*spec) for spec in RANGES.get(t, []))
+
+
 def not_blank(tables) -> DataFrame:
-    return union([rule_counts(tables[t], t, {f"{c} not blank": is_blank(c) for c in cols}) for t, cols in FILLED.items()])
+    return union([rule_counts(tables[t], t, blank_rules(t)) for t in FILLED])
 
 
 def duplicate_keys(tables) -> DataFrame:
@@ -92,7 +100,7 @@ def out_of_range(c: str, low, high) -> tuple[str, Column]:
 
 
 def ranges(tables) -> DataFrame:
-    return union([rule_counts(tables[t], t, dict(out_of_range(*spec) for spec in specs)) for t, specs in RANGES.items()])
+    return union([rule_counts(tables[t], t, range_rules(t)) for t in RANGES])
 
 
 def referential(tables) -> DataFrame:
@@ -128,24 +136,30 @@ def population(source: DataFrame, processed: dict[str, DataFrame], key: str) ->
     return union(parts)
 
 
+FLAGS = {
+    "orders_clean": ["is_delayed"], "gps_clean": ["is_moving", "is_low_signal"],
+    "weather_clean": ["is_rainy", "heavy_rain_flag", "high_humidity_flag"], "delivery_features": ["is_delayed"],
+}
+NON_NEGATIVE = {
+    "orders_clean": ["order_value", "delivery_distance_km", "delivery_delay_min", "delivery_per_km_value"],
+    "gps_clean": ["speed_kmph"], "weather_clean": ["rainfall_mm"],
+}
+
+
+def flag_rules(t: str) -> dict[str, Column]:
+    return {f"{c} in 0,1": F.col(c).isNull() | ~F.col(c).isin(0, 1) for c in FLAGS.get(t, [])}
+
+
+def sign_rules(t: str) -> dict[str, Column]:
+    return {f"{c} not negative": F.col(c).isNull() | (F.col(c) < 0) for c in NON_NEGATIVE.get(t, [])}
+
+
 def binary_flags(processed) -> DataFrame:
-    spec = {
-        "orders_clean": ["is_delayed"], "gps_clean": ["is_moving", "is_low_signal"],
-        "weather_clean": ["is_rainy", "heavy_rain_flag", "high_humidity_flag"], "delivery_features": ["is_delayed"],
-    }
-    return union(
-        [rule_counts(processed[t], t, {f"{c} in 0,1": F.col(c).isNull() | ~F.col(c).isin(0, 1) for c in cols}) for t, cols in spec.items()]
-    )
+    return union([rule_counts(processed[t], t, flag_rules(t)) for t in FLAGS])
 
 
 def non_negative(processed) -> DataFrame:
-    spec = {
-        "orders_clean": ["order_value", "delivery_distance_km", "delivery_delay_min", "delivery_per_km_value"],
-        "gps_clean": ["speed_kmph"], "weather_clean": ["rainfall_mm"],
-    }
-    return union(
-        [rule_counts(processed[t], t, {f"{c} not negative": F.col(c).isNull() | (F.col(c) < 0) for c in cols}) for t, cols in spec.items()]
-    )
+    return union([rule_counts(processed[t], t, sign_rules(t)) for t in NON_NEGATIVE])
 
 
 def empty_columns(processed) -> DataFrame:
@@ -247,13 +261,11 @@ def processed_tables(lake) -> dict[str, DataFrame]:
 
 
 def report(lake) -> DataFrame:
+    """All rules in one long table; the row rules of a table share one scan."""
     raw, done = lake.raw_tables(), processed_tables(lake)
-    return union(
-        [
-            not_blank(raw), duplicate_keys(raw), ranges(raw), referential(raw), binary_flags(done), non_negative(done),
-            consistency(lake.fact_delivery),
-        ]
-    )
+    parts = [rule_counts(df, t, {**blank_rules(t), **range_rules(t)}) for t, df in raw.items() if t in FILLED or t in RANGES]
+    parts += [rule_counts(df, t, {**flag_rules(t), **sign_rules(t)}) for t, df in done.items()]
+    return union([*parts, duplicate_keys(raw), referential(raw), consistency(lake.fact_delivery)])
 
 
 def require_quality(long: DataFrame, warn_only: tuple[str, ...] = ()) -> None:

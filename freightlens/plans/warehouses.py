@@ -154,9 +154,10 @@ query("wh_exceptions")(
 @query("wh_network_balance")
 def network_balance(lake):
     m = named(lake)
-    usual, spread = grand_total(m, NETWORK_MEAN), grand_total(m, F.stddev_samp("total_orders"))
+    both = grand_total(m, F.struct(NETWORK_MEAN.alias("mean"), F.stddev_samp("total_orders").alias("spread")))
+    usual, spread = F.col("_net.mean"), F.col("_net.spread")
     n, margin = F.col("total_orders"), F.coalesce(spread, F.lit(0.0))
-    return m.select(
+    return m.withColumn("_net", both).select(
         *WHO, half_up(usual, 2).alias("network_avg_orders"), half_up(spread, 2).alias("network_stddev_orders"),
         F.when(n > usual + margin, "Above Normal Workload")
         .when(n < usual - margin, "Below Normal Workload")
