@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from freightlens.operators.dedup import first_per_key
+
 
 def daily_forward_fill(
-    right: DataFrame, key: str, day: str, payload: list[str], tie_order: list[Column], last_day: Column
+    right: DataFrame, key: str, day: str, payload: list[str], best_first: list[Column], last_day: Column
 ) -> DataFrame:
     """One row per (key, calendar day) carrying the most recent observation, up to last_day.
 
-    Each observation is spread over the days until the next one of its key, so the result has at most
-    keys x days rows and the as-of lookup becomes an equality join. Of several rows on one day the last
-    in tie_order wins. The closing group-by changes no row; it tells the optimizer that (key, day) is
-    unique, so it can drop the whole join from queries that use none of the payload.
+    Observations are first reduced to one per (key, day), the first in best_first order, before the shuffle; a key
+    with very many readings therefore brings at most one row per day into the window. Each observation is then
+    spread over the days until the next one of its key, so the result has at most keys x days rows and the as-of
+    lookup becomes an equality join. The closing group-by changes no row; it tells the optimizer that (key, day)
+    is unique, so it can drop the whole join from queries that use none of the payload.
     """
-    w = Window.partitionBy(key).orderBy(F.col(day), *tie_order)
-    nxt = F.lead(day).over(w)
+    known = right.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
+    once = first_per_key(known, [key, day], best_first)
+    nxt = F.lead(day).over(Window.partitionBy(key).orderBy(day))
     upto = F.coalesce(F.date_sub(nxt, 1), F.greatest(last_day, F.col(day)))
-    spans = right.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
-        key, F.struct(*payload).alias("_obs"), F.col(day).alias("_from"), upto.alias("_to")
-    )
-    dense = spans.filter(F.col("_to") >= F.col("_from")).select(
+    spans = once.select(key, F.struct(*payload).alias("_obs"), F.col(day).alias("_from"), upto.alias("_to"))
+    dense = spans.select(
         F.col(key).alias("_key"), F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))).alias("_day"), "_obs"
     )
     return dense.groupBy("_key", "_day").agg(F.first("_obs").alias("_obs")).select("_key", "_day", "_obs.*")
@@ -36,7 +38,7 @@ def asof_by_day(
     right_key: str,
     right_day: str,
     payload: list[str],
-    tie_order: list[Column],
+    best_first: list[Column],
 ) -> DataFrame:
     """Left join of each left row with the latest right row of its key dated on or before left_day.
 
@@ -44,7 +46,7 @@ def asof_by_day(
     The join side is chosen by Spark from its size; nothing is forced to broadcast.
     """
     last_day = right.agg(F.max(right_day)).scalar()
-    dense = daily_forward_fill(right, right_key, right_day, payload, tie_order, last_day)
+    dense = daily_forward_fill(right, right_key, right_day, payload, best_first, last_day)
     probe = left.withColumn("_lk", left_key).withColumn("_ld", F.least(F.col(left_day), last_day))
     on = (F.col("_lk") == F.col("_key")) & (F.col("_ld") == F.col("_day"))
     return probe.join(dense, on, "left").drop("_lk", "_ld", "_key", "_day")
@@ -60,7 +62,7 @@ def asof_backward(
     tie_order: list[Column],
     bucket: str = "day",
 ) -> DataFrame:
-    """General as-of join for arbitrary timestamps.
+    """General as-of join for arbitrary timestamps; of equal times the largest tie_order value wins.
 
     Both sides are united and cut into (key, bucket) groups, so one hot key is spread over as many tasks
     as it has time buckets. Rows before the first observation in a bucket need the last observation of an
@@ -68,7 +70,7 @@ def asof_backward(
     """
     cut = lambda c: F.date_trunc(bucket, F.col(c))
     obs = right.select(
-        F.col(key), F.col(right_time).alias("_t"), cut(right_time).alias("_b"), *tie_order_named(tie_order),
+        F.col(key), F.col(right_time).alias("_t"), cut(right_time).alias("_b"), *[c.alias(f"_tie{i}") for i, c in enumerate(tie_order)],
         F.struct(right_time, *payload).alias("_obs"),
     )
     ties = [f"_tie{i}" for i in range(len(tie_order))]
@@ -94,7 +96,3 @@ def asof_backward(
     seen = rows.withColumn("_seen", F.last("_obs", ignorenulls=True).over(w)).filter("_side = 1")
     hit = seen.join(carry, [key, "_b"], "left").withColumn("_hit", F.coalesce("_seen", "_carry"))
     return hit.select("_row.*", *[F.col(f"_hit.{c}").alias(c) for c in [right_time, *payload]])
-
-
-def tie_order_named(tie_order: list[Column]) -> list[Column]:
-    return [c.alias(f"_tie{i}") for i, c in enumerate(tie_order)]

@@ -6,7 +6,7 @@ import math
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_even, half_up, ratio, rows
@@ -49,13 +49,14 @@ def with_features(daily: DataFrame) -> DataFrame:
 
 
 def chrono_split(daily: DataFrame, test_share: float = 0.20) -> DataFrame:
-    """Marks the last ceil(share) of the days as test. One row per calendar day, so the window is small
-    whatever the number of orders."""
-    w = Window.orderBy("date")
-    numbered = daily.withColumns({"_i": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy())})
-    held = F.greatest(F.lit(1), F.ceil(F.col("_n") * test_share))
-    held = F.when(held >= F.col("_n"), 1).otherwise(held)
-    return numbered.withColumn("split", F.when(F.col("_i") > F.col("_n") - held, "test").otherwise("train")).drop("_i", "_n")
+    """Marks the last ceil(share) of the days as test. The series has every calendar day, so a day's position is
+    its distance from the first day and no sort is needed."""
+    ends = daily.agg(F.struct(F.min("date").alias("a"), F.max("date").alias("b")).alias("e")).scalar()
+    d = daily.withColumn("_e", ends)
+    n = F.datediff("_e.b", "_e.a") + 1
+    held = F.greatest(F.lit(1), F.ceil(n * test_share))
+    held = F.when(held >= n, 1).otherwise(held)
+    return d.withColumn("split", F.when(F.datediff("date", "_e.a") >= n - held, "test").otherwise("train")).drop("_e")
 
 
 def require_history(daily: DataFrame, days: int = 10) -> DataFrame:

@@ -26,8 +26,8 @@ def delivery_asof_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
         lower_text("location").alias("_place"), F.col("weather_date").alias("_wday"), "weather_date",
         F.col("location").alias("weather_location"), *SKY[2:],
     )
-    ties = [F.col("rainfall_mm").asc_nulls_first(), F.col("weather_condition").desc_nulls_first()]
-    return asof_by_day(orders, w, lower_text("region"), "order_date", "_place", "_wday", SKY, ties)
+    wettest = [F.desc_nulls_last("rainfall_mm"), F.asc_nulls_last("weather_condition"), F.asc("temperature_c"), F.asc("humidity_pct")]
+    return asof_by_day(orders, w, lower_text("region"), "order_date", "_place", "_wday", SKY, wettest)
 
 
 def int_delivery(matched: DataFrame) -> DataFrame:

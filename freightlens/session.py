@@ -28,6 +28,8 @@ def build_session(app: str = "freightlens", master: str | None = None, cores: in
     )
     if master:
         b = b.master(master).config("spark.ui.enabled", "false")
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", "8g")
     if cores:
         b = b.config("spark.sql.shuffle.partitions", str(cores))
     return b.getOrCreate()
