@@ -1,7 +1,7 @@
 """Aggregate expressions shared by all reports.
 
-Sums of decimals and integers are exact, so every mean is sum/count of exact values: the result
-does not depend on the order in which partitions are merged.
+Sums of decimals and integers are exact. Means are sum/count, rounded on their decimal value: the last
+bits of a sum of doubles, which depend on the order in which partitions are merged, do not show.
 """
 
 from __future__ import annotations
@@ -91,11 +91,6 @@ def share(cond, alias: str, digits: int | None = 2) -> Column:
     return (p if digits is None else half_up(p, digits)).alias(alias)
 
 
-def fixed(c, precision: int = 22, scale: int = 4) -> Column:
-    """A double as fixed-point decimal, so that its sums are exact."""
-    return as_col(c).cast(f"decimal({precision},{scale})")
-
-
 def grand_total(df, expr: Column) -> Column:
     """One aggregate over df as a scalar subquery (no cross join)."""
     return df.agg(expr.alias("grand_total")).scalar()

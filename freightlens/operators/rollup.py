@@ -32,7 +32,7 @@ def entity_rollup(
     tasks; the second carries one partial row per key and task.
 
     count_if: alias -> cond; rows: alias -> cond or None (row counts); shares: alias -> (num, den)
-    conditions, a fraction of rows; means: alias -> column, rounded to digits.
+    conditions, a fraction of rows; means: alias -> column. digits rounds sums and means.
     sets: groupings over subsets of keys, all from one pass; _gid tells them apart as grouping_id(keys, entity) does.
     """
     count_if, rows, sums = count_if or {}, rows or {}, sums or {}
@@ -54,7 +54,8 @@ def entity_rollup(
         second.append(F.sum(f"r_{a}").alias(a))
     for a, c in sums.items():
         first.append(F.sum(as_col(c)).alias(f"s_{a}"))
-        second.append(F.sum(f"s_{a}").cast("double").alias(a))
+        t = F.sum(f"s_{a}").cast("double")
+        second.append((t if digits is None else half_up(t, digits)).alias(a))
     for a, c in means.items():
         first += [F.sum(as_col(c)).alias(f"m_{a}"), F.count(as_col(c)).alias(f"n_{a}")]
         m = F.try_divide(F.sum(f"m_{a}").cast("double"), F.sum(f"n_{a}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import half_up, fixed, mean, rows_if
+from freightlens.functions.measures import half_up, mean, rows_if
 from freightlens.functions.rules import KM_BUCKETS, bad_coordinates, below, flag, is_blank, low_signal, upper_text
 from freightlens.operators.dedup import first_per_key
 from freightlens.registry import query
@@ -103,9 +103,9 @@ def weather_daily(weather_clean: DataFrame) -> DataFrame:
     return (
         weather_clean.groupBy("date", "location")
         .agg(
-            mean(fixed("temperature_c"), "temperature_c"),
-            mean(fixed("humidity_pct"), "humidity_pct"),
-            half_up(F.sum(fixed("rainfall_mm")).cast("double"), 2).alias("rainfall_mm"),
+            mean("temperature_c", "temperature_c"),
+            mean("humidity_pct", "humidity_pct"),
+            half_up(F.sum("rainfall_mm"), 2).alias("rainfall_mm"),
             *[F.max(c).alias(c) for c in ("is_rainy", "heavy_rain_flag", "high_humidity_flag")],
             F.max(level).alias("_level"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import as_col, fixed, half_up, largest, mean, ratio, rows, rows_if, total, whole
+from freightlens.functions.measures import half_up, largest, mean, ratio, rows, rows_if, total, whole
 from freightlens.functions.rules import JAM_LEVELS, at_least, upper_text
 from freightlens.operators.dedup import first_per_key
 from freightlens.operators.rollup import entities_per_key, entity_rollup
@@ -17,14 +17,14 @@ ZERO = F.lit(0.0)
 
 
 def prepare_deliveries(features: DataFrame, needed: tuple[str, ...] = ("order_id", "order_date", "region")) -> DataFrame:
-    """Normalized delivery rows with measures in fixed point; rows lacking a needed field are dropped."""
+    """Normalized delivery rows; rows lacking a needed field are dropped."""
     typed = features.select(
         *[F.trim(c).alias(c) for c in ("order_id", "warehouse_id", "driver_id")],
         F.col("order_date").try_cast("date").alias("order_date"),
         *[upper_text(c).alias(c) for c in ("region", "delivery_status")],
         F.col("is_delayed").cast("int").alias("is_delayed"),
         *[
-            F.col(c).try_cast("decimal(18,2)").alias(c)
+            F.col(c).try_cast("double").alias(c)
             for c in (
                 "delivery_delay_min", "actual_delivery_time_min", "promised_delivery_time_min", "delivery_distance_km", "order_value"
             )
@@ -287,7 +287,7 @@ def warehouse_region_metrics(df: DataFrame, warehouses: DataFrame) -> DataFrame:
 
 
 def gps_region_metrics(gps_clean: DataFrame) -> DataFrame:
-    moving, weak, speed = F.col("is_moving") == 1, F.col("is_low_signal") == 1, fixed("speed_kmph", 18, 4)
+    moving, weak, speed = F.col("is_moving") == 1, F.col("is_low_signal") == 1, F.col("speed_kmph")
     g = gps_clean.groupBy("region").agg(
         rows("gps_events"), mean(speed, "avg_speed_kmph"), mean(F.when(moving, speed), "avg_moving_speed_kmph"),
         largest("speed_kmph", "max_speed_kmph"), rows_if(moving, "moving_events"), rows_if(weak, "low_signal_events"),

@@ -5,9 +5,8 @@ from __future__ import annotations
 from oracle.base import CTES, ORACLE, avg, dbl, n_if, r
 
 O = ORACLE
-CTES["k_deliveries"] = """SELECT order_id, warehouse_id, driver_id, order_date, region, delivery_status, is_delayed, cast(delivery_delay_min AS decimal(18,2)) AS delivery_delay_min,
- cast(actual_delivery_time_min AS decimal(18,2)) AS actual_delivery_time_min, cast(promised_delivery_time_min AS decimal(18,2)) AS promised_delivery_time_min,
- cast(delivery_distance_km AS decimal(18,2)) AS delivery_distance_km, cast(order_value AS decimal(18,2)) AS order_value FROM c_features
+CTES["k_deliveries"] = """SELECT order_id, warehouse_id, driver_id, order_date, region, delivery_status, is_delayed, delivery_delay_min, actual_delivery_time_min, promised_delivery_time_min,
+ delivery_distance_km, order_value FROM c_features
  WHERE order_id IS NOT NULL AND order_date IS NOT NULL AND region IS NOT NULL"""
 D = "k_deliveries"
 
@@ -23,13 +22,13 @@ T = f"{avg('actual_delivery_time_min')} AS avg_delivery_time_min"
 P = f"{avg('promised_delivery_time_min')} AS avg_promised_delivery_time_min"
 PD = f"{avg('CASE WHEN delivery_delay_min > 0 THEN delivery_delay_min END')} AS avg_positive_delay_min"
 AD = f"{avg('delivery_delay_min')} AS avg_delay_min"
-V = f"{dbl('order_value')} AS total_order_value"
+V = f"{r('sum(order_value)')} AS total_order_value"
 A = f"{avg('order_value')} AS avg_order_value"
 K = f"{avg('delivery_distance_km')} AS avg_delivery_distance_km"
-TK = f"{dbl('delivery_distance_km')} AS total_delivery_distance_km"
+TK = f"{r('sum(delivery_distance_km)')} AS total_delivery_distance_km"
 LP = r(f"{cd('is_delayed = 1')} * 100.0 / nullif(count(DISTINCT order_id), 0)") + " AS delay_rate_pct"
 ALL = f"{N}, {DN}, {LN}, {OT}, {T}, {P}, {PD}, cast(max(delivery_delay_min) AS double) AS max_delay_min, {V}, {A}, {TK}, {K}"
-RPO = r("cast(sum(order_value) AS double) / nullif(count(DISTINCT order_id), 0)")
+RPO = r("sum(order_value) / nullif(count(DISTINCT order_id), 0)")
 O["job_prepare_deliveries"] = "SELECT * FROM k_deliveries"
 O["delivery_overall"] = f"SELECT {ALL} FROM {D}"
 O["delivery_by_region"] = f"SELECT region, {N}, {DN}, {LN}, {OT}, {T}, {AD}, {V}, {K}, {LP}, {RPO} AS revenue_per_order FROM {D} GROUP BY region"
@@ -40,7 +39,7 @@ UNION ALL BY NAME SELECT 'region' AS metric_level, region AS metric_key, {N}, {D
 UNION ALL BY NAME SELECT 'daily' AS metric_level, strftime(order_date, '%Y-%m-%d') AS metric_key, {N}, {LN}, {T}, {V} FROM {D} GROUP BY order_date"""
 ONT = """delivered_orders - delayed_orders AS on_time_orders, CASE WHEN delivered_orders > 0 THEN {} ELSE 0 END AS on_time_delivery_rate_pct, coalesce({}, 0) AS delay_rate_pct""".format(
     r("(delivered_orders - delayed_orders) * 100.0 / nullif(delivered_orders, 0)"), r("delayed_orders * 100.0 / nullif(total_orders, 0)"))
-DRIVER = f"SELECT driver_id, {N}, {DN}, {LN}, {AD}, {PD}, {T}, {dbl('delivery_distance_km')} AS total_distance_km, {avg('delivery_distance_km')} AS avg_distance_km, {V}, {A} FROM {D} GROUP BY driver_id"
+DRIVER = f"SELECT driver_id, {N}, {DN}, {LN}, {AD}, {PD}, {T}, {r('sum(delivery_distance_km)')} AS total_distance_km, {avg('delivery_distance_km')} AS avg_distance_km, {V}, {A} FROM {D} GROUP BY driver_id"
 ZERO = lambda *cols: ", ".join(f"coalesce({c}, 0) AS {c}" for c in cols)
 O["driver_metrics"] = f"""SELECT *, CASE WHEN delivered_orders >= 20 AND on_time_delivery_rate_pct >= 90 AND rating >= 4.5 THEN 'Top Performer'
  WHEN delivered_orders >= 10 AND on_time_delivery_rate_pct >= 80 AND rating >= 4.0 THEN 'Strong Performer' WHEN total_orders = 0 THEN 'No Delivery Data'
@@ -68,8 +67,8 @@ O["warehouse_region_metrics"] = f"""SELECT *, {ONT}, coalesce({r("total_orders /
 SELECT w.region, total_warehouses, total_capacity_units, {ZERO("total_orders", "delivered_orders", "delayed_orders", "avg_delay_min", "avg_delivery_time_min", "total_order_value", "active_warehouses")}
 FROM (SELECT upper(region) AS region, count(DISTINCT warehouse_id) AS total_warehouses, {dbl("capacity_units")} AS total_capacity_units FROM lg_warehouses GROUP BY 1) w
 LEFT JOIN (SELECT region, {N}, {DN}, {LN}, {AD}, {T}, {V}, count(DISTINCT warehouse_id) AS active_warehouses FROM {D} GROUP BY region) k ON w.region = k.region)"""
-GPS = f"""SELECT region, count(*) AS gps_events, count(DISTINCT vehicle_id) AS tracked_vehicles, {avg("cast(speed_kmph AS decimal(18,4))")} AS avg_speed_kmph,
- {avg("CASE WHEN is_moving = 1 THEN cast(speed_kmph AS decimal(18,4)) END")} AS avg_moving_speed_kmph, max(speed_kmph) AS max_speed_kmph, {n_if("is_moving = 1")} AS moving_events,
+GPS = f"""SELECT region, count(*) AS gps_events, count(DISTINCT vehicle_id) AS tracked_vehicles, {avg("speed_kmph")} AS avg_speed_kmph,
+ {avg("CASE WHEN is_moving = 1 THEN speed_kmph END")} AS avg_moving_speed_kmph, max(speed_kmph) AS max_speed_kmph, {n_if("is_moving = 1")} AS moving_events,
  {n_if("is_low_signal = 1")} AS low_signal_events, {r("count(*) FILTER (WHERE is_moving = 1) * 100.0 / count(*)")} AS moving_event_rate_pct,
  {r("count(*) FILTER (WHERE is_low_signal = 1) * 100.0 / count(*)")} AS low_signal_rate_pct FROM c_gps GROUP BY region"""
 O["gps_region_metrics"] = GPS
