@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.measures import grand_total, half_up, largest, mean, ratio, rows, rows_if, total
 from freightlens.functions.rules import DELAY_CUT, upto
 from freightlens.operators.ranking import global_running_total
-from freightlens.operators.rollup import entity_rollup
 from freightlens.plans.customers import rounded
-from freightlens.registry import query
-
 LATE, ON_TIME = F.col("is_delayed") == 1, F.col("is_delayed") == 0
 ALL_ROWS = F.count(F.lit(1))
 LATE_RATE = ratio(F.count_if(LATE), ALL_ROWS, 4).alias("delay_rate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import (
-    half_up, grand_total, ids, largest, mean, mean_of, ratio, rows, rows_if, share, share_of, total,
+    grand_total, half_up, mean, mean_of, ratio, rows, rows_if, share, share_of, total,
 )
 from freightlens.functions.rules import at_least
 from freightlens.operators.ranking import global_ntile

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import half_even, half_up, ratio, rows
+from freightlens.functions.measures import half_even, half_up, ratio
 from freightlens.functions.rules import flag, upto
 from freightlens.registry import query
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import half_up, largest, mean, ratio, rows, rows_if, total, whole
+from freightlens.functions.measures import half_up, largest, mean, ratio, rows, rows_if, total
 from freightlens.functions.rules import JAM_LEVELS, at_least, upper_text
 from freightlens.operators.dedup import first_per_key
 from freightlens.operators.rollup import entities_per_key, entity_rollup

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import as_col, mean, ratio, rows, share_of, total, whole
+from freightlens.functions.measures import mean, ratio, rows, whole
 from freightlens.operators.rollup import entities_per_key, entity_rollup
 from freightlens.plans.marts import DONE
 from freightlens.registry import query

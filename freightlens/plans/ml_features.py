@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import half_even, mean, ratio, rows, total, whole
+from freightlens.functions.measures import half_even, mean, ratio, total, whole
 from freightlens.functions.rules import DELAY_CUT, KM_CUT, SCORE_CUT_20, VALUE_CUT, flag, lower_text, upto
 from freightlens.operators.dedup import first_per_key
 from freightlens.operators.profile import column_counts

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_up, ratio, rows
-from freightlens.functions.rules import bad_coordinates, flag, is_blank
+from freightlens.functions.rules import flag, is_blank
 from freightlens.operators.profile import column_counts
 from freightlens.registry import query
 from freightlens.sources.schemas import KEYS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import half_even, half_up, largest, mean, ratio, rows, rows_if, total
+from freightlens.functions.measures import half_even, largest, mean, ratio, rows, rows_if, total
 from freightlens.functions.rules import KM_CUT, SCORE_CUT_25, upto
 from freightlens.operators.profile import histogram
 from freightlens.plans.eda import SIGNAL, known

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import filled, half_up, largest, mean, ratio, rows, rows_if, total, whole
+from freightlens.functions.measures import filled, largest, mean, ratio, rows, rows_if, total, whole
 from freightlens.functions.rules import EXPERIENCE_BANDS, JAM_LEVELS, KM_FACT_BANDS, below, upper_text
 from freightlens.operators.proximity import points_in_intervals
 from freightlens.operators.rollup import entities_per_key

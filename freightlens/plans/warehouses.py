@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freightlens.functions.measures import grand_total, half_up, mean, mean_of, ratio, rows, rows_if, total, whole
+from freightlens.functions.measures import grand_total, half_up, mean, mean_of, ratio, rows, rows_if, whole
 from freightlens.functions.rules import at_least
 from freightlens.operators.ranking import global_dense_rank, global_ntile
 from freightlens.registry import query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import ORACLE, even, r
+from oracle.base import ORACLE, even
 from oracle.jobs import O as JOBS
 
 O = ORACLE

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import ORACLE, avg, dbl, div, n_if, pct, r
+from oracle.base import ORACLE, avg, dbl, n_if, pct, r
 
 L, T, W = "is_delayed = 1", "is_delayed = 0", "rainy_flag = 1"
 N = "count(*) AS total_orders"

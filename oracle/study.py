@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import CTES, ORACLE, avg, dbl, even, n_if, r
+from oracle.base import ORACLE, avg, dbl, even, n_if, r
 
 O = ORACLE
 BAD = n_if("latitude IS NULL OR longitude IS NULL OR abs(latitude) > 90 OR abs(longitude) > 180") + " AS invalid_coordinates"
