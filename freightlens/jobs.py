@@ -23,7 +23,7 @@ def daily(spark, raw: str, out: str) -> None:
     for name, by, gate in (
         ("orders_clean", ["order_date"], cleaning.gate_orders),
         ("gps_clean", ["date", "region"], cleaning.gate_gps),
-        ("weather_clean", ["date"], cleaning.gate_weather),
+        ("weather_clean", [], cleaning.gate_weather),
     ):
         path = f"{out}/processed/{name}"
         write_lake(getattr(lake, name), path, by)

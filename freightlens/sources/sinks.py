@@ -15,8 +15,11 @@ def write_lake(df: DataFrame, path: str, by: list[str]) -> None:
     """Parquet partitioned by date (and region), replacing only the partitions present in df.
 
     The rebalance hint gathers each partition value in few files, and lets Spark split a value that holds
-    much of the data over several tasks.
+    much of the data over several tasks. Small tables are written whole (by is empty).
     """
+    if not by:
+        df.write.mode("overwrite").parquet(path)
+        return
     df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
