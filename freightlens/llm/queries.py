@@ -16,7 +16,18 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.decontamination import contamination, is_contaminated
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op4_decontamination": decontamination,
     "op5_exact_dedup": exact_dedup,
 }
 
