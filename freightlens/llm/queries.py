@@ -26,7 +26,17 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOKEN_LIMIT = 512
+
+
+def token_count(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.token_counts import token_counts
+
+    return token_counts(table(spark, folder, "documents").select("doc_id", "text")).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES = {
+    "op2_token_counts": token_count,
     "op4_decontamination": decontamination,
     "op5_exact_dedup": exact_dedup,
 }
