@@ -35,7 +35,14 @@ def token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents").select("doc_id", "text")).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op10_packing": packing,
     "op2_token_counts": token_count,
     "op4_decontamination": decontamination,
     "op5_exact_dedup": exact_dedup,
