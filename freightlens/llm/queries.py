@@ -41,7 +41,16 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.toxicity import THRESHOLD, toxicity_scores
+
+    scored = toxicity_scores(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op9_toxicity": toxicity,
     "op10_packing": packing,
     "op2_token_counts": token_count,
     "op4_decontamination": decontamination,
