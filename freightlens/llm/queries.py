@@ -49,7 +49,14 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.html_extraction import extract
+
+    return extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
+    "op3_html_extraction": html_extraction,
     "op9_toxicity": toxicity,
     "op10_packing": packing,
     "op2_token_counts": token_count,
