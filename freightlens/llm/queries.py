@@ -55,7 +55,14 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.near_dedup import near_classes
+
+    return near_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op7_near_dedup": near_dedup,
     "op3_html_extraction": html_extraction,
     "op9_toxicity": toxicity,
     "op10_packing": packing,
