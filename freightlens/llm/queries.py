@@ -61,7 +61,15 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.repeats import remove_repeats
+
+    cut = remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op6_repeats": repeats,
     "op7_near_dedup": near_dedup,
     "op3_html_extraction": html_extraction,
     "op9_toxicity": toxicity,
