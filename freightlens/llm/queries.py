@@ -68,7 +68,17 @@ def repeats(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.lm_scoring import lm_scores
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
+    scored = lm_scores(docs, docs.where(~held_out).select("text"))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
+    "op1_lm_scoring": lm_scoring,
     "op6_repeats": repeats,
     "op7_near_dedup": near_dedup,
     "op3_html_extraction": html_extraction,

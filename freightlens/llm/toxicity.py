@@ -21,6 +21,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,9 +187,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key, text, **settings))
 
     @F.pandas_udf("boolean")
-    def accepted(texts):
-        import pandas as pd
-
+    def accepted(texts: pd.Series) -> pd.Series:
         return pd.Series([held.value.score(x) < threshold for x in texts])
 
     return docs.where(accepted(F.col(text).cast("binary")))
