@@ -77,7 +77,14 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    from freightlens.llm.surrogates import with_surrogates
+
+    return with_surrogates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op8_surrogates": surrogates,
     "op1_lm_scoring": lm_scoring,
     "op6_repeats": repeats,
     "op7_near_dedup": near_dedup,
