@@ -13,11 +13,10 @@ from freightlens.session import build_session
 
 
 def daily(spark, raw: str, out: str) -> None:
-    """Clean, gate, features, marts. Each later step reads what the step before has written."""
+    """Clean, gate, features, marts. Each later step reads what the step before has written; a failing gate publishes nothing."""
     from freightlens.plans import cleaning
     from freightlens.plans.lake import Lake
     from freightlens.sources.folder import FolderTables
-    from freightlens.sources.sinks import write_lake
 
     lake = Lake(spark, FolderTables(spark, raw))
     for name, by, gate in (
@@ -25,19 +24,31 @@ def daily(spark, raw: str, out: str) -> None:
         ("gps_clean", ["date", "region"], cleaning.gate_gps),
         ("weather_clean", [], cleaning.gate_weather),
     ):
-        path = f"{out}/processed/{name}"
-        write_lake(getattr(lake, name), path, by)
-        setattr(lake, name, spark.read.parquet(path))
-        cleaning.require_clean(gate(getattr(lake, name)))
-    write_lake(lake.features, f"{out}/processed/delivery_features", ["order_date"])
-    lake.features = spark.read.parquet(f"{out}/processed/delivery_features")
-    cleaning.require_clean(cleaning.gate_features(lake.features))
+        publish_gated(spark, lake, name, by, gate, out)
+    publish_gated(spark, lake, "delivery_features", ["order_date"], cleaning.gate_features, out, attribute="features")
     for name in ("delivery_mart", "logistics_mart", "warehouse_mart", "executive_mart"):
         path = f"{out}/marts/{name}"
         getattr(lake, name).write.mode("overwrite").parquet(path)
         setattr(lake, name, spark.read.parquet(path))
 
 
+def publish_gated(spark, lake, name: str, by: list[str], gate, out: str, attribute: str | None = None) -> None:
+    """Write to a staging folder, check what was written, and only then replace the published table.
+
+    The published table is overwritten as a whole, so days that are gone from the input don't stay behind.
+    """
+    from freightlens.plans import cleaning
+
+    staged = f"{out}/staging/{name}"
+    getattr(lake, attribute or name).write.mode("overwrite").parquet(staged)
+    ready = spark.read.parquet(staged)
+    cleaning.require_clean(gate(ready))
+    path = f"{out}/processed/{name}"
+    writer = ready.hint("rebalance", *by) if by else ready
+    writer.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
+    setattr(lake, attribute or name, spark.read.parquet(path))
+
+
 def kpis(spark, raw: str, out: str) -> None:
     """The KPI tables, each as one report file; delivery features are read from the processed layer when present."""
     from freightlens.plans import kpi_jobs
@@ -80,8 +91,13 @@ def stream(spark, brokers: str, out: str, once: bool) -> None:
             ("realtime_delivery", events.unified(orders, gps)),
         )
     ]
-    for q in running:
-        q.awaitTermination()
+    try:
+        while any(q.isActive for q in running):
+            spark.streams.awaitAnyTermination()  # raises when a query fails
+            spark.streams.resetTerminated()
+    finally:
+        for q in running:
+            q.stop()
 
 
 def main(argv: list[str] | None = None) -> None:

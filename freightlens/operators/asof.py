@@ -47,7 +47,9 @@ def asof_by_day(
     """
     last_day = right.agg(F.max(right_day)).scalar()
     dense = daily_forward_fill(right, right_key, right_day, payload, best_first, last_day)
-    probe = left.withColumn("_lk", left_key).withColumn("_ld", F.least(F.col(left_day), last_day))
+    # least() would skip a NULL day and give the row the newest observation.
+    day = F.when(F.col(left_day).isNotNull(), F.least(F.col(left_day), last_day))
+    probe = left.withColumn("_lk", left_key).withColumn("_ld", day)
     on = (F.col("_lk") == F.col("_key")) & (F.col("_ld") == F.col("_day"))
     return probe.join(dense, on, "left").drop("_lk", "_ld", "_key", "_day")
 

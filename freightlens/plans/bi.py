@@ -86,7 +86,9 @@ def warehouse(lake):
 
 
 query("bi_warehouse_risk")(
-    lambda lake: lake.warehouse_mart.join(lake.warehouses.select("warehouse_id", "warehouse_name"), "warehouse_id", "left")
+    lambda lake: lake.warehouse_mart.join(
+        lake.warehouses.groupBy("warehouse_id").agg(F.min("warehouse_name").alias("warehouse_name")), "warehouse_id", "left"
+    )
     .select(
         "warehouse_id", "warehouse_name", "region", F.col("total_orders").alias("orders"), "total_order_value", "delayed_orders",
         half_up("delay_rate", 4).alias("delay_rate"), half_up("average_delivery_delay_min", 2).alias("average_delay_min"),

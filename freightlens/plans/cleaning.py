@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_up, mean, rows_if
@@ -98,7 +98,9 @@ def clean_weather(weather: DataFrame) -> DataFrame:
     return weather_flags(first_per_key(typed, keys, order))
 
 
-def weather_daily(weather_clean: DataFrame) -> DataFrame:
+def weather_daily(weather_clean: DataFrame, place: Column | None = None) -> DataFrame:
+    """One row per day and location, or per day and the given place expression (as column `location`)."""
+    weather_clean = weather_clean if place is None else weather_clean.withColumn("location", place)
     level = F.when(F.col("weather_risk") == "HIGH", 3).when(F.col("weather_risk") == "MEDIUM", 2).otherwise(1)
     return (
         weather_clean.groupBy("date", "location")
@@ -114,9 +116,10 @@ def weather_daily(weather_clean: DataFrame) -> DataFrame:
     )
 
 
-def delivery_features(orders_clean: DataFrame, daily: DataFrame) -> DataFrame:
-    sky = daily.select(
-        F.col("date").alias("_date"), upper_text("location").alias("_place"), "temperature_c", "humidity_pct", "rainfall_mm",
+def delivery_features(orders_clean: DataFrame, weather_clean: DataFrame) -> DataFrame:
+    """Orders with the day's weather of their region. Spellings of one place are one group, so no order is multiplied."""
+    sky = weather_daily(weather_clean, upper_text("location")).select(
+        F.col("date").alias("_date"), F.col("location").alias("_place"), "temperature_c", "humidity_pct", "rainfall_mm",
         "is_rainy", "heavy_rain_flag", "high_humidity_flag", "weather_risk",
     )
     o = orders_clean.withColumn("region", upper_text("region"))

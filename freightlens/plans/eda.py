@@ -125,7 +125,8 @@ LATE_PCT = ratio("delayed_orders", "total_orders", 2, 100)
 def driver_performance(lake):
     m = activity(lake, "driver_id", "total_orders", DELAY, LATE).withColumn("delay_rate_pct", LATE_PCT)
     m = m.withColumn("on_time_rate_pct", half_up(100 - F.col("delay_rate_pct"), 2))
-    return m.join(lake.drivers.select("driver_id", "region"), "driver_id", "left").orderBy(F.desc("total_orders"), "driver_id")
+    d = lake.drivers.groupBy("driver_id").agg(F.min("region").alias("region"))
+    return m.join(d, "driver_id", "left").orderBy(F.desc("total_orders"), "driver_id")
 
 
 @query("eda_warehouse_workload")
@@ -133,7 +134,8 @@ def warehouse_workload(lake):
     m = activity(
         lake, "warehouse_id", "total_orders", mean("delivery_delay_min", "average_delivery_delay_min", None), LATE
     ).withColumn("delay_rate_pct", LATE_PCT)
-    w = lake.warehouses.select("warehouse_id", "warehouse_name", "region", "capacity_units")
+    one = F.min(F.struct("warehouse_name", "region", "capacity_units")).alias("one")
+    w = lake.warehouses.groupBy("warehouse_id").agg(one).select("warehouse_id", "one.*")
     return m.join(w, "warehouse_id", "left").orderBy(F.desc("total_orders"), "warehouse_id")
 
 

@@ -53,7 +53,7 @@ class Lake:
     gps_clean = cached_property(lambda s: cleaning.clean_gps(s.gps_tracking))
     weather_clean = cached_property(lambda s: cleaning.clean_weather(s.weather))
     weather_daily = cached_property(lambda s: cleaning.weather_daily(s.weather_clean))
-    features = cached_property(lambda s: cleaning.delivery_features(s.orders_clean, s.weather_daily))
+    features = cached_property(lambda s: cleaning.delivery_features(s.orders_clean, s.weather_clean))
 
     # staging, intermediate, marts
     stg_orders = cached_property(lambda s: staging.stg_orders(s.orders))

@@ -60,14 +60,12 @@ class FeatureSet:
     categorical: list[str]
 
 
-def feature_set(df: DataFrame, max_levels: int = 50) -> FeatureSet:
-    """Usable columns: leakage, ids and excluded columns out, and text columns with more than max_levels values."""
+def feature_set(df: DataFrame) -> FeatureSet:
+    """Usable columns by name and type alone: leakage, ids and excluded columns out, every other number and text in."""
     d = calendar_columns(with_target(df))
     left = [(c, k) for c, k in d.dtypes if c not in {*LEAKAGE, *IDENTIFIERS, *EXCLUDED}]
     numeric = [c for c, k in left if k.startswith(NUMERIC)]
-    text = [c for c, k in left if k == "string"]
-    levels = d.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first().asDict() if text else {}
-    categorical = [c for c in text if 0 < levels[c] <= max_levels]
+    categorical = [c for c, k in left if k == "string"]
     if not numeric and not categorical:
         raise ValueError("no usable predictive features remain")
     ids = [c for c in IDENTIFIERS if c in d.columns]

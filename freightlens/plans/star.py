@@ -172,7 +172,7 @@ def fact_gps(gps_clean, dims) -> DataFrame:
 
 
 def fact_traffic(traffic, dims) -> DataFrame:
-    places = dims["location"].select(upper_text("location_name").alias("_place"), "location_key")
+    places = dims["location"].groupBy(upper_text("location_name").alias("_place")).agg(F.min("location_key").alias("location_key"))
     t = traffic.join(places, upper_text("location") == F.col("_place"), "left")
     return t.select(
         surrogate(upper_text("location"), F.col("timestamp").cast("string")).alias("traffic_key"), "location_key",

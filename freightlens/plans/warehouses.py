@@ -22,7 +22,7 @@ NETWORK_MEAN = mean_of("total_orders")
 
 def named(lake):
     """warehouse_mart with the warehouse name (unknown warehouses keep a NULL name)."""
-    names = lake.warehouses.select("warehouse_id", "warehouse_name")
+    names = lake.warehouses.groupBy("warehouse_id").agg(F.min("warehouse_name").alias("warehouse_name"))
     return lake.warehouse_mart.join(names, "warehouse_id", "left")
 
 

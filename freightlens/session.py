@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,6 +20,7 @@ def build_session(app: str = "freightlens", master: str | None = None, cores: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -35,18 +35,15 @@ def build_session(app: str = "freightlens", master: str | None = None, cores: in
     return b.getOrCreate()
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in spark.checkpoint.dir."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    if not _is_local(spark):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    d = tempfile.mkdtemp(prefix="freightlens-ckpt-")
+    d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/freightlens-work"
     spark.conf.set("spark.checkpoint.dir", d)
     return d
 

@@ -37,28 +37,46 @@ class StarTables:
         return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _places(self) -> DataFrame:
-        """nation key -> region name (25 rows)."""
+        """nation key -> region (one row per nation)."""
         return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
-            "n_nationkey", "r_name"
+            "n_nationkey", "r_regionkey", "r_name"
         )
 
     def _customer_region(self) -> DataFrame:
         return self.table("customer").join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
 
-    def orders(self) -> DataFrame:
-        o = self.table("orders").join(
-            self._customer_region().select("c_custkey", "r_name"), F.col("o_custkey") == F.col("c_custkey")
+    def _dealt_regions(self, df: DataFrame, key: str) -> DataFrame:
+        """Each row with the region that its key falls to when keys are dealt over all regions in turn."""
+        regions = self.table("region").selectExpr("r_regionkey", "r_name", "row_number() OVER (ORDER BY r_regionkey) - 1 AS _turn")
+        count = self.table("region").agg(F.count(F.lit(1))).scalar()
+        return df.withColumn("_turn", F.pmod(F.col(key).cast("bigint"), count)).join(
+            regions.withColumn("_turn", F.col("_turn").cast("bigint")), "_turn"
+        ).drop("_turn")
+
+    def _line_ids(self) -> DataFrame:
+        """The part and supplier keys that stand for an order's driver, vehicle and warehouse; one row per order with lines."""
+        return self.table("lineitem").groupBy("l_orderkey").agg(
+            F.min("l_partkey").alias("_driver"), F.max("l_partkey").alias("_vehicle"), F.min("l_suppkey").alias("_warehouse")
+        )
+
+    def _placed_orders(self) -> DataFrame:
+        placed = self.table("orders").join(
+            self._customer_region().select("c_custkey", "r_regionkey", "r_name"), F.col("o_custkey") == F.col("c_custkey")
         )
-        return self.order_columns(o)
+        return placed.join(self._line_ids(), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+    def orders(self) -> DataFrame:
+        return self.order_columns(self._placed_orders())
 
     @staticmethod
     def order_columns(o: DataFrame) -> DataFrame:
+        """An order without lines names a driver, vehicle and warehouse by its own key, mostly ones that don't exist."""
         return o.selectExpr(
             "concat('O', o_orderkey) AS order_id",
             "concat('C', o_custkey) AS customer_id",
-            "concat('W', mod(o_orderkey * 11, 10)) AS warehouse_id",
-            "concat('D', mod(o_orderkey * 7, 200)) AS driver_id",
-            "concat('V', mod(o_orderkey * 3, 150)) AS vehicle_id",
+            "concat('W', coalesce(_warehouse, o_orderkey)) AS warehouse_id",
+            "concat('D', coalesce(_driver, o_orderkey)) AS driver_id",
+            "concat('V', coalesce(_vehicle, o_orderkey)) AS vehicle_id",
             "cast(o_orderdate AS date) AS order_date",
             "r_name AS region",
             "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Shipped' ELSE 'Processing' END AS order_status",
@@ -70,15 +88,13 @@ class StarTables:
             f"cast(CASE WHEN 30 + {K37} + {K13} - 75 < 1 THEN 1 ELSE 30 + {K37} + {K13} - 75 END AS int) AS actual_delivery_time_min",
         )
 
-    def _by_region(self, days: DataFrame) -> DataFrame:
-        """Each row once per region; the five region keys are enumerated, so this is an equality join."""
-        keyed = days.withColumn("_rk", F.explode(F.sequence(F.lit(0), F.lit(4))))
-        return keyed.join(self.table("region"), F.col("_rk") == F.col("r_regionkey"))
-
     def weather(self) -> DataFrame:
-        days = self.table("orders").select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
+        """Readings for the days and regions in which orders were placed."""
+        days = self.table("orders").join(
+            self._customer_region().select("c_custkey", "r_regionkey", "r_name"), F.col("o_custkey") == F.col("c_custkey")
+        ).select(F.col("o_orderdate").cast("date").alias("dt"), "r_regionkey", "r_name").distinct()
         days = days.withColumn("h0", F.datediff("dt", F.lit("1995-01-01").cast("date")))
-        return self._by_region(days).filter("mod(h0 + r_regionkey, 11) <> 0").selectExpr(
+        return days.filter("mod(h0 + r_regionkey, 11) <> 0").selectExpr(
             "dt AS date",
             "r_name AS location",
             "cast(8 + r_regionkey * 1.1 AS decimal(10,6)) AS latitude",
@@ -94,9 +110,8 @@ class StarTables:
         return self.gps_columns(self.table("events"))
 
     def gps_columns(self, events: DataFrame) -> DataFrame:
-        placed = events.join(self.table("region"), F.expr("r_regionkey = mod(user_id, 5)"))
-        return placed.selectExpr(
-            "concat('V', mod(user_id, 150)) AS vehicle_id",
+        return self._dealt_regions(events, "user_id").selectExpr(
+            "concat('V', user_id) AS vehicle_id",
             "ts AS timestamp",
             "r_name AS region",
             "cast(8 + mod(event_id * 37, 5000) / 1000.0 AS decimal(10,6)) AS latitude",
@@ -109,9 +124,11 @@ class StarTables:
         )
 
     def traffic(self) -> DataFrame:
-        hours = self.table("events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr")).distinct()
+        hours = self._dealt_regions(self.table("events"), "user_id").select(
+            F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr"), "r_regionkey", "r_name"
+        ).distinct()
         hours = hours.withColumn("hn", F.dayofmonth("hr") * 24 + F.hour("hr"))
-        return self._by_region(hours).filter("mod(hn + r_regionkey, 5) <> 0").selectExpr(
+        return hours.filter("mod(hn + r_regionkey, 5) <> 0").selectExpr(
             "hr AS timestamp",
             "r_name AS location",
             "cast(8 + r_regionkey * 1.1 AS decimal(10,6)) AS latitude",
@@ -123,10 +140,7 @@ class StarTables:
         )
 
     def delivery_updates(self) -> DataFrame:
-        o = self.table("orders").join(
-            self._customer_region().select("c_custkey", "r_name"), F.col("o_custkey") == F.col("c_custkey")
-        )
-        ref = self.order_columns(o).select("order_id", "driver_id", "vehicle_id", "region", "delivery_status")
+        ref = self.orders().select("order_id", "driver_id", "vehicle_id", "region", "delivery_status")
         events = self.table("lineitem").selectExpr(
             "concat('E', l_orderkey, '-', l_linenumber) AS event_id",
             "concat('O', l_orderkey) AS order_id",
@@ -159,8 +173,7 @@ class StarTables:
         )
 
     def drivers(self) -> DataFrame:
-        p = self.table("part").filter("p_partkey < 200").join(self.table("region"), F.expr("r_regionkey = mod(p_partkey, 5)"))
-        return p.selectExpr(
+        return self._dealt_regions(self.table("part"), "p_partkey").selectExpr(
             "concat('D', p_partkey) AS driver_id", "p_name AS driver_name", "r_name AS region",
             "cast(p_size AS int) AS experience_years",
             "cast(2.5 + mod(p_partkey * 17, 251) / 100.0 AS decimal(4,2)) AS rating",
@@ -169,7 +182,7 @@ class StarTables:
         )
 
     def vehicles(self) -> DataFrame:
-        return self.table("part").filter("p_partkey < 150").selectExpr(
+        return self.table("part").selectExpr(
             "concat('V', p_partkey) AS vehicle_id",
             "CASE mod(p_partkey, 4) WHEN 0 THEN 'Van' WHEN 1 THEN 'Truck' WHEN 2 THEN 'Mini Truck' ELSE 'Bike' END AS vehicle_type",
             "concat('D', p_partkey) AS driver_id",
@@ -182,22 +195,30 @@ class StarTables:
         )
 
     def warehouses(self) -> DataFrame:
-        s = self.table("supplier").filter("s_suppkey < 10").join(self.table("region"), F.expr("r_regionkey = mod(s_suppkey, 5)"))
-        return s.selectExpr(
+        return self.table("supplier").join(self._places(), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
             "concat('W', s_suppkey) AS warehouse_id", "s_name AS warehouse_name", "r_name AS region",
-            "cast(50 + s_suppkey * 45 AS int) AS capacity_units",
-            "cast(8 + s_suppkey * 0.37 AS decimal(10,6)) AS latitude",
-            "cast(76 + s_suppkey * 0.41 AS decimal(10,6)) AS longitude",
+            "cast(50 + mod(s_suppkey, 1000) * 45 AS int) AS capacity_units",
+            "cast(8 + mod(s_suppkey, 100) * 0.37 AS decimal(10,6)) AS latitude",
+            "cast(76 + mod(s_suppkey, 100) * 0.41 AS decimal(10,6)) AS longitude",
         )
 
     def roads(self) -> DataFrame:
-        n = self.table("nation")
-        a = n.selectExpr("n_nationkey AS ak", "n_name AS start_location").withColumn(
-            "bk", F.explode(F.sequence(F.lit(0), F.lit(24)))
+        """One road between the nations of a supplier and a customer who trade with each other."""
+        nations = self.table("nation")
+        sold = (
+            self.table("lineitem").select("l_orderkey", "l_suppkey").distinct()
+            .join(self.table("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        )
+        pairs = sold.filter("s_nationkey <> c_nationkey").selectExpr(
+            "least(s_nationkey, c_nationkey) AS ak", "greatest(s_nationkey, c_nationkey) AS bk"
+        ).distinct()
+        pairs = pairs.join(nations.selectExpr("n_nationkey AS ak", "n_name AS start_location"), "ak").join(
+            nations.selectExpr("n_nationkey AS bk", "n_name AS end_location"), "bk"
         )
-        pairs = a.filter("ak < bk").join(n.selectExpr("n_nationkey AS bk", "n_name AS end_location"), "bk")
         return pairs.selectExpr(
-            "concat('R', ak * 25 + bk) AS road_id", "start_location", "end_location",
+            "concat('R', ak, '-', bk) AS road_id", "start_location", "end_location",
             "CASE mod(ak + bk, 4) WHEN 0 THEN 'Highway' WHEN 1 THEN 'Urban' WHEN 2 THEN 'Rural' ELSE 'Expressway' END AS road_type",
             "cast(5 + mod(ak * 31 + bk * 17, 400) * 0.5 AS decimal(10,2)) AS distance_km",
             "cast(2 + mod(ak * bk, 4) AS int) AS lanes",

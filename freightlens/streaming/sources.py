@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 EVENT_COLUMNS = "key string, value string, timestamp timestamp"
 
 
-def kafka_topic(spark: SparkSession, brokers: str, topic: str, starting: str = "latest") -> DataFrame:
-    """Stream of one Kafka topic (needs the Spark Kafka connector on the class path)."""
+def kafka_topic(spark: SparkSession, brokers: str, topic: str, starting: str = "earliest") -> DataFrame:
+    """Stream of one Kafka topic (needs the Spark Kafka connector on the class path).
+
+    A first run reads the topic from its start, and lost offsets stop the stream instead of passing unnoticed.
+    """
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", "true")
         .load()
     )
     return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp")
@@ -32,15 +35,14 @@ def folder_topic(spark: SparkSession, path: str, files_per_batch: int | None = N
     return r.parquet(path)
 
 
-def as_events(df: DataFrame, key: str, ingest_time: Column | None = None, limit: int | None = None) -> DataFrame:
+def as_events(df: DataFrame, key: str, ingest_time: Column | None = None) -> DataFrame:
     """Rows as messages: key = entity id, value = JSON of the row, NULL fields written as null."""
-    src = df.limit(limit) if limit else df
     body = F.to_json(
-        F.struct(*src.columns),
+        F.struct(*df.columns),
         {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
     )
     when = F.current_timestamp() if ingest_time is None else ingest_time.cast("timestamp")
-    return src.select(F.col(key).cast("string").alias("key"), body.alias("value"), when.alias("timestamp"))
+    return df.select(F.col(key).cast("string").alias("key"), body.alias("value"), when.alias("timestamp"))
 
 
 def publish(events: DataFrame, path: str) -> str:

@@ -64,10 +64,12 @@ def compose(sql: str) -> str:
 
 
 DD = "date_diff('day', date '1995-01-01', cast(o_orderdate AS date))"
+CTES["lg_regions"] = "SELECT *, row_number() OVER (ORDER BY r_regionkey) - 1 AS turn, count(*) OVER () AS turns FROM region"
+CTES["lg_lines"] = "SELECT l_orderkey, min(l_partkey) AS driver, max(l_partkey) AS vehicle, min(l_suppkey) AS warehouse FROM lineitem GROUP BY l_orderkey"
 CTES["lg_orders"] = """
 SELECT concat('O', cast(o.o_orderkey AS varchar)) AS order_id, concat('C', cast(o.o_custkey AS varchar)) AS customer_id,
- concat('W', cast(mod(o.o_orderkey * 11, 10) AS varchar)) AS warehouse_id, concat('D', cast(mod(o.o_orderkey * 7, 200) AS varchar)) AS driver_id,
- concat('V', cast(mod(o.o_orderkey * 3, 150) AS varchar)) AS vehicle_id, cast(o.o_orderdate AS date) AS order_date, r.r_name AS region,
+ concat('W', cast(coalesce(l.warehouse, o.o_orderkey) AS varchar)) AS warehouse_id, concat('D', cast(coalesce(l.driver, o.o_orderkey) AS varchar)) AS driver_id,
+ concat('V', cast(coalesce(l.vehicle, o.o_orderkey) AS varchar)) AS vehicle_id, cast(o.o_orderdate AS date) AS order_date, r.r_name AS region,
  CASE o.o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Shipped' ELSE 'Processing' END AS order_status,
  CASE WHEN mod(o.o_orderkey, 29) = 0 THEN 'Failed' WHEN mod(o.o_orderkey, 23) = 0 THEN 'In Transit'
   WHEN mod(o.o_orderkey * 13, 121) > 75 THEN 'Delayed' ELSE 'Delivered' END AS delivery_status,
@@ -76,7 +78,8 @@ SELECT concat('O', cast(o.o_orderkey AS varchar)) AS order_id, concat('C', cast(
  cast(30 + mod(o.o_orderkey * 37, 211) AS int) AS promised_delivery_time_min,
  cast(CASE WHEN 30 + mod(o.o_orderkey * 37, 211) + mod(o.o_orderkey * 13, 121) - 75 < 1 THEN 1
   ELSE 30 + mod(o.o_orderkey * 37, 211) + mod(o.o_orderkey * 13, 121) - 75 END AS int) AS actual_delivery_time_min
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN lg_lines l ON l.l_orderkey = o.o_orderkey"""
 CTES["lg_weather"] = f"""
 SELECT d.dt AS date, r.r_name AS location, cast(8 + r.r_regionkey * 1.1 AS decimal(10,6)) AS latitude, cast(76 + r.r_regionkey * 0.9 AS decimal(10,6)) AS longitude,
  cast(10 + mod(d.h0 * 17 + r.r_regionkey * 29, 250) / 10.0 AS decimal(8,2)) AS temperature_c,
@@ -85,24 +88,26 @@ SELECT d.dt AS date, r.r_name AS location, cast(8 + r.r_regionkey * 1.1 AS decim
  CASE WHEN mod(d.h0 * 7919 + r.r_regionkey * 331, 1000) < 750 THEN CASE WHEN mod(d.h0, 3) = 0 THEN 'Cloudy' ELSE 'Clear' END
   WHEN mod(d.h0 * 7919 + r.r_regionkey * 331, 1000) >= 990 THEN 'Thunderstorm'
   WHEN mod(d.h0 * 7919 + r.r_regionkey * 331, 1000) >= 900 THEN 'Heavy Rain' ELSE 'Light Rain' END AS weather_condition
-FROM (SELECT DISTINCT cast(o_orderdate AS date) AS dt, {DD} AS h0 FROM orders) d CROSS JOIN region r
+FROM (SELECT DISTINCT cast(o_orderdate AS date) AS dt, {DD} AS h0, n_regionkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) d
+JOIN region r ON r.r_regionkey = d.n_regionkey
 WHERE mod(d.h0 + r.r_regionkey, 11) <> 0"""
 CTES["lg_gps"] = """
-SELECT concat('V', cast(mod(user_id, 150) AS varchar)) AS vehicle_id, ts AS timestamp, r.r_name AS region,
+SELECT concat('V', cast(user_id AS varchar)) AS vehicle_id, ts AS timestamp, r.r_name AS region,
  cast(8 + mod(event_id * 37, 5000) / 1000.0 AS decimal(10,6)) AS latitude, cast(76 + mod(event_id * 41, 5000) / 1000.0 AS decimal(10,6)) AS longitude,
  cast(CASE WHEN event_type = 'signup' THEN 0 WHEN value > 95 THEN 95 ELSE value END AS decimal(10,2)) AS speed_kmph,
  cast(mod(event_id * 53, 36000) / 100.0 AS decimal(6,2)) AS heading,
  CASE event_type WHEN 'signup' THEN 'Stopped' WHEN 'error' THEN 'Idle' ELSE 'Moving' END AS vehicle_status,
  CASE WHEN event_type = 'signup' THEN 'Off' ELSE 'On' END AS ignition_status,
  CASE WHEN event_type = 'error' THEN ' low ' WHEN event_type = 'view' THEN 'Fair' ELSE 'Good' END AS signal_quality
-FROM events JOIN region r ON r.r_regionkey = mod(user_id, 5)"""
+FROM events JOIN lg_regions r ON r.turn = mod(user_id, r.turns)"""
 CTES["lg_traffic"] = """
 SELECT h.hr AS timestamp, r.r_name AS location, cast(8 + r.r_regionkey * 1.1 AS decimal(10,6)) AS latitude, cast(76 + r.r_regionkey * 0.9 AS decimal(10,6)) AS longitude,
  cast(mod(h.hn * 31 + r.r_regionkey * 17, 1010) / 10.0 AS decimal(8,2)) AS traffic_score,
  CASE WHEN mod(h.hn * 31 + r.r_regionkey * 17, 1010) >= 750 THEN 'Severe' WHEN mod(h.hn * 31 + r.r_regionkey * 17, 1010) >= 500 THEN 'High'
   WHEN mod(h.hn * 31 + r.r_regionkey * 17, 1010) >= 250 THEN 'Moderate' ELSE 'Low' END AS traffic_level,
  cast(100 - mod(h.hn * 31 + r.r_regionkey * 17, 1010) / 11.0 AS decimal(10,2)) AS average_speed_kmph
-FROM (SELECT DISTINCT date_trunc('hour', ts) AS hr, day(ts) * 24 + hour(ts) AS hn FROM events) h CROSS JOIN region r
+FROM (SELECT DISTINCT date_trunc('hour', ts) AS hr, day(ts) * 24 + hour(ts) AS hn, r_regionkey AS rk FROM events JOIN lg_regions g ON g.turn = mod(user_id, g.turns)) h
+JOIN region r ON r.r_regionkey = h.rk
 WHERE mod(h.hn + r.r_regionkey, 5) <> 0"""
 CTES["lg_updates"] = """
 SELECT concat('E', cast(l_orderkey AS varchar), '-', cast(l_linenumber AS varchar)) AS event_id, l.order_id, o.driver_id, o.vehicle_id,
@@ -120,7 +125,7 @@ CTES["lg_drivers"] = """
 SELECT concat('D', cast(p_partkey AS varchar)) AS driver_id, p_name AS driver_name, r.r_name AS region, cast(p_size AS int) AS experience_years,
  cast(2.5 + mod(p_partkey * 17, 251) / 100.0 AS decimal(4,2)) AS rating, CASE WHEN mod(p_partkey, 17) = 0 THEN 'Inactive' ELSE 'Active' END AS employment_status,
  CASE mod(p_partkey, 3) WHEN 0 THEN 'LMV' WHEN 1 THEN 'HMV' ELSE 'Commercial' END AS license_type
-FROM part JOIN region r ON r.r_regionkey = mod(p_partkey, 5) WHERE p_partkey < 200"""
+FROM part JOIN lg_regions r ON r.turn = mod(p_partkey, r.turns)"""
 CTES["lg_vehicles"] = """
 SELECT concat('V', cast(p_partkey AS varchar)) AS vehicle_id,
  CASE mod(p_partkey, 4) WHEN 0 THEN 'Van' WHEN 1 THEN 'Truck' WHEN 2 THEN 'Mini Truck' ELSE 'Bike' END AS vehicle_type,
@@ -128,18 +133,22 @@ SELECT concat('V', cast(p_partkey AS varchar)) AS vehicle_id,
  cast(p_retailprice AS decimal(12,2)) AS capacity_kg, cast(2016 + mod(p_partkey, 10) AS int) AS manufacture_year,
  CASE WHEN mod(p_partkey, 7) = 0 THEN 'Due' ELSE 'Good' END AS maintenance_status, CASE WHEN mod(p_partkey, 9) = 0 THEN 'Idle' ELSE 'Active' END AS vehicle_status,
  cast(5000 + p_partkey * 131 AS decimal(14,2)) AS odometer_km
-FROM part WHERE p_partkey < 150"""
+FROM part"""
 CTES["lg_warehouses"] = """
 SELECT concat('W', cast(s_suppkey AS varchar)) AS warehouse_id, s_name AS warehouse_name, r.r_name AS region,
- cast(50 + s_suppkey * 45 AS int) AS capacity_units, cast(8 + s_suppkey * 0.37 AS decimal(10,6)) AS latitude, cast(76 + s_suppkey * 0.41 AS decimal(10,6)) AS longitude
-FROM supplier JOIN region r ON r.r_regionkey = mod(s_suppkey, 5) WHERE s_suppkey < 10"""
+ cast(50 + mod(s_suppkey, 1000) * 45 AS int) AS capacity_units, cast(8 + mod(s_suppkey, 100) * 0.37 AS decimal(10,6)) AS latitude,
+ cast(76 + mod(s_suppkey, 100) * 0.41 AS decimal(10,6)) AS longitude
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region r ON n_regionkey = r.r_regionkey"""
 CTES["lg_roads"] = """
-SELECT concat('R', cast(a.n_nationkey * 25 + b.n_nationkey AS varchar)) AS road_id, a.n_name AS start_location, b.n_name AS end_location,
+SELECT concat('R', cast(a.n_nationkey AS varchar), '-', cast(b.n_nationkey AS varchar)) AS road_id, a.n_name AS start_location, b.n_name AS end_location,
  CASE mod(a.n_nationkey + b.n_nationkey, 4) WHEN 0 THEN 'Highway' WHEN 1 THEN 'Urban' WHEN 2 THEN 'Rural' ELSE 'Expressway' END AS road_type,
  cast(5 + mod(a.n_nationkey * 31 + b.n_nationkey * 17, 400) * 0.5 AS decimal(10,2)) AS distance_km, cast(2 + mod(a.n_nationkey * b.n_nationkey, 4) AS int) AS lanes,
  cast(40 + 10 * mod(a.n_nationkey + 2 * b.n_nationkey, 7) AS int) AS speed_limit_kmph,
  CASE mod(a.n_nationkey * 3 + b.n_nationkey, 10) WHEN 0 THEN 'Poor' WHEN 1 THEN 'Critical' WHEN 2 THEN 'Fair' ELSE 'Good' END AS road_condition
-FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey"""
+FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey
+WHERE (a.n_nationkey, b.n_nationkey) IN (
+ SELECT (least(s_nationkey, c_nationkey), greatest(s_nationkey, c_nationkey)) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+ JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
 
 # cleaned ---------------------------------------------------------------------------------------------
 CTES["c_orders"] = f"""

@@ -16,7 +16,7 @@ def cd(cond: str) -> str:
 
 
 N = "count(DISTINCT order_id) AS total_orders"
-DN, LN = f"{cd(chr(100) + 'elivery_status = ' + repr('DELIVERED'))} AS delivered_orders", f"{cd('is_delayed = 1')} AS delayed_orders"
+DN, LN = f"{cd("delivery_status = 'DELIVERED'")} AS delivered_orders", f"{cd('is_delayed = 1')} AS delayed_orders"
 OT = r("count(*) FILTER (WHERE delivery_status = 'DELIVERED' AND is_delayed = 0) * 100.0 / nullif(count(*) FILTER (WHERE delivery_status = 'DELIVERED'), 0)") + " AS on_time_delivery_rate_pct"
 T = f"{avg('actual_delivery_time_min')} AS avg_delivery_time_min"
 P = f"{avg('promised_delivery_time_min')} AS avg_promised_delivery_time_min"

@@ -100,7 +100,7 @@ O["eda_traffic_location"] = TL
 O["eda_traffic_level"] = "SELECT traffic_level, count(*) AS observations FROM lg_traffic GROUP BY 1"
 SIG = "try_cast(trim(signal_quality) AS decimal(10,2))"
 G, SP, SX, SQ = "count(*) AS gps_observations", f"{avg('speed_kmph', None)} AS average_speed_kmph", "cast(max(speed_kmph) AS double) AS maximum_speed_kmph", f"{avg(SIG, None)} AS average_signal_quality"
-O["eda_gps_vehicle"] = f"SELECT vehicle_id, {G}, {SP}, {SX}, {SQ}, {n_if(chr(108) + 'ower(vehicle_status) = ' + repr('active'))} AS active_observations FROM lg_gps GROUP BY 1"
+O["eda_gps_vehicle"] = f"SELECT vehicle_id, {G}, {SP}, {SX}, {SQ}, {n_if("lower(vehicle_status) = 'active'")} AS active_observations FROM lg_gps GROUP BY 1"
 O["eda_delivery_events"] = f"SELECT event_type, count(*) AS events, {avg('delay_minutes', None)} AS average_delay_minutes FROM lg_updates GROUP BY 1"
 O["eda_update_status"] = "SELECT delivery_status, count(*) AS events FROM lg_updates GROUP BY 1"
 

@@ -75,7 +75,7 @@ def test_split_valid_keeps_every_message(spark):
 def test_published_nulls_are_written(spark):
     from freightlens.streaming.sources import as_events
 
-    e = as_events(spark.createDataFrame([("O1", None), ("O2", 2.0)], "order_id string, v double"), "order_id", limit=1)
+    e = as_events(spark.createDataFrame([("O1", None)], "order_id string, v double"), "order_id")
     assert [json.loads(r.value) for r in e.collect()] == [{"order_id": "O1", "v": None}]
 
 
