@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """Within this block, Arrow batches hold at most n rows: for rows of many bytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -54,14 +68,16 @@ FILTER_BITS = 26
 
 
 def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A membership filter of 2**bits bits over a column of 64-bit hashes, as an array of uint64.
+    """A membership filter of 2**bits bits over a column of 64-bit hashes, two bits each, as an array of uint64.
 
     Executors set the bits; the driver gets at most 2**(bits - 6) words (16 MB at 26 bits), whatever
     the size of the input. False positives only: every use checks its hits again by an exact join.
     """
-    slot = F.shiftrightunsigned(F.col(column), 64 - bits)
+    h = F.col(column)
+    slot = F.explode(F.array(F.shiftrightunsigned(h, 64 - bits), F.shiftrightunsigned(h, 10).bitwiseAND(F.lit((1 << bits) - 1))))
     words = (
-        df.select(F.shiftright(slot, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
+        df.select(slot.alias("s"))
+        .select(F.shiftright("s", 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("s").bitwiseAND(F.lit(63)).cast("int")).alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     )
     out = np.zeros(1 << (bits - 6), np.int64)
@@ -71,9 +87,54 @@ def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
 
 def in_filter(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Which of the uint64 hashes may be members."""
-    bits = np.uint64(len(words).bit_length() - 1 + 6)
-    slot = hashes >> (np.uint64(64) - bits)
-    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    bits = len(words).bit_length() - 1 + 6
+    out = None
+    for slot in (hashes >> np.uint64(64 - bits), (hashes >> np.uint64(10)) & np.uint64((1 << bits) - 1)):
+        hit = (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        out = hit if out is None else out & hit
+    return out
+
+
+def count_keys(packed: DataFrame, least: int) -> DataFrame:
+    """(h, n) of the keys counted `least` times or more in blobs (bucket, keys, counts) as pack_keys makes them.
+
+    A bucket holds an even share of all keys, since keys are hashes; a frequent key is one entry per blob.
+    """
+
+    def merge(table):
+        k, n = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c, t in (("keys", np.uint64), ("counts", np.uint32)))
+        order = np.argsort(k)
+        k, n = k[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        n = np.add.reduceat(n, first)
+        return pa.table({"h": k[first[n >= least]].view(np.int64), "n": n[n >= least]})
+
+    return packed.groupBy("bucket").applyInArrow(merge, "h long, n long")
+
+
+PACKED = "bucket int, keys binary, counts binary"
+
+
+def key_buckets(spark: SparkSession) -> int:
+    """Bits of the bucket number: about two buckets per shuffle partition."""
+    return min(16, max(6, (2 * width(spark) - 1).bit_length()))
+
+
+def pack_keys(keys: list[np.ndarray], counts: list[np.ndarray] | None, bits: int) -> pa.RecordBatch:
+    """Blobs of sorted distinct keys with their counts, one per bucket of leading bits."""
+    k = np.concatenate(keys) if keys else np.array([], np.uint64)
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.array([], int)
+    if counts is None:
+        n = np.diff(np.append(first, len(k)))
+    else:
+        n = np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else first
+    k, n = k[first], np.minimum(n, 1 << 31).astype(np.uint32)
+    bucket = (k >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist() if len(k) else []
+    rows = [(int(bucket[i]), k[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(cuts, cuts[1:])]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "counts"])
 
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -91,23 +152,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(v, root) for every vertex of an edge table (a, b): root is the smallest vertex of its component.
 
     Alternating large-star and small-star steps on the edge table. Every step is an aggregation by
-    vertex with partial aggregation and a join; each result is written to the shared folder. The
-    number of steps grows with the logarithm of the longest path.
+    vertex with partial aggregation and a join, which Spark splits where a vertex has very many
+    edges; each result is written to the shared folder. The number of steps grows with the
+    logarithm of the longest path. It ends when no edge changes, by count and an exclusive or of hashes.
     """
     e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), name)
+    state = None
     while True:
+        now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x")).first()
+        if now == state or not now["n"]:
+            break
+        state = now
         both = e.union(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
+        large = both.join(low, "v").where("u > v and u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v")
-        small = small.select("v", F.col("m").alias("u")).union(
-            small.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        ).distinct()
-        after = stage(small, name)
-        moved = after.join(e, ["v", "u"], "left_anti").limit(1).count() or e.join(after, ["v", "u"], "left_anti").limit(1).count()
-        e = after
-        if not moved:
-            break
+        small = small.select("v", F.col("m").alias("u")).union(small.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")))
+        e = stage(small.where("v <> u").distinct(), name)
     roots = e.select(F.col("u").alias("v")).distinct()
     return e.groupBy("v").agg(F.min("u").alias("root")).union(roots.select("v", F.col("v").alias("root")))

@@ -2,14 +2,17 @@
 
 A byte goes when a string of `length` bytes that covers it also starts elsewhere. Plain prefix doubling
 ranks every position by its first bytes, then by pairs of ranks at growing offsets, and drops positions
-whose rank is unique. Here the first ranks are fingerprints of half the length, and only sampled
-positions take part: of the half-length strings within any string of `length` bytes the one with the
-smallest fingerprint, which equal strings share. Spark counts these ranks and drops the unique ones. Strings
-whose sampled half is repeated are ranked again by the pair of their halves' fingerprints (offset
-length / 2), in two steps: a content-defined sample decides the inside of repeated runs, since two
-repeated strings that start less than `length` apart cover all between them; the strings in the gaps
-that this leaves, mostly at the ends of runs, are then asked about one by one against all others. The
-result is that of ranking every position, up to equal 64-bit fingerprints of different strings.
+whose rank is unique. Here the ranks of short strings are fingerprints, and only sampled positions take
+part: of the substrings of one level's length within a string of `length` bytes the one with the
+smallest fingerprint, which equal strings share. Levels grow (half the length, then nine tenths); Spark
+sorts and counts the ranks of each level, and strings whose sampled substring is unique drop out. What
+is left is ranked by the pair (rank of the first half, rank at offset length / 2), in three steps: a
+content-defined sample decides the inside of repeated runs, since two repeated strings that start at
+most `length` apart cover all between them; then the last strings at each end of a run are asked about
+one by one against all others; then all that is still open. The result is that of ranking every
+position, up to equal 64-bit fingerprints of different strings.
+
+Ranks travel as packed arrays per hash bucket, so a frequent string is one entry per batch.
 
 Defined results: a null text counts as empty; texts shorter than `length` stay whole; repeated rows are
 copies of each other and lose all strings of `length` bytes; an empty table gives an empty result;
@@ -24,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import bit_filter, in_filter, mix, ship, stage
+from freightlens.llm.common import PACKED, bit_filter, count_keys, in_filter, key_buckets, mix, pack_keys, ship, stage
 
 LENGTH, SAMPLE = 200, 32
+RANK_BITS = 27  # of the filters of repeated ranks
 UNIT, POS = 1 << 20, 22  # bytes ranked at once; bits for a position among them
 
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -120,7 +124,8 @@ def _sampled(parts: list[bytes], length: int):
 
 
 def _ranks(docs: DataFrame, length: int) -> DataFrame:
-    """(h, n): the ranks of sampled positions, counted within each batch."""
+    """(h, n): the repeated ranks of sampled positions at the first level."""
+    bits = key_buckets(docs.sparkSession)
 
     def rank(batches):
         for b in batches:
@@ -128,10 +133,9 @@ def _ranks(docs: DataFrame, length: int) -> DataFrame:
             for _, parts, _ in units(b, 1, length):
                 _, _, at, ranks = _sampled(parts, length)
                 found.append(ranks[np.unique(at)])
-            h, n = np.unique(np.concatenate(found) if found else np.array([], np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+            yield pack_keys(found, None, bits)
 
-    return docs.mapInArrow(rank, "h long, n long")
+    return count_keys(docs.mapInArrow(rank, PACKED), 2)
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,72 +164,148 @@ def _segments(docs: DataFrame, length: int, held) -> DataFrame:
     return docs.mapInArrow(cut, "v binary, a long, data binary")
 
 
-def _strings(data: bytes, length: int) -> np.ndarray:
-    return pairs_of_halves(prefix_sums(np.frombuffer(data, np.uint8)), length)
+class Stretch:
+    """The strings of one segment: their ranks, and which may be repeated by the second level."""
+
+    def __init__(self, data: bytes, length: int, held=None):
+        sums = prefix_sums(np.frombuffer(data, np.uint8))
+        self.ranks, self.length = pairs_of_halves(sums, length), length
+        level = length * 9 // 10
+        long = fingerprints(sums, level)
+        at = smallest(long, length - level + 1)
+        self.sampled = long[np.unique(at)]
+        if held is not None:
+            self.open = in_filter(long[at], held)
+            self.in_sample = self.open & (self.ranks % np.uint64(SAMPLE) == 0)
+
+    def between(self, yes: np.ndarray) -> np.ndarray:
+        """Strings that two repeated ones at most `length` apart enclose; they cover no further bytes."""
+        out = np.zeros(len(self.ranks), bool)
+        at = np.flatnonzero(yes)
+        for i in np.flatnonzero(np.diff(at) <= self.length):
+            out[at[i] : at[i + 1]] = True
+        return out
+
+    def first_asked(self, repeated: list[int]) -> np.ndarray:
+        """Strings near the ends of open runs, those between distant repeated ones, and short runs without any."""
+        yes = flags(len(self.ranks), repeated)
+        slack = self.length - self.length * 9 // 10
+        near = np.zeros(len(yes), bool)
+        found = np.flatnonzero(yes)
+        for s, e in zip(*(x.tolist() for x in _runs(self.open))):
+            near[s : min(e, s + slack + 1)] = True
+            near[max(s, e - slack - 1) : e] = True
+            i, j = np.searchsorted(found, [s, e])
+            if i == j and e - s <= 3 * slack:
+                near[s:e] = True
+            elif i < j:
+                near[found[i] : found[j - 1]] = True
+        return self.open & near & ~self.in_sample & ~self.between(yes)
+
+    def last_asked(self, repeated: list[int], more: list[int]) -> np.ndarray:
+        """All that is not known and not enclosed after the first answers."""
+        yes = flags(len(self.ranks), repeated) | flags(len(self.ranks), more)
+        return self.open & ~self.in_sample & ~self.first_asked(repeated) & ~self.between(yes)
+
+
+def flags(n: int, places: list[int] | None) -> np.ndarray:
+    out = np.zeros(n, bool)
+    if places:
+        out[np.array(places, np.int64)] = True
+    return out
+
+
+def _long_ranks(segments: DataFrame, length: int) -> DataFrame:
+    """(h, n): the repeated ranks of sampled positions at the second level."""
+    bits = key_buckets(segments.sparkSession)
 
+    def rank(batches):
+        for b in batches:
+            keys, counts = [], []
+            for copies, data in zip(*(c.to_pylist() for c in b.columns)):
+                keys.append(Stretch(data, length).sampled)
+                counts.append(np.full(len(keys[-1]), copies))
+            yield pack_keys(keys, counts, bits)
 
-def _sample(segments: DataFrame, length: int) -> DataFrame:
-    """(segment, alone, h, p, n): strings whose rank is a multiple of SAMPLE."""
+    return count_keys(segments.select("copies", "data").mapInArrow(rank, PACKED), 2)
+
+
+def _rows(ids: list[int], places: list[np.ndarray], ranks: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    segment = np.repeat(np.array(ids, np.int64), [len(p) for p in places])
+    flat = lambda x, t: np.concatenate(x).astype(t, copy=False) if x else np.array([], t)
+    return pa.RecordBatch.from_arrays([pa.array(segment), pa.array(flat(places, np.int32)), pa.array(flat(ranks, np.uint64).view(np.int64))], names)
+
+
+def _sample(segments: DataFrame, length: int, held) -> DataFrame:
+    """(segment, p, h): the sampled open strings."""
 
     def pick(batches):
         for b in batches:
-            ids, alone, hs, ps, ns = [], [], [], [], []
-            for segment, copies, data in zip(*(c.to_pylist() for c in b.columns)):
-                h = _strings(data, length)
-                p = np.flatnonzero(h % np.uint64(SAMPLE) == 0)
-                ids.append(np.full(len(p), segment)), alone.append(np.full(len(p), copies == 1)), hs.append(h[p]), ps.append(p), ns.append(np.full(len(p), copies))
-            join = lambda x, t: np.concatenate(x).astype(t) if x else np.array([], t)
-            yield pa.RecordBatch.from_arrays([pa.array(join(ids, np.int64)), pa.array(join(alone, bool)), pa.array(join(hs, np.uint64).view(np.int64)), pa.array(join(ps, np.int32)), pa.array(join(ns, np.int64))], ["segment", "alone", "h", "p", "n"])
+            ids, places, ranks = [], [], []
+            for segment, data in zip(*(c.to_pylist() for c in b.columns)):
+                x = Stretch(data, length, held.value)
+                ids.append(segment), places.append(np.flatnonzero(x.in_sample)), ranks.append(x.ranks[places[-1]])
+            yield _rows(ids, places, ranks, ["segment", "p", "h"])
 
-    return segments.select("segment", "copies", "data").mapInArrow(pick, "segment long, alone boolean, h long, p int, n long")
+    return segments.select("segment", "data").mapInArrow(pick, "segment long, p int, h long")
 
 
-def _gaps(segments: DataFrame, length: int) -> DataFrame:
-    """(v, s, e) of covered bytes and (v, s, h) of strings still to be asked about."""
+def _asked(segments: DataFrame, length: int, held) -> DataFrame:
+    """(segment, p, h): the strings to ask about after what is known of each segment (repeated, more)."""
 
-    def find(batches):
+    def ask(batches):
         for b in batches:
-            vs, ss, es, hs = [], [], [], []
-            for v, a, copies, data, repeated in zip(*(c.to_pylist() for c in b.columns)):
+            ids, places, ranks = [], [], []
+            for segment, copies, data, repeated, more in zip(*(c.to_pylist() for c in b.columns)):
                 if copies > 1:
-                    vs.append([v]), ss.append([a]), es.append([a + len(data)]), hs.append([None])
-                    continue
-                h = _strings(data, length)
-                yes = np.zeros(len(h), bool)
-                yes[np.array(repeated or [], np.int64)] = True
-                known = np.flatnonzero(yes | (h % np.uint64(SAMPLE) == 0))
-                ask = np.ones(len(h), bool)
-                ask[known] = False
-                for i, j in zip(known[:-1].tolist(), known[1:].tolist()):
-                    if yes[i] and yes[j] and j - i <= length:
-                        ask[i:j] = False
-                        vs.append([v]), ss.append([a + i]), es.append([a + j + length]), hs.append([None])
-                at = np.flatnonzero(yes)
-                vs.append([v] * len(at)), ss.append((at + a).tolist()), es.append((at + a + length).tolist()), hs.append([None] * len(at))
-                at = np.flatnonzero(ask)
-                vs.append([v] * len(at)), ss.append((at + a).tolist()), es.append([None] * len(at)), hs.append(h[at].view(np.int64).tolist())
-            flat = lambda x: [z for y in x for z in y]
-            yield pa.RecordBatch.from_arrays([pa.array(flat(x), t) for x, t in ((vs, pa.binary()), (ss, pa.int64()), (es, pa.int64()), (hs, pa.int64()))], ["v", "s", "e", "h"])
-
-    return segments.select("v", "a", "copies", "data", "repeated").mapInArrow(find, "v binary, s long, e long, h long")
-
-
-def _answers(segments: DataFrame, length: int, held) -> DataFrame:
-    """(h, n): strings of all segments that someone may have asked about."""
+                    continue  # all of it is repeated
+                x = Stretch(data, length, held.value)
+                want = x.first_asked(repeated) if more is None else x.last_asked(repeated, more)
+                ids.append(segment), places.append(np.flatnonzero(want)), ranks.append(x.ranks[places[-1]])
+            yield _rows(ids, places, ranks, ["segment", "p", "h"])
+
+    return segments.select("segment", "copies", "data", "repeated", "more").mapInArrow(ask, "segment long, p int, h long")
+
+
+def _answered(asked: DataFrame, segments: DataFrame, length: int, held) -> DataFrame:
+    """(segment, places): the strings asked about that are repeated, among all open strings of all segments."""
+    spark = segments.sparkSession
+    bits = key_buckets(spark)
+    wanted = spark.sparkContext.broadcast(bit_filter(asked, "h"))
 
     def look(batches):
         for b in batches:
-            found, weights = [], []
+            keys, counts = [], []
             for copies, data in zip(*(c.to_pylist() for c in b.columns)):
-                h = _strings(data, length)
-                h = h[in_filter(h, held.value)]
-                found.append(h), weights.append(np.full(len(h), copies))
-            if found:
-                h, at = np.unique(np.concatenate(found), return_inverse=True)
-                n = np.bincount(at, np.concatenate(weights), len(h)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+                x = Stretch(data, length, held.value)
+                h = x.ranks[x.open]
+                keys.append(h[in_filter(h, wanted.value)])
+                counts.append(np.full(len(keys[-1]), copies))
+            yield pack_keys(keys, counts, bits)
+
+    yes = count_keys(segments.select("copies", "data").mapInArrow(look, PACKED), 2)
+    return asked.join(yes.select("h"), "h").groupBy("segment").agg(F.collect_list("p").alias("places"))
+
+
+def _covered(segments: DataFrame, length: int) -> DataFrame:
+    """(v, s, e) of the bytes that repeated strings cover."""
+
+    def cover(batches):
+        for b in batches:
+            vs, ss, es = [], [], []
+            for v, a, copies, size, *lists in zip(*(c.to_pylist() for c in b.columns)):
+                if copies > 1:
+                    vs.append(v), ss.append(a), es.append(a + size)
+                    continue
+                at = sorted({p for x in lists if x for p in x})
+                for i, p in enumerate(at):
+                    if i and p - at[i - 1] <= length:
+                        es[-1] = a + p + length
+                    else:
+                        vs.append(v), ss.append(a + p), es.append(a + p + length)
+            yield pa.RecordBatch.from_arrays([pa.array(vs, pa.binary()), pa.array(ss, pa.int64()), pa.array(es, pa.int64())], ["v", "s", "e"])
 
-    return segments.select("copies", "data").mapInArrow(look, "h long, n long")
+    return segments.select("v", "a", "copies", F.octet_length("data").cast("long"), "repeated", "more", "rest").mapInArrow(cover, "v binary, s long, e long")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -233,19 +313,25 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     spark = docs.sparkSession
     ship(spark)
     body = docs.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("v"), F.col(text).cast("binary").alias("t"))
-    ranks = _ranks(body, length).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    halves = spark.sparkContext.broadcast(bit_filter(ranks, "h"))
+    halves = spark.sparkContext.broadcast(bit_filter(_ranks(body, length), "h", RANK_BITS))
     segments = _segments(body, length, halves).groupBy("v", "a", "data").agg(F.count(F.lit(1)).alias("copies"))
     segments = stage(segments.withColumn("segment", F.monotonically_increasing_id()), "repeats-segments")
-    sample = stage(_sample(segments, length), "repeats-sample")
-    twice = sample.groupBy("h").agg(F.sum("n").alias("k")).where("k > 1").select("h")
-    repeated = sample.where("alone").join(twice, "h").groupBy("segment").agg(F.collect_list("p").alias("repeated"))
-    gaps = stage(_gaps(segments.join(repeated, "segment", "left"), length), "repeats-gaps")
-    asked = gaps.where("e is null")
-    filter_ = spark.sparkContext.broadcast(bit_filter(asked, "h"))
-    yes = _answers(segments, length, filter_).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    found = gaps.where("e is not null").select("v", "s", "e").union(asked.join(yes, "h").select("v", "s", (F.col("s") + length).alias("e")))
-    return stage(found.groupBy("v").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans")), "repeats-spans")
+    held = spark.sparkContext.broadcast(bit_filter(_long_ranks(segments, length), "h", RANK_BITS))
+    sample = stage(_sample(segments, length, held), "repeats-sample")
+    copies = segments.where("copies > 1").select("segment", "copies")
+    twice = (
+        sample.join(copies, "segment", "left").groupBy("h").agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n")).where("n > 1").select("h")
+    )
+    repeated = stage(sample.join(twice, "h").groupBy("segment").agg(F.collect_list("p").alias("repeated")), "repeats-repeated")
+    none = F.lit(None).cast("array<int>")
+    known = segments.join(repeated, "segment", "left")
+    first = stage(_asked(known.withColumn("more", none), length, held), "repeats-asked")
+    more = stage(_answered(first, segments, length, held).withColumnRenamed("places", "more"), "repeats-more")
+    known = known.join(more, "segment", "left").withColumn("more", F.coalesce("more", F.array().cast("array<int>")))
+    last = stage(_asked(known, length, held), "repeats-asked-last")
+    rest = stage(_answered(last, segments, length, held).withColumnRenamed("places", "rest"), "repeats-rest")
+    covered = _covered(known.join(rest, "segment", "left"), length)
+    return stage(covered.groupBy("v").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans")), "repeats-spans")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
