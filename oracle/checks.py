@@ -40,36 +40,65 @@ def rules(items) -> str:
 
 
 T = {n: t for n, (t, _) in COLUMNS.items()}
-BLANK = "orders:order_id customer_id warehouse_id driver_id vehicle_id|customers:customer_id customer_type region|drivers:driver_id|vehicles:vehicle_id driver_id|warehouses:warehouse_id|delivery_updates:event_id order_id driver_id vehicle_id"
-O["dq_not_blank"] = rules((d, T[d], f"{c} not blank", f"coalesce(trim({c}), '') = ''") for d, cols in (x.split(":") for x in BLANK.split("|")) for c in cols.split())
+# Columns that must not be blank.
+BLANK = {'orders': ['order_id', 'customer_id', 'warehouse_id', 'driver_id', 'vehicle_id'],
+ 'customers': ['customer_id', 'customer_type', 'region'],
+ 'drivers': ['driver_id'],
+ 'vehicles': ['vehicle_id', 'driver_id'],
+ 'warehouses': ['warehouse_id'],
+ 'delivery_updates': ['event_id', 'order_id', 'driver_id', 'vehicle_id']}
+O["dq_not_blank"] = rules((d, T[d], f"{c} not blank", f"coalesce(trim({c}), '') = ''") for d, cols in BLANK.items() for c in cols)
 KEYS = {"orders": "order_id", "customers": "customer_id", "drivers": "driver_id", "vehicles": "vehicle_id", "warehouses": "warehouse_id", "gps_tracking": "vehicle_id+timestamp",
         "weather": "date+location", "traffic": "location+timestamp", "roads": "road_id", "delivery_updates": "event_id"}
 O["dq_unique_keys"] = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, '{k} unique' AS rule, {n_if('c > 1')} AS failed, count(*) AS total FROM (SELECT count(*) AS c FROM {T[d]} GROUP BY {k.replace('+', ', ')})" for d, k in KEYS.items())
-P, Q = "latitude >= -90 <= 90|latitude NOT BETWEEN -90 AND 90", "longitude >= -180 <= 180|longitude NOT BETWEEN -180 AND 180"
-RANGES = {
-    "orders": ["order_value >= 0|order_value < 0", "delivery_distance_km >= 0|delivery_distance_km < 0", "promised_delivery_time_min >= 0|promised_delivery_time_min < 0", "actual_delivery_time_min >= 0|actual_delivery_time_min < 0"],
-    "drivers": ["rating >= 0 <= 5|rating NOT BETWEEN 0 AND 5", "experience_years >= 0|experience_years < 0"],
-    "vehicles": ["capacity_kg > 0|capacity_kg <= 0", "odometer_km >= 0|odometer_km < 0", "manufacture_year >= 1900 <= 2100|manufacture_year NOT BETWEEN 1900 AND 2100"],
-    "warehouses": [P, Q, "capacity_units > 0|capacity_units <= 0"],
-    "gps_tracking": [P, Q, "speed_kmph >= 0|speed_kmph < 0", "heading >= 0 <= 360|heading NOT BETWEEN 0 AND 360", "heading >= 0 < 360|heading < 0 OR heading >= 360"],
-    "weather": [P, Q, "humidity_pct >= 0 <= 100|humidity_pct NOT BETWEEN 0 AND 100", "rainfall_mm >= 0|rainfall_mm < 0"],
-    "traffic": ["traffic_score >= 0 <= 100|traffic_score NOT BETWEEN 0 AND 100", "average_speed_kmph >= 0|average_speed_kmph < 0"],
-    "roads": ["distance_km > 0|distance_km <= 0", "lanes > 0|lanes <= 0", "speed_limit_kmph > 0|speed_limit_kmph <= 0"],
-    "delivery_updates": ["delay_minutes >= 0|delay_minutes < 0"],
-}
-O["dq_ranges"] = rules((d, T[d], x.split("|")[0], f"{x.split()[0]} IS NULL OR {x.split('|')[1]}") for d, specs in RANGES.items() for x in specs)
-REFS = "orders customer_id customers|orders warehouse_id warehouses|orders driver_id drivers|orders vehicle_id vehicles|delivery_updates order_id orders|delivery_updates driver_id drivers|delivery_updates vehicle_id vehicles|vehicles driver_id drivers"
+# Column, rule, what breaks it.
+RANGES = {'orders': [('order_value', 'order_value >= 0', 'order_value < 0'),
+            ('delivery_distance_km', 'delivery_distance_km >= 0', 'delivery_distance_km < 0'),
+            ('promised_delivery_time_min', 'promised_delivery_time_min >= 0', 'promised_delivery_time_min < 0'),
+            ('actual_delivery_time_min', 'actual_delivery_time_min >= 0', 'actual_delivery_time_min < 0')],
+ 'drivers': [('rating', 'rating >= 0 <= 5', 'rating NOT BETWEEN 0 AND 5'),
+             ('experience_years', 'experience_years >= 0', 'experience_years < 0')],
+ 'vehicles': [('capacity_kg', 'capacity_kg > 0', 'capacity_kg <= 0'), ('odometer_km', 'odometer_km >= 0', 'odometer_km < 0'),
+              ('manufacture_year', 'manufacture_year >= 1900 <= 2100', 'manufacture_year NOT BETWEEN 1900 AND 2100')],
+ 'warehouses': [('latitude', 'latitude >= -90 <= 90', 'latitude NOT BETWEEN -90 AND 90'),
+                ('longitude', 'longitude >= -180 <= 180', 'longitude NOT BETWEEN -180 AND 180'),
+                ('capacity_units', 'capacity_units > 0', 'capacity_units <= 0')],
+ 'gps_tracking': [('latitude', 'latitude >= -90 <= 90', 'latitude NOT BETWEEN -90 AND 90'),
+                  ('longitude', 'longitude >= -180 <= 180', 'longitude NOT BETWEEN -180 AND 180'),
+                  ('speed_kmph', 'speed_kmph >= 0', 'speed_kmph < 0'), ('heading', 'heading >= 0 <= 360', 'heading NOT BETWEEN 0 AND 360'),
+                  ('heading', 'heading >= 0 < 360', 'heading < 0 OR heading >= 360')],
+ 'weather': [('latitude', 'latitude >= -90 <= 90', 'latitude NOT BETWEEN -90 AND 90'),
+             ('longitude', 'longitude >= -180 <= 180', 'longitude NOT BETWEEN -180 AND 180'),
+             ('humidity_pct', 'humidity_pct >= 0 <= 100', 'humidity_pct NOT BETWEEN 0 AND 100'),
+             ('rainfall_mm', 'rainfall_mm >= 0', 'rainfall_mm < 0')],
+ 'traffic': [('traffic_score', 'traffic_score >= 0 <= 100', 'traffic_score NOT BETWEEN 0 AND 100'),
+             ('average_speed_kmph', 'average_speed_kmph >= 0', 'average_speed_kmph < 0')],
+ 'roads': [('distance_km', 'distance_km > 0', 'distance_km <= 0'), ('lanes', 'lanes > 0', 'lanes <= 0'),
+           ('speed_limit_kmph', 'speed_limit_kmph > 0', 'speed_limit_kmph <= 0')],
+ 'delivery_updates': [('delay_minutes', 'delay_minutes >= 0', 'delay_minutes < 0')]}
+O["dq_ranges"] = rules((d, T[d], rule, f"{c} IS NULL OR {broken}") for d, specs in RANGES.items() for c, rule, broken in specs)
+# Dataset, column, dataset it refers to.
+REFS = [('orders', 'customer_id', 'customers'), ('orders', 'warehouse_id', 'warehouses'), ('orders', 'driver_id', 'drivers'),
+ ('orders', 'vehicle_id', 'vehicles'), ('delivery_updates', 'order_id', 'orders'), ('delivery_updates', 'driver_id', 'drivers'),
+ ('delivery_updates', 'vehicle_id', 'vehicles'), ('vehicles', 'driver_id', 'drivers')]
 O["dq_referential"] = " UNION ALL ".join(
-    f"SELECT '{d}' AS dataset, '{c} in {p}' AS rule, count(*) FILTER (WHERE {c} IS NULL OR {c} NOT IN (SELECT {c} FROM {T[p]})) AS failed, count(*) AS total FROM {T[d]}" for d, c, p in (x.split() for x in REFS.split("|")))
+    f"SELECT '{d}' AS dataset, '{c} in {p}' AS rule, count(*) FILTER (WHERE {c} IS NULL OR {c} NOT IN (SELECT {c} FROM {T[p]})) AS failed, count(*) AS total FROM {T[d]}" for d, c, p in REFS)
 O["dq_population"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS dataset, (SELECT count(*) FROM (SELECT order_id FROM lg_orders EXCEPT SELECT order_id FROM {t})) AS ids_lost, (SELECT count(*) FROM (SELECT order_id FROM {t} EXCEPT SELECT order_id FROM lg_orders)) AS ids_added,
  (SELECT count(*) FROM lg_orders) AS source_rows, (SELECT count(*) FROM {t}) AS processed_rows""" for n, t in (("orders_clean", "c_orders"), ("delivery_features", "c_features")))
 DONE = {"orders_clean": "c_orders", "gps_clean": "c_gps", "weather_clean": "c_weather", "delivery_features": "c_features"}
-FLAGS = "orders_clean:is_delayed|gps_clean:is_moving is_low_signal|weather_clean:is_rainy heavy_rain_flag high_humidity_flag|delivery_features:is_delayed"
-O["dq_binary_flags"] = rules((d, DONE[d], f"{c} in 0,1", f"{c} IS NULL OR {c} NOT IN (0, 1)") for d, cols in (x.split(":") for x in FLAGS.split("|")) for c in cols.split())
-NONNEG = "orders_clean:order_value delivery_distance_km delivery_delay_min delivery_per_km_value|gps_clean:speed_kmph|weather_clean:rainfall_mm"
-O["dq_non_negative"] = rules((d, DONE[d], f"{c} not negative", f"{c} IS NULL OR {c} < 0") for d, cols in (x.split(":") for x in NONNEG.split("|")) for c in cols.split())
+# Columns of zeros and ones.
+FLAGS = {'orders_clean': ['is_delayed'],
+ 'gps_clean': ['is_moving', 'is_low_signal'],
+ 'weather_clean': ['is_rainy', 'heavy_rain_flag', 'high_humidity_flag'],
+ 'delivery_features': ['is_delayed']}
+O["dq_binary_flags"] = rules((d, DONE[d], f"{c} in 0,1", f"{c} IS NULL OR {c} NOT IN (0, 1)") for d, cols in FLAGS.items() for c in cols)
+# Columns that must not be negative.
+NONNEG = {'orders_clean': ['order_value', 'delivery_distance_km', 'delivery_delay_min', 'delivery_per_km_value'],
+ 'gps_clean': ['speed_kmph'],
+ 'weather_clean': ['rainfall_mm']}
+O["dq_non_negative"] = rules((d, DONE[d], f"{c} not negative", f"{c} IS NULL OR {c} < 0") for d, cols in NONNEG.items() for c in cols)
 CLEAN = {
     "orders_clean": "order_id customer_id warehouse_id driver_id vehicle_id order_date region order_status delivery_status order_value delivery_distance_km promised_delivery_time_min actual_delivery_time_min delivery_delay_min is_delayed positive_delay_min delivery_per_km_value",
     "gps_clean": "vehicle_id timestamp region latitude longitude speed_kmph heading vehicle_status ignition_status signal_quality date hour day_of_week weekday_index is_moving is_low_signal",

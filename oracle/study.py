@@ -34,36 +34,50 @@ O["prof_weather"] = profile("lg_weather", [[], ["location"], ["weather_condition
  f"{avg('rainfall_mm')} AS avg_rainfall_mm", f"{dbl('rainfall_mm')} AS total_rainfall_mm", "cast(max(rainfall_mm) AS double) AS max_rainfall_mm", BAD])
 
 # exploratory -----------------------------------------------------------------------------------------
-# Columns of the raw tables, numeric ones marked with *.
-COLUMNS = {
-    "orders": ("lg_orders", "order_id customer_id warehouse_id driver_id vehicle_id order_date region order_status delivery_status order_value* delivery_distance_km* promised_delivery_time_min* actual_delivery_time_min*"),
-    "customers": ("lg_customers", "customer_id customer_name region customer_type registration_date"),
-    "drivers": ("lg_drivers", "driver_id driver_name region experience_years* rating* employment_status license_type"),
-    "vehicles": ("lg_vehicles", "vehicle_id vehicle_type driver_id fuel_type capacity_kg* manufacture_year* maintenance_status vehicle_status odometer_km*"),
-    "warehouses": ("lg_warehouses", "warehouse_id warehouse_name region capacity_units* latitude* longitude*"),
-    "gps_tracking": ("lg_gps", "vehicle_id timestamp region latitude* longitude* speed_kmph* heading* vehicle_status ignition_status signal_quality"),
-    "weather": ("lg_weather", "date location latitude* longitude* temperature_c* humidity_pct* rainfall_mm* weather_condition"),
-    "traffic": ("lg_traffic", "timestamp location latitude* longitude* traffic_score* traffic_level average_speed_kmph*"),
-    "roads": ("lg_roads", "road_id start_location end_location road_type distance_km* lanes* speed_limit_kmph* road_condition"),
-    "delivery_updates": ("lg_updates", "event_id order_id driver_id vehicle_id event_timestamp region event_type delivery_status delay_minutes* source"),
-}
-
-
-def _cols(spec: str) -> list[str]:
-    return [c.rstrip("*") for c in spec.split()]
+# Columns of the raw tables, and which of them are numbers.
+COLUMNS = {'orders': ('lg_orders',
+            ['order_id', 'customer_id', 'warehouse_id', 'driver_id', 'vehicle_id', 'order_date', 'region', 'order_status',
+             'delivery_status', 'order_value', 'delivery_distance_km', 'promised_delivery_time_min', 'actual_delivery_time_min']),
+ 'customers': ('lg_customers', ['customer_id', 'customer_name', 'region', 'customer_type', 'registration_date']),
+ 'drivers': ('lg_drivers', ['driver_id', 'driver_name', 'region', 'experience_years', 'rating', 'employment_status', 'license_type']),
+ 'vehicles': ('lg_vehicles',
+              ['vehicle_id', 'vehicle_type', 'driver_id', 'fuel_type', 'capacity_kg', 'manufacture_year', 'maintenance_status',
+               'vehicle_status', 'odometer_km']),
+ 'warehouses': ('lg_warehouses', ['warehouse_id', 'warehouse_name', 'region', 'capacity_units', 'latitude', 'longitude']),
+ 'gps_tracking': ('lg_gps',
+                  ['vehicle_id', 'timestamp', 'region', 'latitude', 'longitude', 'speed_kmph', 'heading', 'vehicle_status',
+                   'ignition_status', 'signal_quality']),
+ 'weather': ('lg_weather',
+             ['date', 'location', 'latitude', 'longitude', 'temperature_c', 'humidity_pct', 'rainfall_mm', 'weather_condition']),
+ 'traffic': ('lg_traffic', ['timestamp', 'location', 'latitude', 'longitude', 'traffic_score', 'traffic_level', 'average_speed_kmph']),
+ 'roads': ('lg_roads',
+           ['road_id', 'start_location', 'end_location', 'road_type', 'distance_km', 'lanes', 'speed_limit_kmph', 'road_condition']),
+ 'delivery_updates': ('lg_updates',
+                      ['event_id', 'order_id', 'driver_id', 'vehicle_id', 'event_timestamp', 'region', 'event_type', 'delivery_status',
+                       'delay_minutes', 'source'])}
+NUMBERS = {'orders': ['order_value', 'delivery_distance_km', 'promised_delivery_time_min', 'actual_delivery_time_min'],
+ 'customers': [],
+ 'drivers': ['experience_years', 'rating'],
+ 'vehicles': ['capacity_kg', 'manufacture_year', 'odometer_km'],
+ 'warehouses': ['capacity_units', 'latitude', 'longitude'],
+ 'gps_tracking': ['latitude', 'longitude', 'speed_kmph', 'heading'],
+ 'weather': ['latitude', 'longitude', 'temperature_c', 'humidity_pct', 'rainfall_mm'],
+ 'traffic': ['latitude', 'longitude', 'traffic_score', 'average_speed_kmph'],
+ 'roads': ['distance_km', 'lanes', 'speed_limit_kmph'],
+ 'delivery_updates': ['delay_minutes']}
 
 
 O["eda_dataset_summary"] = f"SELECT *, {r('missing_cells * 100.0 / greatest(rows * columns, 1)')} AS missing_cells_pct FROM (" + " UNION ALL ".join(
-    f"SELECT '{n}' AS dataset, count(*) AS rows, cast({len(_cols(s))} AS bigint) AS columns, cast({' + '.join(f'(count(*) - count({c}))' for c in _cols(s))} AS bigint) AS missing_cells, "
+    f"SELECT '{n}' AS dataset, count(*) AS rows, cast({len(s)} AS bigint) AS columns, cast({' + '.join(f'(count(*) - count({c}))' for c in s)} AS bigint) AS missing_cells, "
     f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS duplicate_rows FROM {t}" for n, (t, s) in COLUMNS.items()) + ")"
 O["eda_missing_values"] = " UNION ALL ".join(
     f"SELECT '{n}' AS dataset, '{c}' AS column_name, count(*) - count({c}) AS missing_count, {r(f'(count(*) - count({c})) * 100.0 / greatest(count(*), 1)')} AS missing_pct FROM {t}"
-    for n, (t, s) in COLUMNS.items() for c in _cols(s))
+    for n, (t, s) in COLUMNS.items() for c in s)
 O["eda_numeric_summary"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS dataset, '{c[:-1]}' AS column_name, count({c[:-1]}) AS count, {r(f'cast(sum({c[:-1]}) AS double) / nullif(count({c[:-1]}), 0)', 6)} AS mean, "
-    f"{r(f'stddev_samp(cast({c[:-1]} AS double))', 6)} AS std, {r(f'min({c[:-1]})', 6)} AS min, "
-    + ", ".join(f"{r(f'quantile_cont(cast({c[:-1]} AS double), 0.{q})', 6)} AS q{q}" for q in (25, 50, 75))
-    + f", {r(f'max({c[:-1]})', 6)} AS max FROM {t}" for n, (t, s) in COLUMNS.items() for c in s.split() if c.endswith("*"))
+    f"SELECT '{n}' AS dataset, '{c}' AS column_name, count({c}) AS count, {r(f'cast(sum({c}) AS double) / nullif(count({c}), 0)', 6)} AS mean, "
+    f"{r(f'stddev_samp(cast({c} AS double))', 6)} AS std, {r(f'min({c})', 6)} AS min, "
+    + ", ".join(f"{r(f'quantile_cont(cast({c} AS double), 0.{q})', 6)} AS q{q}" for q in (25, 50, 75))
+    + f", {r(f'max({c})', 6)} AS max FROM {t}" for n, (t, _) in COLUMNS.items() for c in NUMBERS[n])
 DELAY = "actual_delivery_time_min - promised_delivery_time_min"
 V, A0 = f"{dbl('order_value')} AS total_order_value", f"{avg('order_value', None)} AS average_order_value"
 D0, LN = f"{avg(DELAY, None)} AS average_delay_min", f"{n_if(DELAY + ' > 0')} AS delayed_orders"
