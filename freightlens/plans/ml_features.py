@@ -168,7 +168,7 @@ def feature_tables(lake) -> dict[str, DataFrame]:
 
 @query("feat_summary")
 def feature_summary(lake):
-    """Rows, missing values and (approximate) distinct values of every feature column."""
+    """Rows, missing values and distinct values of every feature column."""
     parts = []
     for name, df in feature_tables(lake).items():
         kinds = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])

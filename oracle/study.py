@@ -162,6 +162,50 @@ SELECT *, 1 - delay_rate AS on_time_rate FROM (SELECT driver_id, {N}, {V}, {A0},
 O["feat_warehouse"] = f"""SELECT * EXCLUDE (k, n), CASE WHEN k <= 1 + (n - 1) * 0.25 THEN 'Low' WHEN k <= 1 + (n - 1) * 0.5 THEN 'Medium' WHEN k <= 1 + (n - 1) * 0.75 THEN 'High' ELSE 'Very High' END AS workload_segment FROM (
 SELECT *, row_number() OVER (ORDER BY total_orders, warehouse_id) AS k, count(*) OVER () AS n FROM (SELECT warehouse_id, {N}, {V}, {A0}, {D0}, {LN}, {DR} FROM lg_orders GROUP BY 1))"""
 
+# Type of every feature column.
+FEATURE_TYPES = {
+    "feat_delivery_weather": {
+        "string": [
+            "order_id", "customer_id", "warehouse_id", "driver_id", "vehicle_id", "region", "order_status", "delivery_status",
+            "feature_day_name", "order_value_band", "distance_band", "delay_severity", "weather_condition", "weather_risk_category",
+        ],
+        "date": ["order_date"], "decimal(18,2)": ["order_value"], "decimal(12,2)": ["delivery_distance_km"],
+        "decimal(8,2)": ["temperature_c", "humidity_pct"], "decimal(10,2)": ["rainfall_mm"],
+        "double": ["order_value_per_km", "distance_value_interaction", "planned_speed_kmph", "weather_risk_score"],
+        "int": [
+            "promised_delivery_time_min", "actual_delivery_time_min", "delivery_delay_min", "is_delayed", "feature_year", "feature_month",
+            "feature_day", "feature_day_of_week", "feature_week_of_year", "feature_is_weekend", "feature_is_month_start",
+            "feature_is_month_end", "is_rainy", "heavy_rain_flag", "high_humidity_flag",
+        ],
+    },
+    "feat_gps": {
+        "string": ["vehicle_id", "region", "vehicle_status", "ignition_status", "feature_day_name", "speed_band", "signal_quality_band"],
+        "timestamp_ntz": ["timestamp"], "decimal(10,6)": ["latitude", "longitude"], "decimal(10,2)": ["speed_kmph"],
+        "decimal(6,2)": ["heading"], "double": ["signal_quality"],
+        "int": [
+            "feature_year", "feature_month", "feature_day", "feature_day_of_week", "feature_week_of_year", "feature_is_weekend", "gps_hour",
+            "is_peak_hour", "is_moving", "is_high_speed", "is_low_signal", "is_active_vehicle",
+        ],
+    },
+    "feat_customer": {
+        "string": ["customer_id", "customer_value_segment", "customer_frequency_segment"],
+        "bigint": ["total_orders", "delayed_orders", "active_order_days"],
+        "double": ["total_order_value", "average_order_value", "average_distance_km", "average_delay_min", "delay_rate", "on_time_rate"],
+        "date": ["first_order_date", "last_order_date"], "int": ["customer_lifetime_days"],
+    },
+    "feat_driver": {
+        "string": ["driver_id", "driver_performance_category"], "bigint": ["total_orders", "delayed_orders"],
+        "double": ["total_order_value", "average_order_value", "average_delay_min", "average_distance_km", "delay_rate", "on_time_rate"],
+    },
+}
+FEATURE_SETS = {
+    "feat_delivery_weather": "delivery_features", "feat_gps": "gps_features", "feat_customer": "customer_features", "feat_driver": "driver_features",
+}
+O["feat_summary"] = " UNION ALL ".join(
+    f"SELECT '{FEATURE_SETS[q]}' AS feature_dataset, '{c}' AS feature_name, '{kind}' AS data_type, count(*) AS rows, count(*) - count({c}) AS missing_count, "
+    f"{r(f'(count(*) - count({c})) * 100.0 / count(*)')} AS missing_pct, count(DISTINCT {c}) AS unique_values FROM ({O[q]})"
+    for q, kinds in FEATURE_TYPES.items() for kind, columns in kinds.items() for c in columns)
+
 # route analysis --------------------------------------------------------------------------------------
 MV = f"{n_if('speed_kmph > 3')} AS moving_observations"
 MP = r("count(*) FILTER (WHERE speed_kmph > 3) * 100.0 / count(*)") + " AS moving_share_pct"
