@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import ship, stage
-from freightlens.llm.pretokens import vocabulary, worker_cache
+from freightlens.llm.pretokens import chunk_of, vocabulary, worker_cache
 
 CAPACITY, END_ID = 2048, 0
 
 
 def encoded(batches, path: str | None, end_id: int):
     """(text column's row, little-endian ids with the end id) for every batch."""
-    cache = worker_cache(path or vocabulary(), "ids")
+    cache = worker_cache(path or vocabulary(), "ids", 1_000_000)
     known, end = cache.known, np.array([end_id], "<u4").tobytes()
 
     def pack(ids):
@@ -42,9 +42,9 @@ def encoded(batches, path: str | None, end_id: int):
             if not x:
                 out.append(end)
             elif cache.plain(x):
-                pieces = cache.split(x)
-                values = list(map(known.get, pieces))
-                out.append(b"".join(cache.resolve(pieces, values, pack) if None in values else values) + end)
+                chunks = cache.chunks(x) or list(map(chunk_of, cache.split(x)))
+                values = list(map(known.get, chunks))
+                out.append(b"".join(cache.resolve_chunks(chunks, values, pack, b"".join) if None in values else values) + end)
             else:
                 out.append(pack(cache.ids([x])[0]) + end)
         yield b, out
@@ -140,7 +140,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
     spark = docs.sparkSession
     ship(spark)
     cut = stage(pieces(docs, key, text, path, capacity, end_id), "packing-pieces")
-    buckets = max(1, -(-cut.count() // 20_000))
+    buckets = max(1, -(-cut.count() // 2_000))
     cut = cut.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)))
     sizes = cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 
+import numpy as np
 import regex
 
 #: The split of the byte-level pre-tokenizer (fixed value).
@@ -18,6 +19,12 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Characters of which every library thinks alike: tab to carriage return, printable ASCII, Latin to Cyrillic, punctuation, kana to ideographs.
 UNUSUAL = r"[^\t-\r\x20-\x7E¡-ɏΑ-ΡΣ-ϿЀ-ҁҊ-ԯ‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣]"
 
+#: White space that a pre-token may share across a cut, and white space other than spaces and newlines.
+JOINING = r"[ \n]{2}|\A[ \n]|[ \n]\Z|[\t\r\f\v]"
+
+#: Marks a chunk without a leading space; no plain text holds this character.
+FIRST = "\x02"
+
 _LOADED: dict[str, PieceCache] = {}
 
 
@@ -41,6 +48,7 @@ class PieceCache:
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.split = regex.compile(PATTERN).findall
         self.unusual = regex.compile(UNUSUAL).search
+        self.joining = regex.compile(JOINING).search
         self.limit, self.known = limit, {}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -50,18 +58,71 @@ class PieceCache:
     def plain(self, text: str) -> bool:
         return not (self.unusual(text) or (self.special and self.special.search(text)))
 
+    def chunks(self, text: str) -> list[str] | None:
+        """The text cut before single spaces and newlines, or None where white space may join across cuts.
+
+        A cut before a space or newline between other characters is a border of pre-tokens, so chunks can be
+        encoded by themselves. The first chunk has no space of its own.
+        """
+        if self.joining(text):
+            return None
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return [FIRST + first, *rest]
+
+    def resolve_chunks(self, chunks: list[str], values: list, make, join) -> list:
+        """Fill the gaps of `values` (None): a chunk's value joins those of its pre-tokens, through the cache."""
+        missing = {c for c, v in zip(chunks, values) if v is None}
+        split = {c: self.split(c[1:] if c[0] == FIRST else c if c[0] == "\n" else " " + c) for c in missing}
+        parts = {p for pieces in split.values() for p in pieces}
+        new = [p for p in parts if chunk_of(p) not in self.known]
+        if len(self.known) + len(new) + len(split) > self.limit:
+            self.known.clear()
+            new = list(parts)
+        for p, ids in zip(*self.encoded(new)):
+            self.known[chunk_of(p)] = make(ids)
+        known = self.known
+        for c, pieces in split.items():
+            if len(pieces) > 1:
+                known[c] = join([known[chunk_of(p)] for p in pieces])
+        return [known[c] if v is None else v for c, v in zip(chunks, values)]
+
     def resolve(self, pieces: list[str], values: list, make) -> list:
         """Fill the gaps of `values` (None) with make(ids) of the piece, through the cache."""
         missing = {p for p, v in zip(pieces, values) if v is None}
-        missing = [p for p in missing if p not in self.known]
-        if len(self.known) + len(missing) > self.limit:
-            missing = list({p for p, v in zip(pieces, values) if v is None})
-            self.known.clear()
-        for p, ids in zip(missing, self.ids(missing)):
-            self.known[p] = make(ids)
+        self.learn([p for p in missing if p not in self.known], make, missing)
         known = self.known
         return [known[p] if v is None else v for p, v in zip(pieces, values)]
 
+    def learn(self, pieces: list[str], make, keep: set[str]) -> None:
+        """Encode pieces that are not cached."""
+        if len(self.known) + len(pieces) > self.limit:
+            self.known.clear()
+            pieces = list(keep)
+        for p, ids in zip(*self.encoded(pieces)):
+            self.known[p] = make(ids)
+
+    def encoded(self, pieces: list[str]) -> tuple[list[str], list]:
+        """Pieces and their ids. Words with a leading space are encoded as one text, which splits as they do."""
+        words = [p for p in pieces if p[:1] == " " and p[1:].isalpha()]
+        others = [p for p in pieces if not (p[:1] == " " and p[1:].isalpha())]
+        found = []
+        if words:
+            e = self.tokenizer.encode("".join(words), add_special_tokens=False)
+            ids = e.ids
+            cuts = [0, *(np.flatnonzero(np.diff(np.array(e.word_ids))) + 1).tolist(), len(ids)]
+            if len(cuts) == len(words) + 1:
+                found = [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+            else:
+                words, others = [], pieces
+        return words + others, found + self.ids(others)
+
+
+def chunk_of(piece: str) -> str:
+    """The chunk that holds just this pre-token."""
+    if piece[0] == " " and not piece.isspace():
+        return piece[1:]
+    return piece if piece[0] == "\n" else FIRST + piece
+
 
 def worker_cache(path: str, kind: str, limit: int = 400_000) -> PieceCache:
     """The cache of this worker process for one kind of value."""
