@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import os
 import tempfile
 import uuid
@@ -48,6 +49,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect garbage now, so that Spark's cleaner removes shuffle files of steps that are done."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextlib.contextmanager
 def rows_per_batch(spark: SparkSession, n: int):
     """Within this block, Arrow batches hold at most n rows: for rows of many bytes."""

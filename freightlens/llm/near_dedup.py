@@ -11,7 +11,7 @@ with the probability of the multisets' weighted Jaccard similarity.
 
 Texts that agree in a band of components meet in a bucket. Pairs within a bucket are never all listed:
 per round a pivot is compared with the members that are not yet in its component, linked components
-merge, buckets of one component retire and pivots leave, with twice the pivots per round. When the
+merge, buckets of one component retire and pivots leave, with eight times the pivots per round. When the
 comparisons left are few for the size of the buckets they are all made, so every pair of a bucket is
 either verified or connected otherwise. Pairs whose signatures rule the threshold out by six standard
 deviations are passed over; the others are verified on the shingles themselves.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import GOLD, bit_filter, components, in_filter, mix, ship, stage
+from freightlens.llm.common import GOLD, bit_filter, components, in_filter, mix, rows_per_batch, ship, stage
 from freightlens.llm.words import alnum_words, runs, word_hashes
 
 WORDS, SIMILARITY = 5, 0.8
@@ -208,7 +208,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, vertices: DataFrame, w
         return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
 
     full = likely.join(bags.withColumnsRenamed({"v": "a", "bag": "ba"}), "a").join(bags.withColumnsRenamed({"v": "b", "bag": "bb"}), "b")
-    return full.where(verified("ba", "bb")).select("a", "b")
+    with rows_per_batch(spark, 500):  # a row holds two bags
+        return stage(full.where(verified("ba", "bb")).select("a", "b"), "near-verified")
 
 
 def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -229,7 +230,7 @@ def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similari
         total = members.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("label") != F.col("main"), F.col("all"))).alias("cost")).first()
         if not total["n"]:
             break
-        done = total["cost"] <= 4 * total["n"]
+        done = total["cost"] <= 8 * total["n"]
         others = members.where("label <> main").select("bucket", F.col("v").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
         if not done:
             turn = Window.partitionBy("bucket").orderBy(F.xxhash64("p", F.lit(pivots)), "p")
@@ -240,7 +241,7 @@ def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similari
         labels = stage(components(edges, "near-components"), "near-labels")
         if not done:
             members = members.select("bucket", "v", "n").join(others.select("bucket", F.col("p").alias("v")), ["bucket", "v"], "left_anti")
-            pivots *= 2
+            pivots *= 8
     return labels if labels is not None else spark.createDataFrame([], "v binary, root binary")
 
 
