@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from freightlens.llm.common import ship
 from freightlens.llm.words import alnum_words
 
-FIT_ROWS, VOTERS, THRESHOLD = 30_000, 512, 0.3
+FIT_ROWS, VOTERS, THRESHOLD = 20_000, 512, 0.3
 BEGINNINGS = (4, 5, 6, 7, 8)
 
 # Words that insult in most contexts.
@@ -79,15 +79,19 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25, related
     Three more voters join: silence (no voter fires), and the annotators for and against. A voter that
     abstains gives no evidence. Correlations of residuals below `related_from` count as noise.
     """
-    every = np.column_stack([votes, votes.sum(1) == 0, labels == 1, labels != 1]).astype(float)
+    every = np.column_stack([votes, votes.sum(1) == 0, labels == 1, labels != 1]).astype(np.float32)
     posterior = np.where(labels == 1, 0.95, 0.02)
     for _ in range(rounds):
         prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
         a = (posterior @ every + 0.1) / (posterior.sum() + 1)
         b = ((1 - posterior) @ every + 0.1) / ((1 - posterior).sum() + 1)
-        residual = every - np.outer(posterior, a) - np.outer(1 - posterior, b)
-        spread = residual.std(0) + 1e-9
-        related = np.abs(residual.T @ residual / len(residual) / np.outer(spread, spread))
+        cross = np.zeros((len(a), len(a)))
+        for at in range(0, len(every), 2000):  # a block at a time, to hold few copies of the votes
+            p = posterior[at : at + 2000, None]
+            residual = every[at : at + 2000] - p * a - (1 - p) * b
+            cross += residual.T @ residual
+        spread = np.sqrt(np.diag(cross)) + 1e-9
+        related = np.abs(cross / np.outer(spread, spread))
         related[-3:] = related[:, -3:] = 0  # these three are tied to the others by definition
         share = 1 / np.maximum(1, np.where(related >= related_from, related, 0).sum(1))
         odds = np.log(prior / (1 - prior)) + every @ (np.log(a / b) * share)
@@ -97,12 +101,17 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25, related
 
 def regression(votes: np.ndarray, target: np.ndarray, penalty: float = 0.05, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft targets, by Newton steps."""
-    x = np.column_stack([votes, np.ones(len(votes))]).astype(float)
+    x = np.column_stack([votes, np.ones(len(votes))]).astype(np.float32)
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge), x.T @ (target - p) - ridge * w)
+        curve, pull = np.diag(ridge), -ridge * w
+        for at in range(0, len(x), 2000):
+            block, q = x[at : at + 2000].astype(float), p[at : at + 2000]
+            curve = curve + (block * (q * (1 - q) + 1e-6)[:, None]).T @ block
+            pull = pull + block.T @ (target[at : at + 2000] - q)
+        step = np.linalg.solve(curve, pull)
         w += np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-5:
             break
