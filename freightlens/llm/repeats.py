@@ -132,7 +132,7 @@ def _ranks(docs: DataFrame, length: int) -> DataFrame:
             found = []
             for _, parts, _ in units(b, 1, length):
                 _, _, at, ranks = _sampled(parts, length)
-                found.append(ranks[np.unique(at)])
+                found.append(ranks[at[np.flatnonzero(np.diff(at, prepend=-1))]])
             yield pack_keys(found, None, bits)
 
     return count_keys(docs.mapInArrow(rank, PACKED), 2)
@@ -169,12 +169,13 @@ class Stretch:
 
     def __init__(self, data: bytes, length: int, held=None):
         sums = prefix_sums(np.frombuffer(data, np.uint8))
-        self.ranks, self.length = pairs_of_halves(sums, length), length
-        level = length * 9 // 10
+        self.length, level = length, length * 9 // 10
         long = fingerprints(sums, level)
         at = smallest(long, length - level + 1)
-        self.sampled = long[np.unique(at)]
-        if held is not None:
+        if held is None:
+            self.sampled = long[at[np.flatnonzero(np.diff(at, prepend=-1))]]
+        else:
+            self.ranks = pairs_of_halves(sums, length)
             self.open = in_filter(long[at], held)
             self.in_sample = self.open & (self.ranks % np.uint64(SAMPLE) == 0)
 
