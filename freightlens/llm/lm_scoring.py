@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import GOLD, bit_filter, in_filter, mix, ship, stage, width
+from freightlens.llm.common import GOLD, PACKED, bit_filter, count_keys, in_filter, key_buckets, mix, pack_keys, release, ship, stage
 
 DEPTH, P_MIN, MIN_COUNT = 2, 2e-6, 8
 DISCOUNT, LEAST_GAIN, LEAST_RATE = 0.75, 5.0, 0.01
@@ -57,23 +57,45 @@ def extend(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * GOLD + word)
 
 
-def _tally(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if weights is None:
-        return np.unique(keys, return_counts=True)
-    k, at = np.unique(keys, return_inverse=True)
-    return k, np.bincount(at, weights, len(k)).astype(np.int64)
+def token_runs(texts: list[bytes | None], size: int = 200_000):
+    """(tokens of some texts side by side, where each text begins) for about `size` tokens at a time."""
+    run, begins, n = [], [], 0
+    for x in texts:
+        t = tokens(x)
+        run.append(t), begins.append(n)
+        n += len(t)
+        if n >= size:
+            yield np.concatenate(run), np.array(begins)
+            run, begins, n = [], [], 0
+    if run:
+        yield np.concatenate(run), np.array(begins)
+
+
+def contexts(t: np.ndarray, begins: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For lengths 1 to `depth`: the key of the tokens before each token, and whether they lie in its text."""
+    place = np.arange(len(t)) - np.repeat(begins, np.diff(np.append(begins, len(t))))
+    out, last = [], None
+    for d in range(1, depth + 1):
+        x = np.zeros(len(t), np.uint64)
+        x[1:] = t[:-1] if d == 1 else extend(last[:-1], t[:-1])
+        out.append((x, place >= d))
+        last = x
+    return out
 
 
 def _words(training: DataFrame) -> DataFrame:
     """(h, c) of all training tokens."""
+    bits = key_buckets(training.sparkSession)
 
     def count(batches):
         for b in batches:
-            found = [tokens(x) for x in b.column(0).to_pylist()]
-            h, n = _tally(np.concatenate(found) if found else np.array([], np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+            keys, counts = [], []
+            for t, _ in token_runs(b.column(0).to_pylist(), 2_000_000):
+                k, n = np.unique(t, return_counts=True)
+                keys.append(k), counts.append(n)
+            yield pack_keys(keys, counts, bits)
 
-    return training.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
+    return count_keys(training.mapInArrow(count, PACKED), 1).withColumnRenamed("n", "c")
 
 
 def _position(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -84,19 +106,9 @@ def _position(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-def contexts(t: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Keys of the 1 to `depth` tokens before each token from the second on; those that reach before the text are 0."""
-    out = [t[:-1]]
-    for d in range(2, depth + 1):
-        x = np.zeros(len(t) - 1, np.uint64)
-        x[d - 1 :] = extend(out[-1][d - 2 : -1], t[d - 1 : -1]) if len(t) > d else x[d - 1 :]
-        out.append(x)
-    return out
-
-
 def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
     """(ctx, h, c): words seen at least twice after a candidate context of `depth` tokens."""
-    bits = min(16, max(6, (2 * width(training.sparkSession) - 1).bit_length()))
+    bits = key_buckets(training.sparkSession)
 
     def pack(ctx, h):
         k = extend(held.value[ctx], h)
@@ -112,15 +124,11 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
     def collect(batches):
         ctxs, hs, size = [], [], 0
         for b in batches:
-            for x in b.column(0).to_pylist():
-                t = tokens(x)
-                if len(t) <= depth:
-                    continue
-                at = _position(held.value, contexts(t, depth)[depth - 1])
-                if depth > 1:
-                    at[: depth - 1] = -1
-                yes = at >= 0
-                ctxs.append(at[yes].astype(np.int32)), hs.append(t[1:][yes])
+            for t, begins in token_runs(b.column(0).to_pylist()):
+                before, inside = contexts(t, begins, depth)[-1]
+                at = _position(held.value, before)
+                yes = inside & (at >= 0)
+                ctxs.append(at[yes].astype(np.int32)), hs.append(t[yes])
                 size += len(hs[-1])
                 if size > 4_000_000:
                     yield pack(np.concatenate(ctxs), np.concatenate(hs))
@@ -174,20 +182,21 @@ def _level(pairs: DataFrame, sizes: DataFrame, below: DataFrame | None, words: D
     whole probability there. p of the result is the probability of the word after the context.
     """
     root = (F.col("cw") + 1) / F.lit(float(total + distinct + 1))
-    rows = pairs.join(words.select("h", F.col("c").alias("cw")), "h").join(sizes, "ctx")
+    # Tables of candidates have at most 1 / p_min rows of a few numbers each.
+    rows = pairs.join(words.select("h", F.col("c").alias("cw")), "h").join(F.broadcast(sizes), "ctx")
     if below is not None:
         rows = rows.join(below.select("suffix", "h", F.col("p").alias("pb")), ["suffix", "h"], "left").withColumn("par", F.coalesce("pb", root))
     else:
         rows = rows.withColumn("par", root)
     taken = pairs.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("taken"), F.sum("c").alias("seen"))
-    rest = sizes.join(taken, "ctx").withColumn("rest", 1 - F.col("taken") / F.col("n"))
-    rows = rows.join(rest.select("ctx", "rest"), "ctx")
+    rest = F.broadcast(sizes).join(taken, "ctx").withColumn("rest", 1 - F.col("taken") / F.col("n"))
+    rows = rows.join(F.broadcast(rest.select("ctx", "rest")), "ctx")
     without = F.when(F.col("c") >= 3, (F.col("c") - 1 - DISCOUNT) / F.greatest(F.col("n") - 1, F.lit(1))).otherwise(0.0)
     gain = F.col("c") * F.log((without + F.col("rest") * F.col("par")) / F.col("par"))
     gains = rows.groupBy("ctx").agg(F.sum(gain).alias("gain"))
     kept = rest.join(gains, "ctx").withColumn("gain", F.col("gain") + (F.col("n") - F.col("seen")) * F.log("rest"))
     kept = kept.where((F.col("gain") > LEAST_GAIN) & (F.col("gain") > LEAST_RATE * F.col("n"))).select("ctx", "n", "rest", "suffix")
-    explicit = rows.join(kept.select("ctx"), "ctx", "left_semi").select("ctx", "h", "c", ((F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).alias("p"))
+    explicit = rows.join(F.broadcast(kept.select("ctx")), "ctx", "left_semi").select("ctx", "h", "c", ((F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).alias("p"))
     return kept, explicit
 
 
@@ -205,6 +214,7 @@ def suffix_tree(training: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, m
     ship(training.sparkSession)
     spark = training.sparkSession
     words = stage(_words(training), "lm-words")
+    release(spark)
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
     least = max(min_count, math.ceil(p_min * total))
@@ -218,6 +228,7 @@ def suffix_tree(training: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, m
         pairs = stage(_pairs(training, spark.sparkContext.broadcast(candidates), d), f"lm-pairs-{d}")
         kept, explicit = _level(pairs, sizes, below, words, total, distinct)
         kept, explicit = stage(kept, f"lm-kept-{d}"), stage(explicit.withColumn("k", _key("ctx", "h")), f"lm-explicit-{d}")
+        release(spark)
         levels.append((*_array(kept, "ctx", "n", "rest"), explicit.select("k", "c")))
         below = explicit.withColumnRenamed("ctx", "suffix")
         if d < depth:
@@ -255,46 +266,48 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
     def score(batches):
         row = TaskContext.get().partitionId() << 33
         for b in batches:
-            texts = [tokens(x) for x in b.column(1).to_pylist()]
-            base, full, seen, rest = [], [], [], []
-            for t in texts:
-                c = [known(0, t)]
-                before = contexts(t, max(1, depth)) if len(t) > 1 else []
-                keys, ns, rs = [t], [], []
-                for i in range(depth):
-                    names, sizes, shares = state.value["levels"][i]
+            sizes, base, full, seen, rest = [], [], [], [], []
+            for t, begins in token_runs(b.column(1).to_pylist()):
+                c, keys, ns, rs = [known(0, t)], [t], [], []
+                for i, (before, inside) in enumerate(contexts(t, begins, depth)):
+                    names, amounts, shares = state.value["levels"][i]
                     n, r, k, own = np.zeros(len(t)), np.ones(len(t)), np.zeros(len(t), np.uint64), np.zeros(len(t), np.int64)
-                    if before and len(names):
-                        at = _position(names, before[i])
-                        at[:i] = -1
-                        yes = np.flatnonzero(at >= 0)
-                        k[yes + 1] = extend(before[i][yes], t[yes + 1])
-                        n[yes + 1], r[yes + 1] = sizes[at[yes]], shares[at[yes]]
-                        own[yes + 1] = known(i + 1, k[yes + 1])
+                    at = _position(names, before)
+                    yes = np.flatnonzero(inside & (at >= 0))
+                    k[yes] = extend(before[yes], t[yes])
+                    n[yes], r[yes] = amounts[at[yes]], shares[at[yes]]
+                    own[yes] = known(i + 1, k[yes])
                     keys.append(k), ns.append(n), rs.append(r), c.append(own)
                 open_ = np.any([x < 0 for x in c], axis=0)
-                sure = ~open_
                 p0 = (np.maximum(c[0], 0) + 1) / norm
                 p = p0
                 for i in range(depth):
                     p = np.where(c[i + 1] > 1, (c[i + 1] - DISCOUNT) / np.maximum(ns[i], 1), 0) + rs[i] * p
-                base.append(float(np.log10(p0[sure]).sum())), full.append(float(np.log10(p[sure]).sum())), seen.append(int((c[0][sure] > 0).sum()))
-                cols = [x[open_].view(np.int64).tolist() for x in keys] + [x[open_].tolist() for x in c] + [y[open_].tolist() for pair in zip(ns, rs) for y in pair]
-                rest.append([dict(zip((n for n, _ in each), v)) for v in zip(*cols)])
+                sizes += np.diff(np.append(begins, len(t))).tolist()
+                base += np.add.reduceat(np.where(open_, 0, np.log10(p0)), begins).tolist()
+                full += np.add.reduceat(np.where(open_, 0, np.log10(p)), begins).tolist()
+                seen += np.add.reduceat((c[0] > 0) & ~open_, begins, dtype=np.int64).tolist()
+                at = np.flatnonzero(open_)
+                columns = [x[at].view(np.int64) for x in keys] + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
+                values = pa.StructArray.from_arrays([pa.array(x, k) for x, (_, k) in zip(columns, each)], [n for n, _ in each])
+                cuts = pa.array(np.append(np.searchsorted(at, begins), len(at)), pa.int32())
+                rest.append(pa.ListArray.from_arrays(cuts, values))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(b.num_rows)), b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(full, pa.float64()), pa.array(rest, tail)],
+                [pa.array(row + np.arange(b.num_rows)), b.column(0), pa.array(sizes, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(full, pa.float64()), pa.concat_arrays(rest) if rest else pa.array([], tail)],
                 ["row", key, "n_tokens", "n_known", "base", "full", "rest"],
             )
             row += b.num_rows
 
     shape = ",".join(f"{n}:{'long' if t == pa.int64() else 'double'}" for n, t in each)
     scored = stage(docs.select(F.col(key), F.col(text).cast("binary")).mapInArrow(score, f"row long, `{key}` {kind}, n_tokens long, n_known long, base double, full double, rest array<struct<{shape}>>"), "lm-scored")
-    open_ = scored.select("row", F.posexplode("rest").alias("i", "x")).select("row", "i", "x.*")
+    release(spark)
+    open_ = scored.select("row", F.explode("rest").alias("x")).select("row", "x.*")
     for i, t in enumerate(tables):
-        # A count that is known joins by a key of its own that no table holds.
-        k = F.when(F.col(f"c{i}") < 0, F.col(f"k{i}")).otherwise(F.xxhash64("row", "i", F.lit(i)))
-        open_ = open_.withColumn("k", k).join(t.select("k", F.col("c").alias("found")), "k", "left")
-        open_ = open_.withColumn(f"c{i}", F.when(F.col(f"c{i}") < 0, F.coalesce("found", F.lit(0))).otherwise(F.col(f"c{i}"))).drop("k", "found")
+        # Only tokens whose count is not known take the join.
+        asked = open_.where(F.col(f"c{i}") < 0).join(t.select(F.col("k").alias(f"k{i}"), F.col("c").alias("found")), f"k{i}", "left")
+        asked = asked.withColumn(f"c{i}", F.coalesce("found", F.lit(0).cast("long")))
+        columns = [c for c in open_.columns if c != f"k{i}"]
+        open_ = asked.select(*columns).union(open_.where(F.col(f"c{i}") >= 0).select(*columns))
     p0 = (F.col("c0") + 1) / norm
     p = p0
     for i in range(1, depth + 1):
