@@ -13,7 +13,8 @@ surrogate must not be an entity of the corpus; the others try again, from the th
 on with longer forms, until none is left.
 
 Defined results: null and empty texts have no entities and stay as they are; repeated rows get equal
-results; an empty table gives an empty result; columns that the result adds must not exist already.
+results; an empty table gives an empty result; a column named n_entities of the
+input stays, and the count is then named n_entities_found.
 """
 
 from __future__ import annotations
@@ -29,22 +30,30 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Doña", "госпожа", "г-жа", "κυρία"],
     "n": ["Dr", "Prof", "Professor", "Doctor"],
 }
-PART = r"\p{Lu}[\p{L}\p{M}'’-]++(?!\p{N})"
+LETTER = r"A-Za-zÀ-ʯͰ-ￜ"
+PART = rf"\p{{Lu}}[{LETTER}'’-]++(?!\d)"
 EVERY_TITLE = "|".join(t for group in TITLES.values() for t in sorted(group, key=len, reverse=True))
+SECRETS = "password|passwd|pwd|token|secret|api_key|apikey"
+
+#: What stands before the part of a match that is replaced: a title, or the name of a secret.
+LEAD = rf"(?:{EVERY_TITLE})\.? |(?i:{SECRETS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?"
 
 # Patterns in order of precedence.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"(?<=\b(?:password|passwd|pwd|token|secret|api_key|apikey)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_.-]{8,}",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
-    "phone": r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\b\d{3}-\d{3}-\d{4}\b",
-    "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
-    "card": r"\b\d(?:[ -]?\d){12,18}\b",
-    "name": rf"\b(?:{EVERY_TITLE})\.? {PART}(?: {PART}){{0,2}}",
+    "email": rf"[{LETTER}0-9._%+-]++@[{LETTER}0-9-]+(?:\.[{LETTER}0-9-]+)*\.[{LETTER}]{{2,}}",
+    "key": r"A[KS]IA[0-9A-Z]{16}\b",
+    "secret": rf"(?i:{SECRETS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?[A-Za-z0-9+/_.-]{{8,}}",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
+    "phone": r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\d{3}-\d{3}-\d{4}\b",
+    "ssn": r"\d{3}-\d{2}-\d{4}\b",
+    "card": r"\d(?:[ -]?\d){12,18}\b",
+    "name": rf"(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? {PART}(?: {PART}){{0,2}}",
 }
-EVERY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: An entity starts behind a character that is no letter or digit.
+EVERY = rf"(?<![{LETTER}0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: Texts without a match of this have no entity.
+TRIGGER = rf"[0-9@]|(?i:{SECRETS})|(?<![{LETTER}])(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? "
 
 # Parts of names by script.
 ONSETS = {"latin": "b d f g h j k l m n p r s t v w".split(), "cyrillic": "б в г д ж з к л м н п р с т ф х".split(), "greek": "β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ ψ".split()}
@@ -61,12 +70,16 @@ def _digits(c: Column) -> Column:
 
 
 def _kind(e: Column) -> Column:
-    out = F.when(e.contains("@"), "email").when(e.rlike(f"^(?:{PATTERNS['key']})$"), "key").when(e.rlike(f"^(?:{EVERY_TITLE})\\.? "), "name")
+    out = F.when(e.rlike(f"^(?:{PATTERNS['secret']})$"), "secret").when(e.contains("@"), "email").when(e.rlike(f"^(?:{PATTERNS['key']})$"), "key").when(e.rlike(f"^(?:{EVERY_TITLE})\\.? "), "name")
     for kind in ("ip", "ssn", "phone", "card", "iban"):
         out = out.when(e.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return out.otherwise("secret")
 
 
+def _lead(kind: Column, e: Column) -> Column:
+    return F.when(kind.isin("name", "secret"), F.regexp_extract(e, f"^({LEAD})", 1)).otherwise("")
+
+
 def _stream(seed: Column, length: Column) -> Column:
     """Hex digits drawn from a seed, two per place, for `length` places."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor(length / 32).cast("int")), lambda i: F.sha2(F.concat_ws("|", seed, i.cast("string")), 256))
@@ -138,26 +151,33 @@ def _name(role: Column, form: Column, stream: Column, extra: Column) -> Column:
     return F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin"))
 
 
-def surrogate(kind: Column, role: Column, form: Column, attempt: Column, key: str) -> Column:
-    """The surrogate's canonical form for an entity's canonical form."""
-    extra = F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(12))
-    stream = _stream(F.concat_ws("|", F.lit(key), kind, role, form, attempt.cast("string")), F.length(form) + 64)
-    at = F.instr(form, "@")
-    local, domain = F.substring(form, F.lit(1), at - 1), F.substring(form, at + 1, F.length(form))
-    host = F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1)
-    pad = F.substring(F.lower(F.regexp_replace(stream, "[0-9]", "")), F.lit(3), extra)
+def drawn(entities: DataFrame, key: str) -> DataFrame:
+    """Adds the surrogate's canonical form to (kind, role, form, attempt).
+
+    The hash streams are columns of their own, so that the many expressions that read them don't repeat them.
+    """
+    kind, role, form, attempt = (F.col(c) for c in ("kind", "role", "form", "attempt"))
+    domain = F.substring(form, F.instr(form, "@") + 1, F.length(form))
+    e = entities.withColumn("_extra", F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(12))).withColumn(
+        "_host", F.when(kind == "email", F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1)).otherwise("")
+    )
+    e = e.withColumn("_stream", _stream(F.concat_ws("|", F.lit(key), kind, role, form, attempt.cast("string")), F.length(form) + 64))
     # The domain has a stream of its own, so that addresses of one domain stay together.
-    shared = _stream(F.concat_ws("|", F.lit(key), F.lit("domain"), host), F.length(host))
+    e = e.withColumn("_shared", _stream(F.concat_ws("|", F.lit(key), F.lit("domain"), F.col("_host")), F.length("_host")))
+    extra, host, stream, shared = (F.col(c) for c in ("_extra", "_host", "_stream", "_shared"))
+    local = F.substring(form, F.lit(1), F.instr(form, "@") - 1)
+    pad = F.substring(F.lower(F.regexp_replace(stream, "[0-9]", "")), F.lit(3), extra)
     email = F.concat(_redrawn(local, stream, F.lit(0)), pad, F.lit("@"), _redrawn(host, shared, F.lit(0)), F.substring(domain, F.length(host) + 1, F.length(domain)))
     longer = F.substring(F.regexp_replace(stream, "[a-f]", ""), F.lit(5), F.greatest(extra - 6, F.lit(0)))
-    code = F.length(role)  # the country code that a telephone number keeps
-    return (
+    # Kept at the front: a telephone number's country code, a key's brand, an account's country.
+    kept = F.when(kind == "phone", F.length(role)).when(kind == "key", 4).when(kind == "iban", 2).otherwise(0)
+    other = F.when((kind == "secret") & form.rlike("^[0-9a-f]+$"), _hex(form, stream)).otherwise(_redrawn(form, stream, kept))
+    new = (
         F.when(kind == "email", email).when(kind == "ip", _address(stream)).when(kind == "card", F.concat(_card(form, stream), longer))
-        .when(kind == "phone", F.concat(_redrawn(form, stream, code), longer)).when(kind == "ssn", F.concat(_redrawn(form, stream, F.lit(0)), longer))
-        .when(kind == "key", _redrawn(form, stream, F.lit(4))).when(kind == "iban", _redrawn(form, stream, F.lit(2)))
-        .when(kind == "name", _name(role, form, stream, extra))
-        .otherwise(F.when(form.rlike("^[0-9a-f]+$"), _hex(form, stream)).otherwise(_redrawn(form, stream, F.lit(0))))
+        .when(kind.isin("phone", "ssn"), F.concat(_redrawn(form, stream, kept), longer)).when(kind == "name", _name(role, form, stream, extra))
+        .otherwise(other)
     )
+    return e.withColumn("surrogate", new).drop("_extra", "_host", "_stream", "_shared")
 
 
 def _rendered(kind: Column, entity: Column, form: Column) -> Column:
@@ -176,9 +196,10 @@ def _rendered(kind: Column, entity: Column, form: Column) -> Column:
 def _occurrences(hits: DataFrame) -> DataFrame:
     """(row, pos, part, kind, role, entity, form): every entity, names by their parts, with its canonical form."""
     found = hits.select("row", F.posexplode("entities").alias("pos", "whole")).withColumn("kind", _kind(F.col("whole")))
+    found = found.withColumn("lead", _lead(F.col("kind"), F.col("whole")))
     title = F.regexp_extract("whole", f"^({EVERY_TITLE})\\.? ", 1)
-    parts = F.split(F.regexp_replace("whole", f"^(?:{EVERY_TITLE})\\.? ", ""), " ")
-    found = found.withColumn("parts", F.when(F.col("kind") == "name", parts).otherwise(F.array("whole")))
+    body = F.substring(F.col("whole"), F.length("lead") + 1, F.length("whole"))
+    found = found.withColumn("parts", F.when(F.col("kind") == "name", F.split(body, " ")).otherwise(F.array(body)))
     found = found.select("row", "pos", "kind", "whole", F.size("parts").alias("n"), F.posexplode("parts").alias("part", "entity"))
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
     code = F.when(F.col("entity").startswith("+1"), "1").otherwise(F.regexp_extract("entity", r"^\+(\d{1,3})(?=[ .(-])", 1))
@@ -201,7 +222,7 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     taken = entities.select("kind", F.col("form").alias("surrogate")).distinct()
     table = entities.withColumn("attempt", F.lit(0))
     while True:
-        table = stage(table.withColumn("surrogate", surrogate(F.col("kind"), F.col("role"), F.col("form"), F.col("attempt"), key)), "surrogates-tried")
+        table = stage(drawn(table, key), "surrogates-tried")
         first = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "form")).alias("first"))
         real = taken.withColumn("real", F.lit(True))
         judged = table.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left").select(
@@ -216,13 +237,17 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
 
 def with_surrogates(docs: DataFrame, text: str = "text", key: str = "surrogates") -> DataFrame:
     """The documents with their entities replaced, and n_entities."""
-    if "n_entities" in docs.columns:
-        raise ValueError("rename the column n_entities: the result has a column of that name")
-    body = docs.withColumn("entities", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(EVERY), F.lit(0)))
+    clash = [c for c in docs.columns if c in ("n_entities", "entities", "row", "new")]
+    if clash:
+        inner = with_surrogates(docs.withColumnsRenamed({c: f"_own_{c}" for c in clash}), text, key)
+        return inner.withColumnsRenamed({"n_entities": "n_entities_found"} if "n_entities" in clash else {}).withColumnsRenamed({f"_own_{c}": c for c in clash})
     columns = [*docs.columns, "n_entities"]
-    plain = body.where(F.size("entities") == 0).withColumn("n_entities", F.lit(0).cast("long")).select(*columns)
-    # A row's number must not change between readings, so the rows with entities are written first.
-    hits = stage(body.where(F.size("entities") > 0).withColumn("row", F.monotonically_increasing_id()), "surrogates-hits")
+    likely = F.coalesce(F.col(text).rlike(TRIGGER), F.lit(False))
+    body = docs.where(likely).withColumn("entities", F.regexp_extract_all(F.col(text), F.lit(EVERY), F.lit(0)))
+    # A row's number must not change between readings, so the rows that may have entities are written first.
+    body = stage(body.withColumn("row", F.monotonically_increasing_id()), "surrogates-likely")
+    hits = body.where(F.size("entities") > 0)
+    plain = docs.where(~likely).unionByName(body.where(F.size("entities") == 0).select(*docs.columns)).withColumn("n_entities", F.lit(0).cast("long")).select(*columns)
     found = _occurrences(hits)
     table = surrogate_table(stage(distinct_entities(found), "surrogates-entities"), key)
     written = found.join(table, ["kind", "form"]).select("row", "pos", "part", "kind", _rendered(F.col("kind"), F.col("entity"), F.col("surrogate")).alias("new"))
@@ -232,9 +257,7 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: str = "surrogates"
 
     def entity(e: Column, i: Column) -> Column:
         own = F.filter(F.col("new"), lambda x: x["pos"] == i)
-        title = F.regexp_extract(e, f"^((?:{EVERY_TITLE})\\.? )", 1)
-        whole = F.array_join(F.transform(own, lambda x: x["new"]), " ")
-        return F.when(F.element_at(own, 1)["kind"] == "name", F.concat(title, whole)).otherwise(whole)
+        return F.concat(_lead(F.element_at(own, 1)["kind"], e), F.array_join(F.transform(own, lambda x: x["new"]), " "))
 
     replaced = F.concat(F.element_at(pieces, 1), F.array_join(F.zip_with(F.transform("entities", entity), F.slice(pieces, 2, F.size("entities")), lambda a, b: F.concat(a, b)), ""))
     cut = joined.withColumn(text, replaced).withColumn("n_entities", F.size("entities").cast("long")).select(*columns)

@@ -295,7 +295,7 @@ def test_surrogates(spark, docs, nothing):
     one, two, three = (got[i].text for i in (1, 2, 3))
     assert [got[i].n_entities for i in (1, 2, 3)] == [6, 5, 5]
     for secret in ("john", "doe", "555-3824", "4041894974608795", "Smith", "Ana", "17.252", "0641917e", "e3b3ed3c", "AKIAMD62", "Анна", "Петрова", "3704", "8949"):
-        assert secret.lower() not in (one + two + three).lower()
+        assert not re.search(rf"(?<!\w){re.escape(secret)}(?!\w)", one + two + three, re.I), secret
     assert "version 3.1.4" in three
     mail = re.search(r"Mail (\S+@\S+) or", one)[1].lower()
     assert two.startswith(mail) and re.fullmatch(r"[a-z]{4}\.[a-z]{3}@[a-z]{4}\d\.[a-z]{7}\.com", mail)
