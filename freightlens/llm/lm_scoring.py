@@ -90,7 +90,7 @@ def _words(training: DataFrame) -> DataFrame:
     def count(batches):
         for b in batches:
             keys, counts = [], []
-            for t, _ in token_runs(b.column(0).to_pylist(), 2_000_000):
+            for t, _ in token_runs(b.column(0).to_pylist(), 400_000):
                 k, n = np.unique(t, return_counts=True)
                 keys.append(k), counts.append(n)
             yield pack_keys(keys, counts, bits)
@@ -130,7 +130,7 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
                 yes = inside & (at >= 0)
                 ctxs.append(at[yes].astype(np.int32)), hs.append(t[yes])
                 size += len(hs[-1])
-                if size > 4_000_000:
+                if size > 1_500_000:
                     yield pack(np.concatenate(ctxs), np.concatenate(hs))
                     ctxs, hs, size = [], [], 0
         if size:
