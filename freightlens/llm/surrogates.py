@@ -19,6 +19,8 @@ input stays, and the count is then named n_entities_found.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,14 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Doña", "госпожа", "г-жа", "κυρία"],
     "n": ["Dr", "Prof", "Professor", "Doctor"],
 }
-LETTER = r"A-Za-zÀ-ʯͰ-ￜ"
-PART = rf"\p{{Lu}}[{LETTER}'’-]++(?!\d)"
+#: Accents may be written as marks of their own.
+TITLES = {g: list(dict.fromkeys([*ts, *(unicodedata.normalize("NFD", t) for t in ts)])) for g, ts in TITLES.items()}
+#: Letters with their marks, and digits, of any script.
+LETTER = r"\p{L}\p{M}"
+WORD = rf"{LETTER}\p{{N}}"
+#: Scripts written without spaces between words, and Hangul, which joins endings to foreign words.
+SPACELESS = r"\u0E00-\u0EFF\u1000-\u109F\u1100-\u11FF\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
+PART = rf"\p{{Lu}}[{LETTER}'’\-&&[^{SPACELESS}]]++(?!\p{{N}})"
 EVERY_TITLE = "|".join(t for group in TITLES.values() for t in sorted(group, key=len, reverse=True))
 SECRETS = "password|passwd|pwd|token|secret|api_key|apikey"
 
@@ -40,18 +48,24 @@ LEAD = rf"(?:{EVERY_TITLE})\.? |(?i:{SECRETS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?
 
 # Patterns in order of precedence.
 PATTERNS = {
-    "email": rf"[{LETTER}0-9._%+-]++@[{LETTER}0-9-]+(?:\.[{LETTER}0-9-]+)*\.[{LETTER}]{{2,}}",
-    "key": r"A[KS]IA[0-9A-Z]{16}\b",
+    "email": rf"[{WORD}._%+-]++@[{WORD}-]+(?:\.[{WORD}-]+)*\.(?:[{LETTER}&&[^{SPACELESS}]]{{2,}}|[{LETTER}]{{2,}})",
+    "key": r"A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": rf"(?i:{SECRETS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?[A-Za-z0-9+/_.-]{{8,}}",
-    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
-    "phone": r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\d{3}-\d{3}-\d{4}\b",
-    "ssn": r"\d{3}-\d{2}-\d{4}\b",
-    "card": r"\d(?:[ -]?\d){12,18}\b",
+    "phone": r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\d{3}-\d{3}-\d{4}(?!\d)",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
+    "card": r"\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])",
     "name": rf"(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? {PART}(?: {PART}){{0,2}}",
 }
-#: An entity starts behind a character that is no letter or digit.
-EVERY = rf"(?<![{LETTER}0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: Where an entity of letters starts: behind another entity, or behind no letter or digit of a script with spaces.
+WORDS = rf"(?:\G|(?<![A-Za-z0-9])(?<![{WORD}&&[^{SPACELESS}]]))"
+#: Where a number starts: only a digit before it makes it part of another one, and nothing does before a bracket.
+NUMBERS = r"(?=[\d+(])(?:(?<!\d)|(?=\())"
+STARTS = {kind: NUMBERS if kind in ("ip", "phone", "ssn", "card") else WORDS for kind in PATTERNS}
+#: An address starts where its run of letters and digits does, in any script.
+STARTS["email"] = rf"(?:\G|(?<![A-Za-z0-9])(?<![{WORD}]))"
+EVERY = "|".join(f"(?:{STARTS[kind]}(?:{p}))" for kind, p in PATTERNS.items())
 #: Texts without a match of this have no entity.
 TRIGGER = rf"[0-9@]|(?i:{SECRETS})|(?<![{LETTER}])(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? "
 
