@@ -66,8 +66,8 @@ STARTS = {kind: NUMBERS if kind in ("ip", "phone", "ssn", "card") else WORDS for
 #: An address starts where its run of letters and digits does, in any script.
 STARTS["email"] = rf"(?:\G|(?<![A-Za-z0-9])(?<![{WORD}]))"
 EVERY = "|".join(f"(?:{STARTS[kind]}(?:{p}))" for kind, p in PATTERNS.items())
-#: Texts without a match of this have no entity.
-TRIGGER = rf"[0-9@]|(?i:{SECRETS})|(?<![{LETTER}])(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? "
+#: Texts without a match of this have no entity: every pattern needs one of these, wherever it starts.
+TRIGGER = rf"[0-9@]|A[KS]IA|(?i:{SECRETS})|(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? "
 
 # Parts of names by script.
 ONSETS = {"latin": "b d f g h j k l m n p r s t v w".split(), "cyrillic": "б в г д ж з к л м н п р с т ф х".split(), "greek": "β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ ψ".split()}
