@@ -1,8 +1,7 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-States of the tree are contexts of one to `depth` words. A context is a candidate when it makes up a
-share of at least `p_min` of the training tokens (and at least `min_count` of them), so there are at
-most 1 / p_min per length. Its next-symbol distribution keeps the words seen twice or more after it,
+States of the tree are contexts of one to `depth` words. A context is a candidate when it occurs at
+least `min_count` times, whatever the size of the input, so the tree grows with the corpus. Its next-symbol distribution keeps the words seen twice or more after it,
 discounted, and gives the rest of the mass to the distribution of its longest retained suffix; the
 root is the add-one distribution of single words. A context stays when its distribution diverges from
 its suffix's: the log-likelihood of its own occurrences, each scored as if it had not been counted,
@@ -11,9 +10,10 @@ retained suffix at each token.
 
 Counts come from all training texts: words by an aggregation, context and word pairs as packed arrays
 per partition and hash bucket, which a bucket's task merges by sorting. Nothing is grouped by context,
-so a frequent word is spread over all buckets. For scoring, the retained contexts and the most
-frequent counts (tables of fixed size) are broadcast, filters of fixed size tell which counts are
-zero, and the counts that remain are looked up by joins, summed per document.
+so a frequent word is spread over all buckets. A filter of fixed size leaves out most contexts that are
+no candidates, and a join the rest. For scoring, the most frequent contexts and counts (tables of fixed
+size) are broadcast, filters of fixed size tell which contexts are not retained and which counts are
+zero, and what remains is looked up by joins, summed per document.
 
 Words are told apart by 64-bit hashes. Defined results: a null text counts as empty and has the end
 token only; a null id counts as held in (crc32 of no text is taken as 0); repeated rows are counted
@@ -22,8 +22,6 @@ and scored as often as they occur; an empty table gives an empty result; further
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,7 +32,7 @@ from pyspark.sql import functions as F
 
 from freightlens.llm.common import GOLD, PACKED, bit_filter, count_keys, in_filter, key_buckets, mix, pack_keys, release, ship, stage
 
-DEPTH, P_MIN, MIN_COUNT = 2, 2e-6, 8
+DEPTH, MIN_COUNT = 2, 8
 DISCOUNT, LEAST_GAIN, LEAST_RATE = 0.75, 5.0, 0.01
 FREQUENT = 1 << 19
 END = 0x5851F42D4C957F2D  # the hash of the end token, which is no word's
@@ -107,16 +105,16 @@ def _position(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
-    """(ctx, h, c): words seen at least twice after a candidate context of `depth` tokens."""
+    """(ctx, h, c): words seen at least twice after a context of `depth` tokens that passes the filter `held`."""
     bits = key_buckets(training.sparkSession)
 
     def pack(ctx, h):
-        k = extend(held.value[ctx], h)
+        k = extend(ctx, h)
         order = np.argsort(k)
         k, ctx, h = k[order], ctx[order], h[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.array([], int)
         n = np.diff(np.append(first, len(k))).astype(np.uint32)
-        bucket, ctx, h = (k[first] >> np.uint64(64 - bits)).astype(np.int64), ctx[first].astype(np.int32), h[first]
+        bucket, ctx, h = (k[first] >> np.uint64(64 - bits)).astype(np.int64), ctx[first], h[first]
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else [0]
         rows = [(int(bucket[i]), h[i:j].tobytes(), ctx[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "h", "ctx", "n"])
@@ -126,9 +124,9 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
         for b in batches:
             for t, begins in token_runs(b.column(0).to_pylist()):
                 before, inside = contexts(t, begins, depth)[-1]
-                at = _position(held.value, before)
-                yes = inside & (at >= 0)
-                ctxs.append(at[yes].astype(np.int32)), hs.append(t[yes])
+                yes = np.flatnonzero(inside)
+                yes = yes[in_filter(before[yes], held.value)]
+                ctxs.append(before[yes]), hs.append(t[yes])
                 size += len(hs[-1])
                 if size > 1_500_000:
                     yield pack(np.concatenate(ctxs), np.concatenate(hs))
@@ -137,33 +135,32 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
             yield pack(np.concatenate(ctxs), np.concatenate(hs))
 
     def merge(table):
-        h, ctx, n = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c, t in (("h", np.uint64), ("ctx", np.int32), ("n", np.uint32)))
-        k = extend(held.value[ctx], h)
+        h, ctx, n = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c, t in (("h", np.uint64), ("ctx", np.uint64), ("n", np.uint32)))
+        k = extend(ctx, h)
         order = np.argsort(k)
         k, ctx, h, n = k[order], ctx[order], h[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         c = np.add.reduceat(n, first)
         keep = first[c > 1]
-        return pa.table({"ctx": held.value[ctx[keep]].view(np.int64), "h": h[keep].view(np.int64), "c": c[c > 1]})
+        return pa.table({"ctx": ctx[keep].view(np.int64), "h": h[keep].view(np.int64), "c": c[c > 1]})
 
     packed = training.mapInArrow(collect, "bucket int, h binary, ctx binary, n binary")
     return packed.groupBy("bucket").applyInArrow(merge, "ctx long, h long, c long")
 
 
-def _most(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) of the rows (k, c) with the largest counts, at most `size`, by key; the threshold comes from a histogram."""
+def _most(table: DataFrame, size: int) -> list[np.ndarray]:
+    """Columns (k, c, ...) of the rows with the largest counts c, at most `size`, by key k; the threshold comes from a histogram."""
     total, least = 0, None
     for r in table.groupBy(F.least("c", F.lit(4096)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect():
         total += r["n"]
         if total > size:
             break
         least = r["c"]
-    if least is None:
-        return np.array([], np.uint64), np.array([], np.int64)
-    got = table.where(F.col("c") >= least).toArrow()
-    k, c = got["k"].to_numpy().view(np.uint64), got["c"].to_numpy()
-    order = np.argsort(k)
-    return k[order], c[order]
+    got = (table.limit(0) if least is None else table.where(F.col("c") >= least)).toArrow()
+    out = [got[c].to_numpy() for c in table.columns]
+    out[0] = out[0].view(np.uint64)
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
 
 
 def _key(ctx: str, h: str):
@@ -182,57 +179,48 @@ def _level(pairs: DataFrame, sizes: DataFrame, below: DataFrame | None, words: D
     whole probability there. p of the result is the probability of the word after the context.
     """
     root = (F.col("cw") + 1) / F.lit(float(total + distinct + 1))
-    # Tables of candidates have at most 1 / p_min rows of a few numbers each.
-    rows = pairs.join(words.select("h", F.col("c").alias("cw")), "h").join(F.broadcast(sizes), "ctx")
+    # The join with sizes also drops contexts that only pass the filter.
+    rows = pairs.join(sizes, "ctx").join(words.select("h", F.col("c").alias("cw")), "h")
     if below is not None:
         rows = rows.join(below.select("suffix", "h", F.col("p").alias("pb")), ["suffix", "h"], "left").withColumn("par", F.coalesce("pb", root))
     else:
         rows = rows.withColumn("par", root)
     taken = pairs.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("taken"), F.sum("c").alias("seen"))
-    rest = F.broadcast(sizes).join(taken, "ctx").withColumn("rest", 1 - F.col("taken") / F.col("n"))
-    rows = rows.join(F.broadcast(rest.select("ctx", "rest")), "ctx")
+    rest = sizes.join(taken, "ctx").withColumn("rest", 1 - F.col("taken") / F.col("n"))
+    rows = rows.join(rest.select("ctx", "rest"), "ctx")
     without = F.when(F.col("c") >= 3, (F.col("c") - 1 - DISCOUNT) / F.greatest(F.col("n") - 1, F.lit(1))).otherwise(0.0)
     gain = F.col("c") * F.log((without + F.col("rest") * F.col("par")) / F.col("par"))
     gains = rows.groupBy("ctx").agg(F.sum(gain).alias("gain"))
     kept = rest.join(gains, "ctx").withColumn("gain", F.col("gain") + (F.col("n") - F.col("seen")) * F.log("rest"))
     kept = kept.where((F.col("gain") > LEAST_GAIN) & (F.col("gain") > LEAST_RATE * F.col("n"))).select("ctx", "n", "rest", "suffix")
-    explicit = rows.join(F.broadcast(kept.select("ctx")), "ctx", "left_semi").select("ctx", "h", "c", ((F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).alias("p"))
+    explicit = rows.join(kept.select("ctx"), "ctx", "left_semi").select("ctx", "h", "c", ((F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).alias("p"))
     return kept, explicit
 
 
-def _array(table: DataFrame, *columns: str):
-    """Columns of a table of bounded size, ordered by the first."""
-    got = table.select(*columns).toArrow()
-    out = [got[c].to_numpy() for c in columns]
-    out[0] = out[0].view(np.uint64)
-    order = np.argsort(out[0])
-    return [x[order] for x in out]
-
-
-def suffix_tree(training: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, min_count: int = MIN_COUNT):
-    """(words (h, c), total, distinct, levels); a level is (contexts, n, rest) arrays and the table (k, c) of explicit counts."""
+def suffix_tree(training: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT):
+    """(words (h, c), total, distinct, levels); a level is (contexts, n, rest) arrays of the most frequent retained contexts,
+    the table (k, c, rest) of all of them, and the table (k, c) of explicit counts."""
     ship(training.sparkSession)
     spark = training.sparkSession
     words = stage(_words(training), "lm-words")
     release(spark)
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
-    least = max(min_count, math.ceil(p_min * total))
     end = int(np.uint64(END).view(np.int64))
-    sizes = words.where((F.col("c") >= least) & (F.col("h") != end)).select(F.col("h").alias("ctx"), F.col("c").alias("n"), F.lit(None).cast("long").alias("suffix"))
+    sizes = words.where((F.col("c") >= min_count) & (F.col("h") != end)).select(F.col("h").alias("ctx"), F.col("c").alias("n"), F.lit(None).cast("long").alias("suffix"))
     levels, below = [], None
     for d in range(1, depth + 1):
-        (candidates,) = _array(sizes, "ctx")  # at most 1 / p_min
-        if not len(candidates):
+        if sizes.isEmpty():
             break
-        pairs = stage(_pairs(training, spark.sparkContext.broadcast(candidates), d), f"lm-pairs-{d}")
+        pairs = stage(_pairs(training, spark.sparkContext.broadcast(bit_filter(sizes, "ctx")), d), f"lm-pairs-{d}")
         kept, explicit = _level(pairs, sizes, below, words, total, distinct)
         kept, explicit = stage(kept, f"lm-kept-{d}"), stage(explicit.withColumn("k", _key("ctx", "h")), f"lm-explicit-{d}")
         release(spark)
-        levels.append((*_array(kept, "ctx", "n", "rest"), explicit.select("k", "c")))
+        retained = kept.select(F.col("ctx").alias("k"), F.col("n").alias("c"), "rest")
+        levels.append((*_most(retained, FREQUENT), retained, explicit.select("k", "c")))
         below = explicit.withColumnRenamed("ctx", "suffix")
         if d < depth:
-            longer = pairs.where((F.col("c") >= least) & (F.col("h") != end)).withColumn("k", _key("ctx", "h"))
+            longer = pairs.where((F.col("c") >= min_count) & (F.col("h") != end)).withColumn("k", _key("ctx", "h"))
             # The suffix of a context of two is its last word; of longer ones it would be looked up likewise.
             sizes = stage(longer.select(F.col("k").alias("ctx"), F.col("c").alias("n"), F.col("h").alias("suffix")), f"lm-sizes-{d + 1}")
     return words, total, distinct, levels
@@ -243,17 +231,19 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
     spark = docs.sparkSession
     words, total, distinct, levels = suffix_tree(training.select(F.col(training.columns[0]).cast("binary")))
     share = lambda x: spark.sparkContext.broadcast(x)
-    explicit = [level[3] for level in levels]
+    explicit = [level[4] for level in levels]
     tables = [words.withColumnRenamed("h", "k"), *explicit]
     state = share({
         "common": [_most(t, FREQUENT) for t in tables],
         "levels": [level[:3] for level in levels],
     })
     filters = share([bit_filter(t, "k") for t in tables])
+    # Filters of the retained contexts, where not all of them are in the arrays.
+    rarer = share([bit_filter(level[3], "k") if level[3].count() > len(level[0]) else None for level in levels])
     norm = float(total + distinct + 1)
     depth = len(levels)
     kind = dict(docs.dtypes)[key]
-    each = [(f"k{i}", pa.int64()) for i in range(depth + 1)] + [(f"c{i}", pa.int64()) for i in range(depth + 1)] + [(f"{x}{i}", pa.float64()) for i in range(1, depth + 1) for x in "nr"]
+    each = [(f"k{i}", pa.int64()) for i in range(depth + 1)] + [(f"x{i}", pa.int64()) for i in range(1, depth + 1)] + [(f"c{i}", pa.int64()) for i in range(depth + 1)] + [(f"{x}{i}", pa.float64()) for i in range(1, depth + 1) for x in "nr"]
     tail = pa.list_(pa.struct(each))
 
     def known(i: int, keys: np.ndarray) -> np.ndarray:
@@ -268,17 +258,21 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
         for b in batches:
             sizes, base, full, seen, rest = [], [], [], [], []
             for t, begins in token_runs(b.column(1).to_pylist()):
-                c, keys, ns, rs = [known(0, t)], [t], [], []
+                c, keys, befores, ns, rs = [known(0, t)], [t], [], [], []
                 for i, (before, inside) in enumerate(contexts(t, begins, depth)):
                     names, amounts, shares = state.value["levels"][i]
                     n, r, k, own = np.zeros(len(t)), np.ones(len(t)), np.zeros(len(t), np.uint64), np.zeros(len(t), np.int64)
                     at = _position(names, before)
                     yes = np.flatnonzero(inside & (at >= 0))
-                    k[yes] = extend(before[yes], t[yes])
                     n[yes], r[yes] = amounts[at[yes]], shares[at[yes]]
+                    if rarer.value[i] is not None:  # -1 where only a join can tell
+                        ask = np.flatnonzero(inside & (at < 0))
+                        n[ask[in_filter(before[ask], rarer.value[i])]] = -1
+                    yes = np.flatnonzero(n)
+                    k[yes] = extend(before[yes], t[yes])
                     own[yes] = known(i + 1, k[yes])
-                    keys.append(k), ns.append(n), rs.append(r), c.append(own)
-                open_ = np.any([x < 0 for x in c], axis=0)
+                    keys.append(k), befores.append(before), ns.append(n), rs.append(r), c.append(own)
+                open_ = np.any([x < 0 for x in c + ns], axis=0)
                 p0 = (np.maximum(c[0], 0) + 1) / norm
                 p = p0
                 for i in range(depth):
@@ -288,7 +282,7 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
                 full += np.add.reduceat(np.where(open_, 0, np.log10(p)), begins).tolist()
                 seen += np.add.reduceat((c[0] > 0) & ~open_, begins, dtype=np.int64).tolist()
                 at = np.flatnonzero(open_)
-                columns = [x[at].view(np.int64) for x in keys] + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
+                columns = [x[at].view(np.int64) for x in keys + befores] + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
                 values = pa.StructArray.from_arrays([pa.array(x, k) for x, (_, k) in zip(columns, each)], [n for n, _ in each])
                 cuts = pa.array(np.append(np.searchsorted(at, begins), len(at)), pa.int32())
                 rest.append(pa.ListArray.from_arrays(cuts, values))
@@ -302,6 +296,13 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
     scored = stage(docs.select(F.col(key), F.col(text).cast("binary")).mapInArrow(score, f"row long, `{key}` {kind}, n_tokens long, n_known long, base double, full double, rest array<struct<{shape}>>"), "lm-scored")
     release(spark)
     open_ = scored.select("row", F.explode("rest").alias("x")).select("row", "x.*")
+    for i, level in enumerate(levels, 1):
+        # Only tokens whose context is not known take the join; one that is not retained has no counts either.
+        found = level[3].select(F.col("k").alias(f"x{i}"), F.col("c").alias("found_n"), F.col("rest").alias("found_r"))
+        asked = open_.where(F.col(f"n{i}") < 0).join(found, f"x{i}", "left")
+        asked = asked.withColumn(f"n{i}", F.coalesce(F.col("found_n").cast("double"), F.lit(0.0))).withColumn(f"r{i}", F.coalesce("found_r", F.lit(1.0)))
+        columns = [c for c in open_.columns if c != f"x{i}"]
+        open_ = asked.select(*columns).union(open_.where(F.col(f"n{i}") >= 0).select(*columns))
     for i, t in enumerate(tables):
         # Only tokens whose count is not known take the join.
         asked = open_.where(F.col(f"c{i}") < 0).join(t.select(F.col("k").alias(f"k{i}"), F.col("c").alias("found")), f"k{i}", "left")

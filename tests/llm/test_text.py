@@ -10,10 +10,11 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from freightlens.llm import queries
+from freightlens.llm import lm_scoring, queries
 from freightlens.llm.decontamination import contamination, is_contaminated, without_contaminated
 from freightlens.llm.html_extraction import events, extract, main_text
 from freightlens.llm.lm_scoring import lm_scores, suffix_tree
@@ -211,6 +212,25 @@ def test_lm_is_a_distribution_and_learns_contexts(spark, nothing):
     assert lm_scores(probes, training.limit(0)).count() == 14
 
 
+def test_lm_contexts_need_no_share_of_the_corpus(spark):
+    """Nine occurrences make a candidate in a corpus of six million tokens as in a small one."""
+    few = spark.createDataFrame([("q0 q1 and",)] * 9, "text string")
+    training = spark.range(60).select(F.expr("repeat('z ', 100000)").alias("text")).unionByName(few)
+    _, total, _, levels = suffix_tree(training)
+    assert total > 6_000_000 and xxhash.xxh3_64_intdigest(b"q0") in levels[0][0].tolist()
+
+
+def test_lm_lookups_by_join_equal_those_by_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    scores = lambda: {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm_scores(docs, docs.where("doc_id % 3 > 0").select("text")).collect()}
+    whole = scores()
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 40)
+    some = scores()
+    assert whole.keys() == some.keys()
+    for i, x in whole.items():
+        assert some[i][0] == x[0] and some[i][1:] == pytest.approx(x[1:], rel=1e-9)
+
+
 def test_lm_edges(docs):
     got = lm_scores(docs, docs.select("text")).collect()
     assert len(got) == docs.count() and {r.n_tokens for r in got if r.doc_id in (2, 3)} == {1}
