@@ -7,8 +7,8 @@ expectation maximisation. Voters whose residuals correlate (a word and its own b
 evidence: the log-odds of each are divided by the sum of its correlations. A logistic regression on the
 votes is then fitted to the posteriors; it scores texts without looking at labels or other columns.
 
-Fitting reads a bounded sample of the labelled training rows (`fit_rows`, those with the smallest hash
-of their id) and at most `voters` voters; scoring is one pass over all documents without a shuffle.
+Voters are searched in all labelled training rows. Fitting reads a bounded sample of them (`fit_rows`,
+those with the smallest hash of their id) and at most `voters` voters; scoring is one pass over all documents without a shuffle.
 
 Defined results: a null or empty text scores as a text on which no voter fires; rows without a label or
 an id are not used for fitting; of repeated labels of an id the largest counts; without any labelled
@@ -118,15 +118,16 @@ def regression(votes: np.ndarray, target: np.ndarray, penalty: float = 0.05, rou
     return w[:-1], float(w[-1])
 
 
-def _training(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows: int) -> DataFrame:
-    """(text, toxic) of at most fit_rows labelled rows whose crc32 of the id is not 2 modulo 4."""
+def _training(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows: int | None = None) -> DataFrame:
+    """(text, toxic) of the labelled rows, at most fit_rows where given, whose crc32 of the id is not 2 modulo 4."""
     sample = (
         labels.where(F.col("toxic").isNotNull() & (F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) != 2))
         .groupBy(F.col(key).alias("_id")).agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
     )
-    # The sample has at most fit_rows rows of an id and a flag.
-    return docs.join(F.broadcast(sample), docs[key] == sample["_id"]).select(F.col(text).cast("binary").alias("text"), "toxic")
+    if fit_rows is not None:
+        # The sample has at most fit_rows rows of an id and a flag.
+        sample = F.broadcast(sample.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows))
+    return docs.join(sample, docs[key] == sample["_id"]).select(F.col(text).cast("binary").alias("text"), "toxic")
 
 
 def _candidates(training: DataFrame, voters: int) -> list[bytes]:
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ship(docs.sparkSession)
     training = _training(docs, labels, key, text, fit_rows)
     fixed = [b"=" + w.encode() for w in LEXICON]
-    names = fixed + [v for v in _candidates(training, voters - len(fixed)) if v not in fixed]
+    names = fixed + [v for v in _candidates(_training(docs, labels, key, text), voters - len(fixed)) if v not in fixed]
     model = Classifier(names, np.zeros(len(names)), 0.0)
 
     def vote(batches):

@@ -22,7 +22,7 @@ from freightlens.llm.packing import fullest, pack_documents, plan
 from freightlens.llm.pretokens import PieceCache, chunk_of, vocabulary
 from freightlens.llm.surrogates import PATTERNS, TITLES, TRIGGER, _luhn, with_surrogates
 from freightlens.llm.token_counts import shrink, token_counts
-from freightlens.llm.toxicity import label_model, regression, toxicity_scores, without_toxic
+from freightlens.llm.toxicity import fit, label_model, regression, toxicity_scores, without_toxic
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -248,6 +248,12 @@ def test_label_model_and_regression():
     assert (w[:3] > 0).all() and b < 0
 
 
+def test_toxic_words_outside_the_fit_sample_are_voters(spark):
+    rows = [(i, f"plain words number{i}" + (" zorgle" if i % 10 == 0 else ""), int(i % 10 == 0)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert b"=zorgle" in fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), fit_rows=15).voters
+
+
 def test_toxicity(spark, docs, nothing):
     rows = {r.doc_id: r for r in queries.QUERIES["op9_toxicity"](spark, "/root/testdata/sf0.01").collect()}
     labels = duckdb.sql("select doc_id, toxic from '/root/testdata/sf0.01/labels.parquet'").fetchall()
