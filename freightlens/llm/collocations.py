@@ -33,6 +33,8 @@ RUN, SLICE = 1 << 21, 1 << 22
 BUCKET_BYTES = 1 << 22
 #: A longer beginning is looked at as very frequent only where one run alone has it so often.
 LOCAL_HEAVY = 64
+#: Tasks that a language's phrases are spread over.
+SHARES = 256
 
 
 class Run:
@@ -292,7 +294,10 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 2000, cover: int
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
     cuts = cuts.withColumn("left", F.array_join(F.slice(words, F.lit(1), F.col("k")), " ")).withColumn("right", F.array_join(F.slice(words, F.col("k") + 1, F.col("words") - F.col("k")), " "))
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"])
-    cuts = cuts.join(known.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"]).join(totals, "lang")
+    cuts = cuts.join(known.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
+    # a language may hold most phrases: its total is given to many tasks
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    cuts = cuts.withColumn("share", share).join(totals.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long")))), ["lang", "share"])
     wide = "cast({} as decimal(19,0))"
     score = F.expr(f"(cast(1000 as decimal(4,0)) * {wide.format('a')} * {wide.format('total')}) div ({wide.format('l')} * {wide.format('r')})")
     cuts = cuts.select("lang", "phrase", "words", "a", F.struct(score.alias("score"), "k", "l", "r").alias("cut"), F.col("total").alias("n"))
