@@ -164,6 +164,7 @@ def latest_status(update_stream: DataFrame) -> DataFrame:
 
 
 def traffic_windows(traffic_stream: DataFrame, length: str = "2 hours", slide: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """Sum and number of the scores per location and window, once the watermark passes the window."""
     w = F.window("timestamp", length, slide)
     score = F.col("traffic_score").cast("decimal(18,4)")
     return traffic_stream.withWatermark("timestamp", late).groupBy(w.alias("w"), "location").agg(
@@ -172,3 +173,59 @@ def traffic_windows(traffic_stream: DataFrame, length: str = "2 hours", slide: s
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "location",
         half_up(F.try_divide(F.col("_s").cast("double"), F.col("_n")), 2).alias("avg_traffic_score"),
     )
+
+
+TREND = "window_start timestamp, window_end timestamp, location string, avg_traffic_score double, trend string"
+
+
+def trend_processor():
+    """A stateful processor per location: closed windows wait in order for an event-time timer at their end; when it
+    fires, a window is compared with the one before it and given out. The class is made here so that it travels with
+    the query and workers need no package."""
+    from pyspark.sql import Row
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Trend(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.open = handle.getMapState("open", "end_ms long", "window_start timestamp, window_end timestamp, score double")
+            self.last = handle.getValueState("last", "score double, known boolean")
+
+        def handleInputRows(self, key, rows, timerValues):
+            for r in rows:
+                end = int(r.window_end.timestamp() * 1000)
+                self.open.updateValue((end,), (r.window_start, r.window_end, r.avg_traffic_score))
+                self.handle.registerTimer(end)
+            yield from ()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            end = (expiredTimerInfo.getExpiryTimeInMs(),)
+            if self.open.containsKey(end):
+                start, stop, score = self.open.getValue(end)
+                self.open.removeKey(end)
+                before = self.last.get()[0] if self.last.exists() else None
+                if before is None:
+                    trend = "first"
+                elif score is None or score == before:
+                    trend = "unchanged"
+                else:
+                    trend = "worsening" if score > before else "improving"
+                self.last.update((score, True))
+                yield Row(window_start=start, window_end=stop, location=key[0], avg_traffic_score=score, trend=trend)
+
+        def close(self) -> None:
+            pass
+
+    return Trend()
+
+
+def traffic_trend(traffic_stream: DataFrame, length: str = "2 hours", slide: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """Window means per location with the change to the window before, given out by the stream itself.
+
+    Readings are summed per window first, so the processor gets one row per location and window however many readings a
+    busy location has; its state is the windows between their end and the watermark, and one mean.
+    """
+    windows = traffic_windows(traffic_stream, length, slide, late)
+    return windows.groupBy("location").transformWithState(
+        statefulProcessor=trend_processor(), outputStructType=TREND, outputMode="Append", timeMode="EventTime"
+    )

@@ -3,7 +3,7 @@ shared folder, consumed as a stream until it is drained, and the written result
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.registry import query
@@ -11,7 +11,7 @@ from freightlens.session import run_dir
 from freightlens.sources.schemas import GPS_EVENT, ORDER_EVENT
 from freightlens.streaming import events as ev
 from freightlens.streaming import sinks
-from freightlens.streaming.sources import as_events, folder_topic, publish
+from freightlens.streaming.sources import as_events, folder_topic, publish, publish_in_order
 
 NUMBER = F.substring("order_id", 2, 20).cast("long")
 
@@ -22,10 +22,18 @@ def plain_times(df: DataFrame) -> DataFrame:
 
 
 class Topics:
-    """Event folders of one run, filled on first use. Ingest times are derived from the rows, so reruns agree."""
+    """Event folders of one run, filled on first use. Ingest times are derived from the rows, so reruns agree.
 
-    def __init__(self, lake):
-        self.lake, self.spark = lake, lake.spark
+    Replays for windows are published in order of time in `slices` parts, read as that many micro-batches and followed by
+    a closing message, so that every window is given out.
+    """
+
+    #: Past the last message by more than the longest window, session gap and watermark delay together.
+    CLOSING = "interval 2 days"
+    FILES = 4
+
+    def __init__(self, lake, slices: int = 4):
+        self.lake, self.spark, self.slices = lake, lake.spark, slices
         self.base = run_dir(lake.spark, "stream")
 
     def _topic(self, name: str, events: DataFrame) -> DataFrame:
@@ -52,6 +60,19 @@ class Topics:
     def weather(self) -> DataFrame:
         return self._topic("weather_updates", as_events(self.lake.weather, "location", F.col("date")))
 
+    def _ordered(self, name: str, rows: DataFrame, key: str, at: str = "timestamp") -> DataFrame:
+        last = rows.agg((F.max(at) + F.expr(self.CLOSING)).alias(at))
+        closing = as_events(last.withColumn(key, F.lit(None).cast("string")), key, F.col(at))
+        path = f"{self.base}/topics/{name}-ordered"
+        publish_in_order(as_events(rows, key, F.col(at)), path, closing, self.slices, self.FILES)
+        return folder_topic(self.spark, path, self.FILES)
+
+    def gps_in_order(self) -> DataFrame:
+        return self._ordered("gps_tracking", self.lake.gps_tracking, "vehicle_id")
+
+    def traffic_in_order(self) -> DataFrame:
+        return self._ordered("traffic_updates", self.lake.traffic, "location")
+
     def drain(self, stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
         path = f"{self.base}/out/{name}"
         sinks.run_once(stream, path, f"{self.base}/checkpoints/{name}", fmt)
@@ -71,9 +92,9 @@ query("st_orders")(_run("st_orders", "orders", ev.orders))
 query("st_parse_orders_active")(_run("st_parse_orders_active", "orders", ev.active_orders))
 query("st_parse_gps")(_run("st_parse_gps", "gps", ev.gps))
 query("st_weather_updates")(_run("st_weather_updates", "weather", ev.weather))
-query("st_gps_windows")(_run("st_gps_windows", "gps", lambda s: ev.windowed_gps(ev.gps(s), "1 hour")))
-query("st_gps_windows_sliding")(_run("st_gps_windows_sliding", "gps", lambda s: ev.windowed_gps(ev.gps(s), "2 hours", "1 hour")))
-query("st_gps_sessions")(_run("st_gps_sessions", "gps", lambda s: ev.vehicle_sessions(ev.gps(s))))
+query("st_gps_windows")(_run("st_gps_windows", "gps_in_order", lambda s: ev.windowed_gps(ev.gps(s), "1 hour")))
+query("st_gps_windows_sliding")(_run("st_gps_windows_sliding", "gps_in_order", lambda s: ev.windowed_gps(ev.gps(s), "2 hours", "1 hour")))
+query("st_gps_sessions")(_run("st_gps_sessions", "gps_in_order", lambda s: ev.vehicle_sessions(ev.gps(s))))
 query("st_dedup")(
     _run("st_dedup", "gps", lambda s: ev.deduplicated(ev.gps(s)).select("vehicle_id", "timestamp", "region", "speed_kmph"), copies=2)
 )
@@ -108,13 +129,7 @@ def delivery_status(lake):
 def traffic_trend(lake):
     """Window means per location with the change to the window before (one row per location and window)."""
     t = Topics(lake)
-    windows = t.drain(ev.traffic_windows(ev.traffic(t.traffic())), "st_traffic_trend")
-    before = F.lag("avg_traffic_score").over(Window.partitionBy("location").orderBy("window_start"))
-    trend = (
-        F.when(before.isNull(), "first").when(F.col("avg_traffic_score") > before, "worsening")
-        .when(F.col("avg_traffic_score") < before, "improving").otherwise("unchanged")
-    )
-    return windows.withColumn("trend", trend)
+    return t.drain(ev.traffic_trend(ev.traffic(t.traffic_in_order())), "st_traffic_trend")
 
 
 @query("st_triggers")

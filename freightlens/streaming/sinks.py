@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,8 +17,21 @@ def start(
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
 
 
+@contextmanager
+def disk_state(spark: SparkSession):
+    """Queries started in this block keep their state in RocksDB, which processors with timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def run_once(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    start(stream, path, checkpoint, fmt, once=True).awaitTermination()
+    with disk_state(stream.sparkSession):
+        start(stream, path, checkpoint, fmt, once=True).awaitTermination()
 
 
 def write_split(events: DataFrame, split, valid_path: str, reject_path: str, checkpoint: str, once: bool = True) -> StreamingQuery:

@@ -29,23 +29,22 @@ UNION ALL BY NAME SELECT kafka_timestamp AS event_ingest_time, timestamp AS even
  CASE WHEN is_low_signal = 1 THEN 'MEDIUM' ELSE 'LOW' END AS operational_risk FROM t_gps"""
 O["st_orders_gps_join"] = """SELECT o.order_id, o.vehicle_id, w.start_time, g.timestamp AS gps_time, g.speed_kmph FROM lg_orders o JOIN lg_windows w ON o.order_id = w.order_id
  JOIN c_gps g ON o.vehicle_id = g.vehicle_id AND g.timestamp BETWEEN w.start_time AND w.start_time + INTERVAL 30 MINUTE"""
-DONE = "(SELECT max(timestamp) - INTERVAL 10 MINUTE FROM c_gps)"
 AGG = f"count(*) AS gps_events, {r('cast(sum(cast(speed_kmph AS decimal(18,4))) AS double) / count(*)')} AS avg_speed_kmph, {n_if('is_low_signal = 1')} AS low_signal_events"
 O["st_gps_windows"] = f"""SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, region, {AGG} FROM (SELECT *, date_trunc('hour', timestamp) AS ws FROM c_gps)
- GROUP BY ALL HAVING ws + INTERVAL 1 HOUR <= {DONE}"""
+ GROUP BY ALL"""
 O["st_gps_windows_sliding"] = f"""SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, region, {AGG} FROM (SELECT *, date_trunc('hour', timestamp) - to_hours(h) AS ws FROM c_gps CROSS JOIN (VALUES (0), (1)) k(h))
- GROUP BY ALL HAVING ws + INTERVAL 2 HOUR <= {DONE}"""
-O["st_gps_sessions"] = f"""SELECT vehicle_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 2 HOUR AS session_end, count(*) AS gps_events FROM (
+ GROUP BY ALL"""
+O["st_gps_sessions"] = """SELECT vehicle_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 2 HOUR AS session_end, count(*) AS gps_events FROM (
 SELECT *, sum(brk) OVER (PARTITION BY vehicle_id ORDER BY timestamp) AS grp FROM (
 SELECT *, CASE WHEN timestamp > lag(timestamp) OVER (PARTITION BY vehicle_id ORDER BY timestamp) + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS brk FROM c_gps))
-GROUP BY vehicle_id, grp HAVING max(timestamp) + INTERVAL 2 HOUR <= {DONE}"""
+GROUP BY vehicle_id, grp"""
 O["st_dedup"] = "SELECT vehicle_id, timestamp, region, speed_kmph FROM c_gps"
 O["st_delivery_status"] = """SELECT order_id, event_timestamp, event_id, event_type, delay_minutes FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY event_timestamp DESC, event_id DESC, event_type DESC, delay_minutes DESC) AS rn FROM lg_updates) WHERE rn = 1"""
 O["st_traffic_trend"] = f"""SELECT window_start, window_end, location, s AS avg_traffic_score, CASE WHEN p IS NULL THEN 'first' WHEN s > p THEN 'worsening' WHEN s < p THEN 'improving' ELSE 'unchanged' END AS trend FROM (
 SELECT *, lag(s) OVER (PARTITION BY location ORDER BY window_start) AS p FROM (
 SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, location, {r("cast(sum(traffic_score) AS double) / count(*)")} AS s
  FROM (SELECT upper(location) AS location, traffic_score, timestamp - to_hours(h) AS ws FROM lg_traffic CROSS JOIN (VALUES (0), (1)) k(h))
- GROUP BY ALL HAVING ws + INTERVAL 2 HOUR <= (SELECT max(timestamp) - INTERVAL 10 MINUTE FROM lg_traffic)))"""
+ GROUP BY ALL))"""
 O["st_triggers"] = "SELECT count(*) AS rows_after_first_run, count(*) AS rows_after_second_run FROM c_gps"
 O["src_kafka_json"] = "SELECT kafka_key AS key, count(*) AS messages, min(kafka_timestamp) AS first_ingest, max(kafka_timestamp) AS last_ingest FROM t_gps GROUP BY 1"
 O["sink_stream_json"] = f"SELECT order_id, region, delivery_delay_min, distance_bucket, is_valid_order FROM ({O['st_orders']})"
