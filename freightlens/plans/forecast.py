@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_even, half_up, ratio
 from freightlens.functions.rules import flag, upto
+from freightlens.operators.least_squares import least_squares
 from freightlens.registry import query
 
 FEATURES = [
@@ -66,17 +65,16 @@ def require_history(daily: DataFrame, days: int = 10) -> DataFrame:
     return daily
 
 
-def fit(train: DataFrame):
-    """Ordinary least squares. The calendar columns are partly collinear; predictions, not single coefficients,
-    are the result."""
-    vec = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    lr = LinearRegression(featuresCol="features", labelCol="order_count", predictionCol="prediction", regParam=0.0, solver="normal")
-    return lr.fit(vec.transform(train)), vec
+def fit(train: DataFrame) -> Column:
+    """Ordinary least squares by the normal equations: the prediction as an expression over the features."""
+    fitted = least_squares(train, FEATURES, "order_count")
+    if fitted is None:
+        raise ValueError("there are no days to fit a model on")
+    return fitted
 
 
-def predict(model_and_vec, df: DataFrame) -> DataFrame:
-    model, vec = model_and_vec
-    return model.transform(vec.transform(df)).drop("features")
+def predict(model: Column, df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", model)
 
 
 def scores(predicted: DataFrame) -> DataFrame:
@@ -154,7 +152,7 @@ def linear_model(lake):
     """Fitted values and residuals over the whole history."""
     daily = with_features(_daily(lake))
     p = predict(fit(daily), daily)
-    return p.select("date", "order_count", "prediction", (F.col("order_count") - F.col("prediction")).alias("residual"))
+    return p.select("date", "order_count", F.bround("prediction", 6).alias("prediction"), F.bround(F.col("order_count") - F.col("prediction"), 6).alias("residual"))
 
 
 @query("fc_evaluate")

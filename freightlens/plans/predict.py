@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import math
+from dataclasses import asdict, dataclass
+from fractions import Fraction
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_even, ratio, rows, rows_if
+from freightlens.operators.least_squares import logistic_fit
 from freightlens.operators.ranking import global_running_total
+from freightlens.operators.selection import order_statistics
 from freightlens.plans.ml_features import delivery_weather
 from freightlens.plans.star import surrogate
 from freightlens.registry import query
-from freightlens.session import ensure_checkpoint_dir
+from freightlens.session import ensure_checkpoint_dir, shared_dir
+from freightlens.sources.versions import current_version, input_version, publish_version
 
 TARGET = "is_delayed"
 # Columns that would leak the outcome, identify a row, or are left out, as published.
@@ -73,67 +75,104 @@ def feature_set(df: DataFrame) -> FeatureSet:
     return FeatureSet(keep, numeric, categorical)
 
 
+def split_sizes(counts: dict[int, int], test_share: float) -> dict[int, int]:
+    """Test rows per class: the test set is the share of all rows, rounded up; training rows are dealt to the classes in
+    proportion, and what rounding down leaves goes to the largest remainders (the smaller label on ties)."""
+    n = sum(counts.values())
+    train = n - math.ceil(Fraction(str(test_share)) * n)
+    dealt = {c: k * train // n for c, k in counts.items()}
+    for c in sorted(counts, key=lambda c: (-(counts[c] * train % n), c))[: train - sum(dealt.values())]:
+        dealt[c] += 1
+    return {c: counts[c] - dealt[c] for c in counts}
+
+
 def stratified_split(df: DataFrame, test_share: float = 0.20, seed: int = 42) -> DataFrame:
-    """Marks about test_share of each class as test by a hash of the order id: stable under reordering, no shuffle,
-    and equal shares of both classes up to the spread of the hash."""
+    """Marks an exact share of each class as test: the rows with the smallest hash of the order id, stable under reordering.
+
+    The hash that divides a class is found by counting in narrowing ranges, so no class is sorted or gathered in one task.
+    Rows of one order id have one hash and stay together.
+    """
     if not 0 < test_share < 1:
         raise ValueError("the test share must be between 0 and 1")
-    u = surrogate("order_id", TARGET, F.lit(str(seed))) % 10_000
-    return df.withColumn("split", F.when(u < round(test_share * 10_000), "test").otherwise("train"))
+    hashed = df.withColumn("_u", surrogate("order_id", TARGET, F.lit(str(seed))))
+    counts = {r[TARGET]: r["n"] for r in df.groupBy(TARGET).agg(rows("n")).collect()}
+    last = {(c,): [k - 1] for c, k in split_sizes(counts, test_share).items() if k}
+    border = order_statistics(hashed, [TARGET], "_u", last)
+    in_test = F.lit(False)
+    for (c, _), value in border.items():
+        in_test = in_test | ((F.col(TARGET) == c) & (F.col("_u") <= value))
+    return hashed.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("_u")
 
 
-def _fill_modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
-    """Most frequent value of each categorical column (smallest on ties)."""
-    if not columns:
-        return {}
-    return {c: v for c, v in df.agg(*[F.mode(c, True).alias(c) for c in columns]).first().asDict().items() if v is not None}
-
-
-def fit_model(fs: FeatureSet, train: DataFrame) -> tuple[PipelineModel, dict[str, str]]:
-    """Median imputation and scaling for numbers, mode imputation and one-hot for text, balanced logistic regression.
+@dataclass
+class DelayModel:
+    """Imputation, scaling, levels and coefficients; `gradient` is the largest gradient component per row at the optimum."""
 
-    The indexer puts unseen levels into an extra last level, which the encoder drops: they become all zeros.
-    The penalty 1/n equals a unit inverse regularization strength when the loss is a mean.
-    """
-    modes = _fill_modes(train, fs.categorical)
+    numeric: list[str]
+    categorical: list[str]
+    medians: list[float]
+    means: list[float]
+    spreads: list[float]
+    modes: list[str | None]
+    levels: list[list[str]]
+    coefficients: list[float]
+    gradient: float
+
+    def inputs(self) -> list[str]:
+        return [*self.numeric, *(f"{c}={v}" for c, levels in zip(self.categorical, self.levels) for v in levels)]
+
+    def design(self) -> list[Column]:
+        """A constant, scaled numbers and one column per level; unseen levels are all zeros."""
+        numbers = [(F.coalesce(F.col(c), F.lit(m)) - F.lit(a)) / F.lit(s) for c, m, a, s in zip(self.numeric, self.medians, self.means, self.spreads)]
+        hot = [(F.coalesce(F.col(c), F.lit(m)) == v).cast("double") for c, m, levels in zip(self.categorical, self.modes, self.levels) for v in levels]
+        return [F.lit(1.0), *numbers, *(F.coalesce(h, F.lit(0.0)) for h in hot)]
+
+    def probability(self) -> Column:
+        z = F.lit(0.0)
+        for w, x in zip(self.coefficients, self.design()):
+            z = z + F.lit(w) * x
+        return 1 / (1 + F.exp(-z))
+
+
+def medians(df: DataFrame, columns: list[str]) -> list[float]:
+    """Exact medians of double columns (0 for a column without values)."""
+    filled = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    ranks = {(i,): sorted({(n - 1) // 2, n // 2}) for i, n in enumerate(filled) if n}
+    found = order_statistics(df.select(F.inline(cells)), ["c"], "v", ranks) if ranks else {}
+    return [sum(found[i, k] for k in ranks[i,]) / len(ranks[i,]) if (i,) in ranks else 0.0 for i in range(len(columns))]
+
+
+def fit_model(fs: FeatureSet, train: DataFrame) -> DelayModel:
+    """Exact median imputation and scaling for numbers, mode imputation and levels for text, balanced logistic regression
+    with a unit squared penalty, solved to its optimum."""
     counts = {r[TARGET]: r["n"] for r in train.groupBy(TARGET).agg(rows("n")).collect()}
     n = sum(counts.values())
+    middle = medians(train, fs.numeric) if fs.numeric else []
+    filled = [F.coalesce(F.col(c), F.lit(m)) for c, m in zip(fs.numeric, middle)]
+    stats = train.agg(
+        *[F.avg(c).alias(f"a{i}") for i, c in enumerate(filled)], *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(filled)],
+        *[F.mode(c, True).alias(f"m{i}") for i, c in enumerate(fs.categorical)], *[F.collect_set(c).alias(f"l{i}") for i, c in enumerate(fs.categorical)],
+    ).first()
+    numbers, texts = range(len(fs.numeric)), range(len(fs.categorical))
+    model = DelayModel(
+        fs.numeric, fs.categorical, middle, [stats[f"a{i}"] for i in numbers], [math.sqrt(stats[f"v{i}"]) or 1.0 for i in numbers],
+        [stats[f"m{i}"] for i in texts], [sorted(stats[f"l{i}"], key=str.encode) for i in texts], [], 0.0,
+    )
     weight = F.when(F.col(TARGET) == 1, n / (2.0 * counts[1])).otherwise(n / (2.0 * counts[0]))
-    stages, inputs = [], []
-    if fs.numeric:
-        filled = [f"{c}_filled" for c in fs.numeric]
-        stages += [
-            Imputer(strategy="median", inputCols=fs.numeric, outputCols=filled, relativeError=0.001),
-            VectorAssembler(inputCols=filled, outputCol="_numbers"),
-            StandardScaler(inputCol="_numbers", outputCol="numeric", withMean=True, withStd=True),
-        ]
-        inputs.append("numeric")
-    if fs.categorical:
-        index, hot = [f"{c}_index" for c in fs.categorical], [f"{c}_hot" for c in fs.categorical]
-        stages += [
-            StringIndexer(inputCols=fs.categorical, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
-        ]
-        inputs += hot
-    stages += [
-        VectorAssembler(inputCols=inputs, outputCol="features"),
-        LogisticRegression(
-            featuresCol="features", labelCol=TARGET, weightCol="_w", regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
-            maxIter=2000, tol=1e-6,
-        ),
-    ]
-    ready = train.fillna(modes).withColumn("_w", weight) if modes else train.withColumn("_w", weight)
-    return Pipeline(stages=stages).fit(ready), modes
-
-
-def score(model: PipelineModel, modes: dict[str, str], test: DataFrame) -> DataFrame:
+    design = model.design()
+    ready = train.select(F.array(*design).alias("x"), F.col(TARGET).cast("double").alias("y"), weight.alias("w"))
+    model.coefficients, model.gradient = logistic_fit(ready, len(design))
+    return model
+
+
+def score(model: DelayModel, test: DataFrame) -> DataFrame:
     """order ids, actual and predicted class, and the probability of a delay."""
-    t = test.fillna(modes) if modes else test
-    p = vector_to_array("probability")[1]
     ids = [c for c in IDENTIFIERS if c in test.columns]
-    return model.transform(t.withColumn("_w", F.lit(1.0))).select(
-        *ids, F.col(TARGET).alias("actual_is_delayed"), F.col("prediction").cast("int").alias("predicted_is_delayed"),
-        half_even(p, 4).alias("delay_probability"), p.alias("raw_probability"),
+    scored = test.withColumn("raw_probability", model.probability())
+    return scored.select(
+        *ids, F.col(TARGET).alias("actual_is_delayed"), (F.col("raw_probability") > 0.5).cast("int").alias("predicted_is_delayed"),
+        half_even("raw_probability", 4).alias("delay_probability"), "raw_probability",
     )
 
 
@@ -211,18 +250,13 @@ def confusion(scored: DataFrame) -> DataFrame:
     return scored.groupBy(name(A).alias("actual"), name(P).alias("predicted")).agg(rows("orders"))
 
 
-def coefficients(model: PipelineModel, fs: FeatureSet, spark) -> DataFrame:
+def coefficients(model: DelayModel, spark) -> DataFrame:
     """Name, value and direction of each model input, largest effect first (as many rows as features)."""
-    names = list(fs.numeric)
-    if fs.categorical:
-        indexer = next(s for s in model.stages if type(s).__name__ == "StringIndexerModel")
-        for c, labels in zip(fs.categorical, indexer.labelsArray):
-            names += [f"{c}={v}" for v in labels]
-    values = model.stages[-1].coefficients.toArray().tolist()
-    df = spark.createDataFrame(list(zip(names, values)), "feature string, coefficient double")
+    df = spark.createDataFrame(list(zip(model.inputs(), model.coefficients[1:])), "feature string, coefficient double")
+    c = F.bround("coefficient", 6) + 0.0
     return df.select(
-        "feature", "coefficient", F.abs("coefficient").alias("absolute_coefficient"),
-        F.when(F.col("coefficient") >= 0, "Higher delay risk").otherwise("Lower delay risk").alias("direction"),
+        "feature", c.alias("coefficient"), F.abs(c).alias("absolute_coefficient"),
+        F.when(c >= 0, "Higher delay risk").otherwise("Lower delay risk").alias("direction"),
     ).orderBy(F.desc("absolute_coefficient"), "feature")
 
 
@@ -240,14 +274,24 @@ def model_input(lake) -> DataFrame:
     return delivery_weather(lake.orders, lake.weather)
 
 
-def trained(lake) -> tuple[PipelineModel, FeatureSet, DataFrame]:
-    """Model, features and scored test rows. The prepared rows are checkpointed once: imputation, indexing, scaling
-    and every optimizer step read that table instead of repeating joins and shuffles."""
-    ensure_checkpoint_dir(lake.spark)
+def trained(lake) -> tuple[DelayModel, DataFrame]:
+    """The model and the scored test rows of the input as it is now.
+
+    Both are written once per version of the input files; later calls, also of other sessions, read them. The prepared
+    rows are checkpointed, so imputation, scaling and every step of the fit read that table.
+    """
+    spark = lake.spark
     fs = feature_set(model_input(lake))
-    parts = stratified_split(fs.data).checkpoint()
-    model, modes = fit_model(fs, parts.filter("split = 'train'"))
-    return model, fs, score(model, modes, parts.filter("split = 'test'"))
+    base = f"{shared_dir(spark)}/models/delay-{input_version(fs.data)}"
+    folder = current_version(spark, base)
+    if folder is None:
+        ensure_checkpoint_dir(spark)
+        parts = stratified_split(fs.data).checkpoint()
+        model = fit_model(fs, parts.filter("split = 'train'"))
+        kept = spark.createDataFrame([(json.dumps(asdict(model)),)], "model string").coalesce(1)
+        folder = publish_version({"model": kept, "scored": score(model, parts.filter("split = 'test'"))}, base)
+    model = DelayModel(**json.loads(spark.read.parquet(f"{folder}/model").first()["model"]))
+    return model, spark.read.parquet(f"{folder}/scored")
 
 
 query("dp_target")(lambda lake: with_target(lake.orders_clean.drop(TARGET)).select("order_id", TARGET))
@@ -261,19 +305,12 @@ def features(lake):
 query("dp_split")(
     lambda lake: stratified_split(with_target(lake.orders_clean)).groupBy(TARGET, "split").agg(rows("orders")).orderBy(TARGET, "split")
 )
-query("dp_pipeline")(lambda lake: trained(lake)[2].drop("raw_probability"))
-query("dp_evaluate")(lambda lake: metrics(trained(lake)[2]))
-query("dp_class_report")(lambda lake: class_report(trained(lake)[2]))
-query("dp_confusion")(lambda lake: confusion(trained(lake)[2]))
+query("dp_pipeline")(lambda lake: trained(lake)[1].drop("raw_probability"))
+query("dp_evaluate")(lambda lake: metrics(trained(lake)[1]))
+query("dp_class_report")(lambda lake: class_report(trained(lake)[1]))
+query("dp_confusion")(lambda lake: confusion(trained(lake)[1]))
 query("dp_roc")(
-    lambda lake: roc_points(trained(lake)[2]).select("threshold", "false_positive_rate", "true_positive_rate").orderBy(F.desc("threshold"))
+    lambda lake: roc_points(trained(lake)[1]).select(F.bround("threshold", 8).alias("threshold"), "false_positive_rate", "true_positive_rate").orderBy(F.desc("threshold"))
 )
-
-
-@query("dp_coefficients")
-def coefficient_table(lake):
-    model, fs, _ = trained(lake)
-    return coefficients(model, fs, lake.spark)
-
-
-query("dp_predictions_summary")(lambda lake: predictions_summary(trained(lake)[2]))
+query("dp_coefficients")(lambda lake: coefficients(trained(lake)[0], lake.spark))
+query("dp_predictions_summary")(lambda lake: predictions_summary(trained(lake)[1]))

@@ -212,3 +212,46 @@ def test_rounding_on_decimal_ties(spark):
     got = df.select(half_up("v", 2).alias("u"), half_even("v", 2).alias("e")).collect()
     assert [r.u for r in got] == [33.08, 1.01, 2.68, 0.13, -1.01]
     assert [r.e for r in got] == [33.08, 1.0, 2.68, 0.12, -1.0]
+
+
+@pytest.mark.parametrize("kind", ["double", "long"])
+def test_order_statistics_are_exact(spark, kind):
+    """Skewed, repeated, negative and hugely spread values; groups that are missing; NULL values."""
+    import random
+
+    from freightlens.operators.selection import order_statistics
+
+    rng = random.Random(5)
+    cast = float if kind == "double" else int
+    data = {
+        "spread": [cast(rng.choice([-1, 1]) * 10 ** rng.uniform(0, 17)) for _ in range(700)], "same": [cast(7)] * 300, "ties": [cast(rng.randrange(3)) for _ in range(500)],
+        "one": [cast(-3)], "near": [cast(10**15 + rng.randrange(4)) for _ in range(200)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in [*vs, None]], f"g string, v {kind}").repartition(5)
+    asked = {(g,): sorted({0, len(vs) // 4, len(vs) // 2, len(vs) - 1}) for g, vs in data.items()}
+    got = order_statistics(df, ["g"], "v", asked, bins=16)
+    assert got == {(g, k): sorted(data[g])[k] for (g,), ks in asked.items() for k in ks}
+
+
+def test_versions_are_published_whole(spark):
+    """A load that fails leaves the version before it current; old versions go when asked."""
+    import os
+
+    from freightlens.session import run_dir
+    from freightlens.sources.versions import current_version, publish_version
+
+    base = run_dir(spark, "versions")
+    assert current_version(spark, base) is None
+    one = spark.range(3)
+    first = publish_version({"a": one, "b": one.where("id > 0")}, base)
+    assert current_version(spark, base) == first
+    bad = one.select(F.raise_error(F.lit("stop")).alias("x"))
+    with pytest.raises(Exception, match="stop"):
+        publish_version({"a": spark.range(9), "b": bad}, base)
+    assert current_version(spark, base) == first and spark.read.parquet(f"{first}/a").count() == 3
+    reader = spark.read.parquet(f"{first}/a")
+    second = publish_version({"a": spark.range(5)}, base)
+    assert current_version(spark, base) == second and reader.count() == 3
+    third = publish_version({"a": spark.range(6)}, base, keep=2)
+    path = lambda f: f.removeprefix("file:")
+    assert current_version(spark, base) == third and not os.path.exists(path(first)) and os.path.exists(path(second))

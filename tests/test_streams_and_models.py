@@ -130,7 +130,54 @@ def test_classifier_features_and_guards(spark, lake):
         dp.with_target(spark.createDataFrame([("a", 1)], "order_id string, is_delayed int"))
     parts = {(r.is_delayed, r.split): r.n for r in dp.stratified_split(fs.data).groupBy("is_delayed", "split").agg(F.count("*").alias("n")).collect()}
     for c in (0, 1):
-        assert 0.12 < parts[(c, "test")] / (parts[(c, "test")] + parts[(c, "train")]) < 0.28
+        assert parts[(c, "test")] == dp.split_sizes({k: parts[(k, "test")] + parts[(k, "train")] for k in (0, 1)}, 0.2)[c]
+    assert sum(v for (_, s), v in parts.items() if s == "test") == -(-fs.data.count() // 5)
+    assert dp.split_sizes({0: 7, 1: 4}, 0.2) == {0: 2, 1: 1} and dp.split_sizes({0: 5, 1: 5}, 0.2) == {0: 1, 1: 1} and dp.split_sizes({0: 3, 1: 2}, 0.3) == {0: 1, 1: 1}
+
+
+def test_model_is_fitted_once_per_input_and_is_the_optimum(spark, lake, monkeypatch):
+    """The stored coefficients have a gradient near zero on the training rows; a second call reads the stored model."""
+    import numpy as np
+
+    from freightlens.plans import predict as dp
+
+    model, scored = dp.trained(lake)
+    monkeypatch.setattr(dp, "fit_model", lambda *a: pytest.fail("fitted again"))
+    again, rescored = dp.trained(lake)
+    assert again == model and rows(scored) == rows(rescored)
+    assert model.gradient < 1e-9
+    train = dp.stratified_split(dp.feature_set(dp.model_input(lake)).data).filter("split = 'train'")
+    pdf = train.select(F.array(*model.design()).alias("x"), dp.TARGET).toPandas()
+    x, y = np.array(pdf.x.tolist()), pdf[dp.TARGET].to_numpy()
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    b = np.array(model.coefficients)
+    gradient = x.T @ (w * (1 / (1 + np.exp(-x @ b)) - y)) + b * (np.arange(len(b)) > 0)
+    assert np.abs(gradient).max() < 1e-6
+    filled = train.toPandas()[model.numeric]
+    assert model.medians == filled.median().fillna(0).tolist()
+
+
+def test_logistic_fit_refuses_a_bad_optimum(spark):
+    from freightlens.operators.least_squares import logistic_fit
+
+    df = spark.createDataFrame([([1.0, float(i)], float(i % 3 == 0), 1.0) for i in range(30)], "x array<double>, y double, w double")
+    with pytest.raises(ArithmeticError, match="no optimum"):
+        logistic_fit(df, 2, most=1, tolerance=1e-14)
+
+
+def test_least_squares_with_constant_and_repeated_columns(spark):
+    import numpy as np
+
+    from freightlens.operators.least_squares import least_squares
+
+    rng = np.random.default_rng(2)
+    data = [(float(a), float(a), 5.0, float(b), float(3 * a - b + 1 + e)) for a, b, e in zip(rng.normal(size=60), rng.normal(size=60) * 1e5, rng.normal(size=60))]
+    df = spark.createDataFrame(data, "a double, twice double, same double, b double, y double")
+    fit = [r.f for r in df.select(least_squares(df, ["a", "twice", "same", "b"], "y").alias("f")).collect()]
+    x = np.array([[r[0], r[3], 1] for r in data])
+    want = x @ np.linalg.lstsq(x, np.array([r[4] for r in data]), rcond=None)[0]
+    assert fit == pytest.approx(want.tolist())
+    assert least_squares(df.limit(0), ["a"], "y") is None
 
 
 HEAVY = ["cust_activity", "drv_daily", "kpi_region_ontime", "delivery_mart", "logistics_mart", "executive_mart", "route_region_metrics", "load_fact_orders", "ft_delivery_window", "feat_delivery_weather", "ra_region_risk", "dq_report", "wh_above_avg"]
