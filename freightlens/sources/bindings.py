@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freightlens.session import shared_dir
+from freightlens.sources.versions import derived_once, files_version
+
 K37 = "mod(o_orderkey * 37, 211)"
 K13 = "mod(o_orderkey * 13, 121)"
 RAIN = "mod(h0 * 7919 + r_regionkey * 331, 1000)"
@@ -28,11 +33,23 @@ COLUMNS = {
 
 
 class StarTables:
-    """Reads one scale folder; every method returns a lazy view."""
+    """Reads one scale folder; every method returns a lazy view.
+
+    Views that join or aggregate whole tables (orders with the ids of their lines, weather, traffic, roads) are written
+    once per version of the files to the shared folder, by the first query that needs them, and read from there.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    @cached_property
+    def _derived(self) -> str:
+        paths = [f"{self.folder}/{name}.parquet" for name in COLUMNS]
+        return f"{shared_dir(self.spark)}/bindings/{files_version(self.spark, paths)}"
+
+    def _once(self, name: str, df: DataFrame) -> DataFrame:
+        return derived_once(name, df, self._derived)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
@@ -66,7 +83,7 @@ class StarTables:
         return placed.join(self._line_ids(), F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
     def orders(self) -> DataFrame:
-        return self.order_columns(self._placed_orders())
+        return self._once("orders", self.order_columns(self._placed_orders()))
 
     @staticmethod
     def order_columns(o: DataFrame) -> DataFrame:
@@ -90,6 +107,9 @@ class StarTables:
 
     def weather(self) -> DataFrame:
         """Readings for the days and regions in which orders were placed."""
+        return self._once("weather", self._weather())
+
+    def _weather(self) -> DataFrame:
         days = self.table("orders").join(
             self._customer_region().select("c_custkey", "r_regionkey", "r_name"), F.col("o_custkey") == F.col("c_custkey")
         ).select(F.col("o_orderdate").cast("date").alias("dt"), "r_regionkey", "r_name").distinct()
@@ -124,6 +144,9 @@ class StarTables:
         )
 
     def traffic(self) -> DataFrame:
+        return self._once("traffic", self._traffic())
+
+    def _traffic(self) -> DataFrame:
         hours = self._dealt_regions(self.table("events"), "user_id").select(
             F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr"), "r_regionkey", "r_name"
         ).distinct()
@@ -204,6 +227,9 @@ class StarTables:
 
     def roads(self) -> DataFrame:
         """One road between the nations of a supplier and a customer who trade with each other."""
+        return self._once("roads", self._roads())
+
+    def _roads(self) -> DataFrame:
         nations = self.table("nation")
         sold = (
             self.table("lineitem").select("l_orderkey", "l_suppkey").distinct()

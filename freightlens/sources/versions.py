@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import pathlib
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -43,8 +46,27 @@ def publish_version(tables: dict[str, DataFrame], base: str, partition_by: dict[
     return f"{base}/{folder}"
 
 
-def input_version(df: DataFrame) -> str:
-    """A name for the state of all files that df reads: their paths, lengths and times of change."""
-    files = df.sparkSession.read.format("binaryFile").load(df.inputFiles())
+@functools.cache
+def code_version() -> str:
+    """A name for the state of the library's sources, so that what other code has derived is not read."""
+    top = pathlib.Path(__file__).resolve().parents[1]
+    texts = (p.read_bytes() for p in sorted(top.glob("*/*.py")) if p.parent.name != "llm")
+    return hashlib.sha256(b"".join(texts)).hexdigest()[:16]
+
+
+def files_version(spark: SparkSession, paths: list[str]) -> str:
+    """A name for the state of files: their number, paths, lengths and times of change, and the library's sources."""
+    files = spark.read.format("binaryFile").load(paths)
     one = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("x")).first()
-    return f"{one['n']}-{(one['x'] or 0) & (1 << 64) - 1:016x}"
+    return f"{one['n']}-{(one['x'] or 0) & (1 << 64) - 1:016x}-{code_version()}"
+
+
+def input_version(df: DataFrame) -> str:
+    """The state of all files that df reads."""
+    return files_version(df.sparkSession, df.inputFiles())
+
+
+def derived_once(name: str, df: DataFrame, base: str) -> DataFrame:
+    """df as written below base, which names the version of its input; written by whoever needs it first."""
+    folder = current_version(df.sparkSession, f"{base}/{name}") or publish_version({"rows": df}, f"{base}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
