@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.measures import half_up
-from freightlens.operators.ranking import global_running_total
+from freightlens.operators.selection import order_statistics
 
 
 def column_counts(df: DataFrame, dataset: str, distinct: bool = False) -> DataFrame:
@@ -47,50 +47,30 @@ def long_values(df: DataFrame, dataset: str, columns: list[str]) -> DataFrame:
 def describe_columns(long: DataFrame) -> DataFrame:
     """count, mean, std, min, exact quartiles (linear interpolation), max per (dataset, column_name).
 
-    Values are first counted per distinct value. A running count over the sorted distinct values then
-    locates each quartile; no task ever holds all values of a column.
+    Values are counted once per distinct value, map-side first; sums, squares around the means and the quartiles, by counting
+    in narrowing ranges, come from passes over these counts that merge map-side into one row per column or range. Nothing is
+    sorted, and no task holds all values of a column.
     """
-    keys = ["dataset", "column_name"]
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    running = global_running_total(counts, {"n": "upto"}, [F.col(k) for k in [*keys, "value"]])
-    base = running.groupBy(*keys).agg(
-        F.min(F.col("upto") - F.col("n")).alias("_base"), F.sum("n").alias("_count")
-    )
-    placed = running.join(base, keys).select(
-        *keys, "value", "n", "_count", (F.col("upto") - F.col("_base")).alias("_to"),
-        (F.col("upto") - F.col("_base") - F.col("n")).alias("_from"),
-    )
-    aggs = [
-        F.sum("n").cast("long").alias("count"),
-        F.sum(F.col("value").cast("decimal(26,6)") * F.col("n")).alias("_sum"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.first("_count").alias("_count"),
-    ]
-    for q in (25, 50, 75):
-        pos = F.lit(q / 100.0) * (F.col("_count") - 1)
-        for edge, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            here = (F.col("_from") <= at) & (at < F.col("_to"))
-            aggs.append(F.max(F.when(here, F.col("value"))).alias(f"_{edge}{q}"))
-    stats = placed.groupBy(*keys).agg(*aggs).withColumn("mean", F.col("_sum").cast("double") / F.col("count"))
-    spread = (
-        placed.join(stats.select(*keys, "mean"), keys)
-        .groupBy(*keys)
-        .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_ss"))
-    )
-    quart = {
-        f"q{q}": F.col(f"_lo{q}")
-        + (F.col(f"_hi{q}") - F.col(f"_lo{q}")) * (F.lit(q / 100.0) * (F.col("_count") - 1) % 1)
-        for q in (25, 50, 75)
-    }
-    return (
-        stats.join(spread, keys)
-        .withColumns(quart)
-        .select(
-            *keys, "count", "mean", F.sqrt(F.try_divide("_ss", F.col("count") - 1)).alias("std"),
-            "min", "q25", "q50", "q75", "max",
-        )
-    )
+    keys, v, n = ["dataset", "column_name"], F.col("value"), F.col("n")
+    spark = long.sparkSession
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")).persist()
+    sums = [F.sum(n).alias("count"), F.sum(v.cast("decimal(26,6)") * n).cast("double").alias("sum"), F.min(v).alias("min"), F.max(v).alias("max")]
+    first = {(r[0], r[1]): r for r in counts.groupBy(*keys).agg(*sums).collect()}
+    means = spark.createDataFrame([(*k, r["sum"] / r["count"]) for k, r in first.items()], "dataset string, column_name string, mean double")
+    squares = counts.join(means, keys).groupBy(*keys).agg(F.sum(n * F.pow(v - F.col("mean"), 2)).alias("ss"))
+    spread = {(r[0], r[1]): r["ss"] for r in squares.collect()}
+    places = {k: [(q, q * (r["count"] - 1)) for q in (25, 50, 75)] for k, r in first.items()}  # positions in hundredths
+    found = order_statistics(counts, keys, "value", {k: sorted({x for _, p in at for x in (p // 100, -(-p // 100))}) for k, at in places.items()}, ends={k: (r["min"], r["max"]) for k, r in first.items()}, weight="n")
+    counts.unpersist()
+    table = []
+    for k, r in first.items():
+        n = r["count"]
+        quartiles = []
+        for q, p in places[k]:
+            low, high = found[(*k, p // 100)], found[(*k, -(-p // 100))]
+            quartiles.append(low + (high - low) * (q / 100.0 * (n - 1) % 1))
+        table.append((*k, n, r["sum"] / n, (spread[k] / (n - 1)) ** 0.5 if n > 1 else None, r["min"], *quartiles, r["max"]))
+    return spark.createDataFrame(table, "dataset string, column_name string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

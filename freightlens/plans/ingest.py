@@ -154,8 +154,7 @@ def single_csv(lake):
 @query("sink_partitioned_lake")
 def partitioned_lake(lake):
     path = run_dir(lake.spark, "lake") + "/gps"
-    sinks.write_lake(lake.gps_clean.withColumn("event_date", F.col("date")), path, ["event_date", "region"])
-    back = lake.spark.read.parquet(path)
+    back = sinks.write_lake(lake.gps_clean.withColumn("event_date", F.col("date")), path, ["event_date", "region"])
     return back.groupBy("event_date", "region").agg(rows("gps_events"), F.max("speed_kmph").alias("max_speed_kmph"))
 
 

@@ -275,44 +275,40 @@ def one_pass(tables: dict[str, DataFrame], rules: dict[str, dict[str, Column]],
     """Row rules, unique keys and references of all tables: every table is scanned once, and nothing is joined.
 
     A row gives one entry per key it defines, one per id it refers to, and one with the pattern of row rules it breaks.
-    Entries are counted map-side by what they say, then meet by (domain, value): an id that no row defines is lost for
-    every rule that refers to it, and a key defined more than once is not unique. A hot id is one entry per task.
+    Entries are counted by (domain, value), map-side first, so a hot id is one entry per task: an id that no row defines is
+    lost for every rule that refers to it, and a key defined more than once is not unique.
     """
-    entry = "array<struct<domain:string,value:string,rule:string>>"
-    parts, names, expected = [], {}, []
+    entry = "array<struct<domain:string,value:string,said:int>>"  # said: the reference's number, or -1 where the row defines the value
+    parts = []
     for t, df in tables.items():
-        given = rules.get(t, {})
-        names[t] = list(given)
-        broken = F.concat(F.lit(""), *[F.when(bad, "1").otherwise("0") for bad in given.values()])
-        entries = [F.struct(F.lit("").alias("domain"), broken.alias("value"), F.lit(t).alias("rule"))]
+        broken = F.concat(F.lit(""), *[F.when(bad, "1").otherwise("0") for bad in rules.get(t, {}).values()])
+        entries = [F.struct(F.lit(f"rules of {t}").alias("domain"), broken.alias("value"), F.lit(-1).alias("said"))]
         if t in keys:
             value = F.col(keys[t][0]).cast("string") if len(keys[t]) == 1 else F.to_json(F.struct(*keys[t]), {"ignoreNullFields": "false"})
-            entries.append(F.struct(F.lit(t).alias("domain"), value.alias("value"), F.lit("").alias("rule")))
-            expected.append((t, f"{'+'.join(keys[t])} unique"))
-        for child, column, parent in references:
-            if child == t:
-                entries.append(F.struct(F.lit(parent).alias("domain"), F.col(column).cast("string").alias("value"), F.lit(f"{child}|{column} in {parent}").alias("rule")))
-                expected.append((child, f"{column} in {parent}"))
-        expected += [(t, name) for name in given]
+            entries.append(F.struct(F.lit(t).alias("domain"), value.alias("value"), F.lit(-1).alias("said")))
+        entries += [
+            F.struct(F.lit(parent).alias("domain"), F.col(column).cast("string").alias("value"), F.lit(i).alias("said"))
+            for i, (child, column, parent) in enumerate(references) if child == t
+        ]
         parts.append(df.select(F.inline(F.array(*entries).cast(entry))))
-    spark = next(iter(tables.values())).sparkSession
-    said = union(parts).groupBy("domain", "value", "rule").agg(F.count(F.lit(1)).alias("n"))
-    met = said.groupBy("domain", "value").agg(
-        F.sum(F.when(F.col("rule") == "", F.col("n")).otherwise(0)).alias("made"), F.collect_list(F.struct("rule", "n")).alias("said")
-    ).select("domain", "value", "made", F.inline("said"))
-    lost = F.when(F.col("value").isNull() | (F.col("made") == 0), F.col("n")).otherwise(0)
-    unique = F.create_map(*[x for t, k in keys.items() for x in (F.lit(t), F.lit(f"{'+'.join(k)} unique"))])
-    by_key = met.where("domain <> ''").select(
-        F.when(F.col("rule") == "", F.col("domain")).otherwise(F.split_part("rule", F.lit("|"), F.lit(1))).alias("dataset"),
-        F.when(F.col("rule") == "", unique[F.col("domain")]).otherwise(F.split_part("rule", F.lit("|"), F.lit(2))).alias("rule"),
-        F.when(F.col("rule") == "", (F.col("n") > 1).cast("long")).otherwise(lost).alias("failed"),
-        F.when(F.col("rule") == "", F.lit(1).cast("long")).otherwise(F.col("n")).alias("total"),
-    )
-    ordered = F.create_map(*[x for t, given in names.items() for x in (F.lit(t), F.array(*[F.lit(g) for g in given]).cast("array<string>"))])
-    marks = met.where("domain = ''").select(F.col("rule").alias("dataset"), "n", F.posexplode(F.filter(F.split("value", ""), lambda c: c != "")).alias("i", "bad"))
-    by_row = marks.select("dataset", ordered[F.col("dataset")][F.col("i")].alias("rule"), F.when(F.col("bad") == "1", F.col("n")).otherwise(0).alias("failed"), F.col("n").alias("total"))
-    none = spark.createDataFrame([(d, r, 0, 0) for d, r in expected], "dataset string, rule string, failed long, total long")  # rules of empty tables, too
-    return by_key.union(by_row).union(none).groupBy("dataset", "rule").agg(F.sum("failed").alias("failed"), F.sum("total").alias("total")).select(*LONG)
+    numbers = range(len(references))
+    met = union(parts).groupBy("domain", "value").agg(F.count_if(F.col("said") == -1).alias("made"), *[F.count_if(F.col("said") == i).alias(f"r{i}") for i in numbers])
+    unknown = F.col("value").isNull() | (F.col("made") == 0)
+    marks = [(t, i, name) for t, given in rules.items() if t in tables for i, name in enumerate(given)]
+    sums = {}
+    for t in tables:
+        if t in keys:
+            there = (F.col("domain") == t) & (F.col("made") > 0)
+            sums[t, f"{'+'.join(keys[t])} unique"] = F.count_if(there & (F.col("made") > 1)), F.count_if(there)
+    for i, (child, column, parent) in enumerate(references):
+        n = F.when(F.col("domain") == parent, F.col(f"r{i}"))
+        sums[child, f"{column} in {parent}"] = F.sum(F.when(unknown, n)), F.sum(n)
+    for t, i, name in marks:
+        n = F.when(F.col("domain") == f"rules of {t}", F.col("made"))
+        sums[t, name] = F.sum(F.when(F.substring("value", i + 1, 1) == "1", n)), F.sum(n)
+    one = met.agg(*[F.coalesce(x, F.lit(0)).alias(f"{k}{i}") for i, pair in enumerate(sums.values()) for k, x in zip("ft", pair)])
+    cells = [F.struct(F.lit(t).alias("dataset"), F.lit(name).alias("rule"), F.col(f"f{i}").alias("failed"), F.col(f"t{i}").alias("total")) for i, (t, name) in enumerate(sums)]
+    return one.select(F.inline(F.array(*cells))).select(*LONG)
 
 
 def report(lake) -> DataFrame:

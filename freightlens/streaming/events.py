@@ -157,10 +157,8 @@ def deduplicated(gps_stream: DataFrame, late: str = "10 minutes") -> DataFrame:
     return gps_stream.withWatermark("timestamp", late).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])
 
 
-def latest_status(update_stream: DataFrame) -> DataFrame:
-    """Most recent event per order, for update mode."""
-    last = F.max(F.struct("event_timestamp", "event_id", "event_type", "delay_minutes"))
-    return update_stream.groupBy("order_id").agg(last.alias("l")).select("order_id", "l.*")
+#: What makes an update of an order the latest, and what is kept of it.
+STATUS_ORDER, STATUS = ["event_timestamp", "event_id"], ["order_id", "event_timestamp", "event_id", "event_type", "delay_minutes"]
 
 
 def traffic_windows(traffic_stream: DataFrame, length: str = "2 hours", slide: str = "1 hour", late: str = "10 minutes") -> DataFrame:

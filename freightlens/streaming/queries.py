@@ -32,7 +32,7 @@ class Topics:
     CLOSING = "interval 2 days"
     FILES = 4
 
-    def __init__(self, lake, slices: int = 4):
+    def __init__(self, lake, slices: int = 2):
         self.lake, self.spark, self.slices = lake, lake.spark, slices
         self.base = run_dir(lake.spark, "stream")
 
@@ -51,9 +51,6 @@ class Topics:
             e = e.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_i")
         return self._topic("gps_tracking", e)
 
-    def updates(self) -> DataFrame:
-        return self._topic("delivery_updates", as_events(self.lake.delivery_updates, "order_id", F.col("event_timestamp")))
-
     def traffic(self) -> DataFrame:
         return self._topic("traffic_updates", as_events(self.lake.traffic, "location", F.col("timestamp")))
 
@@ -70,6 +67,11 @@ class Topics:
     def gps_in_order(self) -> DataFrame:
         return self._ordered("gps_tracking", self.lake.gps_tracking, "vehicle_id")
 
+    def updates_in_order(self) -> DataFrame:
+        path = f"{self.base}/topics/delivery_updates-ordered"
+        publish_in_order(as_events(self.lake.delivery_updates, "order_id", F.col("event_timestamp")), path, None, self.slices, self.FILES)
+        return folder_topic(self.spark, path, self.FILES)
+
     def traffic_in_order(self) -> DataFrame:
         return self._ordered("traffic_updates", self.lake.traffic, "location")
 
@@ -120,9 +122,9 @@ def orders_gps(lake):
 def delivery_status(lake):
     t = Topics(lake)
     path = f"{t.base}/out/st_delivery_status"
-    latest = ev.latest_status(ev.updates(t.updates()))
-    sinks.write_latest(latest, path, f"{t.base}/checkpoints/st_delivery_status").awaitTermination()
-    return plain_times(sinks.read_latest(lake.spark, path, "order_id"))
+    updates = ev.updates(t.updates_in_order()).select(*ev.STATUS)
+    sinks.write_latest(updates, path, f"{t.base}/checkpoints/st_delivery_status", "order_id", ev.STATUS_ORDER, every=t.slices).awaitTermination()
+    return plain_times(sinks.read_latest(lake.spark, path, "order_id", ev.STATUS_ORDER, updates.schema))
 
 
 @query("st_traffic_trend")

@@ -51,13 +51,14 @@ def publish(events: DataFrame, path: str) -> str:
     return path
 
 
-def publish_in_order(events: DataFrame, path: str, closing: DataFrame, slices: int = 4, files: int = 4) -> str:
+def publish_in_order(events: DataFrame, path: str, closing: DataFrame | None, slices: int = 4, files: int = 4) -> str:
     """Append messages to a folder topic in order of ingest time, and a closing message after all others.
 
     The messages are written once, dealt into time ranges of equal length, and each range is appended to the topic as
     `files` files after the range before it. A reader that takes `files` files per batch sees one range at a time, so no
     message comes later than messages of a later range. The closing message lies past every window that is still open:
-    it moves the watermark over them, while its own window never closes and gives no row.
+    it moves the watermark over them, while its own window never closes and gives no row. Where nothing waits for a
+    watermark there is none.
     """
     spark = events.sparkSession
     ends = events.agg(F.struct(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).alias("e")).scalar()
@@ -67,7 +68,7 @@ def publish_in_order(events: DataFrame, path: str, closing: DataFrame, slices: i
     dealt = spark.read.schema(f"{EVENT_COLUMNS}, part int").parquet(f"{path}-dealt")
     for k in range(slices):
         publish(dealt.where(F.col("part") == k).drop("part").repartition(files), path)
-    return publish(closing, path)
+    return path if closing is None else publish(closing, path)
 
 
 def publish_kafka(events: DataFrame, brokers: str, topic: str) -> None:

@@ -154,7 +154,26 @@ def test_readers_and_sinks(spark):
     day = lambda d, n: spark.createDataFrame([(d, "a", n)], "event_date string, region string, n int")
     for d, n in (("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-02", 3)):
         sinks.write_lake(day(d, n), f"{base}/lake", ["event_date", "region"])
-    assert sorted(r.n for r in spark.read.parquet(f"{base}/lake").collect()) == [1, 3]  # only the rewritten day changed
+    assert sorted(r.n for r in sinks.read_lake(spark, f"{base}/lake").collect()) == [1, 3]  # only the rewritten day changed
+    assert [r.n for r in sinks.write_lake(day("2024-01-03", 4), f"{base}/lake", ["event_date", "region"], whole=True).collect()] == [4]
+
+
+def test_registered_tables_change_at_once(spark):
+    """A load points the table to a new folder; one that fails leaves it as it was."""
+    from freightlens.sources import sinks
+
+    base = run_dir(spark, "r")
+    df = spark.range(3)
+    (name,) = sinks.register_tables(spark, "freight_versions", {"t": df}, base)
+    held = spark.table(name)
+    with pytest.raises(Exception, match="stop"):
+        sinks.register_tables(spark, "freight_versions", {"t": df.select(F.when(F.col("id") > 1, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("id"))}, base)
+    assert spark.table(name).count() == held.count() == 3
+    sinks.register_tables(spark, "freight_versions", {"t": spark.range(5)}, base)
+    assert spark.table(name).count() == 5
+    sinks.register_tables(spark, "freight_versions", {"t": spark.range(2).withColumn("more", F.lit("x"))}, base)
+    assert spark.table(name).columns == ["id", "more"]
+    spark.sql("DROP DATABASE freight_versions CASCADE")
 
 
 def test_star_keeps_orders_and_scd2(spark, lake):

@@ -229,3 +229,21 @@ def test_trend_comes_from_the_stream(spark):
         ("A", 9, 15.0, "first"), ("A", 10, 15.0, "unchanged"), ("A", 11, 30.0, "worsening"), ("A", 12, 30.0, "unchanged"), ("A", 18, 30.0, "unchanged"),
         ("A", 19, 18.5, "improving"), ("A", 20, 7.0, "improving"), ("B", 9, 5.0, "first"), ("B", 10, 5.0, "unchanged"), ("B", 18, 5.0, "unchanged"), ("B", 19, 5.0, "unchanged"),
     ]
+
+
+def test_latest_status_survives_replays_and_compaction(spark):
+    """One row per key whatever the batches, their order and the point at which they are folded into a snapshot."""
+    from freightlens.streaming import sinks
+
+    base = run_dir(spark, "latest")
+    schema = "k string, at int, v string"
+    batches = [[("a", 1, "x"), ("b", 5, "x")], [("a", 3, "y"), ("a", 2, "z")], [("c", 1, "x"), ("b", 4, "late")], [("b", 9, "end")]]
+    for i, rows_ in enumerate(batches):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        q = sinks.write_latest(spark.readStream.schema(schema).parquet(f"{base}/in"), f"{base}/out", f"{base}/cp", "k", ["at"], every=2)
+        q.awaitTermination()
+        seen = [r for b in batches[: i + 1] for r in b]
+        want = sorted(max((r for r in seen if r[0] == k), key=lambda r: r[1:]) for k in {r[0] for r in seen})
+        assert rows(sinks.read_latest(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)) == want
+    sinks.compact(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)
+    assert rows(sinks.read_latest(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)) == want
