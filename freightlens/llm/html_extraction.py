@@ -12,7 +12,8 @@ Weights come from all pages, as counts per kind of event; the kinds are a fixed
 
 Defined results: null, empty or tag-only html gives an empty text; raw text elements (script, style and
 the like), comments and broken tags never give text; repeated rows give repeated results; pages learn
-from fixed weights when no page is labelled; an empty table gives an empty result; further columns stay.
+from fixed weights when no page is labelled; an empty table gives an empty result; further columns stay, but columns
+`text` and `n_chars` are replaced by the result.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ NO_ARTICLE_NAMES = set(
     "respond share sharing sidebar social sponsor sponsored subscribe subscription widget".split()
 )
 ARTICLE = {"article", "main"}
+#: Parts of a name that say what an element has or how it looks, not what it is; and names of the content itself.
+MODIFIERS = set("has have with without no not is show hide enable disable allow open closed enabled disabled allowed on off active inactive visible hidden free status count".split())
+CONTENT = set("article body content entry main page post single story text wrapper".split())
+
+#: A page of fewer words is looked at again without the names of its elements.
+FEW = 25
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -58,18 +65,40 @@ ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PARTS = re.compile(r"[a-z]+|[0-9]+")
 
 
-def no_article(name: str, attrs: str) -> bool:
+def names_no_article(value: str) -> bool:
+    """Whether a class or id says that an element is no part of an article.
+
+    A name counts where none of its parts is a modifier (`has-sidebar`, `comments-open` describe what holds the article). A
+    compound name counts less than one word alone: it doesn't speak against a name of the content beside it.
+    """
+    strong = weak = content = False
+    for name in value.lower().strip("\"'").split():
+        parts = PARTS.findall(name)
+        if MODIFIERS & set(parts):
+            continue
+        listed = NO_ARTICLE_NAMES & set(parts)
+        strong |= bool(listed) and len(parts) == len(listed)
+        weak |= bool(listed)
+        content |= bool(CONTENT & set(parts)) and not listed
+    return strong or weak and not content
+
+
+def no_article(name: str, attrs: str, by_name: bool = True) -> bool:
     """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comment."""
     if name in NO_ARTICLE:
         return True
+    if name in ("html", "body", *ARTICLE):
+        return False
     for what, value in ATTR.findall(attrs) if attrs else ():
-        words = set(PARTS.findall(value.lower()))
-        if words & (NO_ARTICLE_ROLES if what.lower() == "role" else NO_ARTICLE_NAMES) and name not in ("html", "body", *ARTICLE):
+        if what.lower() == "role":
+            if NO_ARTICLE_ROLES & set(PARTS.findall(value.lower())):
+                return True
+        elif by_name and names_no_article(value):
             return True
     return False
 
 
-def events(page: str):
+def events(page: str, by_name: bool = True):
     """(kind, is tag, words, text, left out) for every tag and text of a page, in order."""
     out: list[list] = []
     skip, depth, begun = None, 0, 0  # the element that is left out, how deep in its own name, where it began
@@ -81,7 +110,7 @@ def events(page: str):
             if not name:
                 continue
             name, end = name.lower(), bool(m["end"] or m["end2"])
-            if skip is None and not end and name not in VOID and no_article(name, m["attrs"] or ""):
+            if skip is None and not end and name not in VOID and no_article(name, m["attrs"] or "", by_name):
                 skip, depth, begun = name, 0, len(out)
             known = name if name in BLOCKS or name in INLINE else "other"
             last = known
@@ -129,6 +158,12 @@ def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+def unlearned(kind: str) -> float:
+    """The weight of a tag that no labelled page shows: what stands inside a line costs least, unknown elements most."""
+    name = kind.lstrip("/")
+    return -0.1 if name in INLINE else -0.5 if name in BLOCKS else -2.0
+
+
 def region(found: list, weights: dict[str, float]) -> tuple[int, int]:
     """The contiguous events with the largest sum, as a half-open range."""
     best, span, total, start = 0.0, (0, 0), 0.0, 0
@@ -136,7 +171,7 @@ def region(found: list, weights: dict[str, float]) -> tuple[int, int]:
         if left_out:
             total -= 0.3 * tag
         elif tag:
-            total += weights.get(kind, -2.0)
+            total += weights.get(kind) or unlearned(kind)
         elif words:
             total += words * weights.get(kind, 1.0)
         if total <= 0:
@@ -151,6 +186,12 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     found = events(page)
     a, b = region(found, weights)
+    inside = sum(e[2] for e in found[a:b] if not e[4])
+    if inside < FEW:  # names alone must not take the page's text away
+        other = events(page, by_name=False)
+        c, d = region(other, weights)
+        if sum(e[2] for e in other[c:d] if not e[4]) > 4 * inside + FEW:
+            found, a, b = other, c, d
     blocks, line = [], []
     for _, tag, _, text, left_out in found[a:b]:
         if tag:
@@ -185,15 +226,12 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """The pages without their html, with text and n_chars."""
     ship(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(learn(pages, html))
-    rest = [c for c in pages.columns if c != html]
+    rest = [c for c in pages.columns if c not in (html, "text", "n_chars")]
 
     def read(batches):
         for b in batches:
             texts = [main_text(x, held.value) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], [*rest, "text", "n_chars"])
 
-    clash = [c for c in rest if c in ("text", "n_chars")]
-    if clash:
-        raise ValueError(f"rename the columns {clash}: the result has columns of that name")
     schema = pages.select(*rest).withColumn("text", F.lit("")).withColumn("n_chars", F.lit(0).cast("long")).schema
     return pages.select(html, *rest).mapInArrow(read, schema)
