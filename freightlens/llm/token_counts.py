@@ -72,13 +72,13 @@ def frequent_pretokens(docs: DataFrame, text: str, path: str | None, size: int)
 
 
 def token_counts(docs: DataFrame, text: str = "text", path: str | None = None, table_size: int = TABLE_SIZE) -> DataFrame:
-    """The documents without their text, with n_bytes and n_tokens. `path`: the tokenizer file, at the same place on all machines."""
+    """The documents without their text, with n_bytes and n_tokens, which replace columns of these names. `path`: the tokenizer file, at the same place on all machines."""
     spark = docs.sparkSession
     ship(spark)
     frequent = frequent_pretokens(docs, text, path, table_size)
     cache = worker_cache(path or vocabulary(), "length")
     held = spark.sparkContext.broadcast(dict(zip(frequent, map(len, cache.ids(frequent)))))
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens")]
     schema = docs.select(*rest).withColumn("n_bytes", F.lit(0).cast("long")).withColumn("n_tokens", F.lit(0).cast("long")).schema
 
     def count(batches):
