@@ -12,7 +12,8 @@ those with the smallest hash of their id) and at most `voters` voters; scoring i
 
 Defined results: a null or empty text scores as a text on which no voter fires; rows without a label or
 an id are not used for fitting; of repeated labels of an id the largest counts; without any labelled
-row the fixed lexicon decides; an empty table gives an empty result; further columns are left alone.
+row the fixed lexicon decides; an empty table gives an empty result; further columns are left alone, but a column `score` is
+replaced by the result.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import ship
+from freightlens.llm.common import bit_filter, in_filter, ship, stage
 from freightlens.llm.words import alnum_words
 
 FIT_ROWS, VOTERS, THRESHOLD = 20_000, 512, 0.3
@@ -118,39 +120,87 @@ def regression(votes: np.ndarray, target: np.ndarray, penalty: float = 0.05, rou
     return w[:-1], float(w[-1])
 
 
-def _training(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows: int | None = None) -> DataFrame:
-    """(text, toxic) of the labelled rows, at most fit_rows where given, whose crc32 of the id is not 2 modulo 4."""
-    sample = (
+def _labelled(labels: DataFrame, key: str) -> DataFrame:
+    """(_id, _toxic) of the labelled ids whose crc32 is not 2 modulo 4."""
+    return (
         labels.where(F.col("toxic").isNotNull() & (F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) != 2))
-        .groupBy(F.col(key).alias("_id")).agg(F.max("toxic").alias("toxic"))
+        .groupBy(F.col(key).alias("_id")).agg(F.max("toxic").alias("_toxic"))
     )
-    if fit_rows is not None:
-        # The sample has at most fit_rows rows of an id and a flag.
-        sample = F.broadcast(sample.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows))
-    return docs.join(sample, docs[key] == sample["_id"]).select(F.col(text).cast("binary").alias("text"), "toxic")
 
 
-def _candidates(training: DataFrame, voters: int) -> list[bytes]:
-    """Signs whose share of toxic rows is high even at the lower end of its confidence interval."""
+def _training(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows: int) -> DataFrame:
+    """(text, toxic) of at most fit_rows labelled ids."""
+    # The sample has at most fit_rows rows of an id and a flag.
+    sample = F.broadcast(_labelled(labels, key).orderBy(F.xxhash64("_id"), "_id").limit(fit_rows))
+    return docs.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("text")).join(sample, F.col("_key") == F.col("_id")).select("text", F.col("_toxic").alias("toxic"))
+
+
+def _known(docs: DataFrame, key: str, text: str | None, ids: DataFrame) -> DataFrame:
+    """(_key[, text]) of the documents that pass a filter of fixed size over ids: all of `ids`, and a few others."""
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(F.col("_id").cast("string")).alias("h")), "h"))
+
+    def keep(batches):
+        for b in batches:
+            yield b.filter(pa.array(in_filter(b.column(0).to_numpy().view(np.uint64), held.value)))
+
+    columns = [F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(key).alias("_key")] + ([F.col(text).cast("binary").alias("text")] if text else [])
+    rows = docs.where(F.col(key).isNotNull()).select(*columns)
+    return rows.mapInArrow(keep, rows.schema).drop("h")
+
+
+def _count(texts: DataFrame, among=None, most: int = 300_000) -> DataFrame:
+    """(sign, n): rows of `texts` that hold each sign, in parts; `among`: a broadcast filter of the signs that matter."""
 
     def count(batches):
+        n: Counter = Counter()
+
+        def part():
+            names = list(n)
+            if among is not None and names:
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
+                names = [x for x, yes in zip(names, in_filter(hashes, among.value).tolist()) if yes]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([n[x] for x in names], pa.int64())], ["sign", "n"])
+
         for b in batches:
-            rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            for at in range(0, len(rows), 1000):
-                n, toxic = Counter(), Counter()
-                for raw, label in rows[at : at + 1000]:
-                    s = signs(set(alnum_words(raw)))
-                    n.update(s)
-                    if label:
-                        toxic.update(s)
-                names = list(n)
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([n[x] for x in names], pa.int64()), pa.array([toxic[x] for x in names], pa.int64())], ["sign", "n", "toxic"])
+            for raw in b.column(0).to_pylist():
+                n.update(signs(set(alnum_words(raw))))
+                if len(n) > most:
+                    yield part()
+                    n.clear()
+        yield part()
+
+    return texts.select("text").mapInArrow(count, "sign binary, n long")
 
+
+def _candidates(docs: DataFrame, labels: DataFrame, key: str, text: str, voters: int) -> list[bytes]:
+    """Signs whose share of toxic rows is high even at the lower end of its confidence interval, over all labelled rows.
+
+    Such a sign stands in at least five toxic rows (its interval reaches below one half otherwise), so signs of toxic rows
+    are counted first, and only those with enough in the other rows. Labelled rows are found by a filter of fixed size on
+    ids; what it lets through in excess is found by a join of ids and taken off, so texts of other rows are never moved.
+    """
+    spark = docs.sparkSession
+    labelled = stage(_labelled(labels, key), "toxicity-labels")
+    bad = labelled.where("_toxic <> 0")
+    texts = _known(docs, key, text, bad).join(bad, F.col("_key") == F.col("_id"))
+    seen = stage(_count(texts).groupBy("sign").agg(F.sum("n").alias("toxic")).where("toxic >= 5"), "toxicity-signs")
+
+    @F.pandas_udf("long")
+    def hashed(x: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x)).view(np.int64))
+
+    among = spark.sparkContext.broadcast(bit_filter(seen.select(hashed("sign").alias("h")), "h"))
+    counts = _count(_known(docs, key, text, labelled), among)
+    others = stage(_known(docs, key, None, labelled).join(labelled, F.col("_key") == F.col("_id"), "left_anti").select(F.col("_key").alias("_id")).distinct(), "toxicity-others")
+    if not others.isEmpty():
+        excess = _known(docs, key, text, others).join(others, F.col("_key") == F.col("_id"), "left_semi")
+        counts = counts.union(_count(excess, among).select("sign", -F.col("n")))
     n, z = F.col("n").cast("double"), 2.0
     share = F.col("toxic") / n
     low = (share + z * z / 2 / n - z * F.sqrt(share * (1 - share) / n + z * z / 4 / n / n)) / (1 + z * z / n)
     best = (
-        training.mapInArrow(count, "sign binary, n long, toxic long").groupBy("sign").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+        counts.groupBy("sign").agg(F.sum("n").alias("n")).join(seen, "sign")
         .withColumn("low", low).where("low > 0.5").orderBy((F.col("low") * F.log1p(n)).desc(), "sign").limit(voters)
     )
     return [bytes(r["sign"]) for r in best.collect()]
@@ -160,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ship(docs.sparkSession)
     training = _training(docs, labels, key, text, fit_rows)
     fixed = [b"=" + w.encode() for w in LEXICON]
-    names = fixed + [v for v in _candidates(_training(docs, labels, key, text), voters - len(fixed)) if v not in fixed]
+    names = fixed + [v for v in _candidates(docs, labels, key, text, voters - len(fixed)) if v not in fixed]
     model = Classifier(names, np.zeros(len(names)), 0.0)
 
     def vote(batches):
@@ -182,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def toxicity_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The documents without their text, with a score between 0 and 1."""
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key, text, **settings))
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "score")]
 
     def score(batches):
         model = held.value

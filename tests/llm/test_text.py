@@ -269,6 +269,44 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity_scores(nothing, label).count() == 0 and without_toxic(nothing, label).count() == 0
 
 
+def test_voters_are_those_of_all_labelled_rows(spark):
+    """The counts in two steps give the voters that one count over all labelled rows gives."""
+    from freightlens.llm import toxicity as T
+
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    T.ship(spark)
+    got = T._candidates(docs, labels, "doc_id", "text", 400)
+    given = {i: y for i, y in duckdb.sql(f"select doc_id, toxic from '{folder}/labels.parquet'").fetchall() if zlib.crc32(str(i).encode()) % 4 != 2 and y is not None}
+    n, toxic = collections.Counter(), collections.Counter()
+    for i, t in duckdb.sql(f"select doc_id, text from '{folder}/documents.parquet'").fetchall():
+        if i in given:
+            s = T.signs(set(T.alnum_words((t or "").encode())))
+            n.update(s)
+            toxic.update(s if given[i] else ())
+    def low(k):
+        share, m = toxic[k] / n[k], n[k]
+        return (share + 2 / m - 2 * (share * (1 - share) / m + 1 / m / m) ** 0.5) / (1 + 4 / m)
+    want = sorted((k for k in toxic if low(k) > 0.5), key=lambda k: (-low(k) * np.log1p(n[k]), k))[:400]
+    assert set(got) == set(want) or abs(low(got[-1]) * np.log1p(n[got[-1]]) - low(want[-1]) * np.log1p(n[want[-1]])) < 1e-9
+    # rows that pass the filter without a label are taken off again
+    few = labels.where("doc_id % 3 = 0")
+    assert len(T._candidates(docs, few, "doc_id", "text", 50)) <= 50
+
+
+def test_token_count_columns_that_clash(spark, docs):
+    got = token_counts(docs.withColumn("n_tokens", F.lit("x")).withColumn("n_bytes", F.lit(1.5)))
+    assert {k: v for k, v in got.dtypes if k.startswith("n_")} == {"n_bytes": "bigint", "n_tokens": "bigint"} and got.count() == docs.count()
+
+
+def test_toxicity_columns_that_clash(spark, docs):
+    label = spark.createDataFrame([(0, 0), (4, 1)], "doc_id long, toxic int")
+    more = docs.withColumn("score", F.lit("x")).withColumn("toxic", F.lit(3)).withColumn("_id", F.lit(1))
+    scored = toxicity_scores(more, label)
+    assert scored.columns.count("score") == 1 and dict(scored.dtypes)["score"] == "double" and scored.count() == docs.count()
+    assert without_toxic(more, label).columns == more.columns
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><script>var a = "<p>no</p>";</script></head><body class="page ad-free">
 <header><h1>Site name</h1></header><ul class="menu"><li><a href="/a">Home page</a><li>About us</ul>
 <div class="content"><h2>Title &amp; more</h2><!-- <p>no</p> --><p>First  para with <a href="y">a
@@ -306,8 +344,29 @@ def test_page_edges(spark):
     got = extract(frame).collect()
     assert sorted((r.page_id, r.n_chars > 0) for r in got) == [(1, False), (1, False), (2, False), (3, True)]
     assert extract(frame.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        extract(frame.withColumnRenamed("url", "text"))
+    clash = extract(frame.withColumnRenamed("url", "text").withColumn("n_chars", F.lit("x")))
+    assert clash.columns == ["page_id", "text", "n_chars"] and sorted(r.n_chars > 0 for r in clash.collect()) == [False, False, False, True]
+
+
+@pytest.mark.parametrize("names", ["content has-sidebar", "post comments-open", "wrapper with-ads", "entry-content no-ads"])
+def test_names_do_not_take_the_article_away(names):
+    """Names that describe what holds the article don't make the text empty, nor does a wrong name around the whole text."""
+    words = " ".join(f"word{i}" for i in range(60))
+    page = f"<body><nav><a href=x>Home</a></nav><div class='{names}'><h2>My title</h2><p>{words}</p><p>Short <a href=y>linked</a> end.</p></div><div class='sidebar'><p>Other things here</p></div></body>"
+    assert main_text(page, {}) == f"My title\n{words}\nShort linked end."
+    assert main_text(f"<body><div class=sidebar><p>{words}</p></div></body>", {}) == words
+
+
+def test_names_still_leave_parts_out():
+    for names in ("sidebar", "comment-list", "ad-banner", "related-posts", "cookie-notice"):
+        words = " ".join(f"word{i}" for i in range(40))
+        page = f"<body><div class=content><p>{words}</p><div class='{names}'><p>{words} {words}</p></div><p>{words}</p></div></body>"
+        assert main_text(page, {}) == f"{words}\n{words}", names
+
+
+def test_very_long_page():
+    words = " ".join(f"word{i}" for i in range(400_000))
+    assert main_text(f"<body><p>{words}</p><script>{'x' * 1_000_000}</script></body>", {}) == words
 
 
 def test_surrogates(spark, docs, nothing):
