@@ -14,6 +14,7 @@ are packed as often as they occur; an empty table gives an empty result; further
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -31,10 +32,10 @@ CAPACITY, END_ID = 2048, 0
 def encoded(batches, path: str | None, end_id: int):
     """(text column's row, little-endian ids with the end id) for every batch."""
     cache = worker_cache(path or vocabulary(), "ids", 1_000_000)
-    known, end = cache.known, np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4").tobytes()
 
     def pack(ids):
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     for b in batches:
         out = []
@@ -42,11 +43,9 @@ def encoded(batches, path: str | None, end_id: int):
             if not x:
                 out.append(end)
             elif cache.plain(x):
-                chunks = cache.chunks(x) or list(map(chunk_of, cache.split(x)))
-                values = list(map(known.get, chunks))
-                out.append(b"".join(cache.resolve_chunks(chunks, values, pack, b"".join) if None in values else values) + end)
+                out.append(cache.joined(cache.chunks(x) or list(map(chunk_of, cache.split(x))), pack) + end)
             else:
-                out.append(pack(cache.ids([x])[0]) + end)
+                out.append(np.array(cache.ids([x])[0], "<u4").tobytes() + end)
         yield b, out
 
 

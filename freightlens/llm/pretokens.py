@@ -20,7 +20,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 UNUSUAL = r"[^\t-\r\x20-\x7E¡-ɏΑ-ΡΣ-ϿЀ-ҁҊ-ԯ‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣]"
 
 #: White space that a pre-token may share across a cut, and white space other than spaces and newlines.
-JOINING = r"[ \n]{2}|\A[ \n]|[ \n]\Z|[\t\r\f\v]"
+JOINING = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\f", "\v")
+
+#: The ASCII characters among those.
+USUAL_ASCII = bytes([*range(9, 14), *range(32, 127)])
 
 #: Marks a chunk without a leading space; no plain text holds this character.
 FIRST = "\x02"
@@ -44,11 +47,9 @@ class PieceCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.split = regex.compile(PATTERN).findall
         self.unusual = regex.compile(UNUSUAL).search
-        self.joining = regex.compile(JOINING).search
         self.limit, self.known = limit, {}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -56,7 +57,8 @@ class PieceCache:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def plain(self, text: str) -> bool:
-        return not (self.unusual(text) or (self.special and self.special.search(text)))
+        odd = text.encode().translate(None, USUAL_ASCII) if text.isascii() else self.unusual(text)
+        return not odd and not any(x in text for x in self.special)
 
     def chunks(self, text: str) -> list[str] | None:
         """The text cut before single spaces and newlines, or None where white space may join across cuts.
@@ -64,27 +66,26 @@ class PieceCache:
         A cut before a space or newline between other characters is a border of pre-tokens, so chunks can be
         encoded by themselves. The first chunk has no space of its own.
         """
-        if self.joining(text):
+        if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in JOINING):
             return None
         first, *rest = text.replace("\n", " \n").split(" ")
         return [FIRST + first, *rest]
 
-    def resolve_chunks(self, chunks: list[str], values: list, make, join) -> list:
-        """Fill the gaps of `values` (None): a chunk's value joins those of its pre-tokens, through the cache."""
-        missing = {c for c, v in zip(chunks, values) if v is None}
+    def joined(self, chunks: list[str], make) -> bytes:
+        """The values of the chunks one after the other; a chunk's value joins those of its pre-tokens, through the cache."""
+        known, every = self.known, set(chunks)
+        missing = every.difference(known)
+        if missing and len(known) + 3 * len(missing) > self.limit:
+            known.clear()
+            missing = every
         split = {c: self.split(c[1:] if c[0] == FIRST else c if c[0] == "\n" else " " + c) for c in missing}
-        parts = {p for pieces in split.values() for p in pieces}
-        new = [p for p in parts if chunk_of(p) not in self.known]
-        if len(self.known) + len(new) + len(split) > self.limit:
-            self.known.clear()
-            new = list(parts)
-        for p, ids in zip(*self.encoded(new)):
-            self.known[chunk_of(p)] = make(ids)
-        known = self.known
+        parts = {p: chunk_of(p) for pieces in split.values() for p in pieces}
+        for p, ids in zip(*self.encoded([p for p, c in parts.items() if c not in known])):
+            known[parts[p]] = make(ids)
         for c, pieces in split.items():
             if len(pieces) > 1:
-                known[c] = join([known[chunk_of(p)] for p in pieces])
-        return [known[c] if v is None else v for c, v in zip(chunks, values)]
+                known[c] = b"".join([known[parts[p]] for p in pieces])
+        return b"".join(map(known.__getitem__, chunks))
 
     def resolve(self, pieces: list[str], values: list, make) -> list:
         """Fill the gaps of `values` (None) with make(ids) of the piece, through the cache."""
