@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 import freightlens
 
 _SHIPPED: dict[str, bool] = {}
+#: Bytes of an Arrow batch, which the executor's JVM and its Python worker hold side by side.
+BATCH_BYTES = "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers (once per application)."""
+    """Give the package to the executors' Python workers (once per application), and texts to them a few megabytes at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -72,6 +75,8 @@ def width(spark: SparkSession) -> int:
 
 
 FILTER_BITS = 26
+#: Where a hash's two slots begin; the leading bits are left out, since keys may be the smallest of many hashes.
+SLOTS = (32, 10)
 
 
 def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
@@ -81,7 +86,7 @@ def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     the size of the input. False positives only: every use checks its hits again by an exact join.
     """
     h = F.col(column)
-    slot = F.explode(F.array(F.shiftrightunsigned(h, 64 - bits), F.shiftrightunsigned(h, 10).bitwiseAND(F.lit((1 << bits) - 1))))
+    slot = F.explode(F.array(*[F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << bits) - 1)) for at in SLOTS]))
     words = (
         df.select(slot.alias("s"))
         .select(F.shiftright("s", 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("s").bitwiseAND(F.lit(63)).cast("int")).alias("b"))
@@ -96,7 +101,7 @@ def in_filter(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Which of the uint64 hashes may be members."""
     bits = len(words).bit_length() - 1 + 6
     out = None
-    for slot in (hashes >> np.uint64(64 - bits), (hashes >> np.uint64(10)) & np.uint64((1 << bits) - 1)):
+    for slot in ((hashes >> np.uint64(at)) & np.uint64((1 << bits) - 1) for at in SLOTS):
         hit = (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
         out = hit if out is None else out & hit
     return out
@@ -105,7 +110,7 @@ def in_filter(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
 def count_keys(packed: DataFrame, least: int) -> DataFrame:
     """(h, n) of the keys counted `least` times or more in blobs (bucket, keys, counts) as pack_keys makes them.
 
-    A bucket holds an even share of all keys, since keys are hashes; a frequent key is one entry per blob.
+    A bucket holds an even share of all keys, since it is dealt by a scramble of the key; a frequent key is one entry per blob.
     """
 
     def merge(table):
@@ -128,7 +133,7 @@ def key_buckets(spark: SparkSession) -> int:
 
 
 def pack_keys(keys: list[np.ndarray], counts: list[np.ndarray] | None, bits: int) -> pa.RecordBatch:
-    """Blobs of sorted distinct keys with their counts, one per bucket of leading bits."""
+    """Blobs of distinct keys with their counts, one per bucket; keys may crowd in a part of their range, buckets don't."""
     k = np.concatenate(keys) if keys else np.array([], np.uint64)
     order = np.argsort(k)
     k = k[order]
@@ -138,7 +143,9 @@ def pack_keys(keys: list[np.ndarray], counts: list[np.ndarray] | None, bits: int
     else:
         n = np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else first
     k, n = k[first], np.minimum(n, 1 << 31).astype(np.uint32)
-    bucket = (k >> np.uint64(64 - bits)).astype(np.int64)
+    bucket = (mix(k) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    k, n, bucket = k[order], n[order], bucket[order]
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist() if len(k) else []
     rows = [(int(bucket[i]), k[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(cuts, cuts[1:])]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "counts"])

@@ -179,3 +179,17 @@ def test_repeats_edges(docs, nothing):
     assert {(r.n_bytes, r.n_removed) for r in got if r.doc_id in (2, 3)} == {(0, 0)}
     assert all(r.n_removed == r.n_bytes for r in got if r.doc_id in (0, 1))
     assert remove_repeats(nothing).count() == 0
+
+
+def test_buckets_are_even_for_crowded_keys(spark):
+    """Keys that are the smallest of many hashes crowd at zero; buckets and filter slots stay even."""
+    from freightlens.llm.common import bit_filter, in_filter, pack_keys
+
+    rng = np.random.default_rng(8)
+    keys = rng.integers(0, 1 << 62, (20_000, 101), dtype=np.int64).astype(np.uint64).min(1)
+    rows = pack_keys([keys], None, 6).to_pylist()
+    sizes = [len(r["keys"]) // 8 for r in rows]
+    assert sum(sizes) == len(np.unique(keys)) and max(sizes) < 1.4 * sum(sizes) / 64
+    held = bit_filter(spark.createDataFrame([(int(k),) for k in keys[:2000].view(np.int64)], "h long"), "h", 20)
+    assert in_filter(keys[:2000], held).all()
+    assert in_filter(keys[2000:], held).mean() < 0.01
