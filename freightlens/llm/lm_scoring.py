@@ -22,6 +22,8 @@ and scored as often as they occur; an empty table gives an empty result; further
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -282,7 +284,8 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
                 full += np.add.reduceat(np.where(open_, 0, np.log10(p)), begins).tolist()
                 seen += np.add.reduceat((c[0] > 0) & ~open_, begins, dtype=np.int64).tolist()
                 at = np.flatnonzero(open_)
-                columns = [x[at].view(np.int64) for x in keys + befores] + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
+                asks = [np.where(v[at] < 0, x[at], np.uint64(0)).view(np.int64) for x, v in zip(keys + befores, c + ns)]  # only keys that are asked for
+                columns = asks + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
                 values = pa.StructArray.from_arrays([pa.array(x, k) for x, (_, k) in zip(columns, each)], [n for n, _ in each])
                 cuts = pa.array(np.append(np.searchsorted(at, begins), len(at)), pa.int32())
                 rest.append(pa.ListArray.from_arrays(cuts, values))
@@ -295,20 +298,19 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
     shape = ",".join(f"{n}:{'long' if t == pa.int64() else 'double'}" for n, t in each)
     scored = stage(docs.select(F.col(key), F.col(text).cast("binary")).mapInArrow(score, f"row long, `{key}` {kind}, n_tokens long, n_known long, base double, full double, rest array<struct<{shape}>>"), "lm-scored")
     release(spark)
-    open_ = scored.select("row", F.explode("rest").alias("x")).select("row", "x.*")
-    for i, level in enumerate(levels, 1):
-        # Only tokens whose context is not known take the join; one that is not retained has no counts either.
-        found = level[3].select(F.col("k").alias(f"x{i}"), F.col("c").alias("found_n"), F.col("rest").alias("found_r"))
-        asked = open_.where(F.col(f"n{i}") < 0).join(found, f"x{i}", "left")
-        asked = asked.withColumn(f"n{i}", F.coalesce(F.col("found_n").cast("double"), F.lit(0.0))).withColumn(f"r{i}", F.coalesce("found_r", F.lit(1.0)))
-        columns = [c for c in open_.columns if c != f"x{i}"]
-        open_ = asked.select(*columns).union(open_.where(F.col(f"n{i}") >= 0).select(*columns))
-    for i, t in enumerate(tables):
-        # Only tokens whose count is not known take the join.
-        asked = open_.where(F.col(f"c{i}") < 0).join(t.select(F.col("k").alias(f"k{i}"), F.col("c").alias("found")), f"k{i}", "left")
-        asked = asked.withColumn(f"c{i}", F.coalesce("found", F.lit(0).cast("long")))
-        columns = [c for c in open_.columns if c != f"k{i}"]
-        open_ = asked.select(*columns).union(open_.where(F.col(f"c{i}") >= 0).select(*columns))
+    open_ = scored.select("row", F.posexplode("rest").alias("pos", "x")).select("row", "pos", "x.*")
+    # One row per unknown value of a token, and one join with all tables side by side; a value that isn't there is 0.
+    asked = [(i, F.col(f"c{i}"), F.col(f"k{i}")) for i in range(depth + 1)] + [(depth + i, F.col(f"n{i}"), F.col(f"x{i}")) for i in range(1, depth + 1)]
+    asks = F.array_compact(F.array(*[F.when(value < 0, F.struct(F.lit(t).alias("t"), k.alias("k"))) for t, value, k in asked]))
+    held = [t.select(F.lit(i).alias("t"), "k", F.col("c").cast("double").alias("v"), F.lit(1.0).alias("rest")) for i, t in enumerate(tables)]
+    held += [level[3].select(F.lit(depth + i).alias("t"), "k", F.col("c").cast("double").alias("v"), "rest") for i, level in enumerate(levels, 1)]
+    found = open_.select("row", "pos", F.inline(asks)).join(reduce(DataFrame.union, held), ["t", "k"])
+    values = [f"c{i}" for i in range(depth + 1)] + [f"n{i}" for i in range(1, depth + 1)]
+    shares = [f"r{i}" for i in range(1, depth + 1)]
+    told = found.select("row", "pos", *[F.when(F.col("t") == t, F.col("v")).alias(c) for t, c in enumerate(values)], *[F.when(F.col("t") == depth + i, F.col("rest")).alias(f"r{i}") for i in range(1, depth + 1)])
+    both = open_.select("row", "pos", *[F.col(c).cast("double").alias(c) for c in values], *shares).union(told)
+    # -1 and 1 stand where a value is not known, so the largest count and the smallest share are those found.
+    open_ = both.groupBy("row", "pos").agg(*[F.greatest(F.max(c), F.lit(0.0)).alias(c) for c in values], *[F.min(c).alias(c) for c in shares])
     p0 = (F.col("c0") + 1) / norm
     p = p0
     for i in range(1, depth + 1):
