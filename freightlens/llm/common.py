@@ -52,6 +52,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that stage() has written, once nothing reads it any more."""
+    spark = table.sparkSession
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver collect garbage now, so that Spark's cleaner removes shuffle files of steps that are done."""
     gc.collect()

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import GOLD, PACKED, bit_filter, count_keys, in_filter, key_buckets, mix, pack_keys, release, ship, stage
+from freightlens.llm.common import GOLD, PACKED, bit_filter, count_keys, discard, in_filter, key_buckets, mix, pack_keys, release, ship, stage
 
 DEPTH, MIN_COUNT = 2, 8
 DISCOUNT, LEAST_GAIN, LEAST_RATE = 0.75, 5.0, 0.01
@@ -225,6 +225,7 @@ def suffix_tree(training: DataFrame, depth: int = DEPTH, min_count: int = MIN_CO
             longer = pairs.where((F.col("c") >= min_count) & (F.col("h") != end)).withColumn("k", _key("ctx", "h"))
             # The suffix of a context of two is its last word; of longer ones it would be looked up likewise.
             sizes = stage(longer.select(F.col("k").alias("ctx"), F.col("c").alias("n"), F.col("h").alias("suffix")), f"lm-sizes-{d + 1}")
+        discard(pairs)
     return words, total, distinct, levels
 
 
