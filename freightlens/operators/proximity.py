@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.rules import epoch
@@ -14,38 +14,52 @@ def nearest_within(
 ) -> DataFrame:
     """Left join with the right row of the same key closest in time, at most tolerance_s away.
 
-    Time is cut into buckets as wide as the tolerance, and each right row is placed in its own bucket and
-    both neighbours, which makes the search an equality join with exactly one candidate list per left row:
-    the left side neither grows nor needs a second shuffle to pick the winner. A candidate list is bounded
-    by the seconds of three buckets, because of all right rows in one second only the earliest and the
-    latest can win. Equal gaps go to the earlier right row.
+    Both sides are united and cut into (key, time cell) groups, with cells as wide as the tolerance, so one hot key is
+    spread over its cells. Within a cell a left row sees the last reading before it and the first one after it. A cell
+    borrows the last reading of the cell before it and the first of the cell after it; what lies farther is out of reach.
+    So every left row compares two seconds with readings, however many readings a cell has, and goes through one shuffle.
+    Of the readings in one second the earliest and the latest are kept: the latest stands for that second where it is the last
+    one in reach and the earliest lies beyond. Gaps count whole seconds; equal gaps go to the earlier reading. Left rows
+    without key or time match nothing and are spread by their values.
     """
     item = F.struct(F.col(right_time).alias("_t"), *payload)
     per_second = (
-        right.filter(F.col(right_time).isNotNull())
-        .select(right_key.alias("_key"), epoch(right_time).alias("_s"), item.alias("_item"))
+        right.select(right_key.alias("_key"), epoch(right_time).alias("_s"), item.alias("_item"))
+        .filter(F.col("_key").isNotNull() & F.col("_s").isNotNull())
         .groupBy("_key", "_s")
         .agg(F.min("_item").alias("_lo"), F.max("_item").alias("_hi"))
     )
-    home = F.floor(F.col("_s") / tolerance_s)
-    lists = (
-        per_second.select(
-            "_key", F.explode(F.sequence(home - 1, home + 1)).alias("_bucket"), F.array_distinct(F.array("_lo", "_hi")).alias("_pair")
-        )
-        .groupBy("_key", "_bucket")
-        .agg(F.flatten(F.collect_list("_pair")).alias("_near"))
+    cell = F.floor(F.col("_s") / tolerance_s)
+    readings = per_second.select("_key", cell.alias("_cell"), F.struct("_s", "_lo", "_hi").alias("_read"))
+    ends = readings.groupBy("_key", "_cell").agg(F.min_by("_read", "_read._s").alias("_first"), F.max_by("_read", "_read._s").alias("_last"))
+    lent = ends.select(
+        "_key",
+        F.inline(F.array(
+            F.struct((F.col("_cell") + 1).alias("_cell"), F.col("_last").alias("_read")),
+            F.struct((F.col("_cell") - 1).alias("_cell"), F.col("_first").alias("_read")),
+        )),
+    )
+    placed = readings.unionByName(lent).select("*", F.col("_read._s").alias("_s"), F.lit(0).alias("_side"))
+    probe = left.withColumns({"_key": left_key, "_s": epoch(left_time), "_side": F.lit(1)})
+    spread = F.xxhash64(*left.columns)
+    probe = probe.withColumn("_cell", F.when(F.col("_key").isNotNull() & F.col("_s").isNotNull(), cell).otherwise(spread))
+    both = probe.unionByName(placed, allowMissingColumns=True)
+    # Both frames run from the start of the group, once in each direction: a frame that ends with the group is quadratic.
+    group = Window.partitionBy("_key", "_cell")
+    so_far = lambda order: F.last("_read", ignorenulls=True).over(
+        group.orderBy(order, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    probe = left.withColumn("_lk", left_key).withColumn("_lb", F.floor(epoch(left_time) / tolerance_s))
-    joined = probe.join(lists, (F.col("_lk") == F.col("_key")) & (F.col("_lb") == F.col("_bucket")), "left")
+    seen = both.withColumns({"_prev": so_far(F.asc("_s")), "_next": so_far(F.desc("_s"))}).filter("_side = 1")
     slack = F.make_dt_interval(secs=F.lit(tolerance_s))
     in_reach = F.filter(
-        "_near", lambda x: x["_t"].between(F.col(left_time) - slack, F.col(left_time) + slack)
+        F.array("_prev._lo", "_prev._hi", "_next._lo"),
+        lambda x: x["_t"].between(F.col(left_time) - slack, F.col(left_time) + slack),
     )
     best = F.array_min(
         F.transform(in_reach, lambda x: F.struct(F.abs(epoch(left_time) - epoch(x["_t"])).alias("gap"), x.alias("row")))
     )
     return (
-        joined.withColumn("_best", best)
+        seen.withColumn("_best", best)
         .select(
             *[F.col(c) for c in left.columns],
             F.col("_best.row._t").alias(right_time),

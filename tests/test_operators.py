@@ -100,6 +100,32 @@ def test_nearest_within_matches_brute_force(spark):
     assert got == want
 
 
+def test_nearest_within_holds_many_readings_and_rows_without_key(spark):
+    """Readings of one second, crowded cells, borrowed readings, fractions of seconds, repeated left rows, nulls, empty sides."""
+    from freightlens.operators.proximity import nearest_within
+
+    rnd = random.Random(9)
+    us = lambda: T0 + dt.timedelta(microseconds=rnd.randrange(400) * 500_000 + rnd.choice([0, 0, 3_600_000_000]))
+    left = [(rnd.choice(["a", "a", "b", None]), rnd.choice([us(), us(), None])) for _ in range(300)]
+    left += left[:20]
+    right = [(rnd.choice(["a", "b", None]), rnd.choice([us(), us(), None]), i) for i in range(60)]
+    L = spark.createDataFrame(left, "k string, t timestamp_ntz")
+    R = spark.createDataFrame(right, "rk string, rt timestamp_ntz, v int")
+    whole = lambda x: x.replace(microsecond=0)
+    for tolerance in (7, 100):
+        got = nearest_within(L, R, F.col("k"), F.col("rk"), "t", "rt", ["v"], tolerance)
+        assert got.columns == ["k", "t", "rt", "v", "time_difference_seconds"]
+        want = []
+        for k, t in left:
+            near = [(abs(whole(t) - whole(rt)), rt, v) for rk, rt, v in right if t and rt and k and rk == k and abs(t - rt) <= dt.timedelta(seconds=tolerance)]
+            gap, rt, v = min(near) if near else (None, None, None)
+            want.append((k, t, rt, v, None if gap is None else int(gap.total_seconds())))
+        order = lambda r: tuple(str(x) for x in r)
+        assert sorted((tuple(r) for r in got.collect()), key=order) == sorted(want, key=order)
+    assert nearest_within(L.limit(0), R, F.col("k"), F.col("rk"), "t", "rt", ["v"], 7).count() == 0
+    assert nearest_within(L, R.limit(0), F.col("k"), F.col("rk"), "t", "rt", ["v"], 7).filter("v is null").count() == len(left)
+
+
 def test_points_in_intervals_of_very_different_length(spark):
     from freightlens.operators.proximity import points_in_intervals
 
