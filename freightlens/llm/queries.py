@@ -80,7 +80,8 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def surrogates(spark: SparkSession, folder: str) -> DataFrame:
     from freightlens.llm.surrogates import with_surrogates
 
-    return with_surrogates(table(spark, folder, "documents").select("doc_id", "text"))
+    # The key of the test data; other callers keep theirs secret.
+    return with_surrogates(table(spark, folder, "documents").select("doc_id", "text"), key="surrogates")
 
 
 def merkle(spark: SparkSession, folder: str) -> DataFrame:

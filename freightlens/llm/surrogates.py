@@ -8,6 +8,9 @@ type, the canonical form and an attempt. It keeps the format: separators, letter
 and letters for letters, a valid checksum where there was one, the first digit of a card, the
 country code of a telephone number, the top-level domain. Names are built from syllables of their
 script; given names end as their title's gender asks, the last name after a title is a family name.
+A given name used with titles of both genders has a surrogate for each; without a gender it takes the one it has elsewhere.
+Words of a text that repeat a part of a name titled in the same text are replaced alike, wherever they stand; such
+mentions are not counted as entities.
 All distinct entities are checked together: of those that share a surrogate one keeps it, and a
 surrogate must not be an entity of the corpus; the others try again, from the third attempt
 on with longer forms, until none is left.
@@ -39,7 +42,8 @@ LETTER = r"\p{L}\p{M}"
 WORD = rf"{LETTER}\p{{N}}"
 #: Scripts written without spaces between words, and Hangul, which joins endings to foreign words.
 SPACELESS = r"\u0E00-\u0EFF\u1000-\u109F\u1100-\u11FF\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
-PART = rf"\p{{Lu}}[{LETTER}'’\-&&[^{SPACELESS}]]++(?!\p{{N}})"
+#: Apostrophes belong to a name, but not the one of a possessive or a closing quote.
+PART = rf"\p{{Lu}}(?:[{LETTER}\-&&[^{SPACELESS}]]|['’](?!s?(?![{LETTER}])))++(?!\p{{N}})"
 EVERY_TITLE = "|".join(t for group in TITLES.values() for t in sorted(group, key=len, reverse=True))
 SECRETS = "password|passwd|pwd|token|secret|api_key|apikey"
 
@@ -65,6 +69,8 @@ NUMBERS = r"(?=[\d+(])(?:(?<!\d)|(?=\())"
 STARTS = {kind: NUMBERS if kind in ("ip", "phone", "ssn", "card") else WORDS for kind in PATTERNS}
 #: An address starts where its run of letters and digits does, in any script.
 STARTS["email"] = rf"(?:\G|(?<![A-Za-z0-9])(?<![{WORD}]))"
+#: A capitalised word, which may repeat a part of a name.
+MENTION = rf"(?<![A-Za-z0-9])(?<![{WORD}&&[^{SPACELESS}]]){PART}"
 EVERY = "|".join(f"(?:{STARTS[kind]}(?:{p}))" for kind, p in PATTERNS.items())
 #: Texts without a match of this have no entity: every pattern needs one of these, wherever it starts.
 TRIGGER = rf"[0-9@]|A[KS]IA|(?i:{SECRETS})|(?=[DFHMPSгκ])(?:{EVERY_TITLE})\.? "
@@ -226,34 +232,51 @@ def _occurrences(hits: DataFrame) -> DataFrame:
 
 
 def distinct_entities(found: DataFrame) -> DataFrame:
-    """(kind, form, role): each entity once. A given name's gender wins over its use without one; a longer country code over none."""
-    weight = F.when(F.col("role").isin("m", "f"), 100).when(F.col("role") == "family", 50).otherwise(F.length("role"))
-    return found.groupBy("kind", "form").agg(F.max_by("role", F.struct(weight, "role")).alias("role"))
+    """(kind, form, role): each entity once, a given name once per gender. A gender wins over uses without one; a longer country code over none."""
+    role = F.col("role")
+    weight = F.when(role == "family", 50).otherwise(F.length("role"))
+    gendered = role.isin("m", "f")
+    each = found.groupBy("kind", "form").agg(F.collect_set(F.when(gendered, role)).alias("genders"), F.max_by("role", F.struct(weight, "role")).alias("plain"))
+    roles = F.when(F.size("genders") > 0, F.col("genders")).otherwise(F.array("plain"))
+    return each.select("kind", "form", F.explode(roles).alias("role"))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, form, surrogate) for distinct (kind, form), without collisions."""
+    """(kind, form, role, surrogate) for distinct (kind, form, role), without collisions."""
     taken = entities.select("kind", F.col("form").alias("surrogate")).distinct()
     table = entities.withColumn("attempt", F.lit(0))
     while True:
         table = stage(drawn(table, key), "surrogates-tried")
-        first = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "form")).alias("first"))
+        first = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "form", "role")).alias("first"))
         real = taken.withColumn("real", F.lit(True))
+        keeps = (F.col("first.form") == F.col("form")) & (F.col("first.role") == F.col("role"))
         judged = table.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left").select(
-            "kind", "role", "form", "attempt", "surrogate",
-            (F.col("real").isNotNull() | (F.col("first.form") != F.col("form"))).alias("clash"),
+            "kind", "role", "form", "attempt", "surrogate", (F.col("real").isNotNull() | ~keeps).alias("clash")
         )
         judged = stage(judged, "surrogates-judged")
         if judged.where("clash").limit(1).count() == 0:
-            return judged.select("kind", "form", "surrogate")
+            return judged.select("kind", "form", "role", "surrogate")
         table = judged.select("kind", "role", "form", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
 
 
-def with_surrogates(docs: DataFrame, text: str = "text", key: str = "surrogates") -> DataFrame:
-    """The documents with their entities replaced, and n_entities."""
-    clash = [c for c in docs.columns if c in ("n_entities", "entities", "row", "new")]
+def _mentions(piece: Column, names: Column, news: Column) -> Column:
+    """A piece of text with the capitalised words that are among names (lower case) replaced."""
+    words, gaps = F.regexp_extract_all(piece, F.lit(MENTION), F.lit(0)), F.split(piece, MENTION, -1)
+
+    def one(word: Column) -> Column:
+        at = F.array_position(names, F.lower(word)).cast("int")
+        new = F.element_at(news, F.greatest(at, F.lit(1)))
+        return F.when(at == 0, word).when(word == F.upper(word), F.upper(new)).otherwise(new)
+
+    tail = F.zip_with(F.transform(words, one), F.slice(gaps, 2, F.size(words)), lambda a, b: F.concat(a, b))
+    return F.concat(F.element_at(gaps, 1), F.array_join(tail, ""))
+
+
+def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """The documents with their entities replaced, and n_entities. Whoever knows the key can test guesses of the entities, so it must be secret."""
+    clash = [c for c in docs.columns if c in ("n_entities", "entities", "row", "new", "pieces", "names", "news")]
     if clash:
-        inner = with_surrogates(docs.withColumnsRenamed({c: f"_own_{c}" for c in clash}), text, key)
+        inner = with_surrogates(docs.withColumnsRenamed({c: f"_own_{c}" for c in clash}), key, text)
         return inner.withColumnsRenamed({"n_entities": "n_entities_found"} if "n_entities" in clash else {}).withColumnsRenamed({f"_own_{c}": c for c in clash})
     columns = [*docs.columns, "n_entities"]
     likely = F.coalesce(F.col(text).rlike(TRIGGER), F.lit(False))
@@ -264,10 +287,17 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: str = "surrogates"
     plain = docs.where(~likely).unionByName(body.where(F.size("entities") == 0).select(*docs.columns)).withColumn("n_entities", F.lit(0).cast("long")).select(*columns)
     found = _occurrences(hits)
     table = surrogate_table(stage(distinct_entities(found), "surrogates-entities"), key)
-    written = found.join(table, ["kind", "form"]).select("row", "pos", "part", "kind", _rendered(F.col("kind"), F.col("entity"), F.col("surrogate")).alias("new"))
-    by_row = written.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "kind", "new"))).alias("new"))
+    of = lambda role: F.max(F.when(F.col("role") == role, F.col("surrogate")))
+    per_form = table.groupBy("kind", "form").agg(of("m").alias("_m"), of("f").alias("_f"), F.max_by("surrogate", "role").alias("_any"))
+    chosen = F.when(F.col("role") == "m", F.col("_m")).when(F.col("role") == "f", F.col("_f")).otherwise(F.col("_any"))
+    written = found.join(per_form, ["kind", "form"]).select("row", "pos", "part", "kind", _rendered(F.col("kind"), F.col("entity"), chosen).alias("new"), "entity")
+    by_row = written.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "kind", "new", "entity"))).alias("new"))
     joined = hits.join(by_row, "row")
-    pieces = F.split(F.col(text), EVERY, -1)
+    named = F.filter("new", lambda x: x["kind"] == "name")
+    joined = joined.withColumns({"pieces": F.split(F.col(text), EVERY, -1), "names": F.transform(named, lambda x: F.lower(x["entity"])), "news": F.transform(named, lambda x: x["new"])})
+    mended = F.transform("pieces", lambda p: _mentions(p, F.col("names"), F.col("news")))
+    joined = joined.withColumn("pieces", F.when(F.size("names") > 0, mended).otherwise(F.col("pieces")))
+    pieces = F.col("pieces")
 
     def entity(e: Column, i: Column) -> Column:
         own = F.filter(F.col("new"), lambda x: x["pos"] == i)
