@@ -42,6 +42,9 @@ CATALOG = {
         fc_daily_demand fc_time_features fc_chrono_split fc_linear_model fc_evaluate
         fc_test_predictions fc_forecast fc_summary
     """,
+    "freightlens.plans.history": """
+        dim_scd2_merged
+    """,
     "freightlens.plans.ingest": """
         ingest_orders ingest_customers ingest_warehouses ingest_report src_csv_contract
         src_processed_or_raw src_all_datasets sink_single_csv sink_partitioned_lake

@@ -52,6 +52,7 @@ O["dim_scd2"] = f"""SELECT {key("driver_id || '|' || cast(order_date AS varchar)
 SELECT *, lead(order_date) OVER (PARTITION BY driver_id ORDER BY order_date) AS nxt FROM (
 SELECT *, lag(region) OVER (PARTITION BY driver_id ORDER BY order_date) AS prev FROM (
 SELECT driver_id, order_date, max(region) AS region FROM s_orders GROUP BY driver_id, order_date)) WHERE prev IS NULL OR prev <> region)"""
+O["dim_scd2_merged"] = O["dim_scd2"]
 N, V, AD, LD = "count(order_id) AS total_orders", f"{dbl('order_value')} AS total_order_value", f"{avg('delivery_delay_min')} AS avg_delay_min", "cast(sum(is_delayed) AS bigint) AS delayed_orders"
 
 

@@ -1,6 +1,7 @@
 """Edge cases of cleaning, marts, ingestion, star schema and quality rules."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -198,6 +199,36 @@ def test_star_keeps_orders_and_scd2(spark, lake):
     assert [r.region for r in star.version_at(facts, h, "id", "d").orderBy("d").collect()] == [None, "N", "S"]
 
 
+def test_history_loads_equal_one_pass_and_touch_changed_buckets(spark):
+    """Random logs in several loads; a repeated last day, ids without change, nulls, and a refused late row."""
+    from freightlens.plans import star
+    from freightlens.plans.history import _manifest, load_history, read_history
+
+    rnd = random.Random(5)
+    base = run_dir(spark, "history")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(9)]
+    log = [(f"D{rnd.randrange(12)}", d, rnd.choice(["N", "S", None])) for d in days for _ in range(8)]
+    frame = lambda rows: spark.createDataFrame(rows, "id string, day date, region string")
+    load = lambda rows: load_history(frame(rows), "id", "day", ["region"], base, 16)
+    assert read_history(spark, base) is None
+    for low, high in ((0, 3), (3, 6), (6, 9)):
+        got = load([r for r in log if days[low] <= r[1] < days[high - 1] + dt.timedelta(days=1)] + [(None, days[low], "N"), ("D1", None, "N")])
+    want = star.versions(frame(log), "id", "day", ["region"])
+    assert rows(got.select(*want.columns)) == rows(want)
+    before = {e.bucket: e.folder for e in _manifest(spark, base)}
+    same = [tuple(r) for r in got.where("is_current").select("id", "valid_from", "region").collect()]
+    assert rows(load(same).select(*want.columns)) == rows(want) and rows(load([]).select(*want.columns)) == rows(want)
+    assert {e.bucket: e.folder for e in _manifest(spark, base) if e.bucket is not None} == {b: f for b, f in before.items() if b is not None}
+    got = load([("D1", dt.date(2024, 3, 1), "moved"), ("new", dt.date(2024, 3, 1), None)])
+    after = {e.bucket: e.folder for e in _manifest(spark, base)}
+    assert 1 <= sum(f != before.get(b) for b, f in after.items() if b is not None) <= 2
+    want = star.versions(frame([*log, ("D1", dt.date(2024, 3, 1), "moved"), ("new", dt.date(2024, 3, 1), None)]), "id", "day", ["region"])
+    assert rows(got.select(*want.columns)) == rows(want)
+    with pytest.raises(Exception, match="older than the open version"):
+        load([("D1", dt.date(2024, 2, 1), "late")])
+    assert rows(read_history(spark, base).select(*want.columns)) == rows(want)
+
+
 def test_severe_deliveries_threshold(spark):
     from freightlens.plans.star import severe_deliveries
 
