@@ -8,12 +8,19 @@ its suffix's: the log-likelihood of its own occurrences, each scored as if it ha
 must gain `least_gain` nats in all and `least_rate` per occurrence. A text is scored by the longest
 retained suffix at each token.
 
-Counts come from all training texts: words by an aggregation, context and word pairs as packed arrays
-per partition and hash bucket, which a bucket's task merges by sorting. Nothing is grouped by context,
-so a frequent word is spread over all buckets. A filter of fixed size leaves out most contexts that are
-no candidates, and a join the rest. For scoring, the most frequent contexts and counts (tables of fixed
-size) are broadcast, filters of fixed size tell which contexts are not retained and which counts are
-zero, and what remains is looked up by joins, summed per document.
+A phrase of words has one key, whether it is a context or a context and the word after it, so the whole
+tree is one table of (key, count, rest): the count of a phrase is both the number of times its last word
+follows the others and its size as a context, and rest is the share it gives to its suffix (1 for a
+phrase that is no retained context). The keys of the contexts before a token are those of the phrases that
+end at the token before.
+
+Counts come from all training texts: words and phrases as packed arrays per partition and hash bucket,
+which a bucket's task merges by sorting. Nothing is grouped by context, so a frequent word is spread over
+all buckets. A filter of fixed size leaves out most contexts that are no candidates, and a join the rest.
+For scoring, texts are cut into blocks of rows. Phrases that a table of the most frequent ones (of fixed
+size) and filters of fixed size can't settle are asked for once a block, as packed keys dealt by hash
+bucket; a bucket's task looks them up in its share of the tree, and the answers go back to the block,
+which is then scored. No step makes a row per token.
 
 Words are told apart by 64-bit hashes. Defined results: a null text counts as empty and has the end
 token only; a null id counts as held in (crc32 of no text is taken as 0); repeated rows are counted
@@ -25,8 +32,8 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +44,8 @@ from freightlens.llm.common import GOLD, PACKED, bit_filter, count_keys, discard
 DEPTH, MIN_COUNT = 2, 8
 DISCOUNT, LEAST_GAIN, LEAST_RATE = 0.75, 5.0, 0.01
 FREQUENT = 1 << 19
+#: Bytes of text of a block of rows that is scored as one, and phrases that one bucket of questions holds.
+BLOCK_BYTES, BUCKET_KEYS = 1 << 21, 1 << 20
 END = 0x5851F42D4C957F2D  # the hash of the end token, which is no word's
 
 #: Lower-cases A-Z; bytes.split() then cuts at blanks, tabs to carriage returns.
@@ -71,15 +80,25 @@ def token_runs(texts: list[bytes | None], size: int = 200_000):
         yield np.concatenate(run), np.array(begins)
 
 
-def contexts(t: np.ndarray, begins: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For lengths 1 to `depth`: the key of the tokens before each token, and whether they lie in its text."""
-    place = np.arange(len(t)) - np.repeat(begins, np.diff(np.append(begins, len(t))))
-    out, last = [], None
-    for d in range(1, depth + 1):
+def phrases(t: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For lengths 1 to `depth` + 1: the key of the phrase that ends at each token, also where it reaches beyond its text; see inside()."""
+    out = [t]
+    for _ in range(depth):
         x = np.zeros(len(t), np.uint64)
-        x[1:] = t[:-1] if d == 1 else extend(last[:-1], t[:-1])
-        out.append((x, place >= d))
-        last = x
+        x[1:] = extend(out[-1][:-1], t[1:])
+        out.append(x)
+    return out
+
+
+def inside(t: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """How many tokens of its text lie before each token."""
+    return np.arange(len(t)) - np.repeat(begins, np.diff(np.append(begins, len(t))))
+
+
+def before(keys: np.ndarray) -> np.ndarray:
+    """What stands at the token before."""
+    out = np.zeros_like(keys)
+    out[1:] = keys[:-1]
     return out
 
 
@@ -106,48 +125,65 @@ def _position(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
+def _packed(bucket: np.ndarray, block: int | None, *columns: np.ndarray) -> list[tuple]:
+    """Rows (bucket, [block,] blobs of the columns), one per bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [x[order] for x in columns]
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist() if len(bucket) else []
+    lead = () if block is None else (block,)
+    return [(int(bucket[i]), *lead, *[x[i:j].tobytes() for x in columns]) for i, j in zip(cuts, cuts[1:])]
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int32() if n == "bucket" else pa.int64() if n == "block" else pa.binary() for n in names]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+
+def _joined(table: pa.Table, **kinds) -> list[np.ndarray]:
+    """Blobs of a bucket, joined to one array per column."""
+    return [np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table[c]] or [np.array([], k)]) for c, k in kinds.items()]
+
+
 def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
-    """(ctx, h, c): words seen at least twice after a context of `depth` tokens that passes the filter `held`."""
+    """(ctx, k, s, c): phrases k seen at least twice, whose first `depth` words ctx pass the filter `held`; s is the phrase without its first word."""
     bits = key_buckets(training.sparkSession)
+    names = ["bucket", "k", "ctx", "s", "n"]
 
-    def pack(ctx, h):
-        k = extend(ctx, h)
+    def pack(k, ctx, s):
         order = np.argsort(k)
-        k, ctx, h = k[order], ctx[order], h[order]
+        k, ctx, s = k[order], ctx[order], s[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.array([], int)
         n = np.diff(np.append(first, len(k))).astype(np.uint32)
-        bucket, ctx, h = (k[first] >> np.uint64(64 - bits)).astype(np.int64), ctx[first], h[first]
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else [0]
-        rows = [(int(bucket[i]), h[i:j].tobytes(), ctx[i:j].tobytes(), n[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "h", "ctx", "n"])
+        k = k[first]
+        return _batch(_packed((mix(k) >> np.uint64(64 - bits)).astype(np.int64), None, k, ctx[first], s[first], n), names)
 
     def collect(batches):
-        ctxs, hs, size = [], [], 0
+        parts, size = [], 0
         for b in batches:
             for t, begins in token_runs(b.column(0).to_pylist()):
-                before, inside = contexts(t, begins, depth)[-1]
-                yes = np.flatnonzero(inside)
-                yes = yes[in_filter(before[yes], held.value)]
-                ctxs.append(before[yes]), hs.append(t[yes])
-                size += len(hs[-1])
+                keys = phrases(t, depth)
+                ctx = before(keys[-2])
+                yes = np.flatnonzero(inside(t, begins) >= depth)
+                yes = yes[in_filter(ctx[yes], held.value)]
+                parts.append((keys[-1][yes], ctx[yes], keys[-2][yes]))
+                size += len(yes)
                 if size > 1_500_000:
-                    yield pack(np.concatenate(ctxs), np.concatenate(hs))
-                    ctxs, hs, size = [], [], 0
+                    yield pack(*map(np.concatenate, zip(*parts)))
+                    parts, size = [], 0
         if size:
-            yield pack(np.concatenate(ctxs), np.concatenate(hs))
+            yield pack(*map(np.concatenate, zip(*parts)))
 
     def merge(table):
-        h, ctx, n = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c, t in (("h", np.uint64), ("ctx", np.uint64), ("n", np.uint32)))
-        k = extend(ctx, h)
+        k, ctx, s, n = _joined(table, k=np.uint64, ctx=np.uint64, s=np.uint64, n=np.uint32)
         order = np.argsort(k)
-        k, ctx, h, n = k[order], ctx[order], h[order], n[order].astype(np.int64)
+        k, n = k[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         c = np.add.reduceat(n, first)
-        keep = first[c > 1]
-        return pa.table({"ctx": ctx[keep].view(np.int64), "h": h[keep].view(np.int64), "c": c[c > 1]})
+        first, c = first[c > 1], c[c > 1]
+        return pa.table({"ctx": ctx[order[first]].view(np.int64), "k": k[first].view(np.int64), "s": s[order[first]].view(np.int64), "c": c})
 
-    packed = training.mapInArrow(collect, "bucket int, h binary, ctx binary, n binary")
-    return packed.groupBy("bucket").applyInArrow(merge, "ctx long, h long, c long")
+    packed = training.mapInArrow(collect, "bucket int, k binary, ctx binary, s binary, n binary")
+    return packed.groupBy("bucket").applyInArrow(merge, "ctx long, k long, s long, c long")
 
 
 def _most(table: DataFrame, size: int) -> list[np.ndarray]:
@@ -165,160 +201,197 @@ def _most(table: DataFrame, size: int) -> list[np.ndarray]:
     return [x[order] for x in out]
 
 
-def _key(ctx: str, h: str):
-    """extend() on columns, through Arrow."""
-    @F.pandas_udf("long")
-    def key(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(extend(a.to_numpy().view(np.uint64), b.to_numpy().view(np.uint64)).view(np.int64))
-
-    return key(ctx, h)
-
+def _level(pairs: DataFrame, sizes: DataFrame, below: DataFrame, d: int) -> tuple[DataFrame, DataFrame]:
+    """(retained contexts (k, c, rest), phrases (k, c, own, p)).
 
-def _level(pairs: DataFrame, sizes: DataFrame, below: DataFrame | None, words: DataFrame, total: int, distinct: int) -> tuple[DataFrame, DataFrame]:
-    """(retained contexts (ctx, n, rest, suffix), their explicit words (ctx, h, c, p)).
-
-    sizes: (ctx, n, suffix) of the candidates; below: explicit words of the level below, as (suffix, h, p) with p the
-    whole probability there. p of the result is the probability of the word after the context.
+    sizes: (ctx, n) of the candidates; below: the probability (s, par) of a phrase's last word at its longest retained
+    suffix. p is the same one level up, own tells phrases whose context is retained. A phrase seen twice has a
+    suffix that was seen twice, so every phrase has its row below.
     """
-    root = (F.col("cw") + 1) / F.lit(float(total + distinct + 1))
-    # The join with sizes also drops contexts that only pass the filter.
-    rows = pairs.join(sizes, "ctx").join(words.select("h", F.col("c").alias("cw")), "h")
-    if below is not None:
-        rows = rows.join(below.select("suffix", "h", F.col("p").alias("pb")), ["suffix", "h"], "left").withColumn("par", F.coalesce("pb", root))
-    else:
-        rows = rows.withColumn("par", root)
     taken = pairs.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("taken"), F.sum("c").alias("seen"))
-    rest = sizes.join(taken, "ctx").withColumn("rest", 1 - F.col("taken") / F.col("n"))
-    rows = rows.join(rest.select("ctx", "rest"), "ctx")
+    # The join with sizes also drops contexts that only pass the filter.
+    rest = taken.join(sizes, "ctx").select("ctx", "n", "seen", (1 - F.col("taken") / F.col("n")).alias("rest"))
+    rows = stage(pairs.join(rest, "ctx").join(below, "s").drop("s"), f"lm-rows-{d}")
     without = F.when(F.col("c") >= 3, (F.col("c") - 1 - DISCOUNT) / F.greatest(F.col("n") - 1, F.lit(1))).otherwise(0.0)
     gain = F.col("c") * F.log((without + F.col("rest") * F.col("par")) / F.col("par"))
-    gains = rows.groupBy("ctx").agg(F.sum(gain).alias("gain"))
-    kept = rest.join(gains, "ctx").withColumn("gain", F.col("gain") + (F.col("n") - F.col("seen")) * F.log("rest"))
-    kept = kept.where((F.col("gain") > LEAST_GAIN) & (F.col("gain") > LEAST_RATE * F.col("n"))).select("ctx", "n", "rest", "suffix")
-    explicit = rows.join(kept.select("ctx"), "ctx", "left_semi").select("ctx", "h", "c", ((F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).alias("p"))
-    return kept, explicit
+    # n, seen and rest are the same in all rows of a context.
+    gains = rows.groupBy("ctx").agg(F.sum(gain).alias("gain"), *[F.max(c).alias(c) for c in ("n", "seen", "rest")])
+    gains = gains.withColumn("gain", F.col("gain") + (F.col("n") - F.col("seen")) * F.log("rest"))
+    kept = stage(gains.where((F.col("gain") > LEAST_GAIN) & (F.col("gain") > LEAST_RATE * F.col("n"))).select(F.col("ctx").alias("k"), F.col("n").alias("c"), "rest"), f"lm-kept-{d}")
+    marked = rows.join(kept.select(F.col("k").alias("ctx"), F.lit(True).alias("own")), "ctx", "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    p = F.when(F.col("own"), (F.col("c") - DISCOUNT) / F.col("n") + F.col("rest") * F.col("par")).otherwise(F.col("par"))
+    known = stage(marked.select("k", "c", "own", p.alias("p")), f"lm-known-{d}")
+    discard(rows)
+    return kept, known
 
 
 def suffix_tree(training: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT):
     """(words (h, c), total, distinct, levels); a level is (contexts, n, rest) arrays of the most frequent retained contexts,
-    the table (k, c, rest) of all of them, and the table (k, c) of explicit counts."""
+    the table (k, c, rest) of all of them, and the table (k, c) of the phrases that are counted after one."""
     ship(training.sparkSession)
     spark = training.sparkSession
     words = stage(_words(training), "lm-words")
     release(spark)
     sums = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
-    end = int(np.uint64(END).view(np.int64))
-    sizes = words.where((F.col("c") >= min_count) & (F.col("h") != end)).select(F.col("h").alias("ctx"), F.col("c").alias("n"), F.lit(None).cast("long").alias("suffix"))
-    levels, below = [], None
+    below = words.select(F.col("h").alias("s"), ((F.col("c") + 1) / F.lit(float(total + distinct + 1))).alias("par"), "c").where("c > 1").drop("c")
+    # The end is no context; nothing follows it, so longer phrases that end with it drop out by themselves.
+    sizes = words.where((F.col("c") >= min_count) & (F.col("h") != int(np.uint64(END).view(np.int64)))).select(F.col("h").alias("ctx"), F.col("c").alias("n"))
+    levels = []
     for d in range(1, depth + 1):
         if sizes.isEmpty():
             break
         pairs = stage(_pairs(training, spark.sparkContext.broadcast(bit_filter(sizes, "ctx")), d), f"lm-pairs-{d}")
-        kept, explicit = _level(pairs, sizes, below, words, total, distinct)
-        kept, explicit = stage(kept, f"lm-kept-{d}"), stage(explicit.withColumn("k", _key("ctx", "h")), f"lm-explicit-{d}")
-        release(spark)
-        retained = kept.select(F.col("ctx").alias("k"), F.col("n").alias("c"), "rest")
-        levels.append((*_most(retained, FREQUENT), retained, explicit.select("k", "c")))
-        below = explicit.withColumnRenamed("ctx", "suffix")
-        if d < depth:
-            longer = pairs.where((F.col("c") >= min_count) & (F.col("h") != end)).withColumn("k", _key("ctx", "h"))
-            # The suffix of a context of two is its last word; of longer ones it would be looked up likewise.
-            sizes = stage(longer.select(F.col("k").alias("ctx"), F.col("c").alias("n"), F.col("h").alias("suffix")), f"lm-sizes-{d + 1}")
+        kept, known = _level(pairs, sizes, below, d)
         discard(pairs)
+        release(spark)
+        levels.append((*_most(kept, FREQUENT), kept, known.where("own").select("k", "c")))
+        below = known.select(F.col("k").alias("s"), F.col("p").alias("par"))
+        sizes = known.where(F.col("c") >= min_count).select(F.col("k").alias("ctx"), F.col("c").alias("n"))
     return words, total, distinct, levels
 
 
-def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: key, n_tokens, n_known, base_score, score and train_tokens, with a tree of depth 1 or 2 grown on `training` (one column of texts)."""
+def _blocks(docs: DataFrame) -> DataFrame:
+    """(block, key, text): rows side by side up to BLOCK_BYTES of text, or one longer text, make a block; written, so that blocks stay as they are."""
+    kind = dict(docs.dtypes)["key"]
+
+    def deal(batches):
+        block, size = TaskContext.get().partitionId() << 33, 0
+        for b in batches:
+            numbers = []
+            for n in pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist():
+                if size and size + n > BLOCK_BYTES:
+                    block, size = block + 1, 0
+                size += n + 16
+                numbers.append(block)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), b.column(0), b.column(1)], ["block", "key", "text"])
+
+    return stage(docs.mapInArrow(deal, f"block long, key {kind}, text binary"), "lm-blocks")
+
+
+def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
+    """A row per document: key, n_tokens, n_known, base_score, score and train_tokens, with a tree of `depth` grown on `training` (one column of texts)."""
     spark = docs.sparkSession
-    words, total, distinct, levels = suffix_tree(training.select(F.col(training.columns[0]).cast("binary")))
-    share = lambda x: spark.sparkContext.broadcast(x)
-    explicit = [level[4] for level in levels]
-    tables = [words.withColumnRenamed("h", "k"), *explicit]
-    state = share({
-        "common": [_most(t, FREQUENT) for t in tables],
-        "levels": [level[:3] for level in levels],
-    })
-    filters = share([bit_filter(t, "k") for t in tables])
-    # Filters of the retained contexts, where not all of them are in the arrays.
-    rarer = share([bit_filter(level[3], "k") if level[3].count() > len(level[0]) else None for level in levels])
-    norm = float(total + distinct + 1)
-    depth = len(levels)
-    kind = dict(docs.dtypes)[key]
-    each = [(f"k{i}", pa.int64()) for i in range(depth + 1)] + [(f"x{i}", pa.int64()) for i in range(1, depth + 1)] + [(f"c{i}", pa.int64()) for i in range(depth + 1)] + [(f"{x}{i}", pa.float64()) for i in range(1, depth + 1) for x in "nr"]
-    tail = pa.list_(pa.struct(each))
-
-    def known(i: int, keys: np.ndarray) -> np.ndarray:
-        """Counts of keys in table i; -1 where only a join can tell."""
-        names, counts = state.value["common"][i]
-        at = _position(names, keys)
-        out = np.where(in_filter(keys, filters.value[i]), -1, 0)
-        return np.where(at >= 0, counts[at] if len(counts) else 0, out)
-
-    def score(batches):
-        row = TaskContext.get().partitionId() << 33
+    words, total, distinct, levels = suffix_tree(training.select(F.col(training.columns[0]).cast("binary")), depth)
+    depth, norm = len(levels), float(total + distinct + 1)
+    parts = [words.select(F.col("h").alias("k"), "c", F.lit(1.0).alias("rest"))]
+    for level in levels:
+        parts += [level[4].select("k", "c", F.lit(1.0).alias("rest")), level[3]]
+    tree = reduce(DataFrame.union, parts)
+
+    def tidy(k, c, rest):
+        """Each key once: a phrase and a context of the same words have the same count, and the context's rest holds."""
+        order = np.lexsort((rest, k))
+        k, c, rest = k[order], c[order], rest[order]
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.array([], int)
+        return k[first], c[first], rest[first]
+
+    most = spark.sparkContext.broadcast(tidy(*_most(tree, FREQUENT)))
+    held = spark.sparkContext.broadcast(bit_filter(tree, "k"))
+    states = spark.sparkContext.broadcast(bit_filter(tree.where("rest < 1").select("k"), "k"))
+    bits = max(key_buckets(spark), int(max(total, 1) * (depth + 1) // BUCKET_KEYS).bit_length())
+
+    def bucket(k: np.ndarray) -> np.ndarray:
+        return (mix(k) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def phrases_of(texts):
+        """Of some texts: begins, keys of phrases by length, and which matter: those whose context may be retained, or that may be a retained one."""
+        for t, begins in token_runs(texts):
+            keys, place = phrases(t, depth), inside(t, begins)
+            maybe = [in_filter(k, states.value) for k in keys[:-1]] + [np.zeros(len(t), bool)]
+            yield begins, keys, [np.ones(len(t), bool)] + [(place >= d) & (before(maybe[d - 1]) | maybe[d]) for d in range(1, depth + 1)]
+
+    def ask(batches):
+        at, wanted, size = None, [], 0
+        names = ["bucket", "block", "keys"]
+
+        def flush():
+            k = np.unique(np.concatenate(wanted)) if wanted else np.array([], np.uint64)
+            k = k[_position(most.value[0], k) < 0]
+            return _batch(_packed(bucket(k), at, k), names)
+
         for b in batches:
-            sizes, base, full, seen, rest = [], [], [], [], []
-            for t, begins in token_runs(b.column(1).to_pylist()):
-                c, keys, befores, ns, rs = [known(0, t)], [t], [], [], []
-                for i, (before, inside) in enumerate(contexts(t, begins, depth)):
-                    names, amounts, shares = state.value["levels"][i]
-                    n, r, k, own = np.zeros(len(t)), np.ones(len(t)), np.zeros(len(t), np.uint64), np.zeros(len(t), np.int64)
-                    at = _position(names, before)
-                    yes = np.flatnonzero(inside & (at >= 0))
-                    n[yes], r[yes] = amounts[at[yes]], shares[at[yes]]
-                    if rarer.value[i] is not None:  # -1 where only a join can tell
-                        ask = np.flatnonzero(inside & (at < 0))
-                        n[ask[in_filter(before[ask], rarer.value[i])]] = -1
-                    yes = np.flatnonzero(n)
-                    k[yes] = extend(before[yes], t[yes])
-                    own[yes] = known(i + 1, k[yes])
-                    keys.append(k), befores.append(before), ns.append(n), rs.append(r), c.append(own)
-                open_ = np.any([x < 0 for x in c + ns], axis=0)
-                p0 = (np.maximum(c[0], 0) + 1) / norm
-                p = p0
-                for i in range(depth):
-                    p = np.where(c[i + 1] > 1, (c[i + 1] - DISCOUNT) / np.maximum(ns[i], 1), 0) + rs[i] * p
-                sizes += np.diff(np.append(begins, len(t))).tolist()
-                base += np.add.reduceat(np.where(open_, 0, np.log10(p0)), begins).tolist()
-                full += np.add.reduceat(np.where(open_, 0, np.log10(p)), begins).tolist()
-                seen += np.add.reduceat((c[0] > 0) & ~open_, begins, dtype=np.int64).tolist()
-                at = np.flatnonzero(open_)
-                asks = [np.where(v[at] < 0, x[at], np.uint64(0)).view(np.int64) for x, v in zip(keys + befores, c + ns)]  # only keys that are asked for
-                columns = asks + [x[at] for x in c] + [y[at] for pair in zip(ns, rs) for y in pair]
-                values = pa.StructArray.from_arrays([pa.array(x, k) for x, (_, k) in zip(columns, each)], [n for n, _ in each])
-                cuts = pa.array(np.append(np.searchsorted(at, begins), len(at)), pa.int32())
-                rest.append(pa.ListArray.from_arrays(cuts, values))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(b.num_rows)), b.column(0), pa.array(sizes, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(full, pa.float64()), pa.concat_arrays(rest) if rest else pa.array([], tail)],
-                ["row", key, "n_tokens", "n_known", "base", "full", "rest"],
-            )
-            row += b.num_rows
-
-    shape = ",".join(f"{n}:{'long' if t == pa.int64() else 'double'}" for n, t in each)
-    scored = stage(docs.select(F.col(key), F.col(text).cast("binary")).mapInArrow(score, f"row long, `{key}` {kind}, n_tokens long, n_known long, base double, full double, rest array<struct<{shape}>>"), "lm-scored")
-    release(spark)
-    open_ = scored.select("row", F.posexplode("rest").alias("pos", "x")).select("row", "pos", "x.*")
-    # One row per unknown value of a token, and one join with all tables side by side; a value that isn't there is 0.
-    asked = [(i, F.col(f"c{i}"), F.col(f"k{i}")) for i in range(depth + 1)] + [(depth + i, F.col(f"n{i}"), F.col(f"x{i}")) for i in range(1, depth + 1)]
-    asks = F.array_compact(F.array(*[F.when(value < 0, F.struct(F.lit(t).alias("t"), k.alias("k"))) for t, value, k in asked]))
-    held = [t.select(F.lit(i).alias("t"), "k", F.col("c").cast("double").alias("v"), F.lit(1.0).alias("rest")) for i, t in enumerate(tables)]
-    held += [level[3].select(F.lit(depth + i).alias("t"), "k", F.col("c").cast("double").alias("v"), "rest") for i, level in enumerate(levels, 1)]
-    found = open_.select("row", "pos", F.inline(asks)).join(reduce(DataFrame.union, held), ["t", "k"])
-    values = [f"c{i}" for i in range(depth + 1)] + [f"n{i}" for i in range(1, depth + 1)]
-    shares = [f"r{i}" for i in range(1, depth + 1)]
-    told = found.select("row", "pos", *[F.when(F.col("t") == t, F.col("v")).alias(c) for t, c in enumerate(values)], *[F.when(F.col("t") == depth + i, F.col("rest")).alias(f"r{i}") for i in range(1, depth + 1)])
-    both = open_.select("row", "pos", *[F.col(c).cast("double").alias(c) for c in values], *shares).union(told)
-    # -1 and 1 stand where a value is not known, so the largest count and the smallest share are those found.
-    open_ = both.groupBy("row", "pos").agg(*[F.greatest(F.max(c), F.lit(0.0)).alias(c) for c in values], *[F.min(c).alias(c) for c in shares])
-    p0 = (F.col("c0") + 1) / norm
-    p = p0
-    for i in range(1, depth + 1):
-        p = F.when(F.col(f"c{i}") > 1, (F.col(f"c{i}") - DISCOUNT) / F.greatest(f"n{i}", F.lit(1.0))).otherwise(0.0) + F.col(f"r{i}") * p
-    late = open_.groupBy("row").agg(F.sum(F.log10(p0)).alias("b"), F.sum(F.log10(p)).alias("f"), F.sum((F.col("c0") > 0).cast("long")).alias("s"))
-    out = scored.drop("rest").join(late, "row", "left")
-    return out.select(
-        key, "n_tokens", (F.col("n_known") + F.coalesce("s", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"), (F.col("full") + F.coalesce("f", F.lit(0.0))).alias("score"),
-    )
+            blocks = b.column(0).to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]])).tolist() if len(blocks) else []
+            for i, j in zip(cuts, cuts[1:]):
+                if at is not None and (blocks[i] != at or size > 4 * BUCKET_KEYS):
+                    yield flush()
+                    wanted, size = [], 0
+                at = int(blocks[i])
+                for _, keys, matter in phrases_of(b.column(2).slice(i, j - i).to_pylist()):
+                    k = np.unique(np.concatenate([x[m] for x, m in zip(keys, matter)]))
+                    wanted.append(k[in_filter(k, held.value)])
+                    size += len(wanted[-1])
+        if at is not None:
+            yield flush()
+
+    def pack(batches):
+        parts, size = [], 0
+        for b in batches:
+            parts.append(b)
+            size += b.num_rows
+            if size >= BUCKET_KEYS:
+                yield blobs(parts)
+                parts, size = [], 0
+        if size:
+            yield blobs(parts)
+
+    def blobs(parts):
+        k, c, rest = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in range(3))
+        k = k.view(np.uint64)
+        return _batch(_packed(bucket(k), None, k, c, rest), ["bucket", "keys", "c", "rest"])
+
+    answer_kind = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("c", pa.binary()), ("rest", pa.binary())])
+
+    def answer(asked, have):
+        k, c, rest = tidy(*_joined(have, keys=np.uint64, c=np.int64, rest=np.float64))
+        rows = []
+        for block, x in zip(asked["block"].to_pylist(), asked["keys"]):
+            at = _position(k, np.frombuffer(x.as_buffer(), np.uint64))
+            at = at[at >= 0]
+            if len(at):
+                rows.append((block, k[at].tobytes(), c[at].tobytes(), rest[at].tobytes()))
+        return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(answer_kind)], schema=answer_kind)
+
+    kind = dict(docs.dtypes)[key]
+
+    def score(block, answers):
+        own = _joined(answers, keys=np.uint64, c=np.int64, rest=np.float64)
+        order = np.argsort(own[0])
+        tables = [most.value, [x[order] for x in own]]
+
+        def look(keys):
+            """(count, rest) of each key."""
+            u, place = np.unique(keys, return_inverse=True)
+            c, rest = np.zeros(len(u), np.int64), np.ones(len(u))
+            for names, counts, shares in tables:
+                at = _position(names, u)
+                yes = np.flatnonzero(at >= 0)
+                c[yes], rest[yes] = counts[at[yes]], shares[at[yes]]
+            return c[place], rest[place]
+
+        sizes, seen, base, full = [], [], [], []
+        for begins, keys, matter in phrases_of(block["text"].to_pylist()):
+            n = len(keys[0])
+            c, rest = np.zeros((depth + 1, n), np.int64), np.ones((depth + 1, n))
+            matter = np.array(matter)
+            c[matter], rest[matter] = look(np.array(keys)[matter])
+            p = p0 = (c[0] + 1) / norm
+            first = np.zeros(n, bool)
+            first[begins] = True
+            for d in range(1, depth + 1):
+                # A phrase that reaches beyond its text was not looked up, so no context before a text's first token is retained.
+                share = np.where(first, 1.0, before(rest[d - 1]))
+                p = np.where(share < 1, np.where(c[d] > 1, (c[d] - DISCOUNT) / np.maximum(before(c[d - 1]), 1), 0) + share * p, p)
+            sizes += np.diff(np.append(begins, n)).tolist()
+            seen += np.add.reduceat(c[0] > 0, begins, dtype=np.int64).tolist()
+            base += np.add.reduceat(np.log10(p0), begins).tolist()
+            full += np.add.reduceat(np.log10(p), begins).tolist()
+        return pa.table({"key": block["key"], "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(seen, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(full, pa.float64())})
+
+    blocks = _blocks(docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")))
+    asked = blocks.mapInArrow(ask, "bucket int, block long, keys binary").groupBy("bucket")
+    have = tree.mapInArrow(pack, "bucket int, keys binary, c binary, rest binary").groupBy("bucket")
+    answers = asked.cogroup(have).applyInArrow(answer, "block long, keys binary, c binary, rest binary")
+    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"key {kind}, n_tokens long, n_known long, base_score double, score double")
+    return out.select(F.col("key").alias(key), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

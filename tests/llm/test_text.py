@@ -231,6 +231,78 @@ def test_lm_lookups_by_join_equal_those_by_broadcast(spark, monkeypatch):
         assert some[i][0] == x[0] and some[i][1:] == pytest.approx(x[1:], rel=1e-9)
 
 
+class PlainTree:
+    """The suffix tree by dictionaries, phrase by phrase."""
+
+    def __init__(self, texts, depth):
+        self.count, self.depth = collections.Counter(), depth
+        for text in texts:
+            w = lm_tokens(text)
+            self.count.update(tuple(w[i : i + n]) for n in range(1, depth + 2) for i in range(len(w) - n + 1))
+        words = [c for k, c in self.count.items() if len(k) == 1]
+        self.norm = sum(words) + len(words) + 1
+        self.rest, after = {}, collections.defaultdict(dict)
+        for k, c in self.count.items():
+            if c > 1 and len(k) > 1:
+                after[k[:-1]][k[-1]] = c
+        for ctx in sorted(after, key=len):
+            n = self.count[ctx]
+            if n < lm_scoring.MIN_COUNT:
+                continue
+            rest = 1 - sum(c - lm_scoring.DISCOUNT for c in after[ctx].values()) / n
+            gain = (n - sum(after[ctx].values())) * math.log(rest)
+            for w, c in after[ctx].items():
+                par = self.probability(ctx[1:], w)
+                gain += c * math.log(((c - 1 - lm_scoring.DISCOUNT) / (n - 1) * (c > 2) + rest * par) / par)
+            if gain > max(lm_scoring.LEAST_GAIN, lm_scoring.LEAST_RATE * n):
+                self.rest[ctx] = rest
+
+    def probability(self, ctx, w):
+        if not ctx:
+            return (self.count[(w,)] + 1) / self.norm
+        below = self.probability(ctx[1:], w)
+        if ctx not in self.rest:
+            return below
+        c = self.count[(*ctx, w)]
+        return (c > 1) * (c - lm_scoring.DISCOUNT) / self.count[ctx] + self.rest[ctx] * below
+
+    def score(self, text):
+        w = lm_tokens(text)
+        return sum(math.log10(self.probability(tuple(w[max(0, i - self.depth) : i]), x)) for i, x in enumerate(w))
+
+
+@pytest.mark.parametrize("depth, frequent, block", [(1, 1 << 19, 1 << 21), (2, 30, 700), (4, 30, 700), (4, 0, 1 << 21)])
+def test_lm_scores_equal_a_plain_tree(spark, monkeypatch, depth, frequent, block):
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(300):
+        w = []
+        while len(w) < 40:
+            w.append(f"w{int(rng.zipf(1.6)) % 60}")
+            if w[-1] == "w3":
+                w += ["goes", "on"]
+            if w[-2:] == ["w1", "w2"] and rng.random() < 0.7:
+                w.append("next")
+            if w[-3:] == ["w1", "w1", "w4"]:
+                w += ["long", "run", "of", "words"]
+            if w[-4:] == ["w1", "w1", "w1", "w1"]:
+                w.append("five")
+        texts.append(" ".join(w))
+    tree = PlainTree(texts, depth)
+    assert {len(x) for x in tree.rest} == set(range(1, depth + 1))
+    vocabulary = [k[0] for k in tree.count if len(k) == 1]
+    for ctx in tree.rest:
+        assert sum(tree.probability(ctx, w) for w in [*vocabulary, "unseen"]) == pytest.approx(1)
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block)
+    probes = [*texts[:80], "", None, "unseen", "w1 w2 next", "next w2 W1", "w1 w1 w4 long run", "unseen w1 w2 w3 goes"]
+    docs = spark.createDataFrame(list(enumerate(probes)), "doc_id int, text string").repartition(3)
+    got = lm_scores(docs, spark.createDataFrame([(t,) for t in texts], "text string"), depth=depth).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(probes)))
+    for r in got:
+        assert r.score == pytest.approx(tree.score(probes[r.doc_id]), rel=1e-9)
+
+
 def test_lm_edges(docs):
     got = lm_scores(docs, docs.select("text")).collect()
     assert len(got) == docs.count() and {r.n_tokens for r in got if r.doc_id in (2, 3)} == {1}
