@@ -61,9 +61,15 @@ def tokens(text: bytes | None) -> np.ndarray:
     return out
 
 
-def extend(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The key of a context followed by a word; a context of one word is the word's hash."""
-    return mix(context * GOLD + word)
+def extend(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The key of a phrase, from those of the phrase without its last word and without its first; a phrase of one word has the word's hash."""
+    return mix(context * GOLD + suffix)
+
+
+def each_once(keys: np.ndarray) -> np.ndarray:
+    """The keys in order, each once."""
+    k = np.sort(keys)
+    return k[np.concatenate([[True], k[1:] != k[:-1]])] if len(k) else k
 
 
 def token_runs(texts: list[bytes | None], size: int = 200_000):
@@ -85,7 +91,7 @@ def phrases(t: np.ndarray, depth: int) -> list[np.ndarray]:
     out = [t]
     for _ in range(depth):
         x = np.zeros(len(t), np.uint64)
-        x[1:] = extend(out[-1][:-1], t[1:])
+        x[1:] = extend(out[-1][:-1], out[-1][1:])
         out.append(x)
     return out
 
@@ -144,28 +150,33 @@ def _joined(table: pa.Table, **kinds) -> list[np.ndarray]:
     return [np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table[c]] or [np.array([], k)]) for c, k in kinds.items()]
 
 
-def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
-    """(ctx, k, s, c): phrases k seen at least twice, whose first `depth` words ctx pass the filter `held`; s is the phrase without its first word."""
+def _pairs(training: DataFrame, held, again, depth: int) -> DataFrame:
+    """(ctx, k, s, c): phrases k seen at least twice, whose first `depth` words ctx pass the filter `held`; s is the phrase without its first word.
+
+    `again` is a filter of the suffixes seen twice, or None: no phrase is seen twice whose suffix is not.
+    """
     bits = key_buckets(training.sparkSession)
-    names = ["bucket", "k", "ctx", "s", "n"]
+    names = ["bucket", "ctx", "s", "n"]
 
-    def pack(k, ctx, s):
+    def pack(ctx, s):
+        k = extend(ctx, s)
         order = np.argsort(k)
         k, ctx, s = k[order], ctx[order], s[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.array([], int)
         n = np.diff(np.append(first, len(k))).astype(np.uint32)
-        k = k[first]
-        return _batch(_packed((mix(k) >> np.uint64(64 - bits)).astype(np.int64), None, k, ctx[first], s[first], n), names)
+        return _batch(_packed((mix(k[first]) >> np.uint64(64 - bits)).astype(np.int64), None, ctx[first], s[first], n), names)
 
     def collect(batches):
         parts, size = [], 0
         for b in batches:
             for t, begins in token_runs(b.column(0).to_pylist()):
-                keys = phrases(t, depth)
-                ctx = before(keys[-2])
+                s = phrases(t, depth - 1)[-1]
+                ctx = before(s)
                 yes = np.flatnonzero(inside(t, begins) >= depth)
                 yes = yes[in_filter(ctx[yes], held.value)]
-                parts.append((keys[-1][yes], ctx[yes], keys[-2][yes]))
+                if again.value is not None:
+                    yes = yes[in_filter(s[yes], again.value)]
+                parts.append((ctx[yes], s[yes]))
                 size += len(yes)
                 if size > 1_500_000:
                     yield pack(*map(np.concatenate, zip(*parts)))
@@ -174,7 +185,8 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
             yield pack(*map(np.concatenate, zip(*parts)))
 
     def merge(table):
-        k, ctx, s, n = _joined(table, k=np.uint64, ctx=np.uint64, s=np.uint64, n=np.uint32)
+        ctx, s, n = _joined(table, ctx=np.uint64, s=np.uint64, n=np.uint32)
+        k = extend(ctx, s)
         order = np.argsort(k)
         k, n = k[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -182,7 +194,7 @@ def _pairs(training: DataFrame, held, depth: int) -> DataFrame:
         first, c = first[c > 1], c[c > 1]
         return pa.table({"ctx": ctx[order[first]].view(np.int64), "k": k[first].view(np.int64), "s": s[order[first]].view(np.int64), "c": c})
 
-    packed = training.mapInArrow(collect, "bucket int, k binary, ctx binary, s binary, n binary")
+    packed = training.mapInArrow(collect, "bucket int, ctx binary, s binary, n binary")
     return packed.groupBy("bucket").applyInArrow(merge, "ctx long, k long, s long, c long")
 
 
@@ -241,7 +253,9 @@ def suffix_tree(training: DataFrame, depth: int = DEPTH, min_count: int = MIN_CO
     for d in range(1, depth + 1):
         if sizes.isEmpty():
             break
-        pairs = stage(_pairs(training, spark.sparkContext.broadcast(bit_filter(sizes, "ctx")), d), f"lm-pairs-{d}")
+        # Most words are seen twice, most longer phrases are not.
+        filters = [spark.sparkContext.broadcast(x) for x in (bit_filter(sizes, "ctx"), bit_filter(below, "s") if d > 1 else None)]
+        pairs = stage(_pairs(training, *filters, d), f"lm-pairs-{d}")
         kept, known = _level(pairs, sizes, below, d)
         discard(pairs)
         release(spark)
@@ -306,7 +320,7 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
         names = ["bucket", "block", "keys"]
 
         def flush():
-            k = np.unique(np.concatenate(wanted)) if wanted else np.array([], np.uint64)
+            k = each_once(np.concatenate(wanted)) if wanted else np.array([], np.uint64)
             k = k[_position(most.value[0], k) < 0]
             return _batch(_packed(bucket(k), at, k), names)
 
@@ -319,7 +333,7 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
                     wanted, size = [], 0
                 at = int(blocks[i])
                 for _, keys, matter in phrases_of(b.column(2).slice(i, j - i).to_pylist()):
-                    k = np.unique(np.concatenate([x[m] for x, m in zip(keys, matter)]))
+                    k = each_once(np.concatenate([x[m] for x, m in zip(keys, matter)]))
                     wanted.append(k[in_filter(k, held.value)])
                     size += len(wanted[-1])
         if at is not None:
