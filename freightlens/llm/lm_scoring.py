@@ -123,6 +123,12 @@ def _words(training: DataFrame) -> DataFrame:
     return count_keys(training.mapInArrow(count, PACKED), 1).withColumnRenamed("n", "c")
 
 
+def _freed(spark, made):
+    """`made`, once Spark may remove the shuffle files of what it took."""
+    release(spark)
+    return made
+
+
 def _position(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Where each key stands in a sorted table, -1 where it doesn't."""
     if not len(table):
@@ -223,7 +229,7 @@ def _level(pairs: DataFrame, sizes: DataFrame, below: DataFrame, d: int) -> tupl
     taken = pairs.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("taken"), F.sum("c").alias("seen"))
     # The join with sizes also drops contexts that only pass the filter.
     rest = taken.join(sizes, "ctx").select("ctx", "n", "seen", (1 - F.col("taken") / F.col("n")).alias("rest"))
-    rows = stage(pairs.join(rest, "ctx").join(below, "s").drop("s"), f"lm-rows-{d}")
+    rows = _freed(pairs.sparkSession, stage(pairs.join(rest, "ctx").join(below, "s").drop("s"), f"lm-rows-{d}"))
     without = F.when(F.col("c") >= 3, (F.col("c") - 1 - DISCOUNT) / F.greatest(F.col("n") - 1, F.lit(1))).otherwise(0.0)
     gain = F.col("c") * F.log((without + F.col("rest") * F.col("par")) / F.col("par"))
     # n, seen and rest are the same in all rows of a context.
@@ -254,8 +260,8 @@ def suffix_tree(training: DataFrame, depth: int = DEPTH, min_count: int = MIN_CO
         if sizes.isEmpty():
             break
         # Most words are seen twice, most longer phrases are not.
-        filters = [spark.sparkContext.broadcast(x) for x in (bit_filter(sizes, "ctx"), bit_filter(below, "s") if d > 1 else None)]
-        pairs = stage(_pairs(training, *filters, d), f"lm-pairs-{d}")
+        filters = [spark.sparkContext.broadcast(_freed(spark, x)) for x in (bit_filter(sizes, "ctx"), bit_filter(below, "s") if d > 1 else None)]
+        pairs = _freed(spark, stage(_pairs(training, *filters, d), f"lm-pairs-{d}"))
         kept, known = _level(pairs, sizes, below, d)
         discard(pairs)
         release(spark)
@@ -301,8 +307,8 @@ def lm_scores(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: s
         return k[first], c[first], rest[first]
 
     most = spark.sparkContext.broadcast(tidy(*_most(tree, FREQUENT)))
-    held = spark.sparkContext.broadcast(bit_filter(tree, "k"))
-    states = spark.sparkContext.broadcast(bit_filter(tree.where("rest < 1").select("k"), "k"))
+    held = spark.sparkContext.broadcast(_freed(spark, bit_filter(tree, "k")))
+    states = spark.sparkContext.broadcast(_freed(spark, bit_filter(tree.where("rest < 1").select("k"), "k")))
     bits = max(key_buckets(spark), int(max(total, 1) * (depth + 1) // BUCKET_KEYS).bit_length())
 
     def bucket(k: np.ndarray) -> np.ndarray:
