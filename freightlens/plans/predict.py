@@ -17,8 +17,8 @@ from freightlens.operators.selection import order_statistics
 from freightlens.plans.ml_features import delivery_weather
 from freightlens.plans.star import surrogate
 from freightlens.registry import query
-from freightlens.session import ensure_checkpoint_dir, shared_dir
-from freightlens.sources.versions import current_version, input_version, publish_version
+from freightlens.session import shared_dir
+from freightlens.sources.versions import current_version, derived_once, input_version, publish_version
 
 TARGET = "is_delayed"
 # Columns that would leak the outcome, identify a row, or are left out, as published.
@@ -40,11 +40,16 @@ def with_target(df: DataFrame, check: bool = True) -> DataFrame:
         df = df.withColumn(TARGET, F.when(late.isNotNull(), (late > 0).cast("int")))
     label = F.least(F.greatest(F.col(TARGET).try_cast("int"), F.lit(0)), F.lit(1))
     out = df.withColumn(TARGET, label).filter(F.col(TARGET).isNotNull())
-    if check and out.select(TARGET).distinct().count() < 2:
-        raise ValueError("the target has one class only; delayed and on-time orders are both needed")
+    if check:
+        require_classes({r[TARGET] for r in out.select(TARGET).distinct().collect()})
     return out
 
 
+def require_classes(found) -> None:
+    if len(found) < 2:
+        raise ValueError("the target has one class only; delayed and on-time orders are both needed")
+
+
 def calendar_columns(df: DataFrame, day: str = "order_date") -> DataFrame:
     return df.withColumns(
         {
@@ -62,9 +67,9 @@ class FeatureSet:
     categorical: list[str]
 
 
-def feature_set(df: DataFrame) -> FeatureSet:
+def feature_set(df: DataFrame, check: bool = True) -> FeatureSet:
     """Usable columns by name and type alone: leakage, ids and excluded columns out, every other number and text in."""
-    d = calendar_columns(with_target(df))
+    d = calendar_columns(with_target(df, check))
     left = [(c, k) for c, k in d.dtypes if c not in {*LEAKAGE, *IDENTIFIERS, *EXCLUDED}]
     numeric = [c for c, k in left if k.startswith(NUMERIC)]
     categorical = [c for c, k in left if k == "string"]
@@ -86,22 +91,30 @@ def split_sizes(counts: dict[int, int], test_share: float) -> dict[int, int]:
     return {c: counts[c] - dealt[c] for c in counts}
 
 
+DRAW = "_u"
+
+
+def drawn(df: DataFrame, seed: int = 42) -> DataFrame:
+    """With the hash of the order id by which rows are split."""
+    return df.withColumn(DRAW, surrogate("order_id", TARGET, F.lit(str(seed))))
+
+
 def stratified_split(df: DataFrame, test_share: float = 0.20, seed: int = 42) -> DataFrame:
     """Marks an exact share of each class as test: the rows with the smallest hash of the order id, stable under reordering.
 
     The hash that divides a class is found by counting in narrowing ranges, so no class is sorted or gathered in one task.
-    Rows of one order id have one hash and stay together.
+    Rows of one order id have one hash and stay together. A table that was stored with its hash keeps it.
     """
     if not 0 < test_share < 1:
         raise ValueError("the test share must be between 0 and 1")
-    hashed = df.withColumn("_u", surrogate("order_id", TARGET, F.lit(str(seed))))
+    hashed = df if DRAW in df.columns else drawn(df, seed)
     counts = {r[TARGET]: r["n"] for r in df.groupBy(TARGET).agg(rows("n")).collect()}
     last = {(c,): [k - 1] for c, k in split_sizes(counts, test_share).items() if k}
-    border = order_statistics(hashed, [TARGET], "_u", last)
+    border = order_statistics(hashed, [TARGET], DRAW, last)
     in_test = F.lit(False)
     for (c, _), value in border.items():
-        in_test = in_test | ((F.col(TARGET) == c) & (F.col("_u") <= value))
-    return hashed.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("_u")
+        in_test = in_test | ((F.col(TARGET) == c) & (F.col(DRAW) <= value))
+    return hashed.withColumn("split", F.when(in_test, "test").otherwise("train")).drop(DRAW)
 
 
 @dataclass
@@ -136,13 +149,28 @@ class DelayModel:
 
 def medians(df: DataFrame, columns: list[str]) -> list[float]:
     """Exact medians of double columns (0 for a column without values)."""
-    filled = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)])
-    ranks = {(i,): sorted({(n - 1) // 2, n // 2}) for i, n in enumerate(filled) if n}
-    found = order_statistics(df.select(F.inline(cells)), ["c"], "v", ranks) if ranks else {}
+    seen = df.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(columns) for f in (F.count, F.min, F.max)]).first()
+
+    def cells(asked: list[tuple]) -> DataFrame:
+        """(column, value) rows of the columns whose median is not known yet."""
+        return df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(columns[i]).alias("v")) for i, in asked])))
+
+    ranks = {(i,): sorted({(n - 1) // 2, n // 2}) for i in range(len(columns)) if (n := seen[f"count{i}"])}
+    ends = {(i,): (seen[f"min{i}"], seen[f"max{i}"]) for i, in ranks}
+    found = order_statistics(cells, ["c"], "v", ranks, ends=ends) if ranks else {}
     return [sum(found[i, k] for k in ranks[i,]) / len(ranks[i,]) if (i,) in ranks else 0.0 for i in range(len(columns))]
 
 
+def text_counts(df: DataFrame, columns: list[str]) -> list[dict[str, int]]:
+    """Rows per level of each text column, NULL left out (as many entries as the model has inputs)."""
+    levels = [{} for _ in columns]
+    if columns:
+        cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+        for r in df.select(F.inline(cells)).where(F.col("v").isNotNull()).groupBy("c", "v").agg(rows("n")).collect():
+            levels[r["c"]][r["v"]] = r["n"]
+    return levels
+
+
 def fit_model(fs: FeatureSet, train: DataFrame) -> DelayModel:
     """Exact median imputation and scaling for numbers, mode imputation and levels for text, balanced logistic regression
     with a unit squared penalty, solved to its optimum."""
@@ -150,14 +178,12 @@ def fit_model(fs: FeatureSet, train: DataFrame) -> DelayModel:
     n = sum(counts.values())
     middle = medians(train, fs.numeric) if fs.numeric else []
     filled = [F.coalesce(F.col(c), F.lit(m)) for c, m in zip(fs.numeric, middle)]
-    stats = train.agg(
-        *[F.avg(c).alias(f"a{i}") for i, c in enumerate(filled)], *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(filled)],
-        *[F.mode(c, True).alias(f"m{i}") for i, c in enumerate(fs.categorical)], *[F.collect_set(c).alias(f"l{i}") for i, c in enumerate(fs.categorical)],
-    ).first()
-    numbers, texts = range(len(fs.numeric)), range(len(fs.categorical))
+    sums = [f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(filled) for f in (F.avg, F.var_pop)]
+    stats = train.agg(*sums).first() if sums else {}
+    numbers, seen = range(len(filled)), text_counts(train, fs.categorical)
     model = DelayModel(
-        fs.numeric, fs.categorical, middle, [stats[f"a{i}"] for i in numbers], [math.sqrt(stats[f"v{i}"]) or 1.0 for i in numbers],
-        [stats[f"m{i}"] for i in texts], [sorted(stats[f"l{i}"], key=str.encode) for i in texts], [], 0.0,
+        fs.numeric, fs.categorical, middle, [stats[f"avg{i}"] for i in numbers], [math.sqrt(stats[f"var_pop{i}"]) or 1.0 for i in numbers],
+        [min(c, key=lambda v: (-c[v], v.encode()), default=None) for c in seen], [sorted(c, key=str.encode) for c in seen], [], 0.0,
     )
     weight = F.when(F.col(TARGET) == 1, n / (2.0 * counts[1])).otherwise(n / (2.0 * counts[0]))
     design = model.design()
@@ -278,15 +304,17 @@ def trained(lake) -> tuple[DelayModel, DataFrame]:
     """The model and the scored test rows of the input as it is now.
 
     Both are written once per version of the input files; later calls, also of other sessions, read them. The prepared
-    rows are checkpointed, so imputation, scaling and every step of the fit read that table.
+    rows are written first, by columns and with the hash that splits them: each pass of the split, imputation, scaling and
+    fit reads the columns it needs from that table, and none joins the weather again.
     """
     spark = lake.spark
-    fs = feature_set(model_input(lake))
+    fs = feature_set(model_input(lake), check=False)
     base = f"{shared_dir(spark)}/models/delay-{input_version(fs.data)}"
     folder = current_version(spark, base)
     if folder is None:
-        ensure_checkpoint_dir(spark)
-        parts = stratified_split(fs.data).checkpoint()
+        prepared = derived_once("prepared", drawn(fs.data), base)
+        require_classes({r[TARGET] for r in prepared.select(TARGET).distinct().collect()})
+        parts = stratified_split(prepared)
         model = fit_model(fs, parts.filter("split = 'train'"))
         kept = spark.createDataFrame([(json.dumps(asdict(model)),)], "model string").coalesce(1)
         folder = publish_version({"model": kept, "scored": score(model, parts.filter("split = 'test'"))}, base)

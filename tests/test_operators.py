@@ -281,3 +281,26 @@ def test_versions_are_published_whole(spark):
     third = publish_version({"a": spark.range(6)}, base, keep=2)
     path = lambda f: f.removeprefix("file:")
     assert current_version(spark, base) == third and not os.path.exists(path(first)) and os.path.exists(path(second))
+
+
+def test_order_statistics_do_not_gather_a_group(spark):
+    """Rows of a group are counted where they lie: only counts are shuffled, and no step joins by the group alone."""
+    from freightlens.operators.selection import order_statistics
+
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 60_013).cast("double").alias("v"))
+    joins = []
+    real = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    before = type(df).join
+    type(df).join = lambda self, *a, **k: joins.append(before(self, *a, **k)) or joins[-1]
+    try:
+        got = order_statistics(df, ["g"], "v", {(0,): [0, 15_000], (1,): [29_999]}, bins=64)
+    finally:
+        type(df).join = before
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", real)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    values = {g: sorted(float(i * 7919 % 60_013) for i in range(60_000) if i % 2 == g) for g in (0, 1)}
+    assert got == {(g, k): values[g][k] for g, k in ((0, 0), (0, 15_000), (1, 29_999))}
+    plans = [j._jdf.queryExecution().executedPlan().toString() for j in joins]
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
