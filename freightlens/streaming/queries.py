@@ -61,16 +61,16 @@ class Topics:
         last = rows.agg((F.max(at) + F.expr(self.CLOSING)).alias(at))
         closing = as_events(last.withColumn(key, F.lit(None).cast("string")), key, F.col(at))
         path = f"{self.base}/topics/{name}-ordered"
-        publish_in_order(as_events(rows, key, F.col(at)), path, closing, self.slices, self.FILES)
-        return folder_topic(self.spark, path, self.FILES)
+        files = publish_in_order(as_events(rows, key, F.col(at)), path, closing, self.slices, self.FILES)
+        return folder_topic(self.spark, path, files)
 
     def gps_in_order(self) -> DataFrame:
         return self._ordered("gps_tracking", self.lake.gps_tracking, "vehicle_id")
 
     def updates_in_order(self) -> DataFrame:
         path = f"{self.base}/topics/delivery_updates-ordered"
-        publish_in_order(as_events(self.lake.delivery_updates, "order_id", F.col("event_timestamp")), path, None, self.slices, self.FILES)
-        return folder_topic(self.spark, path, self.FILES)
+        files = publish_in_order(as_events(self.lake.delivery_updates, "order_id", F.col("event_timestamp")), path, None, self.slices, self.FILES)
+        return folder_topic(self.spark, path, files)
 
     def traffic_in_order(self) -> DataFrame:
         return self._ordered("traffic_updates", self.lake.traffic, "location")

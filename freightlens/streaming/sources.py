@@ -51,12 +51,16 @@ def publish(events: DataFrame, path: str) -> str:
     return path
 
 
-def publish_in_order(events: DataFrame, path: str, closing: DataFrame | None, slices: int = 4, files: int = 4) -> str:
+def publish_in_order(
+    events: DataFrame, path: str, closing: DataFrame | None, slices: int = 4, files: int = 4, messages: int = 500_000
+) -> int:
     """Append messages to a folder topic in order of ingest time, and a closing message after all others.
 
-    The messages are written once, dealt into time ranges of equal length, and each range is appended to the topic as
-    `files` files after the range before it. A reader that takes `files` files per batch sees one range at a time, so no
-    message comes later than messages of a later range. The closing message lies past every window that is still open:
+    The messages are written once, dealt into time ranges of equal length, and each range is appended to the topic after the
+    range before it, all as the same number of files: `files`, or more where a range has over `messages` messages a file,
+    so that no task writes or reads more with larger topics. Returns that number. A reader that takes so many files per batch
+    sees one range at a time, so no message comes later than messages of a later range; a range with fewer messages than
+    files is published together with the next one. The closing message lies past every window that is still open:
     it moves the watermark over them, while its own window never closes and gives no row. Where nothing waits for a
     watermark there is none.
     """
@@ -66,9 +70,22 @@ def publish_in_order(events: DataFrame, path: str, closing: DataFrame | None, sl
     part = F.floor((F.unix_micros("timestamp") - first) * F.lit(slices) / (F.unix_micros("_e.b") - first + 1)).cast("int")
     events.withColumn("_e", ends).withColumn("part", part).drop("_e").write.partitionBy("part").parquet(f"{path}-dealt")
     dealt = spark.read.schema(f"{EVENT_COLUMNS}, part int").parquet(f"{path}-dealt")
-    for k in range(slices):
-        publish(dealt.where(F.col("part") == k).drop("part").repartition(files), path)
-    return path if closing is None else publish(closing, path)
+    sizes = {r["part"]: r["n"] for r in dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()}
+    files = max(files, -(-max(sizes.values(), default=0) // messages))
+    parts, n = [], 0
+    for k, size in sizes.items():
+        parts, n = [*parts, k], n + size
+        if n < files and k != max(sizes):
+            continue
+        here = dealt.where(F.col("part").isin(parts)).drop("part")
+        # One task deals a small range, so that none of its files is empty.
+        publish((here.coalesce(1) if n <= messages else here).repartition(files), path)
+        parts, n = [], 0
+    if not sizes:
+        publish(dealt.drop("part"), path)
+    if closing is not None:
+        publish(closing, path)
+    return files
 
 
 def publish_kafka(events: DataFrame, brokers: str, topic: str) -> None:

@@ -247,3 +247,23 @@ def test_latest_status_survives_replays_and_compaction(spark):
         assert rows(sinks.read_latest(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)) == want
     sinks.compact(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)
     assert rows(sinks.read_latest(spark, f"{base}/out", "k", ["at"], spark.createDataFrame([], schema).schema)) == want
+
+
+def test_ordered_topics_have_files_of_bounded_size(spark):
+    """Larger ranges make more files, none of them empty or shared, so that batches of as many files see one range."""
+    from freightlens.streaming.sources import publish_in_order
+
+    at = "timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, {})"
+    # ranges of 250 seconds: 400, 1, 250 and 250 messages; the second is published with the third
+    seconds = "CASE WHEN id < 400 THEN id % 250 WHEN id = 400 THEN 300 ELSE id - 401 + 500 END"
+    events = spark.range(901).selectExpr("cast(id AS string) AS key", "'{}' AS value", f"{at.format(seconds)} AS timestamp")
+    path = f"{run_dir(spark, 'sizes')}/topic"
+    files = publish_in_order(events, path, None, slices=4, files=2, messages=50)
+    assert files == 8
+    seen = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_modification_time").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b")
+    ).orderBy("file_modification_time").collect()
+    assert len(seen) == 3 * files and max(r.n for r in seen) < 2 * 50 and sum(r.n for r in seen) == 901
+    batches = [seen[i : i + files] for i in range(0, len(seen), files)]
+    ends = [(min(r.a for r in b), max(r.b for r in b)) for b in batches]
+    assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
