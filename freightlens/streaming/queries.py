@@ -75,9 +75,9 @@ class Topics:
     def traffic_in_order(self) -> DataFrame:
         return self._ordered("traffic_updates", self.lake.traffic, "location")
 
-    def drain(self, stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    def drain(self, stream: DataFrame, name: str, fmt: str = "parquet", settings: dict[str, str] | None = None) -> DataFrame:
         path = f"{self.base}/out/{name}"
-        sinks.run_once(stream, path, f"{self.base}/checkpoints/{name}", fmt)
+        sinks.run_once(stream, path, f"{self.base}/checkpoints/{name}", fmt, settings)
         return plain_times(self.spark.read.schema(stream.schema).format(fmt).load(path))
 
 
@@ -115,7 +115,7 @@ def orders_gps(lake):
     placed = lake.orders.select("order_id", "vehicle_id").join(lake.delivery_windows.select("order_id", "start_time"), "order_id")
     schema = "order_id string, vehicle_id string, start_time timestamp"
     stream = ev.parse(t._topic("dispatches", as_events(placed, "order_id", F.col("start_time"))), schema)
-    return t.drain(ev.orders_with_gps(stream, ev.gps(t.gps())), "st_orders_gps_join")
+    return t.drain(ev.orders_with_gps(stream, ev.gps(t.gps())), "st_orders_gps_join", settings=sinks.INNER_JOIN)
 
 
 @query("st_delivery_status")

@@ -267,3 +267,30 @@ def test_ordered_topics_have_files_of_bounded_size(spark):
     batches = [seen[i : i + files] for i in range(0, len(seen), files)]
     ends = [(min(r.a for r in b), max(r.b for r in b)) for b in batches]
     assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+
+
+def test_inner_join_runs_in_one_batch_and_drops_old_state_with_the_next(spark):
+    """A bounded run makes no batch without data and keeps one store per task; a second run joins with rows of the first."""
+    import os
+
+    from freightlens.streaming import events as ev
+    from freightlens.streaming import sinks
+    from freightlens.streaming.queries import Topics
+
+    base = run_dir(spark, "join")
+    order = lambda i, v, m: json.dumps({"order_id": i, "vehicle_id": v, "start_time": (AT + dt.timedelta(minutes=m)).isoformat()})
+    t = Topics.__new__(Topics)
+    t.spark, t.base = spark, base
+    from freightlens.streaming.sources import folder_topic
+
+    schema = "order_id string, vehicle_id string, start_time timestamp"
+    joined = lambda: ev.orders_with_gps(ev.parse(folder_topic(spark, f"{base}/o"), schema), ev.gps(folder_topic(spark, f"{base}/g")))
+    send(spark, f"{base}/o", order("a", "V1", 0), order("b", "V2", 0))
+    send(spark, f"{base}/g", gps("V1", 5), gps("V1", 31), gps("V2", 30))
+    first = rows(t.drain(joined(), "j", settings=sinks.INNER_JOIN).select("order_id", F.minute("gps_time")))
+    assert first == [("a", 5), ("b", 30)]
+    assert [f for f in os.listdir(f"{base}/checkpoints/j/commits") if f.isdigit()] == ["0"]
+    assert not any("keyToNumValues" in d for d in os.listdir(f"{base}/checkpoints/j/state/0/0"))
+    send(spark, f"{base}/g", gps("V1", 29), gps("V2", 40))
+    assert rows(t.drain(joined(), "j", settings=sinks.INNER_JOIN).select("order_id", F.minute("gps_time"))) == [("a", 29), ("a", 5), ("b", 30)]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
