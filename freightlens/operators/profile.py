@@ -48,8 +48,9 @@ def describe_columns(long: DataFrame) -> DataFrame:
     """count, mean, std, min, exact quartiles (linear interpolation), max per (dataset, column_name).
 
     Values are counted once per distinct value, map-side first; sums, squares around the means and the quartiles, by counting
-    in narrowing ranges, come from passes over these counts that merge map-side into one row per column or range. Nothing is
-    sorted, and no task holds all values of a column.
+    in narrowing ranges, come from passes over these counts that merge map-side into one row per column or range. Means and
+    ranges, one row per column or rank, are broadcast: nothing is sorted or shuffled by column, and no task holds all values
+    of a column.
     """
     keys, v, n = ["dataset", "column_name"], F.col("value"), F.col("n")
     spark = long.sparkSession
@@ -57,7 +58,7 @@ def describe_columns(long: DataFrame) -> DataFrame:
     sums = [F.sum(n).alias("count"), F.sum(v.cast("decimal(26,6)") * n).cast("double").alias("sum"), F.min(v).alias("min"), F.max(v).alias("max")]
     first = {(r[0], r[1]): r for r in counts.groupBy(*keys).agg(*sums).collect()}
     means = spark.createDataFrame([(*k, r["sum"] / r["count"]) for k, r in first.items()], "dataset string, column_name string, mean double")
-    squares = counts.join(means, keys).groupBy(*keys).agg(F.sum(n * F.pow(v - F.col("mean"), 2)).alias("ss"))
+    squares = counts.join(F.broadcast(means), keys).groupBy(*keys).agg(F.sum(n * F.pow(v - F.col("mean"), 2)).alias("ss"))
     spread = {(r[0], r[1]): r["ss"] for r in squares.collect()}
     places = {k: [(q, q * (r["count"] - 1)) for q in (25, 50, 75)] for k, r in first.items()}  # positions in hundredths
     found = order_statistics(counts, keys, "value", {k: sorted({x for _, p in at for x in (p // 100, -(-p // 100))}) for k, at in places.items()}, ends={k: (r["min"], r["max"]) for k, r in first.items()}, weight="n")

@@ -304,3 +304,23 @@ def test_order_statistics_do_not_gather_a_group(spark):
     assert got == {(g, k): values[g][k] for g, k in ((0, 0), (0, 15_000), (1, 29_999))}
     plans = [j._jdf.queryExecution().executedPlan().toString() for j in joins]
     assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+
+
+def test_profiles_do_not_shuffle_values_by_column(spark, monkeypatch):
+    """Means and ranges go to the values: with no size limit that would let Spark choose it, no join gathers a column."""
+    from freightlens.operators.profile import describe_columns
+
+    joins, names = [], ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    long = spark.range(1000).selectExpr("'t' AS dataset", "if(id % 2 = 0, 'a', 'b') AS column_name", "cast(id AS double) AS value")
+    real, before = type(long).join, spark.conf.get(names[0])
+    monkeypatch.setattr(type(long), "join", lambda self, *a, **k: joins.append(real(self, *a, **k)) or joins[-1])
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        got = {r.column_name: (r["count"], r["mean"], r.min, r.q25, r.q50, r.q75, r.max) for r in describe_columns(long).collect()}
+    finally:
+        spark.conf.set(names[0], before)
+        spark.conf.unset(names[1])
+    assert got == {"a": (500, 499.0, 0.0, 249.5, 499.0, 748.5, 998.0), "b": (500, 500.0, 1.0, 250.5, 500.0, 749.5, 999.0)}
+    plans = [j._jdf.queryExecution().executedPlan().toString() for j in joins]
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
