@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import ship, stage
-from freightlens.llm.pretokens import chunk_of, vocabulary, worker_cache
+from freightlens.llm.pretokens import vocabulary, worker_cache
 
 CAPACITY, END_ID = 2048, 0
 
@@ -43,7 +43,7 @@ def encoded(batches, path: str | None, end_id: int):
             if not x:
                 out.append(end)
             elif cache.plain(x):
-                out.append(cache.joined(cache.chunks(x) or list(map(chunk_of, cache.split(x))), pack) + end)
+                out.append(cache.joined(cache.cut(x), pack) + end)
             else:
                 out.append(np.array(cache.ids([x])[0], "<u4").tobytes() + end)
         yield b, out

@@ -71,9 +71,9 @@ class PieceCache:
         first, *rest = text.replace("\n", " \n").split(" ")
         return [FIRST + first, *rest]
 
-    def joined(self, chunks: list[str], make) -> bytes:
-        """The values of the chunks one after the other; a chunk's value joins those of its pre-tokens, through the cache."""
-        known, every = self.known, set(chunks)
+    def fill(self, every: set[str], make, join) -> None:
+        """Let the cache know the chunks: a chunk's value joins make(ids) of its pre-tokens, which are cached, too."""
+        known = self.known
         missing = every.difference(known)
         if missing and len(known) + 3 * len(missing) > self.limit:
             known.clear()
@@ -84,23 +84,25 @@ class PieceCache:
             known[parts[p]] = make(ids)
         for c, pieces in split.items():
             if len(pieces) > 1:
-                known[c] = b"".join([known[parts[p]] for p in pieces])
-        return b"".join(map(known.__getitem__, chunks))
+                known[c] = join([known[parts[p]] for p in pieces])
 
-    def resolve(self, pieces: list[str], values: list, make) -> list:
-        """Fill the gaps of `values` (None) with make(ids) of the piece, through the cache."""
-        missing = {p for p, v in zip(pieces, values) if v is None}
-        self.learn([p for p in missing if p not in self.known], make, missing)
+    def joined(self, chunks: list[str], make) -> bytes:
+        """The values of the chunks one after the other."""
+        self.fill(set(chunks), make, b"".join)
+        return b"".join(map(self.known.__getitem__, chunks))
+
+    def total(self, chunks: list[str], table: dict[str, int]) -> int:
+        """How many ids the chunks have, by a fixed table and the cache for what it lacks."""
+        values = list(map(table.get, chunks))
+        if None not in values:
+            return sum(values)
+        self.fill({c for c, v in zip(chunks, values) if v is None}, len, sum)
         known = self.known
-        return [known[p] if v is None else v for p, v in zip(pieces, values)]
-
-    def learn(self, pieces: list[str], make, keep: set[str]) -> None:
-        """Encode pieces that are not cached."""
-        if len(self.known) + len(pieces) > self.limit:
-            self.known.clear()
-            pieces = list(keep)
-        for p, ids in zip(*self.encoded(pieces)):
-            self.known[p] = make(ids)
+        return sum([known[c] if v is None else v for c, v in zip(chunks, values)])
+
+    def cut(self, text: str) -> list[str]:
+        """The chunks of a plain text: cut at spaces and newlines if it can be, else a chunk per pre-token."""
+        return self.chunks(text) or list(map(chunk_of, self.split(text)))
 
     def encoded(self, pieces: list[str]) -> tuple[list[str], list]:
         """Pieces and their ids. Words with a leading space are encoded as one text, which splits as they do."""

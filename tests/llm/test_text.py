@@ -55,6 +55,16 @@ def test_sketch_keeps_frequent():
     assert set(shrink(counts, 2)) == {"a", "b"} and shrink(counts, 100) == counts
 
 
+def test_known_chunks_are_not_split_again():
+    cache, seen = PieceCache(vocabulary()), []
+    split = cache.split
+    cache.split = lambda x: seen.append(x) or split(x)
+    text = "One two, three's two, x=1\ntwo, three's Ünï 42 end"
+    for known in ({}, {}, {"two,": 2}):
+        assert cache.total(cache.cut(text), known) == len(cache.ids([text])[0])
+    assert len(seen) == len(set(cache.cut(text)))
+
+
 def test_token_counts(spark, docs, nothing):
     got = {r.doc_id: r for r in queries.QUERIES["op2_token_counts"](spark, SF).collect()}
     for i, t in table("documents"):
