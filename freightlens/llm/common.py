@@ -170,17 +170,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+#: Edges that one task of components() joins into a forest.
+FOREST_EDGES = 200_000
+
+
+def _forest(batches):
+    """A task's edges as stars around the smallest vertex of each of their components, by union-find."""
+    up = {}
+
+    def top(x):
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    names, types = None, None
+    for b in batches:
+        names, types = b.schema.names, b.schema.types
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            x, y = top(x), top(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    vertices = [x for x, y in up.items() if x != y]
+    if vertices:
+        yield pa.RecordBatch.from_arrays([pa.array(vertices, types[0]), pa.array([top(x) for x in vertices], types[1])], names)
+
+
+def components(edges: DataFrame, name: str = "components", share: int = FOREST_EDGES) -> DataFrame:
     """(v, root) for every vertex of an edge table (a, b): root is the smallest vertex of its component.
 
-    Alternating large-star and small-star steps on the edge table. Every step is an aggregation by
-    vertex with partial aggregation and a join, which Spark splits where a vertex has very many
-    edges; each result is written to the shared folder. The number of steps grows with the
+    Each task first reduces `share` edges to a forest of stars. Where that takes several tasks, their
+    forests are joined by alternating large-star and small-star steps on the edge table. Every step is
+    an aggregation by vertex with partial aggregation and a join, which Spark splits where a vertex has
+    very many edges; each result is written to the shared folder. The number of steps grows with the
     logarithm of the longest path. It ends when no edge changes, by count and an exclusive or of hashes.
     """
-    e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), name)
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
+    tasks = max(1, -(-e.count() // share))
+    e = stage(e.repartition(tasks).mapInArrow(_forest, e.schema), name)
     state = None
-    while True:
+    while tasks > 1:
         now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x")).first()
         if now == state or not now["n"]:
             break

@@ -10,7 +10,7 @@ so that a long text costs little more than one draw per shingle. Two signatures
 with the probability of the multisets' weighted Jaccard similarity.
 
 Texts that agree in a band of components meet in a bucket. Pairs within a bucket are never all listed:
-per round a pivot is compared with the members that are not yet in its component, linked components
+first a text is compared with one hub, the text of its buckets that shares most of them; then per round a pivot is compared with the members that are not yet in its component, linked components
 merge, buckets of one component retire and pivots leave, with eight times the pivots per round. When the
 comparisons left are few for the size of the buckets they are all made, so every pair of a bucket is
 either verified or connected otherwise. Pairs whose signatures rule the threshold out by six standard
@@ -186,16 +186,13 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, vertices: DataFrame, w
     needed = likely.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     held = spark.sparkContext.broadcast(bit_filter(needed.select(F.xxhash64("v").alias("h")), "h"))
 
-    @F.pandas_udf("boolean")
-    def may_be_needed(h: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(h.to_numpy().view(np.uint64), held.value))
-
     def hashed(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([occurrences(x, words).tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["v", "bag"])
+            b = b.filter(pa.array(in_filter(b.column(0).to_numpy().view(np.uint64), held.value)))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([occurrences(x, words).tobytes() for x in b.column(2).to_pylist()], pa.binary())], ["v", "bag"])
 
-    body = docs.select(_vertex(text).alias("v"), F.col(text).cast("binary").alias("t"))
-    bags = body.where(may_be_needed(F.xxhash64("v"))).mapInArrow(hashed, "v binary, bag binary").groupBy("v").agg(F.first("bag").alias("bag"))
+    body = docs.select(F.xxhash64(_vertex(text)).alias("h"), _vertex(text).alias("v"), F.col(text).cast("binary").alias("t"))
+    bags = body.mapInArrow(hashed, "v binary, bag binary").groupBy("v").agg(F.first("bag").alias("bag"))
     bags = stage(bags, "near-bags")
 
     @F.pandas_udf("boolean")
@@ -218,31 +215,40 @@ def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similari
     ship(spark)
     vertices = stage(_signed(docs, text, words, bands, rows), "near-signed")
     every = vertices.select("v", "n", F.explode("bands").alias("bucket"))
-    shared = every.groupBy("bucket").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low <> high").select("bucket")
-    members = stage(every.join(shared, "bucket"), "near-members")
-    edges = stage(spark.createDataFrame([], "a binary, b binary"), "near-links")
-    labels, pivots, done = None, 1, False
+    shared = every.groupBy("bucket").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("k")).where("low <> high").select("bucket", "k")
+    members = every.join(shared, "bucket")
+    members = stage(members.join(members.groupBy("v").agg(F.sum("k").alias("mass")), "v").select("bucket", "v", "n", "mass"), "near-members")
+    alike = (F.col("n") >= similarity * F.col("pn") - 1e-9) & (F.col("pn") >= similarity * F.col("n") - 1e-9)
+    pair = (F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b"))
+
+    def linked(pairs):
+        return _linked(pairs, docs, text, vertices, words, similarity, bands * rows)
+
+    # The text with the most company is the hub of its buckets; a text first meets the greatest hub only.
+    hubs = members.groupBy("bucket").agg(F.max_by(F.struct(F.col("v").alias("p"), F.col("n").alias("pn"), F.col("mass").alias("pm")), F.struct("mass", "v")).alias("x")).select("bucket", "x.*")
+    best = members.join(hubs, "bucket").where((F.col("v") != F.col("p")) & alike).groupBy("v").agg(F.max_by("p", F.struct("pm", "p")).alias("p"))
+    labels = stage(components(linked(best.select(*pair).distinct()), "near-components"), "near-labels")
+    pivots, done = 1, False
     while not done:
-        labelled = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("bucket", "v", "n", F.coalesce("root", "v").alias("label"))
+        labelled = members.join(labels, "v", "left").select("bucket", "v", "n", "mass", F.coalesce("root", "v").alias("label"))
         sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-        main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"), F.count(F.lit(1)).alias("parts"))
+        main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("parts"))
         members = stage(labelled.join(main.where("parts > 1"), "bucket"), "near-members")
         total = members.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("label") != F.col("main"), F.col("all"))).alias("cost")).first()
         if not total["n"]:
             break
         done = total["cost"] <= 8 * total["n"]
-        others = members.where("label <> main").select("bucket", F.col("v").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
+        others = members.where("label <> main").select("bucket", F.col("v").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"), "mass")
         if not done:
-            turn = Window.partitionBy("bucket").orderBy(F.xxhash64("p", F.lit(pivots)), "p")
+            turn = Window.partitionBy("bucket").orderBy(F.desc("mass"), "p")
             others = stage(others.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots).drop("turn"), "near-pivots")
-        alike = (F.col("n") >= similarity * F.col("pn") - 1e-9) & (F.col("pn") >= similarity * F.col("n") - 1e-9)
-        pairs = members.join(others, "bucket").where((F.col("label") != F.col("pl")) & alike).select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct()
-        edges = stage(edges.union(_linked(pairs, docs, text, vertices, words, similarity, bands * rows)), "near-links")
+        met = members.drop("mass").join(others.drop("mass"), "bucket").where((F.col("label") != F.col("pl")) & alike)
+        edges = linked(met.select(*pair).distinct()).union(labels.where("v <> root").toDF("a", "b"))
         labels = stage(components(edges, "near-components"), "near-labels")
         if not done:
-            members = members.select("bucket", "v", "n").join(others.select("bucket", F.col("p").alias("v")), ["bucket", "v"], "left_anti")
+            members = members.select("bucket", "v", "n", "mass").join(others.select("bucket", F.col("p").alias("v")), ["bucket", "v"], "left_anti")
             pivots *= 8
-    return labels if labels is not None else spark.createDataFrame([], "v binary, root binary")
+    return labels
 
 
 def _classes(docs: DataFrame, key: str, text: str, **settings) -> tuple[DataFrame, DataFrame]:

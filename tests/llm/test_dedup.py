@@ -132,6 +132,30 @@ def test_near_hub_and_chains(spark):
     assert {r.doc_id: (r.class_id, r.class_size) for r in got} == brute_classes(rows)
 
 
+def test_near_hub_is_compared_first(spark, monkeypatch):
+    """A hub with 200 copies that are not alike to each other: each is verified against the hub, not against many others."""
+    from freightlens.llm import near_dedup
+
+    verified, stage = [], near_dedup.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "near-likely":
+            verified.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    words = [f"word{i}" for i in range(120)]
+    rows = [(0, " ".join(words))]
+    for i in range(200):
+        w = list(words)
+        w[i % 50 + 5], w[i % 49 + 62] = f"changed{i}", f"other{i}"
+        rows.append((i + 1, " ".join(w)))
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in got} == {(0, 201)}
+    assert sum(verified) <= 2 * len(rows)
+
+
 def test_near_edges(docs, nothing):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = near_classes(docs).collect()

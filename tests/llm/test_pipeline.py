@@ -55,3 +55,5 @@ def test_components_of_paths_and_stars(spark):
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a int, b int")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 120), 100)}
     assert components(spark.createDataFrame([], "a int, b int")).count() == 0
+    apart = {r.v: r.root for r in components(spark.createDataFrame(edges, "a int, b int"), share=10).collect()}
+    assert apart == got  # forests of several tasks
