@@ -9,12 +9,15 @@ earliest point of a component is its value, and a process stops once it is later
 so that a long text costs little more than one draw per shingle. Two signatures agree in a component
 with the probability of the multisets' weighted Jaccard similarity.
 
-Texts that agree in a band of components meet in a bucket. Pairs within a bucket are never all listed:
-first a text is compared with one hub, the text of its buckets that shares most of them; then per round a pivot is compared with the members that are not yet in its component, linked components
-merge, buckets of one component retire and pivots leave, with eight times the pivots per round. When the
-comparisons left are few for the size of the buckets they are all made, so every pair of a bucket is
-either verified or connected otherwise. Pairs whose signatures rule the threshold out by six standard
-deviations are passed over; the others are verified on the shingles themselves.
+Texts that agree in a band of components meet in a bucket. Pairs within a bucket are never listed: first
+a text is compared with one hub, the text of its buckets that shares most of them. Texts whose buckets
+then hold one class are done. The others are joined on their shingles, ordered from rare to frequent: a
+pair that reaches the threshold first meets in a shingle so early in both texts that what follows it is
+enough for the threshold, so a text offers only its rarest fifth, each shingle with the greatest length
+of a text it can still be alike to. Copies that differ from each other in their own ways offer shingles
+that no other text holds, however many they are. The order comes from a table of fixed size, which
+decides how many candidates there are but not which pairs are found. All candidates are verified on the
+shingles themselves.
 
 Defined results: null and empty texts have no shingles and are duplicates of each other only, as equal
 texts are; the class id is the smallest key of the class, null keys last; of repeated rows one stays; an empty
@@ -34,6 +37,8 @@ from freightlens.llm.words import alnum_words, runs, word_hashes
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
+#: Bits of a slot in the table of shingle counts that orders shingles (16 MB).
+ORDER_BITS = 22
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -123,7 +128,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sign_texts(texts: list[bytes | None], words: int, bands: int, rows: int):
-    """(weights, band keys, one byte per component) of each text."""
+    """(weights, band keys) of each text."""
     bags = [np.unique(shingles(t, words), return_counts=True) for t in texts]
     sizes = np.array([len(e) for e, _ in bags], np.int64)
     signatures = bag_minhash(
@@ -131,7 +136,7 @@ def sign_texts(texts: list[bytes | None], words: int, bands: int, rows: int):
         np.concatenate([w for _, w in bags]).astype(np.int64) if bags else np.array([], np.int64), len(bags), bands * rows,
     )
     keys = band_keys(signatures, bands, rows).view(np.int64)
-    return [(int(w.sum()), keys[i].tolist() if len(w) else [], (signatures[i] >> np.uint64(56)).astype(np.uint8).tobytes()) for i, (_, w) in enumerate(bags)]
+    return [(int(w.sum()), keys[i].tolist() if len(w) else []) for i, (_, w) in enumerate(bags)]
 
 
 def occurrences(text: bytes | None, words: int) -> np.ndarray:
@@ -149,7 +154,7 @@ def _vertex(text: str):
 
 
 def _signed(docs: DataFrame, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """(v, n, bands, sig) per distinct text."""
+    """(v, n, bands) per distinct text."""
 
     def sign(batches):
         for b in batches:
@@ -161,30 +166,16 @@ def _signed(docs: DataFrame, text: str, words: int, bands: int, rows: int) -> Da
                     size += len(texts[end].as_buffer() or b"") if texts[end].is_valid else 0
                     end += 1
                 got = sign_texts(texts[at:end].to_pylist(), words, bands, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [v[at:end], pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.list_(pa.int64())), pa.array([x[2] for x in got], pa.binary())], ["v", "n", "bands", "sig"]
-                )
+                yield pa.RecordBatch.from_arrays([v[at:end], pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.list_(pa.int64()))], ["v", "n", "bands"])
                 at = end
 
-    signed = docs.select(_vertex(text).alias("v"), F.col(text).cast("binary").alias("t")).mapInArrow(sign, "v binary, n long, bands array<long>, sig binary")
-    return signed.groupBy("v").agg(*(F.first(c).alias(c) for c in ("n", "bands", "sig")))
+    signed = docs.select(_vertex(text).alias("v"), F.col(text).cast("binary").alias("t")).mapInArrow(sign, "v binary, n long, bands array<long>")
+    return signed.groupBy("v").agg(*(F.first(c).alias(c) for c in ("n", "bands")))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, text: str, vertices: DataFrame, words: int, similarity: float, components_: int) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
-    spark = docs.sparkSession
-    least = int(np.floor(components_ * similarity - 6 * np.sqrt(components_ * similarity * (1 - similarity))))
-    sig = vertices.select("v", "sig")
-
-    @F.pandas_udf("boolean")
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (a, b))
-        return pd.Series((x == y).sum(1) >= least)
-
-    likely = pairs.join(sig.withColumnsRenamed({"v": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"v": "b", "sig": "sb"}), "b")
-    likely = stage(likely.where(similar("sa", "sb")).select("a", "b"), "near-likely")
-    needed = likely.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    held = spark.sparkContext.broadcast(bit_filter(needed.select(F.xxhash64("v").alias("h")), "h"))
+def _bags(docs: DataFrame, text: str, vertices: DataFrame, words: int) -> DataFrame:
+    """(v, bag) of the texts among the vertices (and of few others): their shingles, numbered where they repeat."""
+    held = docs.sparkSession.sparkContext.broadcast(bit_filter(vertices.select(F.xxhash64("v").alias("h")).distinct(), "h"))
 
     def hashed(batches):
         for b in batches:
@@ -192,8 +183,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, vertices: DataFrame, w
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([occurrences(x, words).tobytes() for x in b.column(2).to_pylist()], pa.binary())], ["v", "bag"])
 
     body = docs.select(F.xxhash64(_vertex(text)).alias("h"), _vertex(text).alias("v"), F.col(text).cast("binary").alias("t"))
-    bags = body.mapInArrow(hashed, "v binary, bag binary").groupBy("v").agg(F.first("bag").alias("bag"))
-    bags = stage(bags, "near-bags")
+    return body.mapInArrow(hashed, "v binary, bag binary").groupBy("v").agg(F.first("bag").alias("bag"))
+
+
+def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
 
     @F.pandas_udf("boolean")
     def verified(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -204,51 +198,73 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, vertices: DataFrame, w
 
         return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
 
+    likely = stage(pairs, "near-likely")
     full = likely.join(bags.withColumnsRenamed({"v": "a", "bag": "ba"}), "a").join(bags.withColumnsRenamed({"v": "b", "bag": "bb"}), "b")
-    with rows_per_batch(spark, 500):  # a row holds two bags
+    with rows_per_batch(pairs.sparkSession, 500):  # a row holds two bags
         return stage(full.where(verified("ba", "bb")).select("a", "b"), "near-verified")
 
 
+def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts (v, label, bag) with different labels, among them all whose similarity reaches the threshold."""
+    spark, mask = texts.sparkSession, np.uint64((1 << ORDER_BITS) - 1)
+
+    def slots(batches):
+        for b in batches:
+            x = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(0)] or [np.array([], np.uint64)])
+            slot, n = np.unique(x & mask, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n)], ["slot", "n"])
+
+    counted = texts.select("bag").mapInArrow(slots, "slot int, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit((1 << 31) - 1)).cast("int").alias("n")).toArrow()
+    counts = np.zeros(1 << ORDER_BITS, np.int32)
+    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    held = spark.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for b in batches:
+            rows = []
+            for i, bag in enumerate(b.column(2)):
+                x = np.frombuffer(bag.as_buffer(), np.uint64)
+                n, c = len(x), held.value[x & mask]
+                # What a text shares with another lies behind the first shingle they share, which limits the other's length.
+                most = np.floor((n - np.arange(n)) * (1 + 1 / similarity) - n + 1e-6).astype(np.int64)
+                first = np.lexsort((x, c))[: np.count_nonzero(most >= similarity * n - 1e-6)]
+                at = np.flatnonzero(c[first] > 1)
+                rows.append((x[first[at]], np.full(len(at), i), np.full(len(at), n), most[at]))
+            x, i, n, most = (np.concatenate(c) for c in zip(*rows)) if rows else (np.array([], np.int64),) * 4
+            i = pa.array(i)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), b.column(0).take(i), b.column(1).take(i), pa.array(n), pa.array(most)], ["x", "v", "label", "n", "most"])
+
+    offered = stage(texts.select("v", F.xxhash64("label").alias("label"), "bag").mapInArrow(prefixes, "x long, v binary, label long, n long, most long"), "near-offered")
+    held_by = offered.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least")).where("low <> high").select("x", "least")
+    offered = stage(offered.join(held_by, "x").where("most >= least").drop("least"), "near-offered")
+    a, b = offered.alias("a"), offered.alias("b")
+    met = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.v") < F.col("b.v")) & (F.col("a.label") != F.col("b.label")) & (F.col("a.n") <= F.col("b.most")) & (F.col("b.n") <= F.col("a.most")))
+    return met.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct()
+
+
 def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(v, root) of the distinct texts that are linked to others; v is the MD5 of the text."""
     spark = docs.sparkSession
     ship(spark)
     vertices = stage(_signed(docs, text, words, bands, rows), "near-signed")
     every = vertices.select("v", "n", F.explode("bands").alias("bucket"))
-    shared = every.groupBy("bucket").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("k")).where("low <> high").select("bucket", "k")
+    shared = every.select("bucket", F.xxhash64("v").alias("h")).groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count(F.lit(1)).alias("k")).where("low <> high").select("bucket", "k")
     members = every.join(shared, "bucket")
     members = stage(members.join(members.groupBy("v").agg(F.sum("k").alias("mass")), "v").select("bucket", "v", "n", "mass"), "near-members")
+    bags = stage(_bags(docs, text, members, words), "near-bags")
     alike = (F.col("n") >= similarity * F.col("pn") - 1e-9) & (F.col("pn") >= similarity * F.col("n") - 1e-9)
-    pair = (F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b"))
-
-    def linked(pairs):
-        return _linked(pairs, docs, text, vertices, words, similarity, bands * rows)
 
     # The text with the most company is the hub of its buckets; a text first meets the greatest hub only.
     hubs = members.groupBy("bucket").agg(F.max_by(F.struct(F.col("v").alias("p"), F.col("n").alias("pn"), F.col("mass").alias("pm")), F.struct("mass", "v")).alias("x")).select("bucket", "x.*")
     best = members.join(hubs, "bucket").where((F.col("v") != F.col("p")) & alike).groupBy("v").agg(F.max_by("p", F.struct("pm", "p")).alias("p"))
-    labels = stage(components(linked(best.select(*pair).distinct()), "near-components"), "near-labels")
-    pivots, done = 1, False
-    while not done:
-        labelled = members.join(labels, "v", "left").select("bucket", "v", "n", "mass", F.coalesce("root", "v").alias("label"))
-        sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-        main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("parts"))
-        members = stage(labelled.join(main.where("parts > 1"), "bucket"), "near-members")
-        total = members.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("label") != F.col("main"), F.col("all"))).alias("cost")).first()
-        if not total["n"]:
-            break
-        done = total["cost"] <= 8 * total["n"]
-        others = members.where("label <> main").select("bucket", F.col("v").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"), "mass")
-        if not done:
-            turn = Window.partitionBy("bucket").orderBy(F.desc("mass"), "p")
-            others = stage(others.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots).drop("turn"), "near-pivots")
-        met = members.drop("mass").join(others.drop("mass"), "bucket").where((F.col("label") != F.col("pl")) & alike)
-        edges = linked(met.select(*pair).distinct()).union(labels.where("v <> root").toDF("a", "b"))
-        labels = stage(components(edges, "near-components"), "near-labels")
-        if not done:
-            members = members.select("bucket", "v", "n", "mass").join(others.select("bucket", F.col("p").alias("v")), ["bucket", "v"], "left_anti")
-            pivots *= 8
-    return labels
+    best = best.select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct()
+    labels = stage(components(_verified(best, bags, similarity), "near-components"), "near-labels")
+
+    labelled = members.join(labels, "v", "left").select("bucket", "v", F.coalesce("root", "v").alias("label"))
+    mixed = labelled.select("bucket", F.xxhash64("label").alias("h")).groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("bucket")
+    mixed = stage(labelled.join(mixed, "bucket").select("v", "label").distinct(), "near-mixed")
+    found = _verified(_candidates(mixed.join(bags, "v"), similarity), bags, similarity)
+    return stage(components(found.union(labels.where("v <> root").toDF("a", "b")), "near-components"), "near-labels")
 
 
 def _classes(docs: DataFrame, key: str, text: str, **settings) -> tuple[DataFrame, DataFrame]:

@@ -156,6 +156,33 @@ def test_near_hub_is_compared_first(spark, monkeypatch):
     assert sum(verified) <= 2 * len(rows)
 
 
+def test_near_copies_that_differ_in_their_own_ways(spark, monkeypatch):
+    """200 copies below the threshold of their hub and of each other: candidates grow with the copies, not with their square."""
+    from freightlens.llm import near_dedup
+
+    compared, stage = [], near_dedup.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "near-likely":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    rng = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(120)]
+    rows = [(0, " ".join(words))]
+    for i in range(220):
+        w = list(words)
+        for j in range(1 if i < 20 else 3):
+            w[40 * j + 5 + rng.integers(30)] = f"changed{i}x{j}"
+        rows.append((i + 1, " ".join(w)))
+    rows.append((300, rows[100][1] + " and more"))
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == brute_classes(rows)
+    assert 0 < sum(compared) <= 2 * len(rows)
+
+
 def test_near_edges(docs, nothing):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = near_classes(docs).collect()
