@@ -135,22 +135,34 @@ def _training(docs: DataFrame, labels: DataFrame, key: str, text: str, fit_rows:
     return docs.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("text")).join(sample, F.col("_key") == F.col("_id")).select("text", F.col("_toxic").alias("toxic"))
 
 
-def _known(docs: DataFrame, key: str, text: str | None, ids: DataFrame) -> DataFrame:
-    """(_key[, text]) of the documents that pass a filter of fixed size over ids: all of `ids`, and a few others."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(F.col("_id").cast("string")).alias("h")), "h"))
+def _hashed(docs: DataFrame, key: str, text: str | None) -> DataFrame:
+    """(h, _key[, text]) of the documents that have an id; h is the id's hash."""
+    columns = [F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(key).alias("_key")] + ([F.col(text).cast("binary").alias("text")] if text else [])
+    return docs.where(F.col(key).isNotNull()).select(*columns)
+
+
+def _id_filter(ids: DataFrame):
+    """A broadcast filter of fixed size over ids, by their hash."""
+    return ids.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64(F.col("_id").cast("string")).alias("h")), "h"))
+
+
+def _passing(batch: pa.RecordBatch, held) -> pa.RecordBatch:
+    return batch.filter(pa.array(in_filter(batch.column(0).to_numpy().view(np.uint64), held.value)))
+
+
+def _known(docs: DataFrame, key: str, text: str | None, held) -> DataFrame:
+    """(_key[, text]) of the documents that pass a filter of ids: all of these ids, and a few others."""
 
     def keep(batches):
         for b in batches:
-            yield b.filter(pa.array(in_filter(b.column(0).to_numpy().view(np.uint64), held.value)))
+            yield _passing(b, held)
 
-    columns = [F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(key).alias("_key")] + ([F.col(text).cast("binary").alias("text")] if text else [])
-    rows = docs.where(F.col(key).isNotNull()).select(*columns)
+    rows = _hashed(docs, key, text)
     return rows.mapInArrow(keep, rows.schema).drop("h")
 
 
-def _count(texts: DataFrame, among=None, most: int = 300_000) -> DataFrame:
-    """(sign, n): rows of `texts` that hold each sign, in parts; `among`: a broadcast filter of the signs that matter."""
+def _count(texts: DataFrame, among=None, held=None, most: int = 300_000) -> DataFrame:
+    """(sign, n): rows of `texts` (h, text) that hold each sign, in parts; `among`: a broadcast filter of the signs that matter, `held`: one that h passes."""
 
     def count(batches):
         n: Counter = Counter()
@@ -163,39 +175,48 @@ def _count(texts: DataFrame, among=None, most: int = 300_000) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([n[x] for x in names], pa.int64())], ["sign", "n"])
 
         for b in batches:
-            for raw in b.column(0).to_pylist():
+            for raw in (b if held is None else _passing(b, held)).column(1).to_pylist():
                 n.update(signs(set(alnum_words(raw))))
                 if len(n) > most:
                     yield part()
                     n.clear()
         yield part()
 
-    return texts.select("text").mapInArrow(count, "sign binary, n long")
+    return texts.select("h", "text").mapInArrow(count, "sign binary, n long")
+
+
+def _sign_counts(docs: DataFrame, key: str, text: str, ids: DataFrame, among=None) -> DataFrame:
+    """(sign, n), to be summed: the documents of `ids` that hold each sign.
+
+    A filter of fixed size finds them where they are counted, so that a task needs one Python worker. What it lets through in
+    excess is found by a join of ids and taken off, so texts of other rows are never moved.
+    """
+    held = _id_filter(ids)
+    counts = _count(_hashed(docs, key, text), among, held)
+    others = stage(_known(docs, key, None, held).join(ids, F.col("_key") == F.col("_id"), "left_anti").select(F.col("_key").alias("_id")).distinct(), "toxicity-others")
+    if others.isEmpty():
+        return counts
+    excess = stage(_known(docs, key, text, _id_filter(others)).join(others, F.col("_key") == F.col("_id"), "left_semi").select(F.lit(0).cast("long").alias("h"), "text"), "toxicity-excess")
+    return counts.union(_count(excess, among).select("sign", -F.col("n")))
 
 
 def _candidates(docs: DataFrame, labels: DataFrame, key: str, text: str, voters: int) -> list[bytes]:
     """Signs whose share of toxic rows is high even at the lower end of its confidence interval, over all labelled rows.
 
     Such a sign stands in at least five toxic rows (its interval reaches below one half otherwise), so signs of toxic rows
-    are counted first, and only those with enough in the other rows. Labelled rows are found by a filter of fixed size on
-    ids; what it lets through in excess is found by a join of ids and taken off, so texts of other rows are never moved.
+    are counted first, and only those with enough in the other rows.
     """
     spark = docs.sparkSession
     labelled = stage(_labelled(labels, key), "toxicity-labels")
     bad = labelled.where("_toxic <> 0")
-    texts = _known(docs, key, text, bad).join(bad, F.col("_key") == F.col("_id"))
-    seen = stage(_count(texts).groupBy("sign").agg(F.sum("n").alias("toxic")).where("toxic >= 5"), "toxicity-signs")
+    seen = stage(_sign_counts(docs, key, text, bad).groupBy("sign").agg(F.sum("n").alias("toxic")).where("toxic >= 5"), "toxicity-signs")
 
     @F.pandas_udf("long")
     def hashed(x: pd.Series) -> pd.Series:
         return pd.Series(np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x)).view(np.int64))
 
     among = spark.sparkContext.broadcast(bit_filter(seen.select(hashed("sign").alias("h")), "h"))
-    counts = _count(_known(docs, key, text, labelled), among)
-    others = stage(_known(docs, key, None, labelled).join(labelled, F.col("_key") == F.col("_id"), "left_anti").select(F.col("_key").alias("_id")).distinct(), "toxicity-others")
-    if not others.isEmpty():
-        excess = _known(docs, key, text, others).join(others, F.col("_key") == F.col("_id"), "left_semi")
-        counts = counts.union(_count(excess, among).select("sign", -F.col("n")))
+    counts = _sign_counts(docs, key, text, labelled, among)
     n, z = F.col("n").cast("double"), 2.0
     share = F.col("toxic") / n
     low = (share + z * z / 2 / n - z * F.sqrt(share * (1 - share) / n + z * z / 4 / n / n)) / (1 + z * z / n)

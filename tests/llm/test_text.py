@@ -376,6 +376,20 @@ def test_voters_are_those_of_all_labelled_rows(spark):
     assert len(T._candidates(docs, few, "doc_id", "text", 50)) <= 50
 
 
+def test_voters_take_one_python_worker_a_task(spark, monkeypatch):
+    """No Arrow function reads another's rows in the same stage: each would hold a Python worker of its own."""
+    below, whole = [], type(spark.range(0)).mapInArrow
+
+    def seen(self, *args, **more):
+        below.append(self._jdf.queryExecution().executedPlan().toString())
+        return whole(self, *args, **more)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", seen)
+    folder = "/root/testdata/sf0.001"
+    fit(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet"))
+    assert below and not any("InArrow" in plan or "ArrowEval" in plan for plan in below)
+
+
 def test_token_count_columns_that_clash(spark, docs):
     got = token_counts(docs.withColumn("n_tokens", F.lit("x")).withColumn("n_bytes", F.lit(1.5)))
     assert {k: v for k, v in got.dtypes if k.startswith("n_")} == {"n_bytes": "bigint", "n_tokens": "bigint"} and got.count() == docs.count()
