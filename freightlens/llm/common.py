@@ -19,11 +19,13 @@ import freightlens
 _SHIPPED: dict[str, bool] = {}
 #: Bytes of an Arrow batch, which the executor's JVM and its Python worker hold side by side.
 BATCH_BYTES = "8m"
+#: The same for operators whose functions gain nothing from larger batches: less memory on both sides.
+SMALL_BATCH_BYTES = "2m"
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: str = BATCH_BYTES) -> None:
     """Give the package to the executors' Python workers (once per application), and texts to them a few megabytes at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import bit_filter, in_filter, ship, width
+from freightlens.llm.common import SMALL_BATCH_BYTES, bit_filter, in_filter, ship, width
 
 HALF = np.uint64(32)
 
@@ -70,7 +70,7 @@ class CountingQuotientFilter:
 
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """(fp, n) of the fingerprints that a column fp holds more than once."""
-    ship(fingerprints.sparkSession)
+    ship(fingerprints.sparkSession, SMALL_BATCH_BYTES)
     bits = min(20, max(6, (2 * width(fingerprints.sparkSession) - 1).bit_length()))
 
     def build(batches):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import GOLD, bit_filter, components, in_filter, mix, rows_per_batch, ship, stage
+from freightlens.llm.common import GOLD, SMALL_BATCH_BYTES, bit_filter, components, in_filter, mix, rows_per_batch, ship, stage
 from freightlens.llm.words import alnum_words, runs, word_hashes
 
 WORDS, SIMILARITY = 5, 0.8
@@ -245,7 +245,7 @@ def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
 def near_links(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(v, root) of the distinct texts that are linked to others; v is the MD5 of the text."""
     spark = docs.sparkSession
-    ship(spark)
+    ship(spark, SMALL_BATCH_BYTES)
     vertices = stage(_signed(docs, text, words, bands, rows), "near-signed")
     every = vertices.select("v", "n", F.explode("bands").alias("bucket"))
     shared = every.select("bucket", F.xxhash64("v").alias("h")).groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count(F.lit(1)).alias("k")).where("low <> high").select("bucket", "k")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import bit_filter, in_filter, ship, stage
+from freightlens.llm.common import SMALL_BATCH_BYTES, bit_filter, in_filter, ship, stage
 from freightlens.llm.words import alnum_words
 
 FIT_ROWS, VOTERS, THRESHOLD = 20_000, 512, 0.3
@@ -228,7 +228,7 @@ def _candidates(docs: DataFrame, labels: DataFrame, key: str, text: str, voters:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS, voters: int = VOTERS) -> Classifier:
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, SMALL_BATCH_BYTES)
     training = _training(docs, labels, key, text, fit_rows)
     fixed = [b"=" + w.encode() for w in LEXICON]
     names = fixed + [v for v in _candidates(docs, labels, key, text, voters - len(fixed)) if v not in fixed]

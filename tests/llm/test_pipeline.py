@@ -50,6 +50,15 @@ def test_run_of_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_texts_come_to_workers_two_megabytes_at_a_time(spark):
+    """The batches that an executor's JVM and both its workers hold are small in the stages that gain nothing from larger ones."""
+    docs, stages = table(spark, SF, "documents"), dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "exact_dedup", "near_dedup"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+        stages[name](spark, docs.limit(20), SF)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m", name
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a int, b int")).collect()}
