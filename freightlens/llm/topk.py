@@ -1,9 +1,10 @@
 """Exact top-k inner products by exhaustive term-at-a-time accumulation.
 
 Vectors become sparse rows of (term, integer weight), packed into blocks of a fixed number of rows and entries. Every block
-of queries meets every block of candidates once, by an equality join on the number of the candidate block. Where they meet,
-the candidate block is turned into postings; each query scatters its weighted postings into a dense array of scores, and a
-partition selection keeps its k best of the block. Blocks are merged by a ranked window that keeps k rows per map task.
+of queries meets every block of candidates once, in a product of shares of both tables: a task reads its two shares from the
+shared folder, so no block is copied for a join, neither through a shuffle nor through the driver. Where they meet, the
+candidate block is turned into postings; each query scatters its weighted postings into a dense array of scores, and a
+partition selection keeps its k best of the block. A task merges its blocks, and shares are merged by a ranked window.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from freightlens.llm.common import ship, stage
 
 #: Rows and entries of a block, whichever comes first.
 CANDIDATE_ROWS, QUERY_ROWS, ENTRIES = 8192, 512, 1 << 20
+#: Query blocks of a share, so that postings serve many queries, and most shares of queries.
+SHARE_BLOCKS, QUERY_SHARES = 8, 256
+#: Most shares of the candidates, as each gives k rows a query; where there are few queries, as many as make so many tasks.
+CANDIDATE_SHARES, TASKS = 8, 64
 #: Weights beyond these saturate; sums beyond the long range do too.
 LIMIT = 1 << 62
 
@@ -108,21 +113,31 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return np.concatenate([above, place[s == least][: k - len(above)]])
 
 
+def merged(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest scores with their ids, highest first, ties to the smaller id."""
+    order = np.lexsort((ids, ~scores))[:k]
+    return ids[order], scores[order]
+
+
 def _score(k: int):
     def score(batches):
-        known, postings = None, None
+        known, postings, kept, none = None, None, {}, np.array([], np.int64)
         for b in batches:
             for row in b.to_pylist():
                 if row["block"] != known:
                     known, postings = row["block"], Postings(row["ids"], row["starts"], row["terms"], row["weights"])
                 q_ids, q_at = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_starts"], np.int64)
                 q_terms, q_weights = np.frombuffer(row["q_terms"], np.int32), np.frombuffer(row["q_weights"], np.int64)
-                found = []
-                for i, own in enumerate(q_ids.tolist()):
+                found = kept.setdefault(row["q_block"], [(own, none, none) for own in q_ids.tolist()])
+                for i, (own, ids, best_scores) in enumerate(found):
                     scores = postings.scores(q_terms[q_at[i] : q_at[i + 1]], q_weights[q_at[i] : q_at[i + 1]])
-                    keep = best(scores, postings.ids, own, k)
-                    found.append((np.full(len(keep), own), postings.ids[keep], scores[keep]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[j] for f in found])) for j in range(3)], ["query_id", "id", "score"])
+                    place = np.flatnonzero(scores >= best_scores[-1]) if len(ids) == k else np.arange(len(scores))
+                    if len(place):
+                        keep = place[best(scores[place], postings.ids[place], own, k)]
+                        found[i] = (own, *merged(np.concatenate([ids, postings.ids[keep]]), np.concatenate([best_scores, scores[keep]]), k))
+        for found in kept.values():
+            columns = ([np.full(len(ids), own, np.int64) for own, ids, _ in found], [f[1] for f in found], [f[2] for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["query_id", "id", "score"])
 
     return score
 
@@ -156,10 +171,10 @@ def exact_top_k(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     candidates = _blocks(_sparse(rows, key, vector, scale), CANDIDATE_ROWS, "topk-candidates")
     queries = _sparse(rows.where(is_query), key, vector, scale).groupBy("id").agg(F.max(F.struct("terms", "weights")).alias("v")).select("id", "v.*")
     queries = _blocks(queries, QUERY_ROWS, "topk-queries")
-    groups = max(1, candidates.count())
-    meet = F.pmod(F.xxhash64("block"), F.lit(groups))
-    asked = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("ids", "starts", "terms", "weights")), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("meet"))
-    pairs = candidates.withColumn("meet", meet).join(asked, "meet").drop("meet")
+    asked_in = min(QUERY_SHARES, max(1, -(-queries.count() // SHARE_BLOCKS)))
+    asked = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns)).coalesce(asked_in)
+    # without the hint Spark would broadcast a table whose compressed files are small
+    pairs = candidates.coalesce(max(CANDIDATE_SHARES, TASKS // asked_in)).hint("shuffle_replicate_nl").crossJoin(asked)
     found = pairs.mapInArrow(_score(k), "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -9,13 +9,14 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from freightlens.llm import collocations as C
-from freightlens.llm import queries
+from freightlens.llm import queries, topk
 from freightlens.llm.merkle import folded, merkle_manifest, proof_digest
-from freightlens.llm.topk import Postings, _pack, best, exact_top_k
+from freightlens.llm.topk import Postings, _pack, _score, best, exact_top_k
 
 SF = "/root/testdata/sf0.001"
 
@@ -140,6 +141,36 @@ def test_top_k_edges(spark):
     assert exact_top_k(df.limit(0), F.col("vec_id") % 20 == 0, 7).count() == 0
 
 
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    """Blocks meet without a broadcast or a copy of the queries for every candidate block; ties and repeated rows over blocks."""
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    rows = [(i, [float((i * 7 + d) % 5 - 2) / 8 for d in range(6)]) for i in range(300)]
+    rows += [rows[33]] * 9 + [rows[151]] * 4
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    found = exact_top_k(df, F.col("vec_id") % 20 == 0, 7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and not re.search("Broadcast|Generate", plan)
+    assert sorted((r.query_id, r["rank"], r.id, r.score) for r in found.collect()) == brute_top_k(rows, 7)
+
+
+def test_score_keeps_k_rows_a_query():
+    """A task merges what it finds in its blocks, in whatever order they meet."""
+    rng = np.random.default_rng(8)
+    vectors = [(i, [float(x) / 64 for x in rng.integers(-3, 4, 5)]) for i in range(90)] + [(7, [1 / 64] * 5)]
+    kind = pa.schema([("id", pa.int64()), ("terms", pa.list_(pa.int32())), ("weights", pa.list_(pa.int64()))])
+
+    def blocks(rows, size):
+        packed = [{"id": i, "terms": list(range(5)), "weights": [round(x * 64) for x in v]} for i, v in rows]
+        return [x for b in _pack(size)([pa.RecordBatch.from_pylist(packed, kind)]) for x in b.to_pylist()]
+
+    candidates, asked = blocks(vectors, 16), blocks([r for r in vectors if r[0] % 20 == 0], 2)
+    pairs = [c | {"block": i} | {f"q_{name}": v for name, v in q.items()} | {"q_block": j} for i, c in enumerate(candidates) for j, q in enumerate(asked)]
+    for order in (pairs, pairs[::-1], [pairs[i] for i in rng.permutation(len(pairs))]):
+        got = [r for b in _score(4)(pa.RecordBatch.from_pylist([x]) for x in order) for r in b.to_pylist()]
+        assert sorted((r["query_id"], r["id"], r["score"]) for r in got) == sorted((q, i, s) for q, _, i, s in brute_top_k(vectors, 4))
+
+
 def test_postings_accumulate_exactly():
     """Sparse and dense postings, and sums beyond 32 and 64 bits, against Python integers."""
     rng = np.random.default_rng(3)
